@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm import minhash
+from sparkloom.llm import decontaminate, minhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,8 +18,55 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, _table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash": op8_minhash,
+    "op9_decontaminate": op9_decontaminate,
+    "op10_warc": op10_warc,
 }
 
-ORACLES: dict[str, str] = {}
+_LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = r"regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_WORDS = r"regexp_extract_all(" + _LOWER + r", '[^\x20\x09-\x0D]+')"
+
+ORACLES: dict[str, str] = {
+    "op8_minhash": f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format("text")} AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+      ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS sh FROM w),
+e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS x FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id
+      GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+r AS (SELECT doc_id AS root, doc_id FROM s UNION SELECT r.root, p.b FROM r JOIN p ON r.doc_id = p.a),
+c AS (SELECT root AS doc_id, min(doc_id) AS component_id FROM r GROUP BY root)
+SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, component_id, s.doc_id = component_id AS kept FROM s JOIN c USING (doc_id)""",
+    "op9_decontaminate": f"""
+WITH d AS (SELECT doc_id, {_ALNUM.format("text")} AS ws FROM documents),
+i AS (SELECT item_id, {_ALNUM.format("text")} AS ws FROM benchmark),
+m AS (SELECT item_id, ws, least(13, len(ws)) AS k FROM i WHERE len(ws) > 0),
+g AS (SELECT DISTINCT item_id, k, array_to_string(ws[s:s + k - 1], ' ') AS x FROM (SELECT item_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS s FROM m)),
+q AS (SELECT DISTINCT k FROM g),
+t AS (SELECT doc_id, k, s, array_to_string(ws[s:s + k - 1], ' ') AS x
+      FROM (SELECT doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS s FROM d JOIN q ON len(ws) >= k)),
+o AS (SELECT doc_id, item_id, s, t.k FROM t JOIN g ON t.x = g.x AND t.k = g.k),
+h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + k)) AS p FROM o) GROUP BY doc_id),
+u AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM o GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN u USING (doc_id)""",
+    "op10_warc": """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, CAST(octet_length(b) AS BIGINT) AS n, sha1(b) AS h FROM p),
+t AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS top FROM d)
+SELECT page_id, n AS payload_bytes, h AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id <> top THEN top END AS refers_to FROM t""",
+}
