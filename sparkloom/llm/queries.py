@@ -7,13 +7,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm import decontaminate, minhash, warc
+from sparkloom.llm import decontaminate, langid, minhash, quality, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(~langid.held_out("doc_id") & F.col("doc_id").isNotNull()))
+    return langid.identify(docs.withColumn("held_out", langid.held_out("doc_id")), model, carry=["doc_id", "held_out"])
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    labels = _table(spark, sf_dir, "labels").where(~langid.held_out("doc_id"))
+    machine = toxicity.train(docs, labels)
+    out = toxicity.score(docs, machine, carry=["doc_id"])
+    return out.select("doc_id", langid.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -28,6 +47,9 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_langid": op2_langid,
+    "op3_quality": op3_quality,
+    "op7_toxicity": op7_toxicity,
     "op8_minhash": op8_minhash,
     "op9_decontaminate": op9_decontaminate,
     "op10_warc": op10_warc,
