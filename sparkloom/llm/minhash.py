@@ -3,20 +3,23 @@
 1. One pass turns each text into its set of word shingles (64-bit hashes), a
    class key of the whole set, ``bands`` LSH keys of ``rows`` full minima each,
    and a packed signature that keeps ``BITS`` low bits of every minimum.
-2. Texts with equal sets are one class.  Within an LSH bucket every class is
-   paired with one centre only, so a bucket of m classes makes m - 1 pairs.
+2. Texts with equal sets are one class.  A class is first paired with one
+   centre only, the smallest it shares a bucket with.
 3. A pair whose collision-corrected similarity estimate (bit counts of the
    packed signatures) is far below the threshold is dropped; every other pair
    is confirmed on the full sets.
-4. Buckets whose classes still lie in several components get a second round
-   with another centre, then all their cross-component pairs that pass the
-   estimate.  Linked classes never need a pair, so no link that joins two
+4. Buckets whose classes still lie in several components get two rounds that
+   pair classes outside the component of the bucket's centre with it, then all
+   their cross-component pairs that pass the estimate; the join that finds
+   these compares the sets folded to 31 bits (one more in common allowed) and
+   so gives out few pairs but links.  Linked classes never need a pair, so no link that joins two
    components is lost while groups of copies stay linear.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +33,11 @@ _U = np.uint64
 BITS = 2
 ROWS = 4
 BANDS = 32
-HASHES = ROWS * BANDS
-#: Six standard deviations of the estimate from 128 hashes at a similarity of 0.75.
-MARGIN = 0.25
+#: Minima of a signature; the bands take the first ``ROWS * BANDS``.
+HASHES = 512
+WORDS = HASHES // 64
+#: Nearly five standard deviations of the estimate from 512 hashes at a similarity of 0.75.
+MARGIN = 0.11
 
 _rng = np.random.default_rng(20240611)
 _MULTIPLY = (_rng.integers(0, 1 << 32, HASHES, dtype=np.uint64) | _U(1)).astype(np.uint32)
@@ -102,16 +107,16 @@ def _describe(batches: Iterator[pa.RecordBatch], id_col: str, text_col: str, k:
                 names = ["id", "n", "k1", "k2", "shingles"]
             else:
                 bands = np.zeros((lengths.size, BANDS), np.int64)
-                packed = np.zeros((lengths.size, 2 * BITS), np.int64)
+                packed = np.zeros((lengths.size, WORDS * BITS), np.int64)
                 if starts.size:
                     minima = signatures(shingles, lengths[full]).astype(_U)
-                    keyed = (minima * _BAND[:, None]).reshape(BANDS, ROWS, -1).sum(axis=1, dtype=_U)
+                    keyed = (minima[: ROWS * BANDS] * _BAND[: ROWS * BANDS, None]).reshape(BANDS, ROWS, -1).sum(axis=1, dtype=_U)
                     bands[full] = bytetext.mix(keyed + np.arange(BANDS, dtype=_U)[:, None]).view(np.int64).T
                     low = (minima & _U((1 << BITS) - 1)).astype(np.uint8).T
                     bits = np.unpackbits(low[:, :, None], axis=2, bitorder="little", count=BITS)
                     planes = np.packbits(bits.transpose(0, 2, 1).reshape(low.shape[0], BITS * HASHES), axis=1)
                     packed[full] = planes.copy().view(np.int64)
-                some = np.where(full, BANDS, 0), np.where(full, 2 * BITS, 0)
+                some = np.where(full, BANDS, 0), np.where(full, WORDS * BITS, 0)
                 tail = [list_array(bands[full].ravel(), some[0], pa.int64()), list_array(packed[full].ravel(), some[1], pa.int64())]
                 names = ["id", "n", "k1", "k2", "bands", "sig"]
             yield pa.RecordBatch.from_arrays(head + tail, names=names)
@@ -128,11 +133,12 @@ def describe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
 def estimate(a: Column, b: Column) -> Column:
     """Similarity from two packed signatures, corrected for chance agreement.
 
-    Plane p of the signature holds bit p of every minimum in two longs; two
-    minima agree where no plane differs.
+    Plane p of the signature holds bit p of every minimum in ``WORDS`` longs;
+    two minima agree where no plane differs.
     """
-    differs = [F.bit_count(a[w].bitwiseXOR(b[w]).bitwiseOR(a[w + 2].bitwiseXOR(b[w + 2]))) for w in (0, 1)]
-    agree = F.lit(1.0) - (differs[0] + differs[1]) / F.lit(float(HASHES))
+    plane = [[a[w + p * WORDS].bitwiseXOR(b[w + p * WORDS]) for p in range(BITS)] for w in range(WORDS)]
+    differs = [F.bit_count(reduce(Column.bitwiseOR, word)) for word in plane]
+    agree = F.lit(1.0) - reduce(Column.__add__, differs) / F.lit(float(HASHES))
     chance = 2.0**-BITS
     return (agree - chance) / (1.0 - chance)
 
@@ -197,27 +203,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         near = pairs.distinct().join(a, "a").where(_worth(F.col("na"), F.col("nb"), F.col("ga"), F.col("gb"), percent))
         return near.select("a", "b")
 
-    def star(rows: DataFrame, centre: str) -> DataFrame:
-        pairs = rows.where(F.col("rep") != F.col(centre))
-        return plausible(pairs.select(F.col(centre).alias("a"), F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("gb")))
+    def pairs_with(rows: DataFrame, centre: str) -> DataFrame:
+        return rows.where(F.col("rep") != F.col(centre)).select(F.col(centre).alias("a"), F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("gb"))
 
-    links = materialize(confirm(star(crowded, "centre"), sets, percent), "links")
-    labels = components(links)
-
-    def labelled() -> DataFrame:
+    def labelled(labels: DataFrame) -> DataFrame:
         return crowded.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
 
-    def unresolved() -> DataFrame:
-        now = labelled()
+    def unresolved(labels: DataFrame) -> DataFrame:
+        now = labelled(labels)
         mixed = now.groupBy("band", "key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("band", "key")
         return materialize(now.join(mixed, ["band", "key"]), "unresolved")
 
-    again = materialize(confirm(star(unresolved(), "centre2"), sets, percent), "links")
-    links = links.union(again)
+    def outside(rows: DataFrame, centre: str) -> DataFrame:
+        """Rows of mixed buckets that lie in another component than their bucket's centre."""
+        home = rows.where(F.col("rep") == F.col(centre)).select("band", "key", F.col("label").alias("home"))
+        return rows.join(home, ["band", "key"]).where("label <> home").drop("home")
+
+    nearest = crowded.where("rep <> centre").groupBy("rep").agg(F.min("centre").alias("centre"), F.first("n").alias("n"), F.first("sig").alias("sig"))
+    links = materialize(confirm(plausible(pairs_with(nearest, "centre")), sets, percent), "links")
     labels = components(links)
-    rest = unresolved().select("band", "key", "rep", "n", "sig", "label")
+    for centre in ("centre", "centre2"):
+        rest = unresolved(labels)
+        again = materialize(confirm(plausible(pairs_with(outside(rest, centre), centre)), sets, percent), "links")
+        links = links.union(again)
+        labels = components(links)
+    folded = sets.select(F.col("id").alias("rep"), F.transform("shingles", lambda x: x.bitwiseAND(0x7FFFFFFF).cast("int")).alias("fold"))
+    rest = unresolved(labels).select("band", "key", "rep", "n", "sig", "label").join(folded, "rep")
     x, y = rest.alias("x"), rest.alias("y")
     close = _worth(F.col("x.n"), F.col("y.n"), F.col("x.sig"), F.col("y.sig"), percent)
+    common = F.size(F.array_intersect("x.fold", "y.fold"))
+    close = close & ((100 + percent) * (common + 1) >= percent * (F.col("x.n") + F.col("y.n")))
     cross = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key")) & (F.col("x.label") < F.col("y.label")) & close)
     cross = cross.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
     more = materialize(confirm(cross, sets, percent), "links")
