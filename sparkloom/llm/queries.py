@@ -7,13 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm import decontaminate, langid, minhash, quality, toxicity, warc
+from sparkloom.llm import decontaminate, langid, minhash, packing, pii, quality, suffixdedup, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    """The installed vocabulary that packing counts in."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = langid.train(docs.where(~langid.held_out("doc_id") & F.col("doc_id").isNotNull()))
@@ -25,6 +36,14 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(_table(spark, sf_dir, "documents"), carry=["doc_id"])
+
+
+def op6_suffixdedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     labels = _table(spark, sf_dir, "labels").where(~langid.held_out("doc_id"))
@@ -47,8 +66,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
     "op2_langid": op2_langid,
     "op3_quality": op3_quality,
+    "op5_pii": op5_pii,
+    "op6_suffixdedup": op6_suffixdedup,
     "op7_toxicity": op7_toxicity,
     "op8_minhash": op8_minhash,
     "op9_decontaminate": op9_decontaminate,
