@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm import decontaminate, langid, minhash, packing, pii, quality, suffixdedup, toxicity, warc
+from sparkloom.llm import decontaminate, langid, license, minhash, packing, pii, quality, suffixdedup, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op4_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license.scan(_table(spark, sf_dir, "documents"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(_table(spark, sf_dir, "documents"), carry=["doc_id"])
 
@@ -69,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_langid": op2_langid,
     "op3_quality": op3_quality,
+    "op4_license": op4_license,
     "op5_pii": op5_pii,
     "op6_suffixdedup": op6_suffixdedup,
     "op7_toxicity": op7_toxicity,
