@@ -33,7 +33,7 @@ _U = np.uint64
 GRID = 64
 GRAM = 24
 #: Symbols of a collection built at a time in a task, and of a task.
-COLLECTION_SYMBOLS = 100_000
+COLLECTION_SYMBOLS = 300_000
 TASK_SYMBOLS = 4_000_000
 
 
@@ -164,12 +164,20 @@ def repeated_starts(core: np.ndarray, cell: np.ndarray, left: np.ndarray, sym: n
     width = np.where(cell < reach // GRID, GRID, reach - (reach // GRID) * GRID + 1)
     size = np.diff(bounds)
     starts = size - width + 2  # left + right = width - 1 + starts - 1
-    _, core_id = np.unique(np.stack((core, cell)), axis=1, return_inverse=True)
+    full = np.where(starts >= 64, ~_U(0), (_U(1) << np.minimum(starts, 63).astype(_U)) - _U(1))
+    out = np.where(several, full, _U(0))
+    _, core_id, group = np.unique(core ^ (cell.astype(np.int64) << 58), return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(group[core_id] > 1)  # a piece alone with its core repeats as a whole or not at all
+    if not shared.size:
+        return out
+    core_id, width, size, left, starts = core_id[shared], width[shared], size[shared], left[shared], starts[shared]
+    sym = sym[_ranges(bounds[shared], size)]
+    bounds = np.concatenate(([0], np.cumsum(size)))
     at = bounds[:-1] + np.arange(size.size)  # with a place for each core
     symbols = np.empty(sym.size + size.size, np.int64)
     mark = np.zeros(symbols.size, bool)
     mark[at + left] = True
-    symbols[mark] = core_id.ravel() + 256
+    symbols[mark] = core_id + 256
     symbols[~mark] = sym
     found = Collection(symbols, np.append(at, symbols.size))
     mine = (found.offset < starts[found.document]) & (found.offset <= left[found.document])
@@ -178,8 +186,14 @@ def repeated_starts(core: np.ndarray, cell: np.ndarray, left: np.ndarray, sym: n
     hit = mine & ((found.common >= need) | (after >= need))
     mask = np.zeros(size.size, _U)
     np.bitwise_or.at(mask, found.document[hit], _U(1) << found.offset[hit].astype(_U))
-    full = np.where(starts >= 64, ~_U(0), (_U(1) << np.minimum(starts, 63).astype(_U)) - _U(1))
-    return np.where(several, full, mask)
+    out[shared] |= mask
+    return out
+
+
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of every range, one range after another."""
+    before = np.cumsum(lengths) - lengths
+    return np.arange(int(lengths.sum())) + np.repeat(starts - before, lengths)
 
 
 class _Construct:
