@@ -10,9 +10,9 @@ Live intervals are cut on a grid fixed to the anchor into pieces of at most
 ``window - GRID + 1`` bytes or more; pieces are dealt out by the core, and equal
 pieces are merged before, so that a passage copied many times is one row.  In a
 task the core of a piece becomes one symbol between its left and right bytes,
-and the column-wise construction (``columnbwt``) sorts the suffixes of all
-pieces and gives their common prefixes: a string is repeated where its suffix
-shares as many symbols as the cell is wide with a neighbour.
+taken ``STEP`` at a time, and the column-wise construction (``columnbwt``)
+sorts the suffixes of all pieces and gives their common prefixes: a string is
+repeated where its suffix shares enough symbols with a neighbour.
 """
 
 from __future__ import annotations
@@ -32,6 +32,8 @@ from sparkloom.llm.common import materialize, slices, string_buffers
 _U = np.uint64
 GRID = 64
 GRAM = 24
+#: Bytes of a symbol.
+STEP = 8
 #: Symbols of a collection built at a time in a task, and of a task.
 COLLECTION_SYMBOLS = 300_000
 TASK_SYMBOLS = 4_000_000
@@ -159,43 +161,61 @@ class _Pieces:
 
 
 def repeated_starts(core: np.ndarray, cell: np.ndarray, left: np.ndarray, sym: np.ndarray, bounds: np.ndarray, several: np.ndarray, window: int, gram: int) -> np.ndarray:
-    """For each piece a mask of its starts whose string occurs elsewhere too."""
+    """For each piece a mask of its starts whose string occurs elsewhere too.
+
+    A piece becomes up to ``STEP`` documents, one for each distance of a start
+    to the core modulo ``STEP``: symbols of ``STEP`` bytes, and one symbol for
+    the core with the few bytes that fill up on either side.  Every start of a
+    document then needs the same number of symbols.  A document alone with its
+    core symbol repeats only as a whole piece does.
+    """
     reach = window - gram
-    width = np.where(cell < reach // GRID, GRID, reach - (reach // GRID) * GRID + 1)
+    width = np.where(cell < reach // GRID, GRID, reach - (reach // GRID) * GRID + 1).astype(np.int64)
     size = np.diff(bounds)
+    right = size - left
     starts = size - width + 2  # left + right = width - 1 + starts - 1
     full = np.where(starts >= 64, ~_U(0), (_U(1) << np.minimum(starts, 63).astype(_U)) - _U(1))
     out = np.where(several, full, _U(0))
-    _, core_id, group = np.unique(core ^ (cell.astype(np.int64) << 58), return_inverse=True, return_counts=True)
-    shared = np.flatnonzero(group[core_id] > 1)  # a piece alone with its core repeats as a whole or not at all
-    if not shared.size:
+    padded = np.concatenate((sym, np.zeros(STEP, np.uint8))).astype(_U)
+    blocks = np.zeros(sym.size + 1, _U)
+    for k in range(STEP):
+        blocks |= padded[k : k + blocks.size] << _U(8 * k)
+    parts = []
+    for f in range(STEP):
+        fill = (width - 1 - f) % STEP
+        most = (left - f) // STEP
+        least = np.maximum(0, -((right + 1 + f - width) // STEP))
+        piece = np.flatnonzero((left >= f) & (f < width) & (least <= most) & (right >= fill))
+        core_at = bounds[piece] + left[piece]
+        seen = span_hashes(sym, core_at - f, core_at + fill[piece])
+        name = bytetext.mix(core[piece].astype(np.int64).view(_U) ^ bytetext.mix(seen + _U(f) + (cell[piece].astype(_U) << _U(8))))
+        parts.append((piece, np.full(piece.size, f), fill[piece], most[piece], least[piece], (right[piece] - fill[piece]) // STEP, name))
+    piece, f, fill, most, least, after, name = (np.concatenate(x) for x in zip(*parts, strict=True))
+    core_id, group = np.unique(name, return_inverse=True, return_counts=True)[1:]
+    shared = group[core_id] > 1
+    if not shared.any():
         return out
-    core_id, width, size, left, starts = core_id[shared], width[shared], size[shared], left[shared], starts[shared]
-    sym = sym[_ranges(bounds[shared], size)]
-    bounds = np.concatenate(([0], np.cumsum(size)))
-    at = bounds[:-1] + np.arange(size.size)  # with a place for each core
-    symbols = np.empty(sym.size + size.size, np.int64)
-    mark = np.zeros(symbols.size, bool)
-    mark[at + left] = True
-    symbols[mark] = core_id + 256
-    symbols[~mark] = sym
-    found = Collection(symbols, np.append(at, symbols.size))
-    mine = (found.offset < starts[found.document]) & (found.offset <= left[found.document])
-    need = width[found.document]
-    after = np.append(found.common[1:], 0)
-    hit = mine & ((found.common >= need) | (after >= need))
-    mask = np.zeros(size.size, _U)
-    np.bitwise_or.at(mask, found.document[hit], _U(1) << found.offset[hit].astype(_U))
-    out[shared] |= mask
+    piece, f, fill, most, least, after, core_id = (x[shared] for x in (piece, f, fill, most, least, after, core_id))
+    length = most + 1 + after
+    at = np.concatenate(([0], np.cumsum(length)))
+    within = np.arange(at[-1]) - np.repeat(at[:-1], length)
+    core_at = bounds[piece] + left[piece]
+    source = np.where(within <= np.repeat(most, length), np.repeat(core_at - f - STEP * most, length) + STEP * within, np.repeat(core_at + fill - STEP * (most + 1), length) + STEP * within)
+    mark = at[:-1] + most
+    source[mark] = 0
+    dense = np.unique(blocks[source], return_inverse=True)[1].astype(np.int64)
+    dense[mark] = core_id + dense.max() + 1
+    found = Collection(dense, at)
+    d = found.document
+    need = 1 + (width[piece] - 1 - f - fill) // STEP
+    follow = np.append(found.common[1:], 0)
+    hit = (found.offset <= (most - least)[d]) & ((found.common >= need[d]) | (follow >= need[d]))
+    d, k = d[hit], found.offset[hit]
+    bit = left[piece[d]] - STEP * (most[d] - k) - f[d]
+    np.bitwise_or.at(out, piece[d], _U(1) << bit.astype(_U))
     return out
 
 
-def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The places start, start + 1, ... of every range, one range after another."""
-    before = np.cumsum(lengths) - lengths
-    return np.arange(int(lengths.sum())) + np.repeat(starts - before, lengths)
-
-
 class _Construct:
     """mapInArrow on unique pieces, dealt and sorted by core: (core, cell, c, mask)."""
 
