@@ -19,6 +19,8 @@ import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,14 +35,24 @@ from sparkloom.llm.common import materialize, slices, string_buffers
 GRAIN = 4
 #: Pieces of a chunk in which ranks are counted.
 CHUNK_ROWS = 50_000
-_CACHED_WORDS = 600_000
+_CACHED_WORDS = 1_000_000
+
+
+_SPECIAL = (b"<|startoftext|>", b"<|endoftext|>")
+_CLASS = np.zeros(256, np.uint8)  # 1 letter, 2 other ASCII, 3 apostrophe, 0 white space and the rest
+_CLASS[0x21:0x7F] = 2
+_CLASS[0x41:0x5B] = _CLASS[0x61:0x7B] = 1
+_CLASS[0x27] = 3
 
 
 class WordTokenizer:
-    """Ids of whole texts from the ids of their words, each word encoded once.
+    """Ids of whole texts from the ids of their parts, each part encoded once.
 
-    White space separates pieces for this tokenizer and is dropped, so a text's
-    ids are those of its words (runs without ASCII white space) in a row.
+    This tokenizer folds case, drops white space and never joins a letter with
+    other ASCII characters but in a contraction after an apostrophe.  So a
+    text's ids are those of its parts in a row, cut at white space and between
+    ASCII letters and other ASCII characters, not after an apostrophe.  Texts
+    beside a special token's string are only cut at white space.
     """
 
     def __init__(self, path: str):
@@ -61,21 +73,29 @@ class WordTokenizer:
         if len(self.place) + len(words) > _CACHED_WORDS:
             self._clear()
         for lo in range(0, len(words), 4096):
-            for h, e in zip(hashes[lo : lo + 4096], self.tokenizer.encode_batch(words[lo : lo + 4096], add_special_tokens=False), strict=True):
-                ids = e.ids
-                k = len(self.place)
-                if k == self.start.size:
-                    self.start, self.length = (np.concatenate((x, np.zeros_like(x))) for x in (self.start, self.length))
-                while self.used + len(ids) > self.ids.size:
-                    self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
-                self.ids[self.used : self.used + len(ids)] = ids
-                self.start[k], self.length[k] = self.used, len(ids)
-                self.used += len(ids)
-                self.place[h] = k
+            ids = [e.ids for e in self.tokenizer.encode_batch(words[lo : lo + 4096], add_special_tokens=False)]
+            length = np.fromiter(map(len, ids), np.int32, len(ids))
+            k, end = len(self.place), self.used + int(length.sum())
+            while k + len(ids) > self.start.size:
+                self.start, self.length = (np.concatenate((x, np.zeros_like(x))) for x in (self.start, self.length))
+            while end > self.ids.size:
+                self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
+            self.ids[self.used : end] = np.fromiter(chain.from_iterable(ids), np.uint32, end - self.used)
+            self.start[k : k + len(ids)] = self.used + np.cumsum(length) - length
+            self.length[k : k + len(ids)] = length
+            self.used = end
+            self.place.update(zip(hashes[lo : lo + 4096], range(k, k + len(ids)), strict=True))
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and where each text's begin (and the end)."""
-        h, begin, end, at = bytetext.words(data, offsets, bytetext.WHITESPACE_WORDS, bytetext.SAME)
+        body = data[offsets[0] : offsets[-1]]
+        if any(body.tobytes().find(x) >= 0 for x in _SPECIAL):
+            h, begin, end, at = bytetext.words(data, offsets, bytetext.WHITESPACE_WORDS, bytetext.SAME)
+        else:
+            kind = _CLASS[body]
+            cut = ((kind[:-1] == 1) & (kind[1:] >= 2)) | ((kind[:-1] == 2) & (kind[1:] == 1))
+            h, begin, end, _ = bytetext.words(data, np.union1d(offsets, np.flatnonzero(cut) + 1 + offsets[0]), bytetext.WHITESPACE_WORDS)
+            at = np.searchsorted(begin, offsets)
         if not h.size:
             return np.zeros(0, np.uint32), np.zeros(offsets.size, np.int64)
         unique, first, inverse = np.unique(h, return_index=True, return_inverse=True)
@@ -94,6 +114,12 @@ class WordTokenizer:
         return ids, bounds[at]
 
 
+@lru_cache(maxsize=1)
+def _tokenizer(path: str) -> WordTokenizer:
+    """One per worker process, so that later tasks find the words of earlier ones."""
+    return WordTokenizer(path)
+
+
 class _Pieces:
     """mapInArrow: texts to (row, start, length, crc, doc_tokens)."""
 
@@ -101,7 +127,7 @@ class _Pieces:
         self.path, self.length, self.end_id = path, length, end_id
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer(self.path)
+        tokenizer = _tokenizer(self.path)
         for whole in batches:
             for batch in slices(whole, "text"):
                 ids, at = tokenizer.encode(*string_buffers(batch.column(1)))
