@@ -66,7 +66,7 @@ def remove_stopword(w: Column, stopwords: tuple[str, ...] = STOPWORDS) -> Column
 
 
 #: Indonesian affixes in the order they are taken off (Porter-style): particles, possessives, prefixes, suffixes.
-AFFIXES = ((r"(.{2,})(kah|lah|pun)$", "$1"), (r"(.{2,})(ku|mu|nya)$", "$1"), (r"^(meng|men|mem|me|peng|pen|pem|di|ter|ke)(.{3,})$", "$2"), (r"^(ber|be|per|pe)(.{3,})$", "$2"), (r"(.{2,})(kan|an|i)$", "$1"))
+AFFIXES = ((r"(.{2,}?)(kah|lah|pun)$", "$1"), (r"(.{2,}?)(ku|mu|nya)$", "$1"), (r"^(meng|men|mem|me|peng|pen|pem|di|ter|ke)(.{3,})$", "$2"), (r"^(ber|be|per|pe)(.{3,})$", "$2"), (r"(.{2,}?)(kan|an|i)$", "$1"))
 
 
 def stem(w: Column, keep: tuple[str, ...] = KEEP_UNSTEMMED) -> Column:
