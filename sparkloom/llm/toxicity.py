@@ -1,9 +1,10 @@
 """Toxicity by a factorization machine over hashed terms.
 
-Terms are hashed into 2**20 buckets.  Buckets that go with the label beyond
-chance (log-odds z-score on the training sample) are the features; the machine
-has a weight for each and factors whose products weigh every pair, so that two
-terms may count together for more, or less, than the sum of both.
+Terms - words and their prefixes - are hashed into 2**20 buckets.  Buckets that
+go with the label beyond chance (root of the G statistic on the training
+sample) are the features; the machine has a weight for each and factors whose
+products weigh every pair, so that two terms may count together for more, or
+less, than the sum of both.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from sparkloom.llm.common import list_array, slices, string_buffers
 from sparkloom.llm.langid import bounded_sample
 
 BUCKET_BITS = 20
+#: Bytes of the prefixes that are terms beside whole words.
+PREFIXES = (4, 5, 6)
 #: Bounds of the fit: expected rows of each label, features, factors.
 SAMPLE_ROWS = 6000
 FEATURES = 1024
@@ -28,9 +31,21 @@ FACTORS = 8
 
 
 def buckets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Term bucket of every word, and the first word of each text."""
-    h, _, _, at = bytetext.words(data, offsets, bytetext.ALNUM_WORDS)
-    return (h >> np.uint64(64 - BUCKET_BITS)).astype(np.int32), at
+    """Term buckets of every word - one row for the word, one for each prefix - and the first word of each text.
+
+    A prefix stands for the forms of a word; a word no longer than it stands for itself.
+    """
+    h, begin, end, at = bytetext.words(data, offsets, bytetext.ALNUM_WORDS)
+    rows = [h]
+    for size in PREFIXES:
+        long = np.flatnonzero(end - begin > size)
+        packed = np.full(long.size, size, np.uint64)
+        for k in range(size):
+            packed = (packed << np.uint64(8)) | bytetext.LOWER[data[begin[long] + k]]
+        row = h.copy()
+        row[long] = bytetext.mix(packed * np.uint64(0x9E3779B97F4A7C15))
+        rows.append(row)
+    return (np.stack(rows) >> np.uint64(64 - BUCKET_BITS)).astype(np.int32), at
 
 
 @dataclass
@@ -47,7 +62,7 @@ class Machine:
         return 1.0 / (1.0 + np.exp(-np.clip(self.bias + x @ self.weight + pairs, -30, 30)))
 
     @staticmethod
-    def fit(rows: list[np.ndarray], label: np.ndarray, shares: dict[int, float] | None = None, features: int = FEATURES, factors: int = FACTORS, epochs: int = 30, decay: float = 5e-4, seed: int = 7) -> "Machine":
+    def fit(rows: list[np.ndarray], label: np.ndarray, shares: dict[int, float] | None = None, features: int = FEATURES, factors: int = FACTORS, epochs: int = 40, decay: float = 1e-4, seed: int = 7) -> "Machine":
         """Adam on the logistic loss; ``shares`` undoes the sampling of the labels."""
         label = label.astype(np.float64)
         n1, n0 = int(label.sum()), int((1 - label).sum())
@@ -55,12 +70,15 @@ class Machine:
             prior = (n1 + 0.5) / (n1 + n0 + 1.0) if n1 + n0 else 0.02
             return Machine(np.zeros(0, np.int32), float(np.log(prior / (1 - prior))), np.zeros(0), np.zeros((0, factors)))
         df = [np.bincount(np.concatenate([r for r, y in zip(rows, label, strict=True) if y == k] or [np.zeros(0, np.int32)]), minlength=1 << BUCKET_BITS).astype(np.float64) for k in (0, 1)]
-        logit = np.log((df[1] + 0.5) / (n1 - df[1] + 0.5)) - np.log((df[0] + 0.5) / (n0 - df[0] + 0.5))
-        spread = np.sqrt(1 / (df[1] + 0.5) + 1 / (n1 - df[1] + 0.5) + 1 / (df[0] + 0.5) + 1 / (n0 - df[0] + 0.5))
-        seen = df[0] + df[1] >= max(4, 0.01 * min(n0, n1))
-        z = np.where(seen, np.abs(logit / spread), 0.0)
+        both, rows_all = df[0] + df[1], n0 + n1
+        g = np.zeros(both.size)
+        for k, n in ((0, n0), (1, n1)):
+            for seen, expected in ((df[k], both * n / rows_all), (n - df[k], (rows_all - both) * n / rows_all)):
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    g += np.where(seen > 0, 2 * seen * np.log(seen / expected), 0.0)
+        z = np.where(both >= max(4, 0.01 * min(n0, n1)), np.sqrt(np.maximum(g, 0)), 0.0)
         order = np.argsort(-z, kind="stable")[:features]
-        chosen = np.sort(order[z[order] >= 4.5]).astype(np.int32)
+        chosen = np.sort(order[z[order] >= 5.5]).astype(np.int32)
         x = np.stack([np.isin(chosen, r) for r in rows]).astype(np.float32) if chosen.size else np.zeros((len(rows), 0), np.float32)
         shares = shares or {}
         row_weight = np.where(label == 1, 1.0 / shares.get(1, 1.0), 1.0 / shares.get(0, 1.0))
@@ -71,7 +89,7 @@ class Machine:
         b = np.array([np.log(prior / (1 - prior))])
         moments = [[np.zeros_like(p), np.zeros_like(p)] for p in (b, w, v)]
         step = 0
-        for _ in range(epochs):
+        for _ in range(max(epochs, min(400, 256_000 // len(rows)))):  # few rows: more rounds
             for at in np.array_split(rng.permutation(len(rows)), max(1, len(rows) // 256)):
                 part = x[at].astype(np.float64)
                 s = part @ v
@@ -90,7 +108,7 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in slices(whole, "text"):
             term, at = buckets(*string_buffers(batch.column(1)))
-            sets = [np.unique(term[lo:hi]) for lo, hi in zip(at[:-1], at[1:], strict=True)]
+            sets = [np.unique(term[:, lo:hi]) for lo, hi in zip(at[:-1], at[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), list_array(np.concatenate(sets), np.array([s.size for s in sets]), pa.int32())], names=["label", "terms"])
 
 
@@ -105,14 +123,20 @@ class _Score:
         for whole in batches:
             for batch in slices(whole, "text"):
                 term, at = buckets(*string_buffers(batch.column(1)))
-                feature = column[term]
-                word = np.flatnonzero(feature >= 0)
-                doc = np.searchsorted(at, word, side="right") - 1
+                word, feature = [], []
+                for row in term:
+                    of = column[row]
+                    seen = np.flatnonzero(of >= 0)
+                    word.append(seen)
+                    feature.append(of[seen])
+                word, feature = np.concatenate(word), np.concatenate(feature)
+                order = np.argsort(word, kind="stable")
+                doc, feature = np.searchsorted(at, word[order], side="right") - 1, feature[order]
                 score = np.empty(batch.num_rows)
                 for lo in range(0, batch.num_rows, 1024):
                     x = np.zeros((min(1024, batch.num_rows - lo), m.chosen.size))
                     mine = slice(*np.searchsorted(doc, (lo, lo + x.shape[0])))
-                    x[doc[mine] - lo, feature[word[mine]]] = 1.0
+                    x[doc[mine] - lo, feature[mine]] = 1.0
                     score[lo : lo + x.shape[0]] = m.score(x)
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], names=["row", "score"])
 
