@@ -11,8 +11,8 @@
 4. Buckets whose classes still lie in several components get two rounds that
    pair classes outside the component of the bucket's centre with it, then all
    their cross-component pairs that pass the estimate; the join that finds
-   these compares the sets folded to 31 bits (one more in common allowed) and
-   so gives out few pairs but links.  Linked classes never need a pair, so no link that joins two
+   these compares the sets folded to 31 bits, allowing for what that may merge,
+   and so gives out few pairs but links.  Linked classes never need a pair, so no link that joins two
    components is lost while groups of copies stay linear.
 """
 
@@ -232,7 +232,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     x, y = rest.alias("x"), rest.alias("y")
     close = _worth(F.col("x.n"), F.col("y.n"), F.col("x.sig"), F.col("y.sig"), percent)
     common = F.size(F.array_intersect("x.fold", "y.fold"))
-    close = close & ((100 + percent) * (common + 1) >= percent * (F.col("x.n") + F.col("y.n")))
+    slack = 1 + F.col("x.n") * F.col("y.n") / float(1 << 30)  # twice what folding is expected to merge
+    close = close & ((100 + percent) * (common + slack) >= percent * (F.col("x.n") + F.col("y.n")))
     cross = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key")) & (F.col("x.label") < F.col("y.label")) & close)
     cross = cross.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
     more = materialize(confirm(cross, sets, percent), "links")
