@@ -47,20 +47,42 @@ def score_sentence(tagged: Column, scores: dict[str, float]) -> Column:
     return F.transform(tagged, lambda x: F.struct(x["word"].alias("word"), x["tag"].alias("tag"), word_score(x["word"], x["tag"], scores).alias("score")))
 
 
+def _after(left: Column, tag: Column, span: int) -> tuple[Column, Column]:
+    """(words still to flip after this one, whether this one flips)."""
+    is_neg, is_cc = tag == "NEG", tag == "CC"
+    then = F.when(is_neg, F.when(left > 0, 0).otherwise(span)).when(is_cc, 0).otherwise(F.greatest(left - 1, F.lit(0)))
+    return then.cast("int"), (left > 0) & ~is_neg & ~is_cc
+
+
 def negate(scored: Column, span: int = 4) -> Column:
     """Sign flips for up to ``span`` words after a negation; another negation or a conjunction ends it."""
     start = F.struct(F.lit(0).alias("left"), F.array().cast("array<struct<word:string,tag:string,score:double>>").alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
-        is_neg, is_cc = x["tag"] == "NEG", x["tag"] == "CC"
-        left = F.when(is_neg, F.when(acc["left"] > 0, 0).otherwise(span)).when(is_cc, 0).otherwise(F.greatest(acc["left"] - 1, F.lit(0)))
-        flip = (acc["left"] > 0) & ~is_neg & ~is_cc
+        left, flip = _after(acc["left"], x["tag"], span)
         word = F.struct(x["word"].alias("word"), x["tag"].alias("tag"), F.when(flip, -x["score"]).otherwise(x["score"]).alias("score"))
-        return F.struct(left.cast("int").alias("left"), F.concat(acc["out"], F.array(word)).alias("out"))
+        return F.struct(left.alias("left"), F.concat(acc["out"], F.array(word)).alias("out"))
 
     return F.aggregate(scored, start, step, lambda acc: acc["out"])
 
 
+def negated_average(scored: Column, span: int = 4) -> Column:
+    """``average(negate(scored))`` in one pass that keeps sums only."""
+    names = ("sp", "np", "sn", "nn")
+    start = F.struct(F.lit(0).alias("left"), *[F.lit(0.0).alias(n) for n in names])
+
+    def step(acc: Column, x: Column) -> Column:
+        left, flip = _after(acc["left"], x["tag"], span)
+        v = F.when(flip, -x["score"]).otherwise(x["score"])
+        up, down = F.greatest(v, F.lit(0.0)), F.greatest(-v, F.lit(0.0))
+        one = lambda c: F.when(c > 0, 1.0).otherwise(0.0)
+        added = zip(names, (up, one(up), down, one(down)), strict=True)
+        return F.struct(left.alias("left"), *[(acc[n] + a).alias(n) for n, a in added])
+
+    mean = lambda s, n: F.when(n > 0, s / n).otherwise(F.lit(0.0))
+    return F.aggregate(scored, start, step, lambda a: F.struct(mean(a["sp"], a["np"]).alias("pos"), mean(a["sn"], a["nn"]).alias("neg")))
+
+
 def average(scored: Column) -> Column:
     """(pos, neg): mean of the positive scores, and of the negative ones' size; 0 without any."""
     mean = lambda xs: F.when(F.size(xs) > 0, F.aggregate(xs, F.lit(0.0), lambda a, v: a + v) / F.size(xs)).otherwise(F.lit(0.0))
@@ -74,6 +96,12 @@ def label(pos: Column, neg: Column) -> Column:
 
 def detect(tagged_sentences: Column, scores: dict[str, float], negation: str | None = None) -> Column:
     """(pos, neg, sentiment) of a document: sentence averages added up."""
-    each = F.transform(tagged_sentences, lambda s: average(negate(score_sentence(s, scores)) if negation == "window4" else score_sentence(s, scores)))
-    total = lambda side: F.aggregate(F.transform(each, lambda x: x[side]), F.lit(0.0), lambda a, v: a + v)
-    return F.struct(total("pos").alias("pos"), total("neg").alias("neg"), label(F.round(total("pos"), 9), F.round(total("neg"), 9)).alias("sentiment"))
+    each = F.transform(tagged_sentences, lambda s: negated_average(score_sentence(s, scores)) if negation == "window4" else average(score_sentence(s, scores)))
+
+    def of(sides: Column) -> Column:
+        add = lambda a, v: F.struct((a["pos"] + v["pos"]).alias("pos"), (a["neg"] + v["neg"]).alias("neg"))
+        zero = F.struct(F.lit(0.0).alias("pos"), F.lit(0.0).alias("neg"))
+        name = lambda a: F.struct(a["pos"].alias("pos"), a["neg"].alias("neg"), label(F.round(a["pos"], 9), F.round(a["neg"], 9)).alias("sentiment"))
+        return F.aggregate(sides, zero, add, name)
+
+    return F.element_at(F.transform(F.array(each), of), 1)

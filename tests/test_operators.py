@@ -101,6 +101,8 @@ def test_negation(spark):
     df = spark.createDataFrame([(words,)], "s array<struct<word:string,tag:string,score:double>>")
     got = [x.score for x in df.select(sentiment.negate(F.col("s"))).first()[0]]
     assert got == [1.0, 0.0, -1.0, -1.0, -1.0, -1.0, 1.0, 0.0, -2.0, 0.0, 2.0]
+    both = df.select(sentiment.average(sentiment.negate(F.col("s"))).alias("a"), sentiment.negated_average(F.col("s")).alias("b")).first()
+    assert both.a == both.b
 
 
 def test_document_sentiment_against_brute_force(spark):
