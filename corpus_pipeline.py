@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.llm import decontaminate, langid, minhash, packing, pii
-from sparkloom.llm.common import materialize
+from sparkloom.llm.common import materialize, release
 from sparkloom.llm.queries import tokenizer_path
 
 #: A language is accepted from this probability on.
@@ -26,7 +26,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of every group; rows without an id stay."""
-    kept = minhash.near_duplicates(docs).where("kept").select("doc_id").distinct()
+    kept = materialize(minhash.near_duplicates(docs).where("kept").select("doc_id").distinct(), "kept")
+    release(spark)
     single = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return single.select(*docs.columns).unionByName(docs.where("doc_id is null"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -44,6 +45,16 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of plans that nothing refers to any more.
+
+    Its cleaner acts when the driver collects garbage, which may else be long
+    after the next stage has filled the disks.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a path of the shared folder through Hadoop's file system."""
     jvm = spark._jvm
