@@ -1,7 +1,7 @@
 """Licence scan: a trained paragraph classifier, in DataFrame operations only.
 
-Paragraphs (lines) with a licence cue are described by hashed word uni- and
-bigrams; a multinomial logistic regression names the licence family or
+Lines with a licence cue, alone and with the passage around them, are described
+by hashed word uni- and bigrams; a multinomial logistic regression names the licence family or
 ``none``.  The probability a family needs is calibrated on held-out paragraphs
 without a licence, so that at most ``false_rate`` of these reach it; what stays
 below is ``unknown``.  A prediction also has to be confirmed by comparison with
@@ -10,6 +10,8 @@ the family's templates, else it is ``unknown`` too.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
@@ -30,8 +32,8 @@ TEMPLATES = {
     "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", "SPDX-License-Identifier: Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License", "Distributed under the terms of the Apache License 2.0"],
     "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.", "SPDX-License-Identifier: GPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License"],
     "GPL-2.0": ["Licensed under the GNU General Public License, version 2.", "SPDX-License-Identifier: GPL-2.0-only", "you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation"],
-    "LGPL": ["Licensed under the GNU Lesser General Public License.", "SPDX-License-Identifier: LGPL-2.1-or-later"],
-    "AGPL-3.0": ["Licensed under the GNU Affero General Public License, version 3.", "SPDX-License-Identifier: AGPL-3.0-only"],
+    "LGPL": ["Licensed under the GNU Lesser General Public License.", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation", "SPDX-License-Identifier: LGPL-2.1-or-later"],
+    "AGPL-3.0": ["Licensed under the GNU Affero General Public License, version 3.", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License", "SPDX-License-Identifier: AGPL-3.0-only"],
     "BSD": ["Licensed under the BSD 3-Clause License.", "SPDX-License-Identifier: BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "SPDX-License-Identifier: MPL-2.0"],
     "CC-BY": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
@@ -61,20 +63,43 @@ def _rows(spark: SparkSession, rows: list[tuple[str, str]]) -> DataFrame:
     return spark.range(1).select(F.explode(values).alias("r")).select("r.family", "r.paragraph")
 
 
-def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, paragraph) for the lines that have a cue."""
+def passages(docs: DataFrame, id_col: str, text_col: str, span: int) -> DataFrame:
+    """(id, line, passage) for the lines that have a cue.
+
+    The passage is the line with its neighbours, up to a line without letters
+    or digits (blank, or comment marks only) and to ``span`` words or more on
+    each side, so it holds a wrapped notice of that many words as a whole.
+    """
     text = F.col(text_col).cast("string")
-    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(CUE))
-    return docs.where(text.rlike(CUE)).select(F.col(id_col).alias("id"), F.explode(lines).alias("paragraph"))
+    words = lambda x: F.size(F.filter(F.split(x, r"[^\p{L}\p{N}]+"), lambda w: w != ""))
+    start = F.struct(F.lit(False).alias("done"), F.lit(0).alias("words"), F.array().cast("array<string>").alias("lines"))
+
+    def step(acc: Column, x: Column) -> Column:
+        done = acc["done"] | (acc["words"] >= span) | ~x.rlike(r"[\p{L}\p{N}]")
+        return F.struct(done.alias("done"), (acc["words"] + F.when(done, 0).otherwise(words(x))).alias("words"), F.when(done, acc["lines"]).otherwise(F.concat(acc["lines"], F.array(x))).alias("lines"))
+
+    side = lambda xs: F.aggregate(xs, start, step, lambda acc: acc["lines"])
+    # A line has one word at least, so ``span`` lines on a side are enough.
+    before = F.reverse(F.slice("lines", F.greatest(F.col("at") - span + 1, F.lit(1)), F.least(F.col("at"), F.lit(span))))
+    after = F.slice("lines", F.col("at") + 2, span)
+    lines = docs.where(text.rlike(CUE)).select(F.col(id_col).alias("id"), F.split(text, "\n").alias("lines"))
+    cues = F.filter(F.transform("lines", lambda x, i: F.struct(i.alias("at"), x.alias("line"))), lambda x: x["line"].rlike(CUE))
+    near = lines.select("id", "lines", F.explode(cues).alias("cue")).select("id", "lines", "cue.at", "cue.line")
+    return near.select("id", "line", F.concat_ws("\n", F.reverse(side(before)), F.array("line"), side(after)).alias("passage"))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", false_rate: float = 0.01, overlap: float = 0.5, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """One row per input row: id, license, families, score, n_paragraphs, n_confirmed.
 
     ``license`` is the confirmed family of highest probability (by name where
-    equal), ``unknown`` where only unconfirmed paragraphs look like a licence,
-    else null.  ``families`` lists the confirmed families; ``score`` is the
-    highest probability of a confirmed or unknown paragraph, 0 without any.
+    equal), ``unknown`` where only unconfirmed lines look like a licence, else
+    null.  ``families`` lists the confirmed families; ``score`` is the highest
+    probability of a confirmed or unknown line, 0 without any.  The counts are
+    of lines with a cue, a wrapped notice counts each of its own.
+
+    A line is judged by itself and with the passage around it.  A confirmed
+    passage decides, unless the line has more of a template of its own family
+    than of the passage's (one-line notices that follow each other).
 
     Null and empty texts have no paragraphs.  Rows that share an id, null
     included, are judged together and each get the result.  Whole texts are
@@ -100,11 +125,22 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", false_
     level = held.agg(F.coalesce(F.percentile("s", 1.0 - false_rate), F.lit(0.5)).alias("level")).first()["level"]
     level = min(0.95, max(0.35, level))
 
-    found = hashed.transform(paragraphs(docs, id_col, text_col).withColumn("grams", grams(F.col("paragraph"))))
-    found = picked(model.transform(found)).where("family <> 'none'")
-    templates = _rows(spark, known).withColumn("grams", grams(F.col("paragraph"))).groupBy("family").agg(F.collect_list("grams").alias("templates"))
-    near = lambda t: F.size(F.array_intersect("grams", t)) >= overlap * F.size(t)
-    judged = found.join(F.broadcast(templates), "family").withColumn("confirmed", (F.col("score") >= level) & F.exists("templates", near))
+    templates = _rows(spark, known).withColumn("grams", grams(F.col("paragraph"))).agg(F.collect_list(F.struct("family", "grams")).alias("templates"), F.array_distinct(F.flatten(F.collect_list("grams"))).alias("vocabulary"))
+    span = max(len(re.findall(r"\w+", t)) for _, t in known)
+    found = passages(docs, id_col, text_col, span).crossJoin(F.broadcast(templates)).withColumn("line_grams", grams(F.col("line")))
+    hits = F.transform("templates", lambda t: F.struct(t["family"].alias("family"), F.size(F.array_intersect("grams", t["grams"])).alias("n"), (F.size(F.array_intersect("grams", t["grams"])) >= overlap * F.size(t["grams"])).alias("near")))
+    near = F.exists("hits", lambda h: h["near"] & (h["family"] == F.col("family")))
+    most = lambda family: F.coalesce(F.array_max(F.transform(F.filter("hits", lambda h: h["family"] == F.col(family)), lambda h: h["n"])), F.lit(0))
+    judge = lambda df: picked(model.transform(hashed.transform(df))).withColumn("hits", hits).withColumn("near", near & (F.col("family") != "none"))
+    # Words of no template around a notice say nothing about it.
+    whole = judge(found.withColumn("grams", F.array_intersect(grams(F.col("passage")), "vocabulary")))
+    whole = whole.select("id", "line_grams", "templates", F.col("family").alias("w_family"), F.col("score").alias("w_score"), F.col("near").alias("w_near"))
+    each = judge(whole.withColumnRenamed("line_grams", "grams")).withColumn("part", most("w_family") >= most("family"))
+    each = each.select("id", "family", "score", "near", "w_family", "w_score", "w_near", "part")
+
+    by_whole = F.col("w_near") & (F.col("w_score") >= level) & F.col("part")
+    by_line = F.col("near") & (F.col("score") >= level)
+    judged = each.select("id", F.when(by_whole, F.col("w_family")).otherwise(F.col("family")).alias("family"), F.when(by_whole, F.col("w_score")).otherwise(F.col("score")).alias("score"), (by_whole | by_line).alias("confirmed")).where("family <> 'none'")
     per = judged.groupBy("id").agg(
         F.max(F.when(F.col("confirmed"), F.struct("score", "family"))).alias("best"),
         F.max("score").alias("score"),

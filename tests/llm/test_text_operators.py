@@ -249,6 +249,41 @@ def test_licence_scan(spark):
     assert all(got[i].license is None for i in range(60)) and len(got) == len(rows)
 
 
+WRAPPED = {
+    "MIT": "Permission is hereby granted, free of charge, to any person\nobtaining a copy of this software and associated documentation\nfiles (the \"Software\"), to deal in the Software without\nrestriction, including without limitation the rights to use",
+    "Apache-2.0": "Licensed under the Apache License, Version 2.0\n(the \"License\"); you may not use this file except in\ncompliance with the License.",
+    "GPL-3.0": "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.",
+    "GPL-2.0": "This program is free software; you can redistribute it and/or\nmodify it under the terms of the GNU General Public License\nversion 2 as published by the Free Software Foundation.",
+    "LGPL": "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.",
+    "AGPL-3.0": "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU Affero General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.",
+    "BSD": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    "CC-BY": "This work is licensed under a Creative Commons\nAttribution 4.0 International License.",
+    "CC-BY-SA": "This work is licensed under a Creative Commons\nAttribution-ShareAlike 4.0 International License.",
+    "CC-BY-NC": "This work is licensed under a Creative Commons\nAttribution-NonCommercial 4.0 International License.",
+    "CC0": "To the extent possible under law, the author has waived all\ncopyright and related or neighboring rights to this work under CC0 1.0.",
+    "Unlicense": "This is free and unencumbered software released\ninto the public domain.",
+    "proprietary": "No part of this publication may be reproduced without the\nprior written permission of the publisher.",
+}
+
+
+def test_licence_of_wrapped_headers(spark):
+    assert set(WRAPPED) == set(license.TEMPLATES)
+    r = random.Random(5)
+    prose = lambda: "\n".join(" ".join(r.choice(("sun", "tree", "walks", "slowly", "green")) for _ in range(12)) for _ in range(4))
+    forms = (lambda t: t, lambda t: "/*\n * " + t.replace("\n", "\n * ") + "\n */\n\nint x;", lambda t: "# A tool.\n#\n# " + t.replace("\n", "\n# ") + "\n#\n# " + prose(), lambda t: prose() + "\n" + t + "\n" + prose())
+    rows, want = [(i, prose()) for i in range(60)], {}
+    for family, header in WRAPPED.items():
+        for form in forms:
+            want[len(rows)] = (family, [family])
+            rows.append((len(rows), form(header)))
+    want[len(rows)] = (None, ["Apache-2.0", "MIT"])
+    rows.append((len(rows), "Released under the MIT License.\nLicensed under the Apache License, Version 2.0."))
+    got = {x.doc_id: (x.license, x.families) for x in license.scan(frame(spark, rows)).collect()}
+    wrong = {rows[i][1]: (got[i], w) for i, w in want.items() if got[i][1] != w[1] or w[0] not in (None, got[i][0])}
+    assert wrong == {}
+
+
 def _plain_base(t):
     import re
 
