@@ -2,9 +2,9 @@
 
 Lines with a licence cue, alone and with the passage around them, are described
 by hashed word uni- and bigrams; a multinomial logistic regression names the licence family or
-``none``.  The probability a family needs is calibrated on held-out paragraphs
-without a licence, so that at most ``false_rate`` of these reach it; what stays
-below is ``unknown``.  A prediction also has to be confirmed by comparison with
+``none``.  The probability a family needs is calibrated on all lines with a cue that match
+no template, so that at most ``false_rate`` of these are above it; what is not
+above is ``unknown``.  A prediction also has to be confirmed by comparison with
 the family's templates, else it is ``unknown`` too.
 """
 
@@ -88,6 +88,24 @@ def passages(docs: DataFrame, id_col: str, text_col: str, span: int) -> DataFram
     return near.select("id", "line", F.concat_ws("\n", F.reverse(side(before)), F.array("line"), side(after)).alias("passage"))
 
 
+def _steps(score: str) -> Column:
+    """A score in millionths, rounded up: few distinct values, whatever the input."""
+    return F.ceil(F.col(score) * 1000000)
+
+
+def calibrate(judged: DataFrame, false_rate: float) -> int:
+    """The level, in millionths, that at most ``false_rate`` of the lines with a cue that match no template are above.
+
+    Over all such lines of the input; 0 without any.
+    """
+    if false_rate >= 1:
+        return 0
+    of = lambda family, score: F.when(F.col(family) != "none", _steps(score)).otherwise(0)
+    plain = judged.where(~F.col("matched")).select(F.greatest(of("family", "score"), of("w_family", "w_score")).alias("s"))
+    level = plain.agg(F.expr(f"percentile_disc({1.0 - false_rate!r}D) WITHIN GROUP (ORDER BY s)").alias("level")).first()["level"]
+    return int(level or 0)
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", false_rate: float = 0.01, overlap: float = 0.5, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """One row per input row: id, license, families, score, n_paragraphs, n_confirmed.
 
@@ -101,6 +119,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", false_
     passage decides, unless the line has more of a template of its own family
     than of the passage's (one-line notices that follow each other).
 
+    ``sample_rows`` bounds the documents that show the fit plain lines; the level
+    is taken from the lines with a cue of all documents.
+
     Null and empty texts have no paragraphs.  Rows that share an id, null
     included, are judged together and each get the result.  Whole texts are
     read; other columns are ignored.
@@ -108,23 +129,18 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", false_
     spark = docs.sparkSession
     n = docs.count()
     share = int(min(1.0, sample_rows / max(1, n)) * (1 << 20))
-    lines = docs.where(F.pmod(F.xxhash64(id_col, F.lit("plain")), F.lit(1 << 20)) < share).select(F.explode(F.slice(F.filter(F.split(F.col(text_col).cast("string"), "\n"), lambda x: (x != "") & ~x.rlike(CUE)), 1, 5)).alias("paragraph"))
+    lines = docs.where(F.pmod(F.xxhash64(id_col, F.lit("plain")), F.lit(1 << 20)) < share).select(F.explode(F.filter(F.split(F.col(text_col).cast("string"), "\n"), lambda x: (x != "") & ~x.rlike(CUE))).alias("paragraph"))
     known = [(f, t) for f, ts in TEMPLATES.items() for t in ts]
     noisy = F.explode(F.array(F.lit(""), F.lit("the of and "), F.lit("in on ")))
     labelled = _rows(spark, known + [("none", t) for t in PLAIN]).select("family", "paragraph", noisy.alias("noise")).select("family", F.concat("noise", "paragraph").alias("paragraph"))
-    examples = materialize(labelled.unionByName(lines.select(F.lit("none").alias("family"), "paragraph")).withColumn("held", F.pmod(F.xxhash64("paragraph"), F.lit(3)) == 0), "examples")
+    examples = materialize(labelled.unionByName(lines.select(F.lit("none").alias("family"), "paragraph")), "examples")
     names = sorted([*TEMPLATES, "none"])
     index = F.array_position(F.array(*[F.lit(x) for x in names]), F.col("family")) - 1
     hashed = HashingTF(inputCol="grams", outputCol="features", numFeatures=FEATURES, binary=True)
     prepared = hashed.transform(examples.withColumns({"grams": grams(F.col("paragraph")), "label": index.cast("double")}))
-    fit = prepared.where((F.col("family") != "none") | ~F.col("held")).coalesce(1)
-    model = LogisticRegression(regParam=0.003, maxIter=30, family="multinomial").fit(fit)
+    model = LogisticRegression(regParam=0.003, maxIter=30, family="multinomial").fit(prepared.coalesce(1))
     reach = F.array_max(F.slice(vector_to_array("probability"), 1, len(names)))
     picked = lambda df: df.withColumn("p", vector_to_array("probability")).withColumn("family", F.element_at(F.array(*[F.lit(x) for x in names]), F.col("prediction").cast("int") + 1)).withColumn("score", reach)
-    held = picked(model.transform(prepared.where((F.col("family") == "none") & F.col("held")).drop("family"))).withColumn("s", F.when(F.col("family") != "none", F.col("score")).otherwise(0.0))
-    level = held.agg(F.coalesce(F.percentile("s", 1.0 - false_rate), F.lit(0.5)).alias("level")).first()["level"]
-    level = min(0.95, max(0.35, level))
-
     templates = _rows(spark, known).withColumn("grams", grams(F.col("paragraph"))).agg(F.collect_list(F.struct("family", "grams")).alias("templates"), F.array_distinct(F.flatten(F.collect_list("grams"))).alias("vocabulary"))
     span = max(len(re.findall(r"\w+", t)) for _, t in known)
     found = passages(docs, id_col, text_col, span).crossJoin(F.broadcast(templates)).withColumn("line_grams", grams(F.col("line")))
@@ -134,13 +150,17 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", false_
     judge = lambda df: picked(model.transform(hashed.transform(df))).withColumn("hits", hits).withColumn("near", near & (F.col("family") != "none"))
     # Words of no template around a notice say nothing about it.
     whole = judge(found.withColumn("grams", F.array_intersect(grams(F.col("passage")), "vocabulary")))
-    whole = whole.select("id", "line_grams", "templates", F.col("family").alias("w_family"), F.col("score").alias("w_score"), F.col("near").alias("w_near"))
+    whole = whole.select("id", "line_grams", "templates", F.col("family").alias("w_family"), F.col("score").alias("w_score"), F.col("near").alias("w_near"), F.exists("hits", lambda h: h["near"]).alias("w_any"))
     each = judge(whole.withColumnRenamed("line_grams", "grams")).withColumn("part", most("w_family") >= most("family"))
-    each = each.select("id", "family", "score", "near", "w_family", "w_score", "w_near", "part")
-
-    by_whole = F.col("w_near") & (F.col("w_score") >= level) & F.col("part")
-    by_line = F.col("near") & (F.col("score") >= level)
-    judged = each.select("id", F.when(by_whole, F.col("w_family")).otherwise(F.col("family")).alias("family"), F.when(by_whole, F.col("w_score")).otherwise(F.col("score")).alias("score"), (by_whole | by_line).alias("confirmed")).where("family <> 'none'")
+    matched = F.col("w_any") | F.exists("hits", lambda h: h["near"])
+    each = materialize(each.select("id", "family", "score", "near", "w_family", "w_score", "w_near", "part", matched.alias("matched")), "judged")
+
+    level = calibrate(each, false_rate)
+    above = _steps("w_score") > level
+    by_whole = F.col("w_near") & F.col("part") & (above | (F.col("family") == "none"))
+    by_line = F.col("near") & (_steps("score") > level)
+    pick = lambda c: F.when(by_whole, F.col(f"w_{c}")).otherwise(F.col(c)).alias(c)
+    judged = each.select("id", pick("family"), pick("score"), F.when(by_whole, above).otherwise(by_line).alias("confirmed")).where("family <> 'none'")
     per = judged.groupBy("id").agg(
         F.max(F.when(F.col("confirmed"), F.struct("score", "family"))).alias("best"),
         F.max("score").alias("score"),

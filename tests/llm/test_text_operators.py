@@ -284,6 +284,25 @@ def test_licence_of_wrapped_headers(spark):
     assert wrong == {}
 
 
+def test_licence_level_is_from_lines_with_a_cue(spark):
+    r = random.Random(6)
+    scores = [round(r.random(), 3) for _ in range(700)]
+    rows = [("MIT", x, "none", 1.0, False) for x in scores] + [("MIT", 1.0, "MIT", 1.0, True)] * 50
+    judged = spark.createDataFrame(rows, "family string, score double, w_family string, w_score double, matched boolean")
+    for rate in (0.01, 0.1, 1.0):
+        level = license.calibrate(judged, rate)
+        above = sum(x * 1e6 > level + 1e-3 for x in scores)
+        assert above <= rate * len(scores) and (rate == 1.0 or above > rate * len(scores) - 7)
+    assert license.calibrate(judged.where("matched"), 0.01) == 0
+    weak = "slowly the work is licensed sun under tree a creative green commons attribution walks 4 0 international river license"
+    plain = [(i, "sun tree walks slowly green") for i in range(60)]
+    strong = [(100 + i, "MIT License licensed released talk") for i in range(20)]
+    name = lambda rows, rate: {x.doc_id: x.license for x in license.scan(frame(spark, rows), false_rate=rate).collect()}[99]
+    assert name([*plain, (99, weak)], 0.01) == "CC-BY"
+    assert name([*plain, *strong, (99, weak)], 0.01) == "unknown"
+    assert name([*plain, *strong, (99, weak)], 1.0) == "CC-BY"
+
+
 def _plain_base(t):
     import re
 
