@@ -137,6 +137,7 @@ def standard_pos(tag: Column) -> Column:
 
 
 def java_bucket(term: Column, bits: int = 20) -> Column:
-    """Bucket of the 31-based string hash for ASCII terms."""
-    codes = F.transform(F.filter(F.split(term, ""), lambda c: c != ""), lambda c: F.ascii(c).cast("bigint"))
+    """Bucket of the 31-based string hash over UTF-16 code units."""
+    units = F.regexp_extract_all(F.hex(F.encode(term, "UTF-16BE")), F.lit(".{4}"), F.lit(0))
+    codes = F.transform(units, lambda c: F.conv(c, 16, 10).cast("bigint"))
     return F.aggregate(codes, F.lit(0).cast("bigint"), lambda a, c: (a * 31 + c).bitwiseAND(4294967295)).bitwiseAND((1 << bits) - 1)

@@ -115,5 +115,13 @@ def standard_pos(spark, sf_dir):
 
 @QUERIES.add(f"WITH x AS (SELECT unnest({sql_words()}) AS w FROM documents), a AS (SELECT DISTINCT lower(w) AS term FROM x WHERE regexp_matches(w, '^[ -~]+$')) SELECT term, list_reduce(list_prepend(CAST(0 AS BIGINT), list_transform(string_split(term, ''), lambda c: CAST(ascii(c) AS BIGINT))), lambda a, c: (a * 31 + c) & 4294967295) & 1048575 AS bucket FROM a")
 def hash_buckets(spark, sf_dir):
+    """Terms of printable ASCII only, as ``ascii`` in the SQL; ``hash_buckets_all`` has every term."""
     words = table(spark, sf_dir, "documents").select(F.explode(T.words(F.col("text"))).alias("w")).where(F.col("w").rlike("^[ -~]+$"))
     return words.select(F.lower("w").alias("term")).distinct().select("term", T.java_bucket(F.col("term")).alias("bucket"))
+
+
+@QUERIES.add()
+def hash_buckets_all(spark, sf_dir):
+    """Every term of the documents; SQL has no UTF-16 code units, tests hold it against brute force."""
+    words = table(spark, sf_dir, "documents").select(F.explode(T.words(F.col("text"))).alias("w"))
+    return words.select(F.lower("w").alias("term")).distinct().select("term", T.java_bucket(F.col("term")).alias("bucket"))

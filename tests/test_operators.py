@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sparkloom.functions import language, text
 from sparkloom.operators import classify, counts, filters, graph, html_comments, replies, sentiment
 from sparkloom.operators import features as features_ops
-from sparkloom.plans import jobs
+from sparkloom.plans import catalog, jobs
 from sparkloom.plans.features import prior_map
 from sparkloom.schema import Role, table_name
 from sparkloom.sources import sinks, tables
@@ -59,6 +59,22 @@ def test_clean_text(spark):
     assert got[0].startswith("halo,dunia baru,lihat") and "123" not in got[0] and got[1:] == ["", None]
 
 
+def plain_bucket(term):
+    raw, h = term.encode("utf-16-be"), 0
+    for i in range(0, len(raw), 2):
+        h = (h * 31 + int.from_bytes(raw[i : i + 2], "big")) & 0xFFFFFFFF
+    return h & 0xFFFFF
+
+
+def test_hash_buckets_of_every_term(spark, tmp_path):
+    terms = ["", "a", "ab", "straße", "où", "\u4e2d\u6587", "x\U0001f600y", "~ -", "e\u0301"]
+    assert column(spark, terms, text.java_bucket) == [plain_bucket(t) for t in terms]
+    texts = [None, "", "Über l'été ü \U0001f600", "abc Señor señor\n\u4e2d"]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.term: r.bucket for r in catalog.QUERIES["hash_buckets_all"](spark, str(tmp_path)).collect()}
+    assert got == {w.lower(): plain_bucket(w.lower()) for t in texts for w in (t or "").split()}
+
+
 def test_language(spark):
     got = column(spark, ["the house of the king", "le chat et la souris", "und der Hund ist", "", "xyz"], language.detect)
     assert got == ["en", "fr", "de", None, None]
