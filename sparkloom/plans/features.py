@@ -159,6 +159,7 @@ def _tagged(spark, sf_dir) -> DataFrame:
 
 @QUERIES.add(_SCORES + ", u AS (SELECT pos, round(score, 6) AS score FROM z WHERE w IN (SELECT term FROM lp)) SELECT pos, score, count(*) AS n FROM u GROUP BY 1, 2")
 def word_scores(spark, sf_dir):
+    """Words that are terms of the lexicon only, as in the SQL; ``word_scores_all`` has every word."""
     lexicon = prior_map()
     scored = F.explode(F.flatten(F.transform("tagged", lambda s: sentiment.score_sentence(s, lexicon)))).alias("x")
     terms = sorted({k.split("#")[0] for k in lexicon})
@@ -166,6 +167,14 @@ def word_scores(spark, sf_dir):
     return rows.groupBy(T.standard_pos(F.col("x.tag")).alias("pos"), F.round("x.score", 6).alias("score")).agg(F.count("*").alias("n"))
 
 
+@QUERIES.add()
+def word_scores_all(spark, sf_dir):
+    """All words, scored by themselves, by their stem, or 0; no short SQL form, tests hold it against brute force."""
+    words = _tagged(spark, sf_dir).select(F.explode(F.flatten("tagged")).alias("x")).groupBy("x.word", "x.tag").agg(F.count("*").alias("n"))
+    rows = words.select(T.standard_pos(F.col("tag")).alias("pos"), F.round(sentiment.word_score(F.col("word"), F.col("tag"), prior_map()), 6).alias("score"), "n")
+    return rows.groupBy("pos", "score").agg(F.sum("n").alias("n"))
+
+
 def _exact_stem(spark, sf_dir, **options) -> DataFrame:
     return _tagged(spark, sf_dir).select("doc_id", sentiment.detect(F.col("tagged"), prior_map(), **options).alias("r")).select("doc_id", F.round("r.pos", 6).alias("pos"), F.round("r.neg", 6).alias("neg"), "r.sentiment")
 
@@ -183,7 +192,7 @@ def negation_window(spark, sf_dir):
 
 @QUERIES.add(_SCORES + ", e AS (SELECT doc_id, i, coalesce(avg(score) FILTER (score > 0), 0) AS p, coalesce(avg(-score) FILTER (score < 0), 0) AS n FROM z GROUP BY 1, 2), t AS (SELECT doc_id, sum(p) AS pos, sum(n) AS neg FROM e GROUP BY 1) SELECT doc_id, round(coalesce(pos, 0), 6) AS pos, round(coalesce(neg, 0), 6) AS neg FROM documents LEFT JOIN t USING (doc_id)")
 def sentence_scores(spark, sf_dir):
-    """Sentence averages added up per document, by joins: lexicon as a small table, no stem fallback."""
+    """Sentence averages added up per document, by joins: lexicon as a small table, no stem fallback (``doc_sentiment`` has it)."""
     words = _tagged(spark, sf_dir).select("doc_id", F.posexplode("tagged").alias("i", "s")).select("doc_id", "i", F.explode("s").alias("x"))
     words = words.select("doc_id", "i", F.col("x.word").alias("term"), T.standard_pos(F.col("x.tag")).alias("pos"))
     scored = words.join(F.broadcast(_lexicon(spark)), ["term", "pos"]).where(F.abs("score") > 0.1)

@@ -153,6 +153,23 @@ def test_document_sentiment_against_brute_force(spark):
     assert [got[i] for i in range(len(docs))] == [brute(t) for t in docs]
 
 
+def test_word_scores_of_every_word(spark, tmp_path):
+    texts = [None, "", "The eran onan. inan GOOD bad, bad x is\nthelah", "zzz! Über of eran"]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    scores, want = prior_map(), {}
+    for w in (w for t in texts for w in (t or "").lower().split()):
+        s = w
+        for pattern, to in text.AFFIXES if w not in text.KEEP_UNSTEMMED else ():
+            s = re.sub(pattern, to.replace("$", "\\"), s)
+        tag = text.TAGS.get(w, "NN")
+        tag = text.POS_CLASSES.get(tag, tag)
+        v = scores.get(f"{w}#{tag}", scores.get(f"{s}#{tag}", 0.0))
+        key = (tag, 0.0 if abs(v) <= 0.1 else round(v, 6))
+        want[key] = want.get(key, 0) + 1
+    got = {(r.pos, r.score): r.n for r in catalog.QUERIES["word_scores_all"](spark, str(tmp_path)).collect()}
+    assert got == want and sum(got.values()) == 14 and scores["er#n"] != 0
+
+
 def test_counts_and_filters(spark):
     df = spark.createDataFrame([("h", "a,b", "positif"), ("h", "a", None), ("g", "b", "negatif")], "host string, labels string, s string")
     got = {r.host: (r.a, r.b) for r in counts.label_pivot(counts.label_counts(df, "host", "labels"), ["a", "b"]).collect()}
