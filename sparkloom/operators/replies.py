@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -11,17 +14,40 @@ def replies(df: DataFrame, parent: str, of: DataFrame, of_id: str) -> DataFrame:
     return df.join(of.select(F.col(of_id).alias(parent)), parent, "left_semi")
 
 
+def _written(df: DataFrame) -> tuple[DataFrame, str]:
+    """A scan of ``df`` written once below ``spark.checkpoint.dir``, and its path."""
+    spark = df.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="sparkloom-")
+    path = f"{base.rstrip('/')}/sparkloom/replies-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def tree(df: DataFrame, key: str, parent: str) -> DataFrame:
-    """(child, parent, base, depth) of all descendants of the roots (rows without parent)."""
-    df.select(F.col(key).alias("id"), F.col(parent).alias("up")).createOrReplaceTempView("_reply_rows")
-    return df.sparkSession.sql(
-        """
-        WITH RECURSIVE t(child, parent, base, depth) AS (
-            SELECT r.id, r.up, r.up, 1 FROM _reply_rows r JOIN _reply_rows b ON r.up = b.id WHERE b.up IS NULL
-            UNION ALL
-            SELECT r.id, r.up, t.base, t.depth + 1 FROM t JOIN _reply_rows r ON r.up = t.child
-        ) SELECT child, parent, base, depth FROM t"""
-    )
+    """(child, parent, base, depth) of all descendants of the roots (rows without parent).
+
+    Every row knows an ancestor and takes over that one's in each round, so the
+    distance doubles and a chain of any length takes its logarithm in rounds.
+    Rows whose ancestors end at no root (a missing parent, a cycle) are left
+    out; where ids repeat there is a row for each way up.
+    """
+    spark, up = df.sparkSession, F.col("parent")
+    rows = df.select(F.col(key).alias("child"), F.col(parent).alias("parent")).where(F.col("child").isNotNull())
+    state, path = _written(rows.select("child", "parent", F.coalesce(up, F.col("child")).alias("base"), F.when(up.isNull(), 0).otherwise(1).alias("depth"), up.isNull().alias("done")))
+    n, reach = state.count(), 1
+    while reach <= n and not state.where(~F.col("done")).isEmpty():
+        above = state.select(F.col("child").alias("base"), F.col("base").alias("next"), F.col("depth").alias("more"), F.col("done").alias("ends"))
+        moved = state.where(~F.col("done")).join(above, "base").select("child", "parent", F.col("next").alias("base"), (F.col("depth") + F.col("more")).alias("depth"), F.col("ends").alias("done"))
+        old = path
+        state, path = _written(state.where("done").unionByName(moved))
+        _remove(spark, old)
+        reach *= 2
+    return state.where("done AND depth > 0").select("child", "parent", "base", "depth")
 
 
 def with_base(rows: DataFrame, attributes: DataFrame, key: str, columns: list[str]) -> DataFrame:

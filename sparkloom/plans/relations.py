@@ -66,29 +66,41 @@ _TREE = f"WITH RECURSIVE {_TURNS}, t AS (SELECT r.id AS child, r.up AS parent, r
 
 
 def turns(spark, sf_dir) -> DataFrame:
-    key = F.col("conv_id") * 1000 + F.col("turn")
-    return table(spark, sf_dir, "conversations").select(key.alias("id"), F.when(F.col("turn") > 0, key - 1).alias("up"), "role")
+    """Turns by (conv_id, turn): one number for both would merge conversations from turn 1000 on."""
+    conv, turn = F.col("conv_id"), F.col("turn")
+    key = lambda t: F.struct(conv.alias("conv_id"), t.cast("bigint").alias("turn"))
+    named = conv.isNotNull() & turn.isNotNull()
+    return table(spark, sf_dir, "conversations").select(F.when(named, key(turn)).alias("id"), F.when(named & (turn > 0), key(turn - 1)).alias("up"), "role")
+
+
+def _numbers(rows: DataFrame, *keys: str) -> DataFrame:
+    """Keys of turns as the numbers that the SQL shows; nothing is joined by these."""
+    return rows.withColumns({k: F.col(k)["conv_id"] * 1000 + F.col(k)["turn"] for k in keys})
+
+
+def _tree(spark, sf_dir) -> DataFrame:
+    return replies.tree(turns(spark, sf_dir), "id", "up")
 
 
 @QUERIES.add(_TREE + "SELECT * FROM t")
 def reply_tree(spark, sf_dir):
-    return replies.tree(turns(spark, sf_dir), "id", "up")
+    return _numbers(_tree(spark, sf_dir), "child", "parent", "base")
 
 
 @QUERIES.add(_TREE + "SELECT depth, count(*) AS n FROM t GROUP BY depth")
 def reply_depth_stats(spark, sf_dir):
-    return reply_tree(spark, sf_dir).groupBy("depth").agg(F.count("*").alias("n"))
+    return _tree(spark, sf_dir).groupBy("depth").agg(F.count("*").alias("n"))
 
 
 @QUERIES.add(_TREE + "SELECT child, parent, base, depth, c.role AS child_role, p1.role AS parent_role, b.role AS base_role FROM t JOIN p c ON c.id = child JOIN p p1 ON p1.id = parent JOIN p b ON b.id = base")
 def reply_tree_with_base(spark, sf_dir):
-    return replies.with_base(reply_tree(spark, sf_dir), turns(spark, sf_dir), "id", ["role"])
+    return _numbers(replies.with_base(_tree(spark, sf_dir), turns(spark, sf_dir), "id", ["role"]), "child", "parent", "base")
 
 
 @QUERIES.add(f"WITH {_TURNS} SELECT up, id, role FROM p WHERE up IN (SELECT id FROM p WHERE role = 'user')")
 def replies_to(spark, sf_dir):
     rows = turns(spark, sf_dir)
-    return replies.replies(rows, "up", rows.where("role = 'user'"), "id").select("up", "id", "role")
+    return _numbers(replies.replies(rows, "up", rows.where("role = 'user'"), "id").select("up", "id", "role"), "up", "id")
 
 
 @QUERIES.add()

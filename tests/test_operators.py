@@ -188,6 +188,28 @@ def test_graph_and_replies(spark):
     assert {(r.child, r.parent, r.base, r.depth) for r in replies.tree(turns, "id", "up").collect()} == {(2, 1, 1, 1), (4, 1, 1, 1), (3, 2, 1, 2)}
 
 
+def test_long_reply_chains(spark, tmp_path):
+    r = random.Random(3)
+    up = {i: i - 1 if i else None for i in range(1500)}
+    up |= {i: r.choice([None, *range(2000, i)]) for i in range(2000, 2200)} | {3000: 3001, 3001: 3000, 3002: 3000, 4000: 9999, 4001: 4000}
+    want = set()
+    for i in up:
+        path = [i]
+        while up.get(path[-1]) is not None and len(path) < 3000:
+            path.append(up[path[-1]])
+        if path[-1] in up and up[path[-1]] is None and len(path) > 1:
+            want.add((i, path[1], path[-1], len(path) - 1))
+    df = spark.createDataFrame(list(up.items()), "id long, up long")
+    assert {tuple(x) for x in replies.tree(df, "id", "up").collect()} == want
+    assert replies.tree(df.where("false"), "id", "up").count() == 0
+    turns = [(c, t, "user" if t % 2 == 0 else "system" if c == 1 else "assistant") for c in (1, 2) for t in range(1003)]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string").write.parquet(str(tmp_path / "conversations.parquet"))
+    depths = {x.depth: x.n for x in catalog.QUERIES["reply_depth_stats"](spark, str(tmp_path)).collect()}
+    assert depths == {d: 2 for d in range(1, 1003)}
+    based = catalog.QUERIES["reply_tree_with_base"](spark, str(tmp_path)).where("child = 2001").collect()
+    assert sorted((x.base, x.depth, x.child_role) for x in based) == [(1000, 1001, "system"), (2000, 1, "assistant")]
+
+
 def test_term_cloud_state(spark):
     docs = spark.createDataFrame([("x", ["a", "a", "b"]), ("x", ["b"]), ("y", ["c"])], "title string, terms array<string>")
     idf = spark.createDataFrame([("a", 1, 1.0), ("b", 1, 2.0)], "term string, df int, idf double")
