@@ -38,6 +38,8 @@ LONGEST = 6
 _LABELS = ("O", *KINDS)
 _TOKEN = re.compile(r"\S+")
 _TRIGGER = re.compile(r"[0-9@]")
+_DASHES = ("-", "–", "—")
+_BLANK = re.compile(r"\n[^\S\n]*\n")
 _EDGE = ".,;:!?()[]{}<>\"'"
 _CUES = {"tel": "phone", "phone": "phone", "call": "phone", "mobile": "phone", "fax": "phone", "card": "card", "visa": "card", "credit": "card", "ip": "ip", "host": "ip", "address": "ip", "server": "ip", "email": "email", "mail": "email", "contact": "email", "version": "number", "section": "number", "page": "number", "order": "number", "no": "number", "on": "date", "since": "date", "price": "number", "usd": "number"}
 
@@ -260,17 +262,42 @@ def train(n: int = 320) -> Field:
     return Field.train(examples(n))
 
 
+def undashed(tokens: list[tuple[str, int, int]]) -> list[tuple[str, int, int]] | None:
+    """Numbers with a lone dash between them as one token; None where there are none."""
+    out, i = [], 0
+    while i < len(tokens):
+        if 0 < i < len(tokens) - 1 and tokens[i][0] in _DASHES and out[-1][0][-1] in "0123456789)" and tokens[i + 1][0][0] in "0123456789(":
+            out[-1] = (f"{out[-1][0]}-{tokens[i + 1][0]}", out[-1][1], tokens[i + 1][2])
+            i += 2
+        else:
+            out.append(tokens[i])
+            i += 1
+    return out if len(out) < len(tokens) else None
+
+
 def field_spans(text: str, field: Field) -> list[tuple[str, int, int]]:
-    """Entities of the field, decoded around every token that can begin or end one."""
+    """Entities of the field, decoded around every token that can begin or end one.
+
+    White space of any length but a blank line, and one other token, may lie
+    between two such tokens.  Where numbers have lone dashes between them, they
+    are decoded as one token too; what that adds must not meet the rest.
+    """
     out: list[tuple[str, int, int]] = []
     region: list[re.Match] = []
     last = -10
 
     def flush() -> None:
-        for i, j, kind in field.decode([t[0] for t in region]):
-            s, e = region[i].start(), region[j - 1].end()
-            core, left = trim(text[s:e])
-            out.append((kind, s + left, s + left + len(core)))
+        seen = []
+        for tokens in (plain := [(t[0], *t.span()) for t in region], undashed(plain)):
+            if tokens is None:
+                continue
+            for i, j, kind in field.decode([t[0] for t in tokens]):
+                s, e = tokens[i][1], tokens[j - 1][2]
+                core, left = trim(text[s:e])
+                span = (kind, s + left, s + left + len(core))
+                if tokens is plain or not any(span[1] < y and x < span[2] for _, x, y in seen):
+                    seen.append(span)
+        out.extend(seen)
 
     hot = _TRIGGER.search(text)
     at = 0
@@ -280,9 +307,14 @@ def field_spans(text: str, field: Field) -> list[tuple[str, int, int]]:
         token = _TOKEN.search(text, start)
         while token.end() <= hot.start():
             token = _TOKEN.search(text, token.end())
-        if region and token.start() - last > 1:
-            flush()
-            region = []
+        if region:
+            between = _TOKEN.search(text, last)
+            cold = between.start() < token.start()
+            if (cold and _TOKEN.search(text, between.end()).start() < token.start()) or _BLANK.search(text, last, token.start()):
+                flush()
+                region = []
+            elif cold:
+                region.append(between)
         if not region:
             before = re.search(r"(\S+)\s+$", text[max(at, token.start() - 40) : token.start()])
             if before:

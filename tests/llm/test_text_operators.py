@@ -335,6 +335,15 @@ def test_pii_field(spark):
     assert got[2].base_sha256 == hashlib.sha256(b"").hexdigest() and pii.detect(empty(spark), field).count() == 0
 
 
+def test_pii_spans_across_gaps():
+    field = pii.train()
+    for span in ("(415)  555-0123", "(415)\n    555-0123", "(909)\t 555-2931", "(415) - 555-0123", "415 - 555 - 0123"):
+        text = f"call {span} now"
+        assert [(k, text[s:e]) for k, s, e in pii.find(text, field)[1]] == [("phone", span)]
+    for text in ("ends (415)\n\n555-0123 begins", "born in 1999 and again in 2004 here", "rooms 12 and 14, 16 or 18", "from 12 - 14 to 16 - 18"):
+        assert pii.find(text, field)[1] == []
+
+
 @pytest.fixture(scope="module")
 def vocabulary():
     P = pytest.importorskip("public_tokenizers")
