@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: A key is hot when it has more than one in ``HOT_SHARES`` of all rows; so there are fewer hot keys than that.
+HOT_SHARES = 1000
 
 _OWN_DIRS: dict[str, str] = {}
 
@@ -17,11 +23,13 @@ _OWN_DIRS: dict[str, str] = {}
 def workspace(spark: SparkSession) -> str:
     """Folder shared by driver and executors: ``spark.checkpoint.dir``.
 
-    Only where the session has none (tests in local mode) a temporary folder is
-    made, once per application.
+    Only in local mode, where the session has none, a temporary folder is made,
+    once per application; on a cluster a missing setting is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         app = spark.sparkContext.applicationId
         if app not in _OWN_DIRS:
             _OWN_DIRS[app] = "file://" + tempfile.mkdtemp(prefix="sparkloom-")
@@ -62,6 +70,53 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+class _Pass:
+    """A mapInArrow function that hands freed memory back to the system after its task.
+
+    Workers live on from stage to stage; else each would keep its peak.
+    """
+
+    def __init__(self, function):
+        self.function = function
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from self.function(batches)
+        finally:
+            trim()
+
+
+def trim() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library frees by its own rules
+        pass
+
+
+def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``df.mapInArrow`` by workers that keep no memory beyond their task."""
+    return df.mapInArrow(_Pass(function), schema)
+
+
+def hot_keys(counts: DataFrame, keys: list[str], count: str = "count") -> DataFrame:
+    """The keys of ``counts`` that have more than one in ``HOT_SHARES`` of all rows, to be broadcast: fewer than that."""
+    total = counts.agg(F.sum(count)).first()[0] or 0
+    return F.broadcast(counts.where(F.col(count) > max(1, total // HOT_SHARES)).select(*keys))
+
+
+def join_spread(rows: DataFrame, facts: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
+    """Inner join of ``rows`` with ``facts``, which has a row for each key.
+
+    Rows of ``hot`` keys stay where they are and meet their facts, as many rows
+    as hot keys, by broadcast; only the others are dealt out by key.
+    """
+    cold = rows.join(hot, keys, "left_anti").join(facts, keys)
+    few = F.broadcast(facts.join(hot, keys, "left_semi"))
+    return cold.unionByName(rows.join(few, keys).select(*cold.columns))
+
+
 def string_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; nulls become empty strings."""
     if isinstance(column, pa.ChunkedArray):
@@ -87,7 +142,7 @@ def list_array(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
 
 
-def slices(batch: pa.RecordBatch, column: str, target: int = 8 << 20):
+def slices(batch: pa.RecordBatch, column: str, target: int = 2 << 20):
     """Cut a record batch into runs of rows with about ``target`` text bytes."""
     at = batch.schema.get_field_index(column)
     _, offsets = string_buffers(batch.column(at))

@@ -19,11 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.llm import bytetext
-from sparkloom.llm.common import materialize, slices, string_buffers
+from sparkloom.llm.common import map_arrow, materialize, slices, string_buffers
 from sparkloom.llm.fmindex import FMIndex
 
 #: Text bytes of the benchmark that are searched, and broadcast, at a time.
 BLOCK_BYTES = 16 << 20
+#: Text bytes of a shard.
+SHARD_BYTES = 4 << 20
 
 
 @dataclass
@@ -117,7 +119,7 @@ _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 def _search(batches: Iterator[pa.RecordBatch], phrases: Phrases, last: bool) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for batch in slices(whole, "text"):
+        for batch in slices(whole, "text", SHARD_BYTES):
             data, offsets = string_buffers(batch.column(1))
             n_words, spans, items, begin, end = _shard(data, offsets, phrases)
             first = np.concatenate(([0], np.cumsum(n_words)))
@@ -163,7 +165,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         phrases = Phrases.build([(r.item, r.text) for r in part.toLocalIterator()], window)
         last = block == blocks - 1
         kept = "n_words bigint, n_hit bigint, spans array<struct<start:bigint,end:bigint>>, items array<string>, items_sha256 string" if last else "text string, spans array<struct<start:bigint,end:bigint>>, items array<string>"
-        state = state.mapInArrow(_Search(docs.sparkSession.sparkContext.broadcast(phrases), last), f"row {kind}, {kept}")
+        state = map_arrow(state, _Search(docs.sparkSession.sparkContext.broadcast(phrases), last), f"row {kind}, {kept}")
         if not last:
             state = materialize(state, "decontaminate")
     contaminated = (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))

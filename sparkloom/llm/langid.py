@@ -4,119 +4,178 @@ A word that the model knows adds its log frequency in every language.  For any
 other word each position adds the log frequency of the longest known character
 n-gram that starts there, down to single characters; the mean over positions
 stands for the word.
+
+Words and n-grams are kept by 64-bit hash with the languages that have them
+only, so the model grows with what was learned and not with the number of
+languages times that.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from sparkloom.llm import bytetext
-from sparkloom.llm.common import materialize, slices, string_buffers
+from sparkloom.llm.common import map_arrow, materialize, slices, string_buffers
 
-#: Bounds of the fit: expected rows learned from for each language, words kept for each, languages.
+#: Bound of the fit: expected rows learned from for each language.
 SAMPLE_ROWS = 3000
-WORDS_KEPT = 40_000
-LANGUAGES = 200
 LONGEST = 5
 UNKNOWN = "und"
-_CACHE = 200_000
+#: Bytes of the scores of unseen words that a worker remembers.
+_CACHE_BYTES = 16 << 20
+#: Scores (texts times languages) held at a time.
+_CELLS = 1 << 22
 
 _LETTERS = np.zeros(256, bool)
 _LETTERS[0x41:0x5B] = _LETTERS[0x61:0x7B] = True
+_U = np.uint64
+_BEGIN, _END = "^", "$"
+
+
+@dataclass
+class Table:
+    """Keys with what each adds to the languages that have it."""
+
+    keys: np.ndarray  # sorted
+    start: np.ndarray  # of each key's entries, and the end
+    lang: np.ndarray
+    gain: np.ndarray
+
+    @staticmethod
+    def build(key: np.ndarray, lang: np.ndarray, weight: np.ndarray) -> "Table":
+        """Weights added up by key and language; a gain is log((w + 0.1) / 0.1)."""
+        order = np.lexsort((lang, key))
+        key, lang, weight = key[order], lang[order], weight[order]
+        first = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (lang[1:] != lang[:-1])))) if key.size else np.zeros(0, np.int64)
+        total = np.add.reduceat(weight, first) if key.size else weight
+        key, lang = key[first], lang[first]
+        keys, start = np.unique(key, return_index=True)
+        return Table(keys, np.append(start, key.size), lang.astype(np.int32), np.log1p(10.0 * total).astype(np.float32))
+
+    def find(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, whether there) of each key."""
+        if not self.keys.size:
+            return np.zeros(key.size, np.int64), np.zeros(key.size, bool)
+        place = np.searchsorted(self.keys, key)
+        place[place == self.keys.size] = 0
+        return place, self.keys[place] == key
+
+    def add_up(self, place: np.ndarray, owner: np.ndarray, n: int, languages: int) -> np.ndarray:
+        """Gains of the entries at ``place`` by owner and language."""
+        length = self.start[place + 1] - self.start[place]
+        entry = np.repeat(self.start[place] - np.cumsum(length) + length, length) + np.arange(length.sum())
+        cell = np.repeat(owner, length) * languages + self.lang[entry]
+        return np.bincount(cell, self.gain[entry], n * languages).astype(np.float64).reshape(n, languages)
+
+
+def _grams(words: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Hashes of the n-grams of sizes 1.. that start at each place of the words between marks, word of each place, and places left in it."""
+    code = np.frombuffer((_BEGIN + (_END + _BEGIN).join(words) + _END).encode("utf-32-le"), np.uint32).astype(_U)
+    owner = np.cumsum(code == _U(ord(_BEGIN))) - 1
+    last = np.flatnonzero(code == _U(ord(_END)))
+    left = last[owner] + 1 - np.arange(code.size)
+    out, h = [], np.zeros(code.size, _U)
+    for size in range(1, LONGEST + 1):
+        h = h * _U(0x9E3779B97F4A7C15)
+        h[: max(0, code.size - size + 1)] += code[size - 1 :] + _U(1)
+        out.append(bytetext.mix(h + _U(size)))
+    return out, owner, left
 
 
 @dataclass
 class Model:
     languages: list[str]
-    hashes: np.ndarray  # of known words, sorted
-    words: np.ndarray  # log frequency by word and language
-    grams: dict[str, np.ndarray]
-    floor: np.ndarray
-    cache: dict[int, np.ndarray] = field(default_factory=dict)
+    words: Table
+    word_base: np.ndarray  # log frequency of a known word in a language that lacks it
+    grams: Table
+    gram_base: np.ndarray  # the same by size and language; size 1 is also the floor
+    cached: tuple[np.ndarray, np.ndarray] | None = None  # hashes of unseen words, sorted, and their rows
 
     @staticmethod
-    def fit(counts: dict[str, Counter]) -> "Model":
-        languages = sorted(counts)
-        vocabulary = sorted({w for c in counts.values() for w in c})
-        place = {w: i for i, w in enumerate(vocabulary)}
-        table = np.zeros((len(vocabulary), len(languages)))
-        gram_counts: dict[str, np.ndarray] = {}
-        for k, lang in enumerate(languages):
-            for w, n in counts[lang].items():
-                table[place[w], k] = n
-                padded = f"^{w}$"
-                weight = np.log1p(n)
-                for size in range(1, LONGEST + 1):
-                    for i in range(len(padded) - size + 1):
-                        gram = padded[i : i + size]
-                        row = gram_counts.get(gram)
-                        if row is None:
-                            row = gram_counts[gram] = np.zeros(len(languages))
-                        row[k] += weight
-        totals = table.sum(axis=0) if len(vocabulary) else np.zeros(len(languages))
-        words = np.log((table + 0.1) / (totals + 0.1 * max(1, len(vocabulary))))
-        kept = {g: r for g, r in gram_counts.items() if r.sum() >= 2 or len(g) == 1}
-        by_size = np.ones((LONGEST + 1, len(languages)))
-        for g, r in kept.items():
-            by_size[len(g)] += r
-        grams = {g: np.log((r + 0.1) / by_size[len(g)]) for g, r in kept.items()}
-        hashes = np.array([bytetext.hash_word(w) for w in vocabulary], np.uint64)
-        order = np.argsort(hashes)
-        return Model(languages, hashes[order], words[order], grams, np.log(0.1 / by_size[1]))
-
-    def backoff(self, word: str) -> np.ndarray:
-        padded = f"^{word}$"
-        total = np.zeros(len(self.languages))
-        for i in range(len(padded)):
-            for size in range(min(LONGEST, len(padded) - i), 0, -1):
-                row = self.grams.get(padded[i : i + size])
-                if row is not None:
-                    total += row
-                    break
-            else:
-                total += self.floor
-        return total / len(padded)
+    def fit(words: list[str], lang: np.ndarray, count: np.ndarray, languages: list[str]) -> "Model":
+        """From rows of (word, language by place, occurrences)."""
+        n = len(languages)
+        count = count.astype(np.float64)
+        data, offsets = string_buffers(pa.array(words, pa.string()))
+        key = bytetext.words(data, offsets, np.ones(256, bool))[0]
+        table = Table.build(key, lang, count)
+        totals = np.bincount(lang, count, n) if n else np.zeros(0)
+        word_base = np.log(0.1 / (totals + 0.1 * max(1, table.keys.size)))
+        parts, by_size = [], np.ones((LONGEST + 1, n))
+        if words:
+            hashes, owner, left = _grams(words)
+            for size, h in enumerate(hashes, 1):
+                inside = np.flatnonzero(left >= size)
+                h, k, w = h[inside], lang[owner[inside]], np.log1p(count[owner[inside]])
+                _, inverse = np.unique(h, return_inverse=True)
+                enough = np.bincount(inverse, w)[inverse] >= (2 if size > 1 else 0)
+                by_size[size] += np.bincount(k[enough], w[enough], n)
+                parts.append((h[enough], k[enough], w[enough]))
+        grams = Table.build(*(np.concatenate(x) for x in zip(*parts, strict=True))) if parts else Table.build(np.zeros(0, _U), np.zeros(0, np.int32), np.zeros(0))
+        return Model(languages, table, word_base, grams, np.log(0.1 / by_size))
+
+    def backoff(self, words: list[str]) -> np.ndarray:
+        """A row of scores for each word, from its longest known n-grams."""
+        n = len(self.languages)
+        if not words:
+            return np.zeros((0, n))
+        hashes, owner, left = _grams(words)
+        size = np.ones(owner.size, np.int64)
+        place = np.full(owner.size, -1, np.int64)
+        for s in range(LONGEST, 0, -1):
+            todo = np.flatnonzero((place < 0) & (left >= s))
+            at, there = self.grams.find(hashes[s - 1][todo])
+            place[todo[there]], size[todo[there]] = at[there], s
+        found = place >= 0
+        total = self.grams.add_up(place[found], owner[found], len(words), n)
+        for s in range(1, LONGEST + 1):
+            total += np.bincount(owner[size == s], minlength=len(words))[:, None] * self.gram_base[s]
+        return total / np.bincount(owner)[:, None]
+
+    def _unseen(self, key: np.ndarray, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Rows of scores for distinct unseen words, remembered from slice to slice."""
+        rows = np.empty((key.size, len(self.languages)), np.float32)
+        missing = np.ones(key.size, bool)
+        if self.cached is not None:
+            keys, old = self.cached
+            place = np.minimum(np.searchsorted(keys, key), keys.size - 1)
+            missing = keys[place] != key
+            rows[~missing] = old[place[~missing]]
+        at = np.flatnonzero(missing)
+        if at.size:
+            words = [bytetext.LOWER[data[s:e]].tobytes().decode() for s, e in zip(begin[at].tolist(), end[at].tolist(), strict=True)]
+            rows[at] = self.backoff(words)
+            new, fresh = key[at], rows[at]
+            if self.cached is not None and (self.cached[0].size + new.size) * (8 + fresh.itemsize * fresh.shape[1]) <= _CACHE_BYTES:
+                new, fresh = np.concatenate((self.cached[0], new)), np.concatenate((self.cached[1], fresh))
+            order = np.argsort(new)
+            self.cached = new[order], fresh[order]
+        return rows
 
     def predict(self, data: np.ndarray, offsets: np.ndarray) -> tuple[list[str], np.ndarray]:
         h, begin, end, at = bytetext.words(data, offsets, bytetext.ALNUM_WORDS)
-        n = offsets.size - 1
+        n, languages = offsets.size - 1, len(self.languages)
         letters = self._letters(data, offsets)
         if not self.languages or not h.size:
             ok = letters if self.languages else np.zeros(n, bool)
-            return [self.languages[0] if x else UNKNOWN for x in ok], np.where(ok, 1.0 / max(1, len(self.languages)), 0.0)
-        place = np.searchsorted(self.hashes, h)
-        place[place == self.hashes.size] = 0
-        known = self.hashes[place] == h
-        strange, first, inverse = np.unique(h[~known], return_index=True, return_inverse=True)
-        where = np.flatnonzero(~known)[first]
-        rows = np.zeros((strange.size, len(self.languages)))
-        for i, (x, s, e) in enumerate(zip(strange.tolist(), begin[where].tolist(), end[where].tolist(), strict=True)):
-            row = self.cache.get(x)
-            if row is None:
-                word = data[s:e].tobytes().decode("utf-8", "replace")
-                row = self.backoff(word.translate(_FOLD))
-                if len(self.cache) >= _CACHE:
-                    self.cache.clear()
-                self.cache[x] = row
-            rows[i] = row
-        sums = np.empty((n, len(self.languages)))
-        value = np.empty(h.size + 1)
-        value[0] = 0.0
-        for k in range(len(self.languages)):
-            value[1:][known] = self.words[place[known], k]
-            value[1:][~known] = rows[inverse, k]
-            total = np.cumsum(value)
-            sums[:, k] = total[at[1:]] - total[at[:-1]]
-        scale = np.sqrt(np.maximum(1, np.diff(at)))[:, None]
-        z = sums / scale
+            return [self.languages[0] if x else UNKNOWN for x in ok], np.where(ok, 1.0 / max(1, languages), 0.0)
+        doc = np.repeat(np.arange(n), np.diff(at))
+        place, known = self.words.find(h)
+        sums = self.words.add_up(place[known], doc[known], n, languages)
+        sums += np.bincount(doc[known], minlength=n)[:, None] * self.word_base
+        strange = np.flatnonzero(~known)
+        if strange.size:
+            key, first, inverse = np.unique(h[strange], return_index=True, return_inverse=True)
+            rows = self._unseen(key, data, begin[strange[first]], end[strange[first]])
+            for k in range(languages):
+                sums[:, k] += np.bincount(doc[strange], rows[inverse, k], n)
+        z = sums / np.sqrt(np.maximum(1, np.diff(at)))[:, None]
         z = np.exp(z - z.max(axis=1, keepdims=True))
         p = z / z.sum(axis=1, keepdims=True)
         best = p.argmax(axis=1)
@@ -137,9 +196,6 @@ class Model:
         return out
 
 
-_FOLD = {c: c + 32 for c in range(65, 91)}
-
-
 class _Predict:
     def __init__(self, model):
         self.model = model
@@ -147,31 +203,32 @@ class _Predict:
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = self.model.value
         for whole in batches:
-            for batch in slices(whole, "text"):
+            rows = max(1, _CELLS // max(1, len(model.languages)))
+            for batch in (part.slice(lo, rows) for part in slices(whole, "text") for lo in range(0, part.num_rows, rows)):
                 names, score = model.predict(*string_buffers(batch.column(1)))
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(score)], names=["row", "lang_pred", "score"])
 
 
-def bounded_sample(rows: DataFrame, key: str, id_col: str, bound: int, groups: int) -> DataFrame:
-    """About ``bound`` rows of each of the ``groups`` largest values of ``key``, by hash of the id."""
-    sizes = rows.groupBy(key).count().orderBy(F.desc("count"), key).limit(groups)
-    share = sizes.select(key, F.least(F.lit(1.0), bound / F.col("count")).alias("share"))
+def bounded_sample(rows: DataFrame, key: str, id_col: str, bound: int) -> DataFrame:
+    """About ``bound`` rows of each value of ``key``, by hash of the id."""
+    share = rows.groupBy(key).count().select(key, F.least(F.lit(1.0), bound / F.col("count")).alias("share"))
     place = F.pmod(F.xxhash64(F.col(id_col), F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
-    return rows.join(F.broadcast(share), key).where(place < F.col("share")).drop("share")
+    return rows.join(share, key).where(place < F.col("share")).drop("share")
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS, words_kept: int = WORDS_KEPT) -> Model:
-    """Fit on a bounded sample of labelled rows; rows without text or language teach nothing."""
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS) -> Model:
+    """Fit on a bounded sample of labelled rows: about ``sample_rows`` of every language, all words of these.
+
+    Rows without text or language teach nothing; repeated rows count each.
+    """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("text is not null and lang is not null")
     words = F.explode(F.split(F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")).alias("w")
-    counts = bounded_sample(rows, "lang", "id", sample_rows, LANGUAGES).select("lang", words).where("w <> ''").groupBy("lang", "w").count()
-    counts = materialize(counts, "words")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), "w"))
-    table = counts.withColumn("rank", rank).where(F.col("rank") <= words_kept).select("lang", "w", "count").toArrow()
-    out: dict[str, Counter] = {}
-    for lang, w, n in zip(*[c.to_pylist() for c in table.columns], strict=True):
-        out.setdefault(lang, Counter())[w] = n
-    return Model.fit(out)
+    counts = bounded_sample(rows, "lang", "id", sample_rows).select("lang", words).where("w <> ''").groupBy("lang", "w").count()
+    table = materialize(counts, "words").orderBy("lang", "w").toArrow()
+    lang = table.column("lang").to_pylist()
+    languages = sorted(set(lang))
+    place = {x: i for i, x in enumerate(languages)}
+    return Model.fit(table.column("w").to_pylist(), np.fromiter((place[x] for x in lang), np.int32, len(lang)), np.asarray(table.column("count")), languages)
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text", lang_name: str = "lang_pred", score_name: str = "score", carry: list[str] | None = None) -> DataFrame:
@@ -179,14 +236,15 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", lang_name: s
 
     A null text, or one without a letter of any script, is ``und`` with score 0
     whatever else it holds; of equally likely languages the first in order of
-    name is taken.  ``carry`` names the columns to return (all by default);
+    name is taken.  Texts of any length are read whole, word by word; every row,
+    repeated ones too, gets its own result.  ``carry`` names the columns to return (all by default);
     columns of ``docs`` named like the new ones are replaced.
     """
     keep = [c for c in (carry or docs.columns) if c not in (lang_name, score_name)]
     row = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)]).alias("row")
     src = docs.select(row, F.col(text_col).cast("string").alias("text"))
     kind = src.schema["row"].dataType.simpleString()
-    out = src.mapInArrow(_Predict(docs.sparkSession.sparkContext.broadcast(model)), f"row {kind}, lang_pred string, score double")
+    out = map_arrow(src, _Predict(docs.sparkSession.sparkContext.broadcast(model)), f"row {kind}, lang_pred string, score double")
     return out.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(keep)], F.col("lang_pred").alias(lang_name), F.col("score").alias(score_name))
 
 

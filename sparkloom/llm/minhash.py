@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.llm import bytetext
-from sparkloom.llm.common import list_array, materialize, slices, string_buffers
+from sparkloom.llm.common import list_array, map_arrow, materialize, slices, string_buffers
 
 _U = np.uint64
 BITS = 2
@@ -127,7 +127,7 @@ def describe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     kind = docs.schema[id_col].dataType.simpleString()
     tail = "shingles array<bigint>" if sets else "bands array<bigint>, sig array<bigint>"
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(lambda it: _describe(it, "id", "text", k, sets), f"id {kind}, n bigint, k1 bigint, k2 bigint, {tail}")
+    return map_arrow(src, lambda it: _describe(it, "id", "text", k, sets), f"id {kind}, n bigint, k1 bigint, k2 bigint, {tail}")
 
 
 def estimate(a: Column, b: Column) -> Column:

@@ -15,6 +15,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -29,30 +30,33 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sparkloom.llm import bytetext
-from sparkloom.llm.common import materialize, slices, string_buffers
+from sparkloom.llm.common import map_arrow, materialize, slices, string_buffers
 
 #: Ids of a length class; a sequence of k pieces wastes k * (GRAIN - 1) ids at most.
 GRAIN = 4
 #: Pieces of a chunk in which ranks are counted.
 CHUNK_ROWS = 50_000
-_CACHED_WORDS = 1_000_000
-
+#: Words whose ids a worker process remembers; beyond, it starts anew.
+_CACHED_WORDS = 1 << 18
 
 _SPECIAL = (b"<|startoftext|>", b"<|endoftext|>")
 _CLASS = np.zeros(256, np.uint8)  # 1 letter, 2 other ASCII, 3 apostrophe, 0 white space and the rest
 _CLASS[0x21:0x7F] = 2
 _CLASS[0x41:0x5B] = _CLASS[0x61:0x7B] = 1
 _CLASS[0x27] = 3
+# Fixed value: how a tokenizer cuts words for which ``WordTokenizer``'s rule holds.
+_WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 class WordTokenizer:
     """Ids of whole texts from the ids of their parts, each part encoded once.
 
-    This tokenizer folds case, drops white space and never joins a letter with
-    other ASCII characters but in a contraction after an apostrophe.  So a
-    text's ids are those of its parts in a row, cut at white space and between
-    ASCII letters and other ASCII characters, not after an apostrophe.  Texts
-    beside a special token's string are only cut at white space.
+    A tokenizer that folds case, drops white space and cuts words by
+    ``_WORD_PATTERN`` never joins a letter with other ASCII characters but in a
+    contraction after an apostrophe.  So a text's ids are those of its parts in
+    a row, cut at white space and between ASCII letters and other ASCII
+    characters, not after an apostrophe.  Texts beside a special token's string
+    are only cut at white space.  With any other tokenizer texts are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -60,34 +64,45 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_parts = self._cuts_words(json.loads(self.tokenizer.to_str()))
         self._clear()
 
+    @staticmethod
+    def _cuts_words(config: dict) -> bool:
+        normal = [x["type"] for x in (config.get("normalizer") or {}).get("normalizers", ())]
+        cuts = (config.get("pre_tokenizer") or {}).get("pretokenizers", ())
+        special = {x["content"].encode() for x in config.get("added_tokens", ())}
+        by_pattern = len(cuts) == 2 and cuts[0].get("pattern") == {"Regex": _WORD_PATTERN} and cuts[0]["behavior"] == "Removed" and cuts[1]["type"] == "ByteLevel" and not cuts[1]["add_prefix_space"]
+        return by_pattern and normal == ["NFC", "Replace", "Lowercase"] and special <= set(_SPECIAL) and not config.get("post_processor")
+
     def _clear(self) -> None:
-        self.place: dict[int, int] = {}
-        self.start = np.zeros(1 << 16, np.int64)
-        self.length = np.zeros(1 << 16, np.int32)
-        self.ids = np.zeros(1 << 18, np.uint32)
-        self.used = 0
-
-    def _add(self, hashes: list[int], words: list[str]) -> None:
-        if len(self.place) + len(words) > _CACHED_WORDS:
-            self._clear()
-        for lo in range(0, len(words), 4096):
-            ids = [e.ids for e in self.tokenizer.encode_batch(words[lo : lo + 4096], add_special_tokens=False)]
-            length = np.fromiter(map(len, ids), np.int32, len(ids))
-            k, end = len(self.place), self.used + int(length.sum())
-            while k + len(ids) > self.start.size:
-                self.start, self.length = (np.concatenate((x, np.zeros_like(x))) for x in (self.start, self.length))
-            while end > self.ids.size:
-                self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
-            self.ids[self.used : end] = np.fromiter(chain.from_iterable(ids), np.uint32, end - self.used)
-            self.start[k : k + len(ids)] = self.used + np.cumsum(length) - length
-            self.length[k : k + len(ids)] = length
-            self.used = end
-            self.place.update(zip(hashes[lo : lo + 4096], range(k, k + len(ids)), strict=True))
+        self.key = np.zeros(0, np.uint64)  # hashes of the words known, sorted
+        self.start = np.zeros(0, np.int64)
+        self.length = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts in a row and how many each has."""
+        parts, sizes = [], []
+        for lo in range(0, len(texts), 4096):
+            ids = [e.ids for e in self.tokenizer.encode_batch(texts[lo : lo + 4096], add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, ids), np.int64, len(ids)))
+            parts.append(np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes[-1].sum())))
+        return (np.concatenate(parts), np.concatenate(sizes)) if parts else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
+
+    def _learn(self, key: np.ndarray, words: list[str]) -> None:
+        ids, length = self._ids(words)
+        start = self.ids.size + np.cumsum(length) - length
+        self.ids = np.concatenate((self.ids, ids))
+        key = np.concatenate((self.key, key))
+        order = np.argsort(key)
+        self.key, self.start, self.length = key[order], np.concatenate((self.start, start))[order], np.concatenate((self.length, length))[order]
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and where each text's begin (and the end)."""
+        if not self.by_parts:
+            ids, length = self._ids([data[s:e].tobytes().decode() for s, e in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)])
+            return ids, np.concatenate(([0], np.cumsum(length)))
         body = data[offsets[0] : offsets[-1]]
         if any(body.tobytes().find(x) >= 0 for x in _SPECIAL):
             h, begin, end, at = bytetext.words(data, offsets, bytetext.WHITESPACE_WORDS, bytetext.SAME)
@@ -99,16 +114,15 @@ class WordTokenizer:
         if not h.size:
             return np.zeros(0, np.uint32), np.zeros(offsets.size, np.int64)
         unique, first, inverse = np.unique(h, return_index=True, return_inverse=True)
-        keys = unique.tolist()
-        missing = [i for i, x in enumerate(keys) if x not in self.place]
-        if missing:
-            if len(self.place) + len(missing) > _CACHED_WORDS:
-                self._clear()
-                missing = list(range(len(keys)))
+        missing = ~np.isin(unique, self.key, assume_unique=True)
+        if self.key.size and self.key.size + missing.sum() > _CACHED_WORDS:
+            self._clear()
+            missing[:] = True
+        if missing.any():
             where = first[missing]
-            self._add([keys[i] for i in missing], [data[s:e].tobytes().decode() for s, e in zip(begin[where].tolist(), end[where].tolist(), strict=True)])
-        k = np.fromiter((self.place[x] for x in keys), np.int64, len(keys))[inverse]
-        length = self.length[k].astype(np.int64)
+            self._learn(unique[missing], [data[s:e].tobytes().decode() for s, e in zip(begin[where].tolist(), end[where].tolist(), strict=True)])
+        k = np.searchsorted(self.key, unique)[inverse]
+        length = self.length[k]
         bounds = np.concatenate(([0], np.cumsum(length)))
         ids = self.ids[np.repeat(self.start[k] - bounds[:-1], length) + np.arange(bounds[-1])]
         return ids, bounds[at]
@@ -291,7 +305,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    cut = src.mapInArrow(_Pieces(tokenizer_path, length, end_id), f"id {kind}, start bigint, length bigint, crc bigint, doc_tokens bigint")
+    cut = map_arrow(src, _Pieces(tokenizer_path, length, end_id), f"id {kind}, start bigint, length bigint, crc bigint, doc_tokens bigint")
     size = F.ceil(F.col("length") / GRAIN).cast("int")
     pieces = materialize(cut.withColumn("size", size), "pieces")
     histogram = pieces.groupBy("size").count().collect()
@@ -308,7 +322,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     row = F.struct("id", "start", "length", "crc", "doc_tokens").alias("row")
     plan = spark.sparkContext.broadcast(Plan.build(demand, capacity))
     keyed = ranked.select(row, "size", "rank")
-    placed = keyed.mapInArrow(_Assign(plan), f"row {keyed.schema['row'].dataType.simpleString()}, sequence_id bigint, place bigint")
+    placed = map_arrow(keyed, _Assign(plan), f"row {keyed.schema['row'].dataType.simpleString()}, sequence_id bigint, place bigint")
     earlier = Window.partitionBy("sequence_id").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     out = placed.select("row.*", "sequence_id", "place").withColumn("offset", F.coalesce(F.sum("length").over(earlier), F.lit(0)))
     return out.select(F.col("id").alias(id_col), "start", "length", F.col("crc").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")

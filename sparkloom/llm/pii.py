@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import slices
+from sparkloom.llm.common import map_arrow, slices
 
 # The base patterns, possessive where giving back can't help, and
 # anchored at the first digit of a run, where a leftmost match begins.
@@ -390,5 +390,5 @@ def detect(docs: DataFrame, field: Field | None = None, text_col: str = "text",
     kind = src.schema["row"].dataType.simpleString()
     names = [*[f"n_{k}" for k in KINDS], "base_sha256", "spans", *["masked"] * masked]
     schema = ", ".join([f"row {kind}", *[f"n_{k} bigint" for k in KINDS], "base_sha256 string", "spans string", *["masked string"] * masked])
-    out = src.mapInArrow(_Find(docs.sparkSession.sparkContext.broadcast(field or train()), masked), schema)
+    out = map_arrow(src, _Find(docs.sparkSession.sparkContext.broadcast(field or train()), masked), schema)
     return out.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(keep)], *names)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.llm import bytetext
 from sparkloom.llm.columnbwt import Collection
-from sparkloom.llm.common import materialize, slices, string_buffers
+from sparkloom.llm.common import map_arrow, materialize, slices, string_buffers
 
 _U = np.uint64
 GRID = 64
@@ -296,19 +296,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     gram = min(GRAM, window)
     body = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     keyed = docs.select(F.col(id_col).alias("id"), F.xxhash64(body).alias("k1"), F.xxhash64(F.lit(11), body).alias("k2"), body.alias("text"))
-    found = materialize(keyed.select("k1", "k2", "text").mapInArrow(_Intervals(window, gram), "anchor bigint, k1 bigint, k2 bigint, s int, e int, p int"), "intervals")
+    found = materialize(map_arrow(keyed.select("k1", "k2", "text"), _Intervals(window, gram), "anchor bigint, k1 bigint, k2 bigint, s int, e int, p int"), "intervals")
     place = F.xxhash64("k1", "k2", "s")
     live = found.groupBy("anchor").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi").select("anchor")
     per_text = found.join(live, "anchor", "left_semi").groupBy("k1", "k2").agg(F.collect_set(F.struct("s", "e", "p")).alias("live"))
     copies = keyed.groupBy("k1", "k2").agg(F.count("*").alias("copies"), F.min("id").alias("rep"))
     per_text = per_text.join(copies, ["k1", "k2"])
     source = keyed.join(per_text, (keyed.k1 == per_text.k1) & (keyed.k2 == per_text.k2) & keyed.id.eqNullSafe(per_text.rep)).select(keyed.k1, keyed.k2, "live", "text")
-    pieces = materialize(source.mapInArrow(_Pieces(window, gram), "k1 bigint, k2 bigint, s int, core bigint, cell int, left int, sym binary, c bigint"), "pieces")
+    pieces = materialize(map_arrow(source, _Pieces(window, gram), "k1 bigint, k2 bigint, s int, core bigint, cell int, left int, sym binary, c bigint"), "pieces")
     unique = pieces.groupBy("core", "cell", "c").agg(F.min(place).alias("lo"), F.max(place).alias("hi"), F.first("left").alias("left"), F.first("sym").alias("sym"))
     unique = unique.select("core", "cell", "c", "left", (F.col("lo") != F.col("hi")).alias("several"), F.octet_length("sym").alias("size"), "sym")
     total = pieces.agg(F.sum(F.octet_length("sym") + 1)).first()[0] or 0
     dealt = unique.repartition(max(1, int(total // TASK_SYMBOLS) + 1), "core").sortWithinPartitions("core", "cell")
-    masks = dealt.mapInArrow(_Construct(window, gram), "core bigint, cell int, c bigint, mask bigint")
+    masks = map_arrow(dealt, _Construct(window, gram), "core bigint, cell int, c bigint, mask bigint")
     marks = pieces.select("k1", "k2", "s", "core", "cell", "c").join(masks, ["core", "cell", "c"]).groupBy("k1", "k2").agg(F.collect_set(F.struct("s", "mask")).alias("marks"))
     marks = materialize(marks, "marks")
     whole = copies.where("copies > 1").select("k1", "k2", F.lit(True).alias("copied"))
@@ -316,5 +316,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = keyed.join(marks, ["k1", "k2"], "left").join(whole, ["k1", "k2"], "left")
     kind = keyed.select(row).schema["row"].dataType.simpleString()
     names = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + (", kept binary" if text else "")
-    out = rows.select(row, "text", "marks", "copied").mapInArrow(_Cut(window, text), f"row {kind}, {names}")
+    out = map_arrow(rows.select(row, "text", "marks", "copied"), _Cut(window, text), f"row {kind}, {names}")
     return out.select(F.col("row.id").alias(id_col), *[n.split()[0] for n in names.split(", ")])

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.llm import bytetext
-from sparkloom.llm.common import list_array, slices, string_buffers
+from sparkloom.llm.common import list_array, map_arrow, slices, string_buffers
 from sparkloom.llm.langid import bounded_sample
 
 BUCKET_BITS = 20
@@ -149,9 +149,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     marks = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("label")).where("label in (0, 1)")
     sizes = {r["label"]: r["count"] for r in marks.groupBy("label").count().collect()}
     shares = {k: min(1.0, sample_rows / n) for k, n in sizes.items()}
-    sample = bounded_sample(marks, "label", "id", sample_rows, 2)
+    sample = bounded_sample(marks, "label", "id", sample_rows)
     text = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = text.join(F.broadcast(sample), "id").select("label", "text").mapInArrow(_terms, "label int, terms array<int>").toArrow().combine_chunks()
+    rows = map_arrow(text.join(F.broadcast(sample), "id").select("label", "text"), _terms, "label int, terms array<int>").toArrow().combine_chunks()
     terms = rows.column("terms").combine_chunks() if rows.num_rows else pa.array([], pa.list_(pa.int32()))
     flat, offsets = np.asarray(terms.flatten()), np.asarray(terms.offsets) - (terms.offsets[0].as_py() if len(terms.offsets) else 0)
     sets = [flat[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
@@ -171,5 +171,5 @@ def score(docs: DataFrame, machine: Machine, text_col: str = "text", score_name:
     row = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)]).alias("row")
     src = docs.select(row, F.col(text_col).cast("string").alias("text"))
     kind = src.schema["row"].dataType.simpleString()
-    out = src.mapInArrow(_Score(docs.sparkSession.sparkContext.broadcast(machine)), f"row {kind}, score double")
+    out = map_arrow(src, _Score(docs.sparkSession.sparkContext.broadcast(machine)), f"row {kind}, score double")
     return out.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(keep)], F.col("score").alias(score_name), (F.col("score") >= 0.5).cast("int").alias(predicted_name))

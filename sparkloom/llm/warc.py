@@ -23,7 +23,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import fresh_path, materialize, remove
+from sparkloom.llm.common import fresh_path, map_arrow, materialize, remove
 
 CHUNK = 1 << 20
 #: Bytes of records after which a writer starts another archive.
@@ -232,21 +232,21 @@ def write_monoliths(records: DataFrame, folder: str, level: int = 6, date: str =
     A task attempt names its files anew, and only files of the returned table
     count, so a repeated or lost attempt leaves no wrong record.
     """
-    return materialize(records.mapInArrow(_Writer(folder, level, date, limit), "path string, records bigint"), "manifest")
+    return materialize(map_arrow(records, _Writer(folder, level, date, limit), "path string, records bigint"), "manifest")
 
 
 def normalise(manifest: DataFrame, folder: str, level: int = 6) -> DataFrame:
     """Normalise every archive of ``manifest``; (path, index, records)."""
     n = manifest.count()
     spread = manifest.repartition(max(1, n)) if n > 1 else manifest
-    return materialize(spread.mapInArrow(_Normaliser(folder, level), "path string, index string, records bigint"), "normalised")
+    return materialize(map_arrow(spread, _Normaliser(folder, level), "path string, index string, records bigint"), "normalised")
 
 
 def read_records(archives: DataFrame, id_type: str = "bigint") -> DataFrame:
     """Every record of the normalised archives."""
     n = archives.count()
     spread = archives.repartition(max(1, n)) if n > 1 else archives
-    out = spread.mapInArrow(_read, "page_id string, payload_bytes bigint, payload_digest string, record_type string, refers_to string")
+    out = map_arrow(spread, _read, "page_id string, payload_bytes bigint, payload_digest string, record_type string, refers_to string")
     return out.withColumn("page_id", F.col("page_id").cast(id_type)).withColumn("refers_to", F.col("refers_to").cast(id_type))
 
 

@@ -1,5 +1,6 @@
 """Brute-force versions of the operators, written plainly from the contracts."""
 
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -81,3 +82,44 @@ def quality(text) -> tuple:
     count = Counter(triples)
     covered = {p for i, x in enumerate(triples) if count[x] > 1 for p in (i, i + 1, i + 2)}
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(covered)
+
+
+def language(known: list, texts: list) -> list:
+    """(language, score) of each text, learned from (text, language) rows."""
+    counts, grams = defaultdict(Counter), defaultdict(Counter)
+    for text, lang in known:
+        counts[lang].update(ALNUM_WORD.findall(text.translate(LOWER)))
+    sizes = lambda p, i: range(1, min(5, len(p) - i) + 1)
+    for lang, c in counts.items():
+        for w, n in c.items():
+            p = f"^{w}$"
+            for i in range(len(p)):
+                for s in sizes(p, i):
+                    grams[p[i : i + s]][lang] += math.log1p(n)
+    grams = {g: c for g, c in grams.items() if len(g) == 1 or sum(c.values()) >= 2}
+    langs = sorted(counts)
+    vocabulary = {w for c in counts.values() for w in c}
+    total = {k: sum(counts[k].values()) for k in langs}
+    by_size = {(k, s): 1 + sum(c[k] for g, c in grams.items() if len(g) == s) for k in langs for s in range(1, 6)}
+
+    def word(w, k):
+        if w in vocabulary:
+            return math.log((counts[k][w] + 0.1) / (total[k] + 0.1 * len(vocabulary)))
+        p, score = f"^{w}$", 0.0
+        for i in range(len(p)):
+            g = next((p[i : i + s] for s in reversed(sizes(p, i)) if p[i : i + s] in grams), None)
+            score += math.log(((grams[g][k] if g else 0) + 0.1) / by_size[k, len(g) if g else 1])
+        return score / len(p)
+
+    out = []
+    for text in texts:
+        if not any(c.isalpha() for c in text or ""):
+            out.append(("und", 0.0))
+            continue
+        w = ALNUM_WORD.findall(text.translate(LOWER))
+        z = {k: sum(word(x, k) for x in w) / math.sqrt(max(1, len(w))) for k in langs}
+        top = max(z.values())
+        share = {k: math.exp(v - top) for k, v in z.items()}
+        best = max(langs, key=lambda k: (share[k], [-ord(c) for c in k]))
+        out.append((best, share[best] / sum(share.values())))
+    return out

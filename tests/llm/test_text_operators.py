@@ -205,14 +205,34 @@ def test_language_identification(spark):
 
 
 def test_unknown_words_back_off_to_shorter_grams():
-    from collections import Counter
-
-    model = langid.Model.fit({"aa": Counter({"abcabc": 50, "cabcab": 40}), "zz": Counter({"xyzxyz": 50, "zxyzxy": 40})})
+    model = langid.Model.fit(["abcabc", "cabcab", "xyzxyz", "zxyzxy"], np.array([0, 0, 1, 1]), np.array([50, 40, 50, 40]), ["aa", "zz"])
     raw = [b"bcabca", b"yzxyzx", b"abcabc", b""]
     names, score = model.predict(np.frombuffer(b"".join(raw), np.uint8), np.array([0, 6, 12, 18, 18]))
     assert names == ["aa", "zz", "aa", "und"] and score[3] == 0
 
 
+def test_language_against_brute_force(spark, monkeypatch):
+    docs = [tuple(x) for x in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").where("text is not null").collect()]
+    known = [(t, k) for i, t, k in docs if i % 3 == 0 and k is not None]
+    probes = [t for i, t, _ in docs if i % 3 == 1] + ["zu jusqu'à Straße ÉTÉ 12 x", "...", "Ω", "", None, "a" * 300_000, "the of " * 50_000, "the of and"]
+    model = langid.train(spark.createDataFrame([(i, t, k) for i, (t, k) in enumerate(known)], "doc_id long, text string, lang string"))
+    rows = spark.createDataFrame(list(enumerate(probes)), "doc_id long, text string")
+    want = helpers.language(known, probes)
+    for cells in (langid._CELLS, 8):
+        monkeypatch.setattr(langid, "_CELLS", cells)
+        seen = {x.doc_id: x for x in langid.identify(rows, model).collect()}
+        for i, (lang, score) in enumerate(want):
+            assert seen[i].lang_pred == lang and abs(seen[i].score - score) < 1e-4, (i, seen[i], lang, score)
+
+
+def test_more_languages_than_a_few_hundred(spark):
+    rows = [(i, f"word{i} mot{i} wort{i}", f"l{i:04d}") for i in range(700)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(model.languages) == 700
+    seen = langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), model).collect()
+    assert all(x.lang == x.lang_pred for x in seen)
+
+
 def test_toxicity_learns_pairs():
     """Two terms that are harmless alone and toxic together."""
     r = np.random.default_rng(2)
