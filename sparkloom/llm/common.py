@@ -17,6 +17,12 @@ from pyspark.sql import functions as F
 #: A key is hot when it has more than one in ``HOT_SHARES`` of all rows; so there are fewer hot keys than that.
 HOT_SHARES = 1000
 
+#: Rows of narrow keys up to which a counted table is broadcast.
+BROADCAST_ROWS = 1 << 20
+
+#: Narrow rows of a written file.
+ROWS_PER_FILE = 200_000
+
 _OWN_DIRS: dict[str, str] = {}
 
 
@@ -42,13 +48,16 @@ def fresh_path(spark: SparkSession, tag: str) -> str:
     return f"{workspace(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
+def materialize(df: DataFrame, tag: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of it.
 
     Cuts lineage: a lost executor costs a re-read of the written table, never a
-    recomputation of what led to it.
+    recomputation of what led to it.  ``rows``, an estimate, keeps a table of
+    few narrow rows from becoming as many files as there are shuffle partitions.
     """
     path = fresh_path(df.sparkSession, tag)
+    if rows is not None:
+        df = df.coalesce(max(8, -(-rows // ROWS_PER_FILE)))
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -100,6 +109,11 @@ def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iter
     return df.mapInArrow(_Pass(function), schema)
 
 
+def bounded(keys: DataFrame) -> DataFrame:
+    """``keys``, a few narrow columns, to be broadcast where a count shows at most ``BROADCAST_ROWS``; else joined by shuffle."""
+    return F.broadcast(keys) if keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else keys
+
+
 def hot_keys(counts: DataFrame, keys: list[str], count: str = "count") -> DataFrame:
     """The keys of ``counts`` that have more than one in ``HOT_SHARES`` of all rows, to be broadcast: fewer than that."""
     total = counts.agg(F.sum(count)).first()[0] or 0

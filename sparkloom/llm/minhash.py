@@ -10,10 +10,11 @@
    is confirmed on the full sets.
 4. Buckets whose classes still lie in several components get two rounds that
    pair classes outside the component of the bucket's centre with it, then all
-   their cross-component pairs that pass the estimate; the join that finds
-   these compares the sets folded to 31 bits, allowing for what that may merge,
-   and so gives out few pairs but links.  Linked classes never need a pair, so no link that joins two
-   components is lost while groups of copies stay linear.
+   their cross-component pairs that pass sizes and estimate, each once; the join
+   that finds these compares the sets folded to 31 bits, allowing for what that
+   may merge, and so gives out few pairs but links.  Linked classes never need a
+   pair, so no link that joins two components is lost while groups of copies
+   stay linear.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.llm import bytetext
-from sparkloom.llm.common import list_array, map_arrow, materialize, slices, string_buffers
+from sparkloom.llm.common import bounded, hot_keys, join_spread, list_array, map_arrow, materialize, release, slices, string_buffers
 
 _U = np.uint64
 BITS = 2
@@ -149,13 +150,15 @@ def components(edges: DataFrame) -> DataFrame:
     Minimum labels spread over the edges and every round also jumps to the
     label's own label; each round is a written table.
     """
-    both = materialize(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct(), "edges")
-    labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")), "labels")
+    both = materialize(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct(), "edges", 2 * edges.count())
+    first = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label"))
+    n = both.count()
+    labels = materialize(first, "labels", n)
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("m"))
         step = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "m").alias("label"))
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        new = materialize(step.join(jump, "label").select("node", "old", F.least("label", "up").alias("label")), "labels")
+        new = materialize(step.join(jump, "label").select("node", "old", F.least("label", "up").alias("label")), "labels", n)
         moved = new.where("label <> old").limit(1).count()
         labels = new.select("node", "label")
         if not moved:
@@ -185,41 +188,47 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     class of null ids only has a null component and is kept.  Other columns of
     ``docs`` are ignored.
     """
+    spark = docs.sparkSession
     rows = materialize(describe(docs, id_col, text_col, k), "minhash")
     full = rows.where("n > 0")
-    classes = full.groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig")).where("rep is not null")
-    member = classes.select("rep", "n", "sig", F.posexplode("bands").alias("band", "key"))
-    buckets = member.groupBy("band", "key").agg(F.min("rep").alias("centre"), F.min_by("rep", F.xxhash64("rep")).alias("centre2"), F.count("*").alias("m")).where("m > 1")
-    crowded = materialize(member.join(buckets, ["band", "key"]), "buckets")
-    reps = crowded.select("rep").distinct()
-    source = docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text")).join(reps, "rep")
+    classes = full.groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.count("*").alias("count"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
+    classes = materialize(classes, "classes")
+    named = classes.where("rep is not null")
+    member = named.select("rep", F.explode("bands").alias("key"))
+    buckets = member.groupBy("key").agg(F.min("rep").alias("centre"), F.min_by("rep", F.xxhash64("rep")).alias("centre2"), F.count("*").alias("m")).where("m > 1").drop("m")
+    crowded = materialize(member.join(buckets, "key"), "buckets")
+    n_crowded = crowded.count()
+    release(spark)
+    reps = bounded(crowded.select("rep").distinct())
+    facts = named.join(reps, "rep", "left_semi").select("rep", F.col("n").cast("int").alias("n"), "sig", "k1", "k2")
+    source = docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text")).join(reps, "rep", "left_semi")
     sets = describe(source, "rep", "text", k, sets=True)
-    same = classes.select(F.col("rep").alias("id"), "k1", "k2")
-    sets = materialize(sets.join(same, ["id", "k1", "k2"]).dropDuplicates(["id"]), "sets")
-    facts = crowded.select("rep", "n", "sig").dropDuplicates(["rep"])
+    same = facts.select(F.col("rep").alias("id"), "k1", "k2")
+    sets = materialize(sets.join(same, ["id", "k1", "k2"], "left_semi").dropDuplicates(["id"]).select("id", "shingles"), "sets")
+    facts = materialize(facts.drop("k1", "k2"), "facts")
+    release(spark)
 
     def plausible(pairs: DataFrame) -> DataFrame:
-        a = facts.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sig").alias("ga"))
-        near = pairs.distinct().join(a, "a").where(_worth(F.col("na"), F.col("nb"), F.col("ga"), F.col("gb"), percent))
-        return near.select("a", "b")
+        """Distinct pairs that sizes and signatures do not rule out; only these fetch their sets."""
+        x = facts.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("sig").alias("ga"))
+        y = facts.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("gb"))
+        per = pairs.groupBy("b").agg(F.collect_set("a").alias("as")).join(y, "b").select("b", "nb", "gb", F.explode("as").alias("a"))
+        return per.alias("p").join(x.alias("x"), (F.col("p.a") == F.col("x.a")) & _worth(F.col("na"), F.col("nb"), F.col("ga"), F.col("gb"), percent)).select("p.a", "b")
 
     def pairs_with(rows: DataFrame, centre: str) -> DataFrame:
-        return rows.where(F.col("rep") != F.col(centre)).select(F.col(centre).alias("a"), F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("gb"))
-
-    def labelled(labels: DataFrame) -> DataFrame:
-        return crowded.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+        return rows.where(F.col("rep") != F.col(centre)).select(F.col(centre).alias("a"), F.col("rep").alias("b"))
 
     def unresolved(labels: DataFrame) -> DataFrame:
-        now = labelled(labels)
-        mixed = now.groupBy("band", "key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("band", "key")
-        return materialize(now.join(mixed, ["band", "key"]), "unresolved")
+        now = crowded.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+        mixed = now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
+        return materialize(now.join(mixed, "key", "left_semi"), "unresolved", n_crowded)
 
     def outside(rows: DataFrame, centre: str) -> DataFrame:
         """Rows of mixed buckets that lie in another component than their bucket's centre."""
-        home = rows.where(F.col("rep") == F.col(centre)).select("band", "key", F.col("label").alias("home"))
-        return rows.join(home, ["band", "key"]).where("label <> home").drop("home")
+        home = rows.where(F.col("rep") == F.col(centre)).select("key", F.col("label").alias("home"))
+        return rows.join(home, "key").where("label <> home").drop("home")
 
-    nearest = crowded.where("rep <> centre").groupBy("rep").agg(F.min("centre").alias("centre"), F.first("n").alias("n"), F.first("sig").alias("sig"))
+    nearest = crowded.where("rep <> centre").groupBy("rep").agg(F.min("centre").alias("centre"))
     links = materialize(confirm(plausible(pairs_with(nearest, "centre")), sets, percent), "links")
     labels = components(links)
     for centre in ("centre", "centre2"):
@@ -227,21 +236,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         again = materialize(confirm(plausible(pairs_with(outside(rest, centre), centre)), sets, percent), "links")
         links = links.union(again)
         labels = components(links)
+    release(spark)
     folded = sets.select(F.col("id").alias("rep"), F.transform("shingles", lambda x: x.bitwiseAND(0x7FFFFFFF).cast("int")).alias("fold"))
-    rest = unresolved(labels).select("band", "key", "rep", "n", "sig", "label").join(folded, "rep")
+    rest = unresolved(labels).groupBy("rep", "label").agg(F.sort_array(F.collect_set("key")).alias("keys")).join(facts, "rep").join(folded, "rep")
+    rest = rest.select("rep", "label", "n", "sig", "fold", "keys", F.explode("keys").alias("key"))
     x, y = rest.alias("x"), rest.alias("y")
     close = _worth(F.col("x.n"), F.col("y.n"), F.col("x.sig"), F.col("y.sig"), percent)
+    once = F.element_at(F.array_intersect("x.keys", "y.keys"), 1) == F.col("x.key")  # a pair is compared in its first bucket
     common = F.size(F.array_intersect("x.fold", "y.fold"))
-    slack = 1 + F.col("x.n") * F.col("y.n") / float(1 << 30)  # twice what folding is expected to merge
-    close = close & ((100 + percent) * (common + slack) >= percent * (F.col("x.n") + F.col("y.n")))
-    cross = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key")) & (F.col("x.label") < F.col("y.label")) & close)
-    cross = cross.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+    slack = 1 + F.col("x.n").cast("double") * F.col("y.n") / float(1 << 30)  # twice what folding is expected to merge
+    close = close & once & ((100 + percent) * (common + slack) >= percent * (F.col("x.n") + F.col("y.n")))
+    cross = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.label") < F.col("y.label")) & close)
+    cross = cross.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
     more = materialize(confirm(cross, sets, percent), "links")
     if more.limit(1).count():
         labels = components(links.union(more))
 
-    named = classes.select("k1", "k2", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("k1", "k2", F.coalesce("label", "rep").alias("label"))
-    out = full.join(named, ["k1", "k2"], "left").select("id", "n", "label").union(rows.where("n = 0").select("id", "n", F.col("id").alias("label")))
+    label = classes.select("k1", "k2", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("k1", "k2", F.coalesce("label", "rep").alias("label"))
+    out = join_spread(full.select("id", "n", "k1", "k2"), label, ["k1", "k2"], hot_keys(classes.select("k1", "k2", "count"), ["k1", "k2"]))
+    out = out.select("id", "n", "label").union(rows.where("n = 0").select("id", "n", F.col("id").alias("label")))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("label").alias("component_id"), F.col("id").eqNullSafe(F.col("label")).alias("kept"))
 
 
