@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +49,15 @@ def fresh_path(spark: SparkSession, tag: str) -> str:
     return f"{workspace(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
+def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a path of the shared folder, and the path there."""
+    if uri.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
+    if "://" not in uri:
+        return pafs.LocalFileSystem(), uri
+    return pafs.FileSystem.from_uri(uri)
+
+
 def materialize(df: DataFrame, tag: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of it.
 

@@ -19,11 +19,10 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import fresh_path, map_arrow, materialize, remove
+from sparkloom.llm.common import file_system, fresh_path, map_arrow, materialize, remove
 
 CHUNK = 1 << 20
 #: Bytes of records after which a writer starts another archive.
@@ -31,14 +30,6 @@ ARCHIVE_BYTES = 1 << 30
 _ID = "urn:x-page:"
 
 
-def _fs(uri: str) -> tuple[pafs.FileSystem, str]:
-    if uri.startswith("file:"):
-        return pafs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
-    if "://" not in uri:
-        return pafs.LocalFileSystem(), uri
-    return pafs.FileSystem.from_uri(uri)
-
-
 def _headers(stream: io.BufferedIOBase) -> dict[str, str] | None:
     """The next record's named fields in lower case; None at the end."""
     line = stream.readline()
@@ -69,7 +60,7 @@ class _Writer:
         self.folder, self.level, self.date, self.limit = folder, level, date, limit
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, base = _fs(self.folder)
+        fs, base = file_system(self.folder)
         fs.create_dir(base, recursive=True)
         out = raw = None
         name, written, records = "", 0, 0
@@ -106,12 +97,12 @@ class _Normaliser:
         self.folder, self.level = folder, level
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, base = _fs(self.folder)
+        fs, base = file_system(self.folder)
         fs.create_dir(base, recursive=True)
         for batch in batches:
             for source in batch.column(0).to_pylist():
                 name = uuid.uuid4().hex
-                at, place = _fs(source)
+                at, place = file_system(source)
                 with at.open_input_stream(place, compression=None) as raw, fs.open_output_stream(f"{base}/{name}.warc.gz", compression=None) as out, fs.open_output_stream(f"{base}/{name}.cdxj", compression=None) as index:
                     n = self.rewrite(raw, out, index)
                 yield pa.RecordBatch.from_pydict({"path": [f"{self.folder}/{name}.warc.gz"], "index": [f"{self.folder}/{name}.cdxj"], "records": pa.array([n], pa.int64())})
@@ -150,9 +141,9 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     for batch in batches:
         for path, index in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            fs, place = _fs(path)
+            fs, place = file_system(path)
             rows: list[tuple] = []
-            with fs.open_input_file(place) as raw, fs.open_input_stream(_fs(index)[1]) as lines:
+            with fs.open_input_file(place) as raw, fs.open_input_stream(file_system(index)[1]) as lines:
                 for line in io.TextIOWrapper(io.BufferedReader(lines, CHUNK), encoding="utf-8"):
                     entry = json.loads(line)
                     raw.seek(entry["offset"])

@@ -124,15 +124,17 @@ def test_decontaminate(spark, block_bytes):
     assert none == 0 and decontaminate.decontaminate(empty(spark), bench).count() == 0
 
 
-def test_collection_of_documents():
+@pytest.mark.parametrize("rows", [1 << 16, 3, 7])
+def test_collection_of_documents(tmp_path, monkeypatch, rows):
+    monkeypatch.setattr(columnbwt, "ROWS", rows)
     for seed in range(25):
         r = random.Random(seed)
-        docs = [[r.randrange(3) for _ in range(r.randrange(0, 14))] for _ in range(r.randrange(1, 30))]
-        bounds = np.concatenate(([0], np.cumsum([len(d) for d in docs])))
-        c = columnbwt.Collection(np.array([x for d in docs for x in d], np.int64), bounds)
+        docs = [[r.randrange(3) for _ in range(r.randrange(0, 14))] for _ in range(r.randrange(0, 30))]
+        bounds = np.concatenate(([0], np.cumsum([len(d) for d in docs]))).astype(np.int64)
+        c = columnbwt.Collection(np.array([x for d in docs for x in d], np.int64), bounds, str(tmp_path))
+        got = [(int(k), *map(int, x)) for common, rest in c.rows() for k, x in zip(common, rest, strict=True)]
+        c.remove()
         order = sorted(((tuple(x + 1 for x in d[o:]) + (0,), i, o) for i, d in enumerate(docs) for o in range(len(d) + 1)), key=lambda t: t[:2])
-        assert [(int(i), int(o)) for i, o in zip(c.document, c.offset, strict=True)] == [x[1:] for x in order]
-        assert c.bwt.tolist() == [docs[i][o - 1] if o else -1 for _, i, o in order]
 
         def common(a, b):
             k = 0
@@ -140,13 +142,36 @@ def test_collection_of_documents():
                 k += 1
             return k
 
-        assert c.common.tolist() == [0] + [common(order[i - 1][0], order[i][0]) for i in range(1, len(order))]
+        shared = [0] + [common(x[0], y[0]) for x, y in zip(order, order[1:], strict=False)]
+        assert got == [(k, docs[i][o - 1] if o else -1, i, o) for k, (_, i, o) in zip(shared, order, strict=False)]
+    assert not list(tmp_path.iterdir())
 
 
-def test_collection_on_disk(monkeypatch):
-    monkeypatch.setattr(columnbwt, "MEMORY_BYTES", 64)
-    c = columnbwt.Collection(np.array([1, 2, 1, 2, 1]), np.array([0, 3, 5]))
-    assert c.common.tolist() == [0, 0, 0, 1, 1, 0, 2] or c.common.max() == 2
+@pytest.mark.parametrize("hot", [1 << 20, 0])
+def test_surroundings_of_one_passage(spark, monkeypatch, hot):
+    """A passage in many surroundings, some of which repeat too, also where its cores are cut on the finer grid."""
+    monkeypatch.setattr(suffixdedup, "HOT_BYTES", hot)
+    monkeypatch.setattr(suffixdedup, "COLLECTION_BYTES", 3000)
+    monkeypatch.setattr(columnbwt, "ROWS", 50)
+    r = random.Random(4)
+    passage = "".join(r.choice("abcdefgh ") for _ in range(240))
+    rows = []
+    for i in range(90):
+        cut, end = r.randrange(0, 80), r.randrange(160, 241)
+        rows.append((i, "".join(r.choice("xyz") for _ in range(r.randrange(40))) + passage[cut:end] + "".join(r.choice("uv") for _ in range(r.randrange(40)))))
+    got = sorted((x.doc_id, x.n_bytes, x.n_removed, x.n_spans, bytes(x.kept)) for x in suffixdedup.remove_repeats(frame(spark, rows), window=120, text=True).collect())
+    assert got == sorted(helpers.repeats(rows, 120))
+
+
+def test_intervals_of_a_long_text(monkeypatch):
+    """A text looked at in parts has the same strings at the same anchors."""
+    r = np.random.default_rng(3)
+    data = r.integers(97, 101, 5000).astype(np.uint8)
+    offsets = np.array([0, 10, 700, 700, 5000])
+    starts = lambda: sorted((int(k), x, int(a), int(h)) for d, s, e, p, anchor in suffixdedup.intervals(data, offsets, 50, 24) for k, lo, hi, a, h in zip(d, s, e, p, anchor, strict=True) for x in range(lo, hi + 1))
+    whole = starts()
+    monkeypatch.setattr(suffixdedup, "_STARTS", 64)
+    assert starts() == whole and len(whole) == 641 + 4251
 
 
 @pytest.mark.parametrize("window", [200, 40, 9])
