@@ -202,7 +202,6 @@ class Collection:
         parent, symbol = parent[order], symbol[order]
         base = 0
         for key, common, rest in zip(*(self.files.read(c) for c in _COLUMNS), strict=True):
-            old = np.arange(base, base + key.size)
             key, common, rest = key.copy(), common.copy(), rest.copy()
             longer = key >> 32 > 0
             key[longer] = (key[longer] & ~_LOW) | shifted(key[longer] & _LOW)
@@ -214,11 +213,11 @@ class Collection:
             lo, hi = np.searchsorted(place, (base, stop))
             if stop == n:
                 hi = place.size
-            start = base + lo
-            at_old, at_new = shifted(old) - start, place[lo:hi] + np.arange(lo, hi) - start
+            ahead = np.cumsum(np.bincount(place[lo:hi] - base, minlength=key.size + 1))[: key.size]
+            at_old, at_new = np.arange(key.size) + ahead, place[lo:hi] - base + np.arange(hi - lo)
             block = {}
             for c, column in (("key", key), ("common", common), ("rest", rest)):
-                block[c] = np.empty(old.size + hi - lo, _COLUMNS[c])
+                block[c] = np.empty(key.size + hi - lo, _COLUMNS[c])
                 block[c][at_old], block[c][at_new] = column, fresh[c][lo:hi]
             yield block
             base = stop

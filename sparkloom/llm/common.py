@@ -69,7 +69,17 @@ def materialize(df: DataFrame, tag: str, rows: int | None = None) -> DataFrame:
     if rows is not None:
         df = df.coalesce(max(8, -(-rows // ROWS_PER_FILE)))
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def discard(*written: DataFrame) -> None:
+    """Delete tables that ``materialize`` returned and nothing reads any more; other DataFrames are left alone."""
+    for df in written:
+        path = getattr(df, "_written_to", None)
+        if path:
+            remove(df.sparkSession, path)
 
 
 def release(spark: SparkSession) -> None:

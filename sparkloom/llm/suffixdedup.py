@@ -27,12 +27,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.llm import bytetext
 from sparkloom.llm.columnbwt import Collection
-from sparkloom.llm.common import bounded, fresh_path, hot_keys, join_spread, map_arrow, materialize, release, remove, slices, string_buffers
+from sparkloom.llm.common import bounded, discard, fresh_path, hot_keys, join_spread, map_arrow, materialize, release, remove, slices, string_buffers
 
 _U = np.uint64
 GRID = 64
@@ -367,22 +368,33 @@ class _Cut:
         for whole in batches:
             for batch in slices(whole, "text", 1 << 20):
                 data, offsets = string_buffers(batch.column(1))
-                out = [self._one(data[a:b], m, c) for a, b, m, c in zip(offsets[:-1], offsets[1:], batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-                cols = [pa.array(x, k) for x, k in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()), strict=True)]
-                names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
-                n = len(cols) - (not self.text)
-                yield pa.RecordBatch.from_arrays([batch.column(0), *cols[:n]], names=["row", *names[:n]])
-
-    def _one(self, text: np.ndarray, marks, copied) -> tuple:
-        delta = np.zeros(text.size + 1, np.int32)
-        for m in marks or ():
-            bits = np.flatnonzero(np.unpackbits(np.array([m["mask"]], np.int64).view(np.uint8), bitorder="little")) + m["s"]
-            delta[bits] += 1
-            delta[bits + self.window] -= 1
-        gone = np.full(text.size, text.size >= self.window) if copied else delta[:-1].cumsum() > 0
-        kept = text[~gone].tobytes()
-        spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
-        return text.size, int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept
+                gone = self._gone(data, offsets, batch.column(2), np.asarray(batch.column(3).fill_null(False)))
+                begin = gone & ~np.concatenate(([False], gone[:-1]))
+                begin[offsets[:-1][np.diff(offsets) > 0] - offsets[0]] |= gone[offsets[:-1][np.diff(offsets) > 0] - offsets[0]]
+                of = lambda x: np.diff(np.concatenate(([0], np.cumsum(x)))[offsets - offsets[0]])
+                removed, spans = of(gone), of(begin)
+                rest = data[offsets[0] : offsets[-1]][~gone]
+                bounds = np.concatenate(([0], np.cumsum(np.diff(offsets) - removed)))
+                kept = list(_bytes(rest, bounds[:-1], bounds[1:]))
+                cols = [pa.array(x, pa.int64()) for x in (np.diff(offsets), removed, spans)] + [pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string())]
+                names = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
+                if self.text:
+                    cols.append(pa.array([bytes(x) for x in kept], pa.binary()))
+                    names.append("kept")
+                yield pa.RecordBatch.from_arrays([batch.column(0), *cols], names=["row", *names])
+
+    def _gone(self, data: np.ndarray, offsets: np.ndarray, marks: pa.Array, copied: np.ndarray) -> np.ndarray:
+        """For each byte of the texts whether it goes."""
+        base, n = int(offsets[0]), int(offsets[-1] - offsets[0])
+        flat = marks.flatten()
+        doc = np.repeat(np.arange(len(marks)), np.asarray(pc.list_value_length(marks).fill_null(0)))
+        mask = np.ascontiguousarray(np.asarray(flat.field("mask")), np.int64)
+        which, bit = np.nonzero(np.unpackbits(mask.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
+        start = offsets[doc[which]] - base + np.asarray(flat.field("s")).astype(np.int64)[which] + bit
+        gone = (np.bincount(start, minlength=n + 1) - np.bincount(start + self.window, minlength=n + 1))[: n + 1].cumsum()[:n] > 0
+        for d in np.flatnonzero(copied & (np.diff(offsets) >= self.window)).tolist():
+            gone[offsets[d] - base : offsets[d + 1] - base] = True
+        return gone
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 200, text: bool = False) -> DataFrame:
@@ -404,12 +416,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     place = F.xxhash64("k1", "k2", "s")
     live = found.groupBy("anchor").agg(F.min(place).alias("lo"), F.max(place).alias("hi"), F.count("*").alias("count")).where("lo <> hi").select("anchor", "count")
     live = materialize(live, "anchors")
+    release(spark)
     several_times = join_spread(found, live.select("anchor"), ["anchor"], hot_keys(live, ["anchor"]))
     per_text = several_times.groupBy("k1", "k2").agg(F.collect_set(F.struct("s", "e", "p")).alias("live"))
     copies = keyed.groupBy("k1", "k2").agg(F.count("*").alias("copies"), F.min("id").alias("rep"))
     per_text = per_text.join(copies, ["k1", "k2"])
     source = keyed.join(per_text, (keyed.k1 == per_text.k1) & (keyed.k2 == per_text.k2) & keyed.id.eqNullSafe(per_text.rep)).select(keyed.k1, keyed.k2, "live", "text")
     pieces = materialize(map_arrow(source, _Pieces(window, gram), "k1 bigint, k2 bigint, s int, " + _PIECE), "pieces")
+    discard(found, live)
     release(spark)
     unique = pieces.groupBy("core", "core2", "width", "c").agg(F.min(place).alias("lo"), F.max(place).alias("hi"), F.first("left").alias("left"), F.first("sym").alias("sym"))
     unique = materialize(unique.select("core", "core2", "width", "c", "left", (F.col("lo") != F.col("hi")).alias("several"), "sym"), "unique")
@@ -423,9 +437,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     columns = fresh_path(spark, "columns")
     masks = materialize(map_arrow(dealt, _Construct(columns), "core bigint, core2 bigint, c bigint, mask bigint"), "masks")
     remove(spark, columns)
+    discard(unique)
+    release(spark)
     keys = ["core", "core2", "c"]
     marks = pieces.select("k1", "k2", "s", *keys).join(masks, keys).groupBy("k1", "k2").agg(F.collect_set(F.struct("s", "mask")).alias("marks"))
     marks = materialize(marks, "marks")
+    discard(pieces, masks)
+    release(spark)
     whole = copies.where("copies > 1").select("k1", "k2", F.lit(True).alias("copied"))
     row = F.struct("id").alias("row")
     rows = keyed.join(marks, ["k1", "k2"], "left").join(whole, ["k1", "k2"], "left")
