@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.llm import decontaminate, langid, minhash, packing, pii
-from sparkloom.llm.common import materialize, release
+from sparkloom.llm.common import discard, materialize, release
 from sparkloom.llm.queries import tokenizer_path
 
 #: A language is accepted from this probability on.
@@ -67,7 +67,10 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each is written and read again before the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        out = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
-            docs = materialize(docs, name)
+            out = materialize(out, name)
+            discard(docs)
+            release(spark)
+        docs = out
     return docs
