@@ -17,16 +17,19 @@ PROFILES = {
 }
 
 
-def hits(text: Column, language: str) -> Column:
-    words = PROFILES[language]
-    return F.size(F.filter(simple_terms(text), lambda w: w.isin(*words)))
-
-
 def detect(text: Column) -> Column:
     """Language with most hits, first of the profiles where equal; null without hits."""
-    scores = [F.struct(hits(text, lang).alias("n"), F.lit(-i).alias("order"), F.lit(lang).alias("lang")) for i, lang in enumerate(PROFILES)]
-    best = F.array_max(F.array(*scores))
-    return F.when(best["n"] > 0, best["lang"])
+    every = sorted({w for words in PROFILES.values() for w in words})
+
+    def best(ws: Column) -> Column:
+        of = lambda words: F.size(F.filter(ws, lambda w: w.isin(*words)))
+        scores = [F.struct(of(words).alias("n"), F.lit(-i).alias("order"), F.lit(lang).alias("lang")) for i, (lang, words) in enumerate(PROFILES.items())]
+        return F.array_max(F.array(*scores))
+
+    # The words are found once, and only those of some profile are counted.
+    known = F.filter(simple_terms(text), lambda w: w.isin(*every))
+    top = F.transform(F.array(known), best)
+    return F.element_at(F.transform(top, lambda x: F.when(x["n"] > 0, x["lang"])), 1)
 
 
 def is_language(text: Column, language: str) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -23,9 +25,17 @@ KEEP_UNSTEMMED = ("makan", "beruang", "main", "is", "this")
 
 
 def lookup(words: dict[str, str], w: Column) -> Column:
+    """The entry of ``w``; a map literal is searched from its start, so many entries go to small maps by checksum."""
     if not words:
         return F.lit(None).cast("string")
-    return F.element_at(F.create_map(*[F.lit(x) for kv in words.items() for x in kv]), w)
+    literal = lambda entries: F.create_map(*[F.lit(x) for kv in entries.items() for x in kv]) if entries else F.create_map().cast("map<string,string>")
+    if len(words) <= 32:
+        return F.element_at(literal(words), w)
+    n = len(words) // 8
+    parts: list[dict[str, str]] = [{} for _ in range(n)]
+    for k, v in words.items():
+        parts[zlib.crc32(k.encode()) % n][k] = v
+    return F.element_at(F.get(F.array(*[literal(x) for x in parts]), (F.crc32(F.encode(w, "UTF-8")) % n).cast("int")), w)
 
 
 def split_attached(w: Column) -> Column:
@@ -75,13 +85,15 @@ def stem(w: Column, keep: tuple[str, ...] = KEEP_UNSTEMMED) -> Column:
     return F.when(w.isin(*keep), w).otherwise(stemmed)
 
 
-def clean_word(w: Column, remove: bool = True, compat: bool = True, acronyms: dict[str, str] = ACRONYMS, slang: dict[str, str] = SLANG, stopwords: tuple[str, ...] = STOPWORDS, keep: tuple[str, ...] = KEEP_UNSTEMMED) -> Column:
-    """All rules in order; the last three only where ``remove``."""
-    w = F.lower(split_attached(w))
-    w = pad_marks(remove_symbols(formalise(expand_acronym(remove_url(w, compat), acronyms), slang)))
-    if remove:
-        w = stem(remove_stopword(remove_punctuation(w), stopwords), keep)
-    return w
+def rules(remove: bool = True, compat: bool = True, acronyms: dict[str, str] = ACRONYMS, slang: dict[str, str] = SLANG, stopwords: tuple[str, ...] = STOPWORDS, keep: tuple[str, ...] = KEEP_UNSTEMMED) -> list[Callable[[Column], Column]]:
+    """The rules of a word in order; the last three only where ``remove``."""
+    steps = [lambda w: F.lower(split_attached(w)), lambda w: remove_url(w, compat), lambda w: expand_acronym(w, acronyms), lambda w: formalise(w, slang), remove_symbols, pad_marks]
+    return steps + [remove_punctuation, lambda w: remove_stopword(w, stopwords), lambda w: stem(w, keep)] * remove
+
+
+def clean_word(w: Column, **options) -> Column:
+    """All rules of one word, in order."""
+    return reduce(lambda c, rule: rule(c), rules(**options), w)
 
 
 def sentences(text: Column) -> Column:
@@ -93,12 +105,51 @@ def words(sentence: Column) -> Column:
     return F.filter(F.split(sentence, r"\s+"), lambda w: w != "")
 
 
-def clean_text(text: Column, **options) -> Column:
+def cleaned(ws: Column, **options) -> Column:
+    """Words after all rules, one pass over the array for each: a rule names its input several times."""
+    return F.filter(reduce(lambda c, rule: F.transform(c, rule), rules(**options), ws), lambda w: w != "")
+
+
+def compose(ws: Column, composites: list[str]) -> Column:
+    """Words with the neighbours that form one of ``composites`` ("two words") joined by a space, leftmost first, longest of these."""
+    if not composites:
+        return ws
+    known = {c: c for c in composites}
+    sizes = sorted({len(c.split(" ")) for c in composites}, reverse=True)
+    first = sorted({c.split(" ")[0] for c in composites})
+    none = F.array().cast("array<struct<at:int,n:int,word:string>>")
+
+    def of(ws: Column) -> Column:
+        longest = lambda i: F.coalesce(*[F.when(i + n <= F.size(ws) + 1, lookup(known, F.array_join(F.slice(ws, i, F.lit(n)), " "))) for n in sizes])
+        begins = F.filter(F.transform(ws, lambda w, i: F.struct((i + 1).alias("at"), w.alias("w"))), lambda x: x["w"].isin(*first))
+        named = F.filter(F.transform(begins, lambda x: F.struct(x["at"].alias("at"), longest(x["at"]).alias("word"))), lambda x: x["word"].isNotNull())
+        sized = F.transform(named, lambda x: F.struct(x["at"].alias("at"), F.size(F.split(x["word"], " ")).alias("n"), x["word"].alias("word")))
+        end = lambda chosen: F.coalesce(F.element_at(F.transform(F.slice(chosen, -1, 1), lambda x: x["at"] + x["n"]), 1), F.lit(1))
+        chosen = F.aggregate(sized, none, lambda acc, x: F.when((F.size(acc) == 0) | (x["at"] >= end(acc)), F.concat(acc, F.array(x))).otherwise(acc))
+
+        def joined(c: Column) -> Column:
+            before = lambda k: F.coalesce(F.get(c, k - 1)["at"] + F.get(c, k - 1)["n"], F.lit(1))
+            parts = F.transform(c, lambda x, k: F.concat(F.slice(ws, before(k), x["at"] - before(k)), F.array(x["word"])))
+            last = before(F.size(c))
+            return F.concat(F.flatten(parts), F.slice(ws, last, F.greatest(F.size(ws) - last + 1, F.lit(0))))
+
+        return F.element_at(F.transform(F.array(chosen), joined), 1)
+
+    return F.element_at(F.transform(F.array(ws), of), 1)
+
+
+def clean_text(text: Column, composites: list[str] = (), **options) -> Column:
     """Sentences of cleaned words; empty words and sentences are dropped."""
-    each = F.transform(sentences(text), lambda s: F.filter(F.transform(words(s), lambda w: clean_word(w, **options)), lambda w: w != ""))
+    each = F.transform(sentences(text), lambda s: cleaned(compose(words(s), composites), **options))
     return F.filter(each, lambda s: F.size(s) > 0)
 
 
+def clean_tagged(text: Column, tags: dict[str, str] | None = None, **options) -> Column:
+    """(word, tag) of every word of each sentence, cleaned without the last three rules."""
+    each = F.transform(clean_text(text, remove=False, **options), lambda s: words(F.array_join(s, " ")))
+    return F.transform(each, lambda s: tag_words(s, TAGS if tags is None else tags))
+
+
 def clean_terms(text: Column, **options) -> Column:
     """Cleaned words joined by commas."""
     return F.array_join(F.flatten(clean_text(text, **options)), ",")
@@ -106,7 +157,7 @@ def clean_terms(text: Column, **options) -> Column:
 
 def simple_terms(text: Column) -> Column:
     """Lower-case words of letters a-z and digits."""
-    return F.filter(F.transform(F.split(text, r"\s+"), lambda w: F.regexp_replace(F.lower(w), "[^a-z0-9]", "")), lambda w: w != "")
+    return F.filter(F.split(F.regexp_replace(F.lower(text), r"[^a-z0-9\s]", ""), r"\s+"), lambda w: w != "")
 
 
 def epoch_ms(ts: Column) -> Column:

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import LinearSVC
-from pyspark.ml.feature import IDF, HashingTF
+from dataclasses import dataclass
+
+from pyspark.ml.classification import LinearSVC, LinearSVCModel
+from pyspark.ml.feature import IDF, HashingTF, IDFModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkloom.operators.features import term_frequency, term_rows, tfidf
+
 
 def margins(values: DataFrame, weights: DataFrame, key: str) -> DataFrame:
     """(key, label, margin): weighted sums of the documents' features."""
@@ -25,26 +30,54 @@ def labelled(label: Column, target: str) -> Column:
     return F.when(F.lower(label) == target, 1.0).otherwise(0.0)
 
 
-def vectors(docs: DataFrame, terms: str, least: int, features: int = 1 << 16) -> DataFrame:
-    """TF-IDF vectors of a column of term arrays."""
-    counted = HashingTF(inputCol=terms, outputCol="tf", numFeatures=features).transform(docs)
-    return IDF(inputCol="tf", outputCol="features", minDocFreq=least).fit(counted).transform(counted)
+FEATURES = 1 << 20
+
+
+def by_weights(rows: DataFrame, key: str, terms: Column, weights: DataFrame, idf: DataFrame, labels: list[str], least: float = 1.0, none: str = "none") -> DataFrame:
+    """(key, classification) of every row by TF-IDF margins over (label, term, weight) rows; a row without terms is ``none``."""
+    counted = term_frequency(term_rows(rows, key, terms), key)
+    return label_lists(margins(tfidf(counted, idf, key), weights, key), rows, key, labels, least, none)
+
 
+@dataclass
+class Models:
+    """An IDF and a linear SVM for each label, over hashed terms."""
 
-def train(docs: DataFrame, label: str, targets: list[str], iterations: int = 100) -> dict[str, object]:
-    """A linear SVM for each label of ``docs`` (which has ``features``)."""
-    out = {}
-    for target in targets:
-        rows = docs.withColumn("y", labelled(F.col(label), target))
-        out[target] = LinearSVC(featuresCol="features", labelCol="y", maxIter=iterations, regParam=0.01, predictionCol=f"p_{target}", rawPredictionCol=f"m_{target}").fit(rows)
-    return out
+    idf: IDFModel
+    svm: dict[str, LinearSVCModel]
 
+    def vectors(self, docs: DataFrame, terms: str) -> DataFrame:
+        counted = HashingTF(inputCol=terms, outputCol="tf", numFeatures=self.idf.idf.size).transform(docs)
+        return self.idf.transform(counted)
+
+    def save(self, path: str) -> None:
+        """The IDF and each label's model in a folder of its own, over earlier ones."""
+        self.idf.write().overwrite().save(f"{path}/idf")
+        for label, model in self.svm.items():
+            model.write().overwrite().save(f"{path}/label={label}")
+
+    @staticmethod
+    def load(path: str, labels: list[str]) -> "Models":
+        return Models(IDFModel.load(f"{path}/idf"), {x: LinearSVCModel.load(f"{path}/label={x}") for x in labels})
+
+
+def train(docs: DataFrame, terms: str, label: str, targets: list[str], least: int = 1, iterations: int = 100, features: int = FEATURES) -> Models:
+    """A linear SVM for each label of ``docs``; vectors are computed once for all of them."""
+    counted = HashingTF(inputCol=terms, outputCol="tf", numFeatures=features).transform(docs)
+    idf = IDF(inputCol="tf", outputCol="features", minDocFreq=least).fit(counted)
+    rows = idf.transform(counted).select(label, "features").persist()
+    try:
+        of = lambda x: LinearSVC(featuresCol="features", labelCol="y", maxIter=iterations, regParam=0.01, predictionCol=f"p_{x}", rawPredictionCol=f"m_{x}")
+        return Models(idf, {x: of(x).fit(rows.withColumn("y", labelled(F.col(label), x))) for x in targets})
+    finally:
+        rows.unpersist()
 
-def predict(docs: DataFrame, models: dict[str, object], least: float = 1.0, none: str = "none") -> DataFrame:
-    """``docs`` with the labels whose raw margin is ``least`` or more."""
-    from pyspark.ml.functions import vector_to_array
 
-    for model in models.values():
-        docs = model.transform(docs)
-    hits = F.array_compact(F.array(*[F.when(vector_to_array(f"m_{t}")[1] >= least, F.lit(t)) for t in models]))
-    return docs.withColumn("classification", F.when(F.size(hits) > 0, F.array_join(hits, ",")).otherwise(none))
+def predict(docs: DataFrame, terms: str, models: Models, least: float = 1.0, none: str = "none") -> DataFrame:
+    """``docs`` with the labels whose raw margin is ``least`` or more; rows without terms get ``none``."""
+    out = models.vectors(docs, terms)
+    for model in models.svm.values():
+        out = model.transform(out)
+    some = F.size(F.filter(F.col(terms), lambda w: w != "")) > 0
+    hits = F.array_compact(F.array(*[F.when(vector_to_array(f"m_{x}")[1] >= least, F.lit(x)) for x in models.svm]))
+    return out.select(*docs.columns, F.when(some & (F.size(hits) > 0), F.array_join(hits, ",")).otherwise(none).alias("classification"))

@@ -22,7 +22,7 @@ def label_pivot(counts: DataFrame, labels: list[str]) -> DataFrame:
     return counts.groupBy("host").pivot("label", labels).agg(F.sum("n")).na.fill(0)
 
 
-def sentiment_counts(df: DataFrame, label: str, sentiment: str, kinds: list[str], sep: str = ",") -> DataFrame:
-    """A row per label and a column per sentiment."""
-    rows = df.select(F.explode(F.split(label, sep)).alias("label"), F.col(sentiment).alias("sentiment"))
-    return rows.groupBy("label").pivot("sentiment", kinds).agg(F.count(F.lit(1))).na.fill(0)
+def sentiment_counts(df: DataFrame, host: str, label: str, sentiment: str, kinds: list[str], sep: str = ",") -> DataFrame:
+    """A row per host and label and a column per sentiment."""
+    rows = df.select(F.col(host).alias("host"), F.explode(F.split(label, sep)).alias("label"), F.col(sentiment).alias("sentiment"))
+    return rows.groupBy("host", "label").pivot("sentiment", kinds).agg(F.count(F.lit(1))).na.fill(0, kinds)

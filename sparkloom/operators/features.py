@@ -6,27 +6,31 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def term_rows(df: DataFrame, key: str, terms: Column) -> DataFrame:
-    """(key, term) of every term of every row."""
-    return df.select(key, F.explode(terms).alias("term"))
+def term_rows(df: DataFrame, keys: str | list[str], terms: Column) -> DataFrame:
+    """(keys, term) of every non-empty term of every row."""
+    keys = [keys] if isinstance(keys, str) else keys
+    return df.select(*keys, F.explode(terms).alias("term")).where("term <> ''")
 
 
-def term_frequency(rows: DataFrame, key: str) -> DataFrame:
-    return rows.groupBy(key, "term").agg(F.count("*").alias("tf"))
+def term_frequency(rows: DataFrame, keys: str | list[str], count: str | None = None) -> DataFrame:
+    """How often each term occurs by keys; ``count`` names a column of frequencies to add up instead of rows."""
+    keys = [keys] if isinstance(keys, str) else keys
+    return rows.groupBy(*keys, "term").agg((F.sum(count) if count else F.count("*")).alias("tf"))
 
 
-def document_frequency(frequency: DataFrame, least: int = 1) -> DataFrame:
-    """Terms with the number of documents that have them, from ``least`` on."""
-    return frequency.groupBy("term").agg(F.count("*").alias("df")).where(F.col("df") >= least)
+def document_frequency(docs: DataFrame, terms: Column, least: int = 1) -> DataFrame:
+    """Terms with the number of rows of ``docs`` that have them, from ``least`` on.
 
+    A row's terms are made distinct in place, so only partial counts are shuffled.
+    """
+    rows = docs.select(F.explode(F.array_distinct(terms)).alias("term")).where("term <> ''")
+    return rows.groupBy("term").agg(F.count("*").alias("df")).where(F.col("df") >= least)
 
-def inverse_frequency(frequency: DataFrame, key: str, least: int) -> DataFrame:
-    """ln((m + 1) / (df + 1)) of terms in ``least`` documents or more; m counts documents with terms.
 
-    One pass over the (document, term) table serves both counts.
-    """
-    m = frequency.agg(F.countDistinct(key).alias("m"))
-    return document_frequency(frequency, least).crossJoin(F.broadcast(m)).select("term", "df", F.log((F.col("m") + 1.0) / (F.col("df") + 1.0)).alias("idf"))
+def inverse_frequency(docs: DataFrame, terms: Column, least: int) -> DataFrame:
+    """ln((m + 1) / (df + 1)) of terms in ``least`` rows or more; m counts rows with terms, one number to broadcast."""
+    m = docs.where(F.exists(terms, lambda w: w != "")).agg(F.count("*").alias("m"))
+    return document_frequency(docs, terms, least).crossJoin(F.broadcast(m)).select("term", "df", F.log((F.col("m") + 1.0) / (F.col("df") + 1.0)).alias("idf"))
 
 
 def tfidf(frequency: DataFrame, idf: DataFrame, key: str) -> DataFrame:
@@ -47,9 +51,9 @@ def top(df: DataFrame, key: str, n: int, value: str = "value") -> DataFrame:
     return df.withColumn("rank", rank).where(F.col("rank") <= n)
 
 
-def term_cloud(docs: DataFrame, title: str, terms: Column, idf: DataFrame, n: int = 100, state: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def term_cloud(frequency: DataFrame, title: str, idf: DataFrame, n: int = 100, state: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(top terms of each title, new state): title frequencies weighed by the documents' idf, added to the state."""
-    values = tfidf(term_frequency(term_rows(docs, title, terms), title), idf, title)
+    values = tfidf(frequency, idf, title)
     total = combine([values, state], [title, "term"]) if state is not None else values
     return top(total, title, n), total
 

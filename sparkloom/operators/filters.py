@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -44,3 +46,27 @@ def search(df: DataFrame, text: str, keyword: str, limit: int, order: list[str])
 
 def feed(df: DataFrame, time: str, since: Column, until: Column) -> DataFrame:
     return df.where((F.col(time) >= since) & (F.col(time) <= until))
+
+
+def latest(df: DataFrame, keys: list[str], time: str, n: int) -> DataFrame:
+    """The last ``n`` rows of each key by time; each task keeps no more than that of a key before the shuffle."""
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(time)))
+    return df.withColumn("_place", place).where(F.col("_place") <= n).drop("_place")
+
+
+def search_hosts(hosts: DataFrame, posts: DataFrame, keywords: list[str], is_target: Callable[[Column], Column], limit: int, now_ms: int, n_posts: int = 10, share: float = 0.5) -> DataFrame:
+    """(id, type, name, crawltime) of hosts found by a keyword, whatever its case, up to ``limit`` of each type for each.
+
+    Groups must be open.  Of the host's last ``n_posts`` posts at least
+    ``share`` must be of the target in one of their texts; a host without posts
+    is left out.
+    """
+    name = F.lower("name")
+    found = hosts.withColumn("keyword", F.explode(F.array_compact(F.array(*[F.when(F.contains(name, F.lit(k.lower())), F.lit(k)) for k in keywords]))))
+    place = F.row_number().over(Window.partitionBy("keyword", "type").orderBy("id"))
+    found = found.withColumn("_place", place).where(F.col("_place") <= limit)
+    found = found.where((F.col("type") != "group") | (F.col("privacy") == "OPEN")).select("id", "type", "name").distinct()
+    fields = ["caption", "description", "message", "name", "story"]
+    mine = latest(posts.join(found.select(F.col("id").alias("host_id")), "host_id", "left_semi"), ["host_id"], "time", n_posts)
+    kept = majority(mine, "host_id", any_target(fields, is_target), share).select(F.col("host_id").alias("id"))
+    return found.join(kept, "id", "left_semi").select("id", "type", "name", F.lit(now_ms).cast("bigint").alias("crawltime"))

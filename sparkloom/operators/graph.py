@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkloom.sources.sinks import numbered_rows
+
 
 def nodes(df: DataFrame, title: str, user: str, reply_to: str) -> DataFrame:
     """(title, node, size): how often a name occurs as author or addressee; no title is ``all``."""
@@ -34,5 +36,5 @@ def merge_edges(*parts: DataFrame) -> DataFrame:
 
 
 def numbered(df: DataFrame, order: list[str]) -> DataFrame:
-    """Rows of each title numbered from 0, for its file."""
-    return df.withColumn("id", F.row_number().over(Window.partitionBy("title").orderBy(*order)) - 1)
+    """Rows of each title numbered from 0, for its file, in ``order``."""
+    return numbered_rows(df, order, ["title"])

@@ -1,7 +1,7 @@
 """Comments of a web page: comment blocks, their author, text and replies.
 
 The page becomes a small tree; blocks are found in comment sectors by class and
-tag, author and text by the earliest of the usual places, replies recursively.
+tag, author and text by the earliest of the usual places, replies level by level.
 """
 
 from __future__ import annotations
@@ -119,46 +119,61 @@ def body(block: Node) -> str:
     return _earliest(block, [classed("div"), classed("p"), lambda n: n.tag == "p", lambda n: n.tag == "blockquote"])
 
 
+def _full(n: Node) -> bool:
+    return bool(author(n)) and bool(body(n))
+
+
 def blocks(sector: Node) -> list[Node]:
-    """Two siblings or more of one tag and first class, else any block, with author and text."""
-    full = lambda n: bool(author(n)) and bool(body(n))
-    todo = [sector]
+    """Comment blocks of a sector, those with author and text.
+
+    Blocks that have a sibling of their tag and first class count, of all
+    parents; where a level has fewer than two of them, those inside each of
+    its blocks, if these are two or more together.  Else any block counts.
+    """
+    todo, found = [sector], []
     while todo:
-        groups: dict[tuple, list[Node]] = {}
-        found = [n for s in todo for n in outermost(s, _is_block)]
-        for n in found:
-            groups.setdefault((id(n.parent), n.tag, (n.classes.split() or [""])[0]), []).append(n)
-        for group in groups.values():
-            if len(group) >= 2 and all(map(full, group)):
-                return group
-        todo = found
+        inner: list[Node] = []
+        for level in todo:
+            blocks_here = outermost(level, _is_block)
+            groups: dict[tuple, list[Node]] = {}
+            for n in blocks_here:
+                groups.setdefault((id(n.parent), n.tag, (n.classes.split() or [""])[0]), []).append(n)
+            good = [n for group in groups.values() if len(group) >= 2 for n in group if _full(n)]
+            if len(good) >= 2:
+                found += good
+            else:
+                inner += blocks_here
+        todo = inner
+    if len(found) >= 2:
+        return found
     todo = [sector]
     while todo:
-        found = [n for s in todo for n in outermost(s, _is_block)]
-        if good := [n for n in found if full(n)]:
+        level = [n for s in todo for n in outermost(s, _is_block)]
+        if good := [n for n in level if _full(n)]:
             return good
-        todo = found
+        todo = level
     return []
 
 
 def comments(html: str) -> list[tuple[str, str, str, int, str]]:
-    """(path, user, text, depth, reply to) of every comment; the top level has depth 1."""
+    """(path, user, text, depth, reply to) of every comment; the top level has depth 1.
+
+    A reply is the outermost element inside a comment that is marked as one and
+    has author and text; it is a comment of its own, one level deeper.
+    """
     out: list[tuple[str, str, str, int, str]] = []
     taken: set[int] = set()
-
-    def take(found: list[Node], reply_to: str, depth: int, path: str) -> None:
-        for i, block in enumerate(found):
-            if id(block) in taken:
-                continue
-            taken.add(id(block))
-            here = f"{path}/{i}"
-            user = author(block)
-            out.append((here, user, body(block), depth, reply_to))
-            replies = outermost(block, lambda n: n.tag == "li" or n.tag == "div" and bool(REPLY.search(n.classes)))
-            take([n for n in replies if author(n) and body(n)], user, depth + 1, here)
-
-    for k, sector in enumerate(outermost(parse(html), lambda n: n.tag in ("ol", "ul") or n.tag == "div" and bool(SECTOR.search(n.classes)))):
-        take(blocks(sector), "", 1, str(k))
+    is_reply = lambda n: n.tag == "li" or n.tag == "div" and bool(REPLY.search(n.classes))
+    sectors = outermost(parse(html), lambda n: n.tag in ("ol", "ul") or n.tag == "div" and bool(SECTOR.search(n.classes)))
+    todo = [(n, f"{k}/{i}", 1, "") for k, sector in enumerate(sectors) for i, n in enumerate(blocks(sector))][::-1]
+    while todo:
+        block, path, depth, reply_to = todo.pop()
+        if id(block) in taken:
+            continue
+        taken.add(id(block))
+        user = author(block)
+        out.append((path, user, body(block), depth, reply_to))
+        todo += [(n, f"{path}/{i}", depth + 1, user) for i, n in enumerate(x for x in outermost(block, is_reply) if _full(x))][::-1]
     return out
 
 

@@ -2,30 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def replies(df: DataFrame, parent: str, of: DataFrame, of_id: str) -> DataFrame:
-    """Rows that answer one of the given rows."""
-    return df.join(of.select(F.col(of_id).alias(parent)), parent, "left_semi")
-
-
-def _written(df: DataFrame) -> tuple[DataFrame, str]:
-    """A scan of ``df`` written once below ``spark.checkpoint.dir``, and its path."""
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="sparkloom-")
-    path = f"{base.rstrip('/')}/sparkloom/replies-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path
+from sparkloom.sources.workspace import remove, written
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+def replies(df: DataFrame, parent: str, of: DataFrame, of_id: str, since: Column | None = None, addressee: Column | None = None) -> DataFrame:
+    """Rows that answer one of the given rows, optionally from a time on (``since``, a condition) and to the right user (``addressee``, likewise)."""
+    for condition in (since, addressee):
+        if condition is not None:
+            df = df.where(condition)
+    return df.join(of.select(F.col(of_id).alias(parent)), parent, "left_semi")
 
 
 def tree(df: DataFrame, key: str, parent: str) -> DataFrame:
@@ -38,14 +26,14 @@ def tree(df: DataFrame, key: str, parent: str) -> DataFrame:
     """
     spark, up = df.sparkSession, F.col("parent")
     rows = df.select(F.col(key).alias("child"), F.col(parent).alias("parent")).where(F.col("child").isNotNull())
-    state, path = _written(rows.select("child", "parent", F.coalesce(up, F.col("child")).alias("base"), F.when(up.isNull(), 0).otherwise(1).alias("depth"), up.isNull().alias("done")))
+    state, path = written(rows.select("child", "parent", F.coalesce(up, F.col("child")).alias("base"), F.when(up.isNull(), 0).otherwise(1).alias("depth"), up.isNull().alias("done")), "replies")
     n, reach = state.count(), 1
     while reach <= n and not state.where(~F.col("done")).isEmpty():
         above = state.select(F.col("child").alias("base"), F.col("base").alias("next"), F.col("depth").alias("more"), F.col("done").alias("ends"))
         moved = state.where(~F.col("done")).join(above, "base").select("child", "parent", F.col("next").alias("base"), (F.col("depth") + F.col("more")).alias("depth"), F.col("ends").alias("done"))
         old = path
-        state, path = _written(state.where("done").unionByName(moved))
-        _remove(spark, old)
+        state, path = written(state.where("done").unionByName(moved), "replies")
+        remove(spark, old)
         reach *= 2
     return state.where("done AND depth > 0").select("child", "parent", "base", "depth")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.functions.text import lookup, standard_pos, stem
+from sparkloom.functions.text import standard_pos, stem
 
 #: A small lexicon written for this engine: pos, id, positive, negative, term#rank list.
 LEXICON = (
@@ -31,56 +31,62 @@ def prior(lines: DataFrame) -> DataFrame:
     return parts.groupBy("term", "pos").agg((F.sum(F.col("s") / F.col("rank")) / F.sum(1 / F.col("rank"))).alias("score"))
 
 
-def score_map(entries: list[tuple[str, str, float]]) -> dict[str, float]:
-    return {f"{t}#{p}": s for t, p, s in entries}
+def flips(tags: Column, span: int = 4) -> Column:
+    """Whether the sign of each word flips: up to ``span`` words after a negation; another one or a conjunction ends it."""
+    marks = F.filter(F.transform(tags, lambda t, i: F.struct(i.alias("i"), t.alias("t"))), lambda x: x["t"].isin("NEG", "CC"))
+    none = F.array().cast("array<struct<lo:int,hi:int>>")
+    start = F.struct(F.lit(None).cast("int").alias("neg"), none.alias("out"))
+    closed = lambda acc, end: F.when(acc["neg"].isNotNull(), F.concat(acc["out"], F.array(F.struct((acc["neg"] + 1).alias("lo"), F.least(acc["neg"] + span, end).alias("hi"))))).otherwise(acc["out"])
 
+    def step(acc: Column, x: Column) -> Column:
+        active = F.coalesce(x["i"] <= acc["neg"] + span, F.lit(False))
+        return F.struct(F.when((x["t"] == "NEG") & ~active, x["i"]).alias("neg"), closed(acc, x["i"] - 1).alias("out"))
 
-def word_score(word: Column, tag: Column, scores: dict[str, float]) -> Column:
-    """Score of word#pos, else of its stem, else 0; 0 too within 0.1 of 0."""
-    table = F.create_map(*[F.lit(x) for kv in scores.items() for x in kv])
-    key = lambda w: F.concat(w, F.lit("#"), standard_pos(tag))
-    s = F.coalesce(F.element_at(table, key(word)), F.element_at(table, key(stem(word))), F.lit(0.0))
-    return F.when(F.abs(s) <= 0.1, F.lit(0.0)).otherwise(s)
+    def of(spans: Column) -> Column:
+        return F.transform(tags, lambda t, i: ~t.isin("NEG", "CC") & F.exists(spans, lambda s: (s["lo"] <= i) & (i <= s["hi"])))
 
+    ends = F.aggregate(marks, start, step, lambda acc: closed(acc, F.lit(2**31 - 1)))
+    return F.element_at(F.transform(F.array(ends), of), 1)
 
-def score_sentence(tagged: Column, scores: dict[str, float]) -> Column:
-    return F.transform(tagged, lambda x: F.struct(x["word"].alias("word"), x["tag"].alias("tag"), word_score(x["word"], x["tag"], scores).alias("score")))
 
+def negate(scored: Column, span: int = 4) -> Column:
+    """Scored words with the signs that ``flips`` names turned."""
+    sign = flips(F.transform(scored, lambda x: x["tag"]), span)
+    return F.zip_with(scored, sign, lambda x, f: F.struct(x["word"].alias("word"), x["tag"].alias("tag"), F.when(f, -x["score"]).otherwise(x["score"]).alias("score")))
 
-def _after(left: Column, tag: Column, span: int) -> tuple[Column, Column]:
-    """(words still to flip after this one, whether this one flips)."""
-    is_neg, is_cc = tag == "NEG", tag == "CC"
-    then = F.when(is_neg, F.when(left > 0, 0).otherwise(span)).when(is_cc, 0).otherwise(F.greatest(left - 1, F.lit(0)))
-    return then.cast("int"), (left > 0) & ~is_neg & ~is_cc
 
+def sentence_words(docs: DataFrame, key: str, tagged_sentences: Column, negation: str | None = None) -> DataFrame:
+    """(key, sentence, word, pos, flip) of every word of the (word, tag) sentences."""
+    each = docs.select(key, F.posexplode(tagged_sentences).alias("sentence", "s"))
+    sign = flips(F.transform("s", lambda x: x["tag"])) if negation == "window4" else F.transform("s", lambda x: F.lit(False))
+    rows = each.select(key, "sentence", F.explode(F.zip_with("s", sign, lambda x, f: F.struct(x["word"].alias("word"), x["tag"].alias("tag"), f.alias("flip")))).alias("w"))
+    return rows.select(key, "sentence", "w.word", standard_pos(F.col("w.tag")).alias("pos"), "w.flip")
 
-def negate(scored: Column, span: int = 4) -> Column:
-    """Sign flips for up to ``span`` words after a negation; another negation or a conjunction ends it."""
-    start = F.struct(F.lit(0).alias("left"), F.array().cast("array<struct<word:string,tag:string,score:double>>").alias("out"))
 
-    def step(acc: Column, x: Column) -> Column:
-        left, flip = _after(acc["left"], x["tag"], span)
-        word = F.struct(x["word"].alias("word"), x["tag"].alias("tag"), F.when(flip, -x["score"]).otherwise(x["score"]).alias("score"))
-        return F.struct(left.alias("left"), F.concat(acc["out"], F.array(word)).alias("out"))
+def word_scores(words: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """(word, pos, score) of the distinct words that have one: that of word and pos, else of the word's stem; none within 0.1 of 0.
 
-    return F.aggregate(scored, start, step, lambda acc: acc["out"])
+    ``lexicon`` has term, pos and score and is joined, so it may have any size.
+    """
+    once = words.select("word", "pos").distinct()
+    named = lambda by, score: lexicon.select(F.col("term").alias(by), "pos", F.col("score").alias(score))
+    both = once.withColumn("stem", stem(F.col("word"))).join(named("word", "own"), ["word", "pos"], "left").join(named("stem", "stemmed"), ["stem", "pos"], "left")
+    return both.select("word", "pos", F.coalesce("own", "stemmed").alias("score")).where(F.abs("score") > 0.1)
 
 
-def negated_average(scored: Column, span: int = 4) -> Column:
-    """``average(negate(scored))`` in one pass that keeps sums only."""
-    names = ("sp", "np", "sn", "nn")
-    start = F.struct(F.lit(0).alias("left"), *[F.lit(0.0).alias(n) for n in names])
+def sentence_scores(words: DataFrame, lexicon: DataFrame, key: str) -> DataFrame:
+    """(key, sentence, pos, neg) of sentences that have a score: mean of the positive scores, and of the negative ones' size."""
+    score = F.when(F.col("flip"), -F.col("score")).otherwise(F.col("score"))
+    hits = words.join(word_scores(words, lexicon), ["word", "pos"]).select(key, "sentence", score.alias("score"))
+    mean = lambda c: F.coalesce(F.avg(F.when(c > 0, c)), F.lit(0.0))
+    return hits.groupBy(key, "sentence").agg(mean(F.col("score")).alias("pos"), mean(-F.col("score")).alias("neg"))
 
-    def step(acc: Column, x: Column) -> Column:
-        left, flip = _after(acc["left"], x["tag"], span)
-        v = F.when(flip, -x["score"]).otherwise(x["score"])
-        up, down = F.greatest(v, F.lit(0.0)), F.greatest(-v, F.lit(0.0))
-        one = lambda c: F.when(c > 0, 1.0).otherwise(0.0)
-        added = zip(names, (up, one(up), down, one(down)), strict=True)
-        return F.struct(left.alias("left"), *[(acc[n] + a).alias(n) for n, a in added])
 
-    mean = lambda s, n: F.when(n > 0, s / n).otherwise(F.lit(0.0))
-    return F.aggregate(scored, start, step, lambda a: F.struct(mean(a["sp"], a["np"]).alias("pos"), mean(a["sn"], a["nn"]).alias("neg")))
+def detect(docs: DataFrame, key: str, tagged_sentences: Column, lexicon: DataFrame, negation: str | None = None) -> DataFrame:
+    """(key, pos, neg, sentiment) of every row: sentence averages added up."""
+    total = sentence_scores(sentence_words(docs, key, tagged_sentences, negation), lexicon, key).groupBy(key).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    out = docs.select(key).join(total, key, "left").na.fill(0.0, ["pos", "neg"])
+    return out.select(key, "pos", "neg", label(F.round("pos", 9), F.round("neg", 9)).alias("sentiment"))
 
 
 def average(scored: Column) -> Column:
@@ -92,16 +98,3 @@ def average(scored: Column) -> Column:
 
 def label(pos: Column, neg: Column) -> Column:
     return F.when(pos > neg, "positif").when(pos < neg, "negatif").otherwise("netral")
-
-
-def detect(tagged_sentences: Column, scores: dict[str, float], negation: str | None = None) -> Column:
-    """(pos, neg, sentiment) of a document: sentence averages added up."""
-    each = F.transform(tagged_sentences, lambda s: negated_average(score_sentence(s, scores)) if negation == "window4" else average(score_sentence(s, scores)))
-
-    def of(sides: Column) -> Column:
-        add = lambda a, v: F.struct((a["pos"] + v["pos"]).alias("pos"), (a["neg"] + v["neg"]).alias("neg"))
-        zero = F.struct(F.lit(0.0).alias("pos"), F.lit(0.0).alias("neg"))
-        name = lambda a: F.struct(a["pos"].alias("pos"), a["neg"].alias("neg"), label(F.round(a["pos"], 9), F.round(a["neg"], 9)).alias("sentiment"))
-        return F.aggregate(sides, zero, add, name)
-
-    return F.element_at(F.transform(F.array(each), of), 1)

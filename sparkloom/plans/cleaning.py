@@ -94,34 +94,47 @@ def clean_text(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", T.clean_terms(F.col("text")).alias("terms"))
 
 
-@QUERIES.add(r"SELECT doc_id, CAST(len(string_split_regex(trim(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), ''), chr(1))) AS INTEGER) AS n_sentences FROM documents")
+@QUERIES.add(r"SELECT doc_id, array_to_string(string_split_regex(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), '|') AS sentences FROM documents")
 def sentences(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.size(T.sentences(F.col("text"))).alias("n_sentences"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(T.sentences(F.col("text")), "|").alias("sentences"))
 
 
-_TAG = sql_case(T.TAGS, "w", "'NN'")
+def _sql_tagged() -> str:
+    """Words after the rules without the last three, split at the spaces these put in, and their tags."""
+    words = sql_words("regexp_replace(text, '([.!?])\\s+', '\\1 ', 'g')")
+    for step in _STEPS[:6]:
+        words = f"list_transform({words}, lambda w: {step('w')})"
+    tag = sql_case(T.TAGS, "w", "'NN'")
+    return f"WITH x AS (SELECT unnest(string_split(array_to_string({words}, ' '), ' ')) AS w FROM documents), t AS (SELECT {tag} AS tag FROM x WHERE w <> ''), p AS (SELECT {sql_case(T.POS_CLASSES, 'tag', 'tag')} AS pos FROM t) "
 
 
-@QUERIES.add(f"WITH x AS (SELECT unnest(list_transform({sql_words()}, lambda w: lower(w))) AS w FROM documents), t AS (SELECT {_TAG} AS tag FROM x) SELECT tag, count(*) AS n FROM t GROUP BY tag")
+@QUERIES.add(_sql_tagged() + "SELECT tag, count(*) AS n FROM t GROUP BY tag")
 def pos_tags(spark, sf_dir):
-    lower = F.transform(T.words(F.col("text")), F.lower)
-    return table(spark, sf_dir, "documents").select(F.explode(T.tag_words(lower)).alias("x")).groupBy("x.tag").agg(F.count("*").alias("n"))
+    """Tags of the words that are cleaned for the tagger."""
+    tagged = F.flatten(T.clean_tagged(F.col("text")))
+    return table(spark, sf_dir, "documents").select(F.explode(tagged).alias("x")).groupBy("x.tag").agg(F.count("*").alias("n"))
 
 
-@QUERIES.add(f"WITH x AS (SELECT unnest(list_transform({sql_words()}, lambda w: lower(w))) AS w FROM documents), t AS (SELECT {_TAG} AS tag FROM x), p AS (SELECT {sql_case(T.POS_CLASSES, 'tag', 'tag')} AS pos FROM t) SELECT pos, count(*) AS n FROM p GROUP BY pos")
+@QUERIES.add(_sql_tagged() + "SELECT pos, count(*) AS n FROM p GROUP BY pos")
 def standard_pos(spark, sf_dir):
     return pos_tags(spark, sf_dir).groupBy(T.standard_pos(F.col("tag")).alias("pos")).agg(F.sum("n").alias("n"))
 
 
-@QUERIES.add(f"WITH x AS (SELECT unnest({sql_words()}) AS w FROM documents), a AS (SELECT DISTINCT lower(w) AS term FROM x WHERE regexp_matches(w, '^[ -~]+$')) SELECT term, list_reduce(list_prepend(CAST(0 AS BIGINT), list_transform(string_split(term, ''), lambda c: CAST(ascii(c) AS BIGINT))), lambda a, c: (a * 31 + c) & 4294967295) & 1048575 AS bucket FROM a")
+_UNITS = "list_transform(regexp_extract_all(term, '(?s).'), lambda c: CASE WHEN unicode(c) < 65536 THEN [unicode(c)] ELSE [55296 + ((unicode(c) - 65536) >> 10), 56320 + ((unicode(c) - 65536) & 1023)] END)"
+
+
+@QUERIES.add(f"WITH x AS (SELECT unnest({sql_words()}) AS w FROM documents), a AS (SELECT DISTINCT lower(w) AS term FROM x) SELECT term, list_reduce(list_prepend(CAST(0 AS BIGINT), list_transform(flatten({_UNITS}), lambda u: CAST(u AS BIGINT))), lambda a, c: (a * 31 + c) & 4294967295) & 1048575 AS bucket FROM a")
 def hash_buckets(spark, sf_dir):
-    """Terms of printable ASCII only, as ``ascii`` in the SQL; ``hash_buckets_all`` has every term."""
-    words = table(spark, sf_dir, "documents").select(F.explode(T.words(F.col("text"))).alias("w")).where(F.col("w").rlike("^[ -~]+$"))
+    """Bucket of every term of the documents."""
+    words = table(spark, sf_dir, "documents").select(F.explode(T.words(F.col("text"))).alias("w"))
     return words.select(F.lower("w").alias("term")).distinct().select("term", T.java_bucket(F.col("term")).alias("bucket"))
 
 
+COMPOSITES = ("the of", "in the", "of the and")
+
+
 @QUERIES.add()
-def hash_buckets_all(spark, sf_dir):
-    """Every term of the documents; SQL has no UTF-16 code units, tests hold it against brute force."""
-    words = table(spark, sf_dir, "documents").select(F.explode(T.words(F.col("text"))).alias("w"))
-    return words.select(F.lower("w").alias("term")).distinct().select("term", T.java_bucket(F.col("term")).alias("bucket"))
+def composite_words(spark, sf_dir):
+    """Words with composites joined; leftmost longest has no SQL form, tests hold it against brute force."""
+    joined = T.compose(T.words(F.lower("text")), list(COMPOSITES))
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(joined, "|").alias("words"))

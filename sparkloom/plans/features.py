@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from sparkloom.functions import text as T
 from sparkloom.operators import classify, sentiment
 from sparkloom.operators import features as O
+from sparkloom.plans.cleaning import sql_stem
 from sparkloom.plans.common import Registry, sql_terms, sql_words, table
 from sparkloom.session import EngineConfig
+from sparkloom.sources.workspace import folder
 
 QUERIES = Registry()
 ORACLES = QUERIES.sql
@@ -25,9 +27,13 @@ def _frequency(spark, sf_dir) -> DataFrame:
     return O.term_frequency(O.term_rows(docs, "doc_id", T.simple_terms(F.col("text"))), "doc_id")
 
 
+def _idf(spark, sf_dir) -> DataFrame:
+    return O.inverse_frequency(table(spark, sf_dir, "documents"), T.simple_terms(F.col("text")), CONFIG.min_doc_freq)
+
+
 def _cloud(spark, sf_dir, title: str) -> tuple[DataFrame, DataFrame]:
-    idf = O.inverse_frequency(_frequency(spark, sf_dir), "doc_id", CONFIG.min_doc_freq)
-    return O.term_cloud(table(spark, sf_dir, "documents"), title, T.simple_terms(F.col("text")), idf, CONFIG.top_terms)
+    rows = O.term_rows(table(spark, sf_dir, "documents"), title, T.simple_terms(F.col("text")))
+    return O.term_cloud(O.term_frequency(rows, title), title, _idf(spark, sf_dir), CONFIG.top_terms)
 
 
 def _sql_cloud(title: str) -> str:
@@ -40,19 +46,17 @@ c AS (SELECT * FROM r WHERE rank <= {CONFIG.top_terms})"""
 
 @QUERIES.add(_TF + " SELECT term, count(*) AS df FROM f GROUP BY term")
 def document_frequency(spark, sf_dir):
-    return O.document_frequency(_frequency(spark, sf_dir))
+    return O.document_frequency(table(spark, sf_dir, "documents"), T.simple_terms(F.col("text")))
 
 
 @QUERIES.add(_TF + " SELECT term, df, round(idf, 6) AS idf FROM idf")
 def feature_selection(spark, sf_dir):
-    out = O.inverse_frequency(_frequency(spark, sf_dir), "doc_id", CONFIG.min_doc_freq)
-    return out.withColumn("idf", F.round("idf", 6))
+    return _idf(spark, sf_dir).withColumn("idf", F.round("idf", 6))
 
 
 @QUERIES.add(_TF + " SELECT doc_id, term, round(tf * idf, 6) AS value FROM f JOIN idf USING (term)")
 def tfidf_docs(spark, sf_dir):
-    f = _frequency(spark, sf_dir)
-    return O.tfidf(f, O.inverse_frequency(f, "doc_id", CONFIG.min_doc_freq), "doc_id").withColumn("value", F.round("value", 6))
+    return O.tfidf(_frequency(spark, sf_dir), _idf(spark, sf_dir), "doc_id").withColumn("value", F.round("value", 6))
 
 
 @QUERIES.add(_sql_cloud("lang") + " SELECT lang, term, rank, round(value, 6) AS value FROM c")
@@ -85,8 +89,7 @@ _MARGINS = _TF + f", {_WEIGHTS}, m AS (SELECT doc_id, label, sum(tf * idf * weig
 
 
 def _margins(spark, sf_dir) -> DataFrame:
-    f = _frequency(spark, sf_dir)
-    values = O.tfidf(f, O.inverse_frequency(f, "doc_id", CONFIG.min_doc_freq), "doc_id")
+    values = O.tfidf(_frequency(spark, sf_dir), _idf(spark, sf_dir), "doc_id")
     weights = F.broadcast(spark.createDataFrame(WEIGHTS, "label string, term string, weight double"))
     return classify.margins(values, weights, "doc_id")
 
@@ -103,11 +106,13 @@ def classify_labels(spark, sf_dir):
 
 @QUERIES.add()
 def svm_train_predict(spark, sf_dir):
-    """Train one linear SVM per label and classify the same rows."""
+    """Train one linear SVM per label, save and load them, and classify the same rows."""
     docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
     rows = docs.select("doc_id", F.when(F.col("quality") == 1, "good").otherwise("junk").alias("label"), T.simple_terms(F.col("text")).alias("terms"))
-    vectors = classify.vectors(rows, "terms", 5)
-    return classify.predict(vectors, classify.train(vectors, "label", ["good", "junk"], 20), least=0.0).select("doc_id", "label", "classification")
+    path = folder(spark, "models")
+    classify.train(rows, "terms", "label", ["good", "junk"], 5, 20, 1 << 16).save(path)
+    models = classify.Models.load(path, ["good", "junk"])
+    return classify.predict(rows, "terms", models, least=0.0).select("doc_id", "label", "classification")
 
 
 @QUERIES.add("SELECT doc_id, CASE WHEN quality = 1 THEN 'Good' ELSE 'Junk' END AS label, CASE WHEN quality = 1 THEN 1.0 ELSE 0.0 END::DOUBLE AS y FROM labels")
@@ -128,28 +133,17 @@ def lexicon_prior(spark, sf_dir):
     return _lexicon(spark).withColumn("score", F.round("score", 6))
 
 
-def prior_map() -> dict[str, float]:
-    """term#pos -> prior of the built-in lexicon, by the same formula."""
-    top: dict[str, float] = {}
-    low: dict[str, float] = {}
-    for pos, _, p, n, terms in sentiment.LEXICON:
-        for t in terms.split(" "):
-            term, rank = t.split("#")
-            key = f"{term}#{pos}"
-            top[key] = top.get(key, 0.0) + (p - n) / int(rank)
-            low[key] = low.get(key, 0.0) + 1 / int(rank)
-    return {k: top[k] / low[k] for k in top}
-
-
 _TAGGED = {k: T.POS_CLASSES.get(v, v) for k, v in T.TAGS.items()}
-_STEMLESS = "w IN (SELECT term FROM lp)"
 _SCORES = f"""WITH {_LEX},
 tags(w, pos) AS (VALUES {", ".join(f"('{k}', '{v}')" for k, v in _TAGGED.items())}),
 d AS (SELECT doc_id, string_split_regex(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)) AS ss FROM documents),
 s AS (SELECT doc_id, i, lower(ss[i]) AS sentence FROM (SELECT doc_id, ss, unnest(range(1, len(ss) + 1)) AS i FROM d)),
 w AS (SELECT doc_id, i, unnest({sql_words("sentence")}) AS w FROM s),
 g AS (SELECT doc_id, i, w.w, coalesce(pos, 'n') AS pos FROM w LEFT JOIN tags ON w.w = tags.w),
-z AS (SELECT doc_id, i, w, g.pos, CASE WHEN abs(coalesce(score, 0)) <= 0.1 THEN 0.0 ELSE score END AS score FROM g LEFT JOIN lp ON w = term AND g.pos = lp.pos)"""
+v AS (SELECT w, pos, {sql_stem("w")} AS stem FROM (SELECT DISTINCT w, pos FROM g)),
+x AS (SELECT v.w, v.pos, coalesce(a.score, b.score, 0) AS s FROM v LEFT JOIN lp a ON v.w = a.term AND v.pos = a.pos LEFT JOIN lp b ON v.stem = b.term AND v.pos = b.pos),
+z AS (SELECT doc_id, i, g.w, g.pos, CASE WHEN abs(s) <= 0.1 THEN 0.0 ELSE s END AS score FROM g JOIN x ON g.w = x.w AND g.pos = x.pos),
+e AS (SELECT doc_id, i, coalesce(avg(score) FILTER (score > 0), 0) AS pos, coalesce(avg(-score) FILTER (score < 0), 0) AS neg FROM z WHERE score <> 0 GROUP BY 1, 2)"""
 
 
 def _tagged(spark, sf_dir) -> DataFrame:
@@ -157,46 +151,34 @@ def _tagged(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", each.alias("tagged"))
 
 
-@QUERIES.add(_SCORES + ", u AS (SELECT pos, round(score, 6) AS score FROM z WHERE w IN (SELECT term FROM lp)) SELECT pos, score, count(*) AS n FROM u GROUP BY 1, 2")
-def word_scores(spark, sf_dir):
-    """Words that are terms of the lexicon only, as in the SQL; ``word_scores_all`` has every word."""
-    lexicon = prior_map()
-    scored = F.explode(F.flatten(F.transform("tagged", lambda s: sentiment.score_sentence(s, lexicon)))).alias("x")
-    terms = sorted({k.split("#")[0] for k in lexicon})
-    rows = _tagged(spark, sf_dir).select(scored).where(F.col("x.word").isin(*terms))
-    return rows.groupBy(T.standard_pos(F.col("x.tag")).alias("pos"), F.round("x.score", 6).alias("score")).agg(F.count("*").alias("n"))
+def _words(spark, sf_dir, negation: str | None = None) -> DataFrame:
+    return sentiment.sentence_words(_tagged(spark, sf_dir), "doc_id", F.col("tagged"), negation)
 
 
-@QUERIES.add()
-def word_scores_all(spark, sf_dir):
-    """All words, scored by themselves, by their stem, or 0; no short SQL form, tests hold it against brute force."""
-    words = _tagged(spark, sf_dir).select(F.explode(F.flatten("tagged")).alias("x")).groupBy("x.word", "x.tag").agg(F.count("*").alias("n"))
-    rows = words.select(T.standard_pos(F.col("tag")).alias("pos"), F.round(sentiment.word_score(F.col("word"), F.col("tag"), prior_map()), 6).alias("score"), "n")
-    return rows.groupBy("pos", "score").agg(F.sum("n").alias("n"))
+@QUERIES.add(_SCORES + " SELECT pos, round(score, 6) AS score, count(*) AS n FROM z GROUP BY 1, 2")
+def word_scores(spark, sf_dir):
+    """All words, scored by themselves, by their stem, or 0."""
+    words = _words(spark, sf_dir).groupBy("word", "pos").agg(F.count("*").alias("n"))
+    scored = words.join(sentiment.word_scores(words, _lexicon(spark)), ["word", "pos"], "left")
+    return scored.groupBy("pos", F.round(F.coalesce("score", F.lit(0.0)), 6).alias("score")).agg(F.sum("n").alias("n"))
 
 
-def _exact_stem(spark, sf_dir, **options) -> DataFrame:
-    return _tagged(spark, sf_dir).select("doc_id", sentiment.detect(F.col("tagged"), prior_map(), **options).alias("r")).select("doc_id", F.round("r.pos", 6).alias("pos"), F.round("r.neg", 6).alias("neg"), "r.sentiment")
+def _rounded(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({"pos": F.round("pos", 6), "neg": F.round("neg", 6)})
 
 
-@QUERIES.add()
+@QUERIES.add(_SCORES + ", t AS (SELECT doc_id, sum(pos) AS pos, sum(neg) AS neg FROM e GROUP BY 1), d2 AS (SELECT doc_id, coalesce(pos, 0) AS pos, coalesce(neg, 0) AS neg FROM documents LEFT JOIN t USING (doc_id)) SELECT doc_id, round(pos, 6) AS pos, round(neg, 6) AS neg, CASE WHEN round(pos, 9) > round(neg, 9) THEN 'positif' WHEN round(pos, 9) < round(neg, 9) THEN 'negatif' ELSE 'netral' END AS sentiment FROM d2")
 def doc_sentiment(spark, sf_dir):
-    """Sentiment of every document; the stem fallback has no short SQL form, tests hold it against brute force."""
-    return _exact_stem(spark, sf_dir)
+    return _rounded(sentiment.detect(_tagged(spark, sf_dir), "doc_id", F.col("tagged"), _lexicon(spark)))
 
 
 @QUERIES.add()
 def negation_window(spark, sf_dir):
-    return _exact_stem(spark, sf_dir, negation="window4")
+    """Sentiment with signs turned after a negation; tests hold it against brute force."""
+    return _rounded(sentiment.detect(_tagged(spark, sf_dir), "doc_id", F.col("tagged"), _lexicon(spark), "window4"))
 
 
-@QUERIES.add(_SCORES + ", e AS (SELECT doc_id, i, coalesce(avg(score) FILTER (score > 0), 0) AS p, coalesce(avg(-score) FILTER (score < 0), 0) AS n FROM z GROUP BY 1, 2), t AS (SELECT doc_id, sum(p) AS pos, sum(n) AS neg FROM e GROUP BY 1) SELECT doc_id, round(coalesce(pos, 0), 6) AS pos, round(coalesce(neg, 0), 6) AS neg FROM documents LEFT JOIN t USING (doc_id)")
+@QUERIES.add(_SCORES + " SELECT doc_id, CAST(i - 1 AS INTEGER) AS sentence, round(pos, 6) AS pos, round(neg, 6) AS neg FROM e")
 def sentence_scores(spark, sf_dir):
-    """Sentence averages added up per document, by joins: lexicon as a small table, no stem fallback (``doc_sentiment`` has it)."""
-    words = _tagged(spark, sf_dir).select("doc_id", F.posexplode("tagged").alias("i", "s")).select("doc_id", "i", F.explode("s").alias("x"))
-    words = words.select("doc_id", "i", F.col("x.word").alias("term"), T.standard_pos(F.col("x.tag")).alias("pos"))
-    scored = words.join(F.broadcast(_lexicon(spark)), ["term", "pos"]).where(F.abs("score") > 0.1)
-    each = scored.groupBy("doc_id", "i").agg(F.coalesce(F.avg(F.when(F.col("score") > 0, F.col("score"))), F.lit(0.0)).alias("p"), F.coalesce(F.avg(F.when(F.col("score") < 0, -F.col("score"))), F.lit(0.0)).alias("n"))
-    total = each.groupBy("doc_id").agg(F.sum("p").alias("pos"), F.sum("n").alias("neg"))
-    out = table(spark, sf_dir, "documents").select("doc_id").join(total, "doc_id", "left")
-    return out.select("doc_id", F.round(F.coalesce("pos", F.lit(0.0)), 6).alias("pos"), F.round(F.coalesce("neg", F.lit(0.0)), 6).alias("neg"))
+    """Averages of every sentence that has a scored word."""
+    return _rounded(sentiment.sentence_scores(_words(spark, sf_dir), _lexicon(spark), "doc_id"))

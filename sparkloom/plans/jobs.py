@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import argparse
+import time
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from sparkloom.functions import language, text
-from sparkloom.operators import counts, features, filters, graph, html_comments, sentiment
+from sparkloom.operators import classify, counts, features, filters, graph, html_comments, replies, sentiment
 from sparkloom.session import EngineConfig, session
 from sparkloom.sources import sinks, tables
+from sparkloom.streaming import ingest
 
 CONFIG = EngineConfig()
 EXAMPLE_WEIGHTS = (("function", "the", 0.4), ("function", "of", 0.4), ("function", "and", 0.4), ("romance", "de", 0.6), ("romance", "que", 0.6), ("german", "und", 1.1))
@@ -22,25 +26,41 @@ def cleaner(crawl: DataFrame) -> DataFrame:
     return sinks.upsert(crawl, todo.select("row_key", text.clean_terms(F.col("text")).alias("cleaned")), ["row_key"])
 
 
-def classifier(crawl: DataFrame, weights, config: EngineConfig = CONFIG) -> DataFrame:
-    """Labels by linear weights for cleaned rows without one; ``none`` gets no flag."""
+def classifier(crawl: DataFrame, classify_rows: Callable[[DataFrame], DataFrame], config: EngineConfig = CONFIG) -> DataFrame:
+    """Labels for cleaned rows without one; ``none`` gets no flag.
+
+    ``classify_rows`` gives (row_key, classification) for rows with ``cleaned``:
+    by term weights (``classify.by_weights``) or stored models (``by_models``).
+    """
     todo = tables.unprocessed(crawl, "row_key", "cleaned", "classification")
-    labels = list(dict.fromkeys(w[0] for w in weights))
-    has = lambda term: F.size(F.filter(F.split("cleaned", ","), lambda w: w == term))
-    margin = {x: sum((has(t) * F.lit(v) for k, t, v in weights if k == x), F.lit(0.0)) for x in labels}
-    hits = F.array_compact(F.array(*[F.when(m >= config.margin, F.lit(x)) for x, m in margin.items()]))
-    done = todo.select("row_key", F.when(F.size(hits) > 0, F.array_join(hits, ",")).otherwise(config.none_label).alias("classification"))
-    return sinks.upsert(crawl, filters.flag_classified(done, none=config.none_label), ["row_key"])
+    return sinks.upsert(crawl, filters.flag_classified(classify_rows(todo).select("row_key", "classification"), none=config.none_label), ["row_key"])
+
+
+def by_models(path: str, labels: list[str], config: EngineConfig = CONFIG) -> Callable[[DataFrame], DataFrame]:
+    """Classify by the models that ``classifier_builder`` saved."""
+    models = classify.Models.load(path, labels)
+    return lambda rows: classify.predict(rows.select("row_key", F.split("cleaned", ",").alias("terms")), "terms", models, config.margin, config.none_label)
+
 
+def classifier_builder(training: DataFrame, path: str, labels: list[str] | None = None, config: EngineConfig = CONFIG, features_: int = classify.FEATURES) -> list[str]:
+    """Train and save a model for each label of (label, url, terms) rows; the labels."""
+    rows = training.where("terms is not null").select(F.lower("label").alias("label"), F.filter(F.split("terms", ","), lambda w: w != "").alias("terms"))
+    names = labels or [r.label for r in rows.select("label").distinct().orderBy("label").collect()]
+    classify.train(rows, "terms", "label", names, config.min_doc_freq, config.svm_iterations, features_).save(path)
+    return names
 
-def sentiment_analyzer(rows: DataFrame, scores: dict[str, float] | None = None) -> DataFrame:
-    """Sentiment of rows that have a text and none yet."""
-    from sparkloom.plans.features import prior_map
 
+def feature_indices(training: DataFrame, config: EngineConfig = CONFIG) -> DataFrame:
+    """(bucket, term) of the terms in enough training rows."""
+    return features.document_frequency(training, F.split("terms", ","), config.min_doc_freq).select(text.java_bucket(F.col("term")).alias("bucket"), "term")
+
+
+def sentiment_analyzer(rows: DataFrame, lexicon: DataFrame, negation: str | None = None) -> DataFrame:
+    """Sentiment of rows that have a text and none yet, by a lexicon of (term, pos, score)."""
     todo = tables.unprocessed(rows, "row_key", "text", "sentiment")
     each = F.transform(text.sentences(F.col("text")), lambda s: text.tag_words(text.words(F.lower(s))))
-    done = todo.select("row_key", sentiment.detect(each, scores or prior_map())["sentiment"].alias("sentiment"))
-    return sinks.upsert(rows, done, ["row_key"])
+    done = sentiment.detect(todo, "row_key", each, lexicon, negation)
+    return sinks.upsert(rows, done.select("row_key", "sentiment"), ["row_key"])
 
 
 def set_domain(rows: DataFrame) -> DataFrame:
@@ -54,23 +74,29 @@ def term_cloud_builder(crawl: DataFrame, training: DataFrame, title: str, folder
     spark = crawl.sparkSession
     old = tables.state(spark, f"{folder}/state_{title}", "title string, term string, value double")
     todo = tables.scan(crawl, ["cleaned", title], ["termcloud_status"])
-    frequency = features.term_frequency(features.term_rows(training, "url", F.split("terms", ",")), "url")
-    idf = features.inverse_frequency(frequency, "url", config.min_doc_freq)
+    idf = features.inverse_frequency(training, F.split("terms", ","), config.min_doc_freq)
     rows = todo.select(F.explode(F.split(title, ",")).alias("title"), "cleaned")
-    cloud, total = features.term_cloud(rows, "title", F.split("cleaned", ","), idf, config.top_terms, old)
+    cloud, total = features.term_cloud(features.term_frequency(features.term_rows(rows, "title", F.split("cleaned", ",")), "title"), "title", idf, config.top_terms, old)
     sinks.save_state(total, f"{folder}/state_{title}")
     sinks.files_by(cloud.select("title", "term", "value"), "title", f"{folder}/cloud_{title}")
     return sinks.mark(todo, "row_key", "termcloud_status")
 
 
 def network_analyzer(comments: DataFrame, folder: str) -> DataFrame:
-    """Nodes and edges of unprocessed comments added to the saved state; writes state and files."""
+    """Nodes and edges of unprocessed comments added to the saved state; writes state and files.
+
+    The state is written under a run, named by the rows it takes: a run that is
+    repeated before the status is written starts from the state before it.
+    """
     spark = comments.sparkSession
     todo = tables.scan(comments, ["user"], ["network_status"])
-    nodes = graph.merge_nodes(tables.state(spark, f"{folder}/nodes", "title string, node string, size bigint"), graph.nodes(todo, "title", "user", "reply_to"))
-    edges = graph.merge_edges(tables.state(spark, f"{folder}/edges", "title string, node1 string, node2 string"), graph.edges(todo, "title", "user", "reply_to"))
+    seen = todo.agg(F.count("*").alias("n"), F.sum(F.xxhash64("row_key").cast("decimal(38,0)")).alias("h")).first()
+    run = f"{seen.n:x}-{int(seen.h or 0) & (2**64 - 1):016x}"
+    old = lambda name, schema: tables.state(spark, f"{folder}/{name}", schema, run)
+    nodes = graph.merge_nodes(old("nodes", "title string, node string, size bigint"), graph.nodes(todo, "title", "user", "reply_to"))
+    edges = graph.merge_edges(old("edges", "title string, node1 string, node2 string"), graph.edges(todo, "title", "user", "reply_to"))
     for name, df, order in (("nodes", nodes, ["node"]), ("edges", edges, ["node1", "node2"])):
-        path = sinks.save_state(df, f"{folder}/{name}")
+        path = sinks.save_state(df, f"{folder}/{name}", run)
         sinks.files_by(graph.numbered(spark.read.parquet(path), order), "title", f"{folder}/{name}_files")
     return sinks.mark(todo, "row_key", "network_status")
 
@@ -81,12 +107,35 @@ def counter(crawl: DataFrame, host_dim: DataFrame, host: str, labels: list[str])
     return host_dim.join(table, host_dim.domain == table.host).drop("host", "domain")
 
 
-def comment_wrapper(pages: DataFrame, now_ms: int, config: EngineConfig = CONFIG) -> DataFrame:
-    """Comments of pages due for a visit, with the page's url, domain and classification."""
-    todo = filters.due(pages.where("html is not null"), "time_ms", now_ms, config.post_interval_ms)
+def comment_wrapper(pages: DataFrame, comments: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(comment table, page status): comments of classified pages not looked at yet, with the page's url, domain and classification."""
+    todo = tables.scan(pages, ["classified", "html", "url", "host", "classification"], ["comment_status"])
     found = html_comments.extract(todo, "row_key", "html")
     context = todo.select(F.col("row_key").cast("string").alias("page"), "url", F.col("host").alias("domain"), "classification")
-    return found.join(context, "page")
+    new = found.join(context, "page").drop("page")
+    return (new if comments is None else sinks.upsert(comments, new, ["row_key"])), sinks.mark(todo, "row_key", "comment_status")
+
+
+def comment_threads(posts: DataFrame, now_ms: int, comments: DataFrame | None = None, config: EngineConfig = CONFIG, attributes: tuple[str, ...] = ("user_id", "user_name", "text", "time_ms")) -> tuple[DataFrame, DataFrame]:
+    """(comment table, post status): all replies below the classified posts due for a visit, with depth and the users of parent and root.
+
+    ``posts`` has id, reply_to (an id, null for a post), classified, comment_ms
+    (time of the last visit, null for none) and ``attributes``.
+    """
+    roots = posts.where("reply_to is null and classified is not null")
+    due = filters.due(roots.withColumn("_last", F.coalesce("comment_ms", F.lit(0).cast("bigint"))), "_last", now_ms, config.post_interval_ms).select(F.col("id").alias("base"))
+    rows = replies.tree(posts, "id", "reply_to").join(due, "base", "left_semi")
+    full = replies.with_base(rows, posts.select("id", *attributes), "id", list(attributes))
+    named = {"child": "", "parent": "replyto_", "base": "base_"}
+    cells = [F.col(f"{side}_{a}").alias(f"{prefix}{a}") for side, prefix in named.items() for a in attributes if side == "child" or a.startswith("user")]
+    new = full.select(F.col("child").alias("id"), F.col("parent").alias("replyto_id"), F.col("base").alias("base_id"), "depth", *cells)
+    return (new if comments is None else sinks.upsert(comments, new, ["id"])), due.select(F.col("base").alias("id"), F.lit(now_ms).cast("bigint").alias("comment_ms"))
+
+
+def html_content(addresses: DataFrame, pages: DataFrame) -> DataFrame:
+    """The pages of a list of addresses that have content; each once."""
+    wanted = addresses.where("url <> ''").select("url").distinct()
+    return pages.where("html <> ''").join(wanted, "url", "left_semi")
 
 
 def host_crawl(hosts: DataFrame, posts: DataFrame, now_ms: int, config: EngineConfig = CONFIG) -> DataFrame:
@@ -102,18 +151,88 @@ def training_data(lines: DataFrame, pages: DataFrame, target: str) -> DataFrame:
     return both.select("label", "url", text.clean_terms(F.col("text")).alias("terms"))
 
 
-JOBS = {"cleaner": cleaner, "sentimentanalyzer": sentiment_analyzer, "setdomain": set_domain}
+def upload(spark: SparkSession, resource: str) -> DataFrame:
+    """(label, url, terms) of an uploaded training list; lines with fewer than three fields are dropped."""
+    return tables.split_lines(tables.text_lines(spark, resource), "value", "\t", ["label", "url", "terms"]).select("label", "url", "terms")
+
+
+def tweets(spark: SparkSession, source: str, target: str, checkpoint: str, language_: str = "id", interval: str | None = None) -> StreamingQuery:
+    """Posts of a folder in the target language, upserted by id as they arrive."""
+    schema = "row_key string, text string, time_ms long, user_id string, user_name string"
+    stream = ingest.source(spark, source, schema)
+    names = ("row_key", "text", "time_ms", "user_id", "user_name")
+    return ingest.upsert_stream(stream, {n: F.col(n) for n in names}, "row_key", target, checkpoint, language.is_language(F.col("text"), language_), interval, "time_ms")
+
+
+def _now() -> int:
+    return int(time.time() * 1000)
+
+
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
+def _write(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").parquet(path)
+
+
+def _upsert_file(spark: SparkSession, result: tuple[DataFrame, DataFrame], output: str, status: str) -> None:
+    _write(result[0], output)
+    _write(result[1], status)
+
+
+def _facebook(spark, a) -> None:
+    if a.keywords:
+        found = filters.search_hosts(_read(spark, a.hosts), _read(spark, a.posts), tables.word_list(spark, a.keywords), lambda c: language.is_language(c, a.language), CONFIG.search_limit, _now())
+        _write(found, a.output)
+    else:
+        _write(host_crawl(_read(spark, a.hosts), _read(spark, a.posts), _now()), a.output)
+
+
+def _training(spark, a) -> None:
+    if a.mode == "upload":
+        sinks.single_file(upload(spark, a.source), a.output)
+    else:
+        lines = tables.split_lines(tables.text_lines(spark, a.source), "value", "\t", ["label", "url"]).select("label", "url")
+        sinks.single_file(training_data(lines, _read(spark, a.pages), a.language), a.output)
+
+
+def _lexicon(spark, a) -> DataFrame:
+    return sentiment.prior(tables.lexicon_file(spark, a.lexicon))
+
+
+#: Command -> (arguments, options with defaults, what it does).
+COMMANDS: dict[str, tuple[tuple[str, ...], dict[str, str | None], Callable]] = {
+    "cleaner": (("input", "output"), {}, lambda s, a: _write(cleaner(_read(s, a.input)), a.output)),
+    "trainingdatabuilder": (("mode", "source", "output"), {"pages": None, "language": "id"}, _training),
+    "classifierbuilder": (("training", "model"), {"labels": None}, lambda s, a: print(",".join(classifier_builder(tables.training_file(s, a.training), a.model, a.labels and a.labels.split(","))))),
+    "classifier": (("input", "model", "labels", "output"), {}, lambda s, a: _write(classifier(_read(s, a.input), by_models(a.model, a.labels.split(","))), a.output)),
+    "featureindicescreator": (("training", "output"), {}, lambda s, a: _write(feature_indices(tables.training_file(s, a.training)), a.output)),
+    "twittercrawler": (("source", "target", "checkpoint"), {"language": "id", "interval": None}, lambda s, a: tweets(s, a.source, a.target, a.checkpoint, a.language, a.interval).awaitTermination()),
+    "facebookcrawler": (("hosts", "posts", "output"), {"keywords": None, "language": "id"}, _facebook),
+    "sentimentanalyzer": (("input", "lexicon", "output"), {"negation": None}, lambda s, a: _write(sentiment_analyzer(_read(s, a.input), _lexicon(s, a), a.negation), a.output)),
+    "setdomain": (("input", "output"), {}, lambda s, a: _write(set_domain(_read(s, a.input)), a.output)),
+    "htmlcontent": (("addresses", "pages", "output"), {}, lambda s, a: _write(html_content(tables.text_lines(s, a.addresses).withColumnRenamed("value", "url"), _read(s, a.pages)), a.output)),
+    "termcloud": (("input", "training", "folder", "status"), {"title": "classification"}, lambda s, a: _write(term_cloud_builder(_read(s, a.input), tables.training_file(s, a.training), a.title, a.folder), a.status)),
+    "networkanalyzer": (("input", "folder", "status"), {}, lambda s, a: _write(network_analyzer(_read(s, a.input), a.folder), a.status)),
+    "websitecomment": (("pages", "output", "status"), {}, lambda s, a: _upsert_file(s, comment_wrapper(_read(s, a.pages)), a.output, a.status)),
+    "postcomment": (("posts", "output", "status"), {}, lambda s, a: _upsert_file(s, comment_threads(_read(s, a.posts), _now()), a.output, a.status)),
+    "counter": (("input", "hosts", "labels", "output"), {"host": "host"}, lambda s, a: _write(counter(_read(s, a.input), _read(s, a.hosts), a.host, a.labels.split(",")), a.output)),
+}
 
 
 def main(argv: list[str] | None = None) -> None:
-    """python -m sparkloom.plans.jobs JOB INPUT OUTPUT: run a table-to-table job."""
+    """python -m sparkloom.plans.jobs COMMAND ...: run one job; ``websitecrawler`` has nothing to run."""
     parser = argparse.ArgumentParser(description=main.__doc__)
-    parser.add_argument("job", choices=sorted(JOBS))
-    parser.add_argument("input")
-    parser.add_argument("output")
+    each = parser.add_subparsers(dest="command", required=True)
+    for name, (arguments, options, _) in COMMANDS.items():
+        sub = each.add_parser(name)
+        for x in arguments:
+            sub.add_argument(x, choices=("upload", "download") if x == "mode" else None)
+        for x, default in options.items():
+            sub.add_argument(f"--{x}", default=default)
     args = parser.parse_args(argv)
-    spark: SparkSession = session(args.job)
-    JOBS[args.job](spark.read.parquet(args.input)).write.mode("overwrite").parquet(args.output)
+    COMMANDS[args.command][2](session(args.command), args)
 
 
 if __name__ == "__main__":

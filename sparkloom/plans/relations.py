@@ -45,12 +45,12 @@ def network_merge_edges(spark, sf_dir):
     return graph.merge_edges(*[graph.edges(net.where(F.col("event_id") % 2 == k), "title", "u", "r") for k in (0, 1)])
 
 
-@QUERIES.add(_NET + _NODES + _EDGES + "SELECT CAST(row_number() OVER (PARTITION BY title ORDER BY node) - 1 AS INTEGER) AS id, title, node, size FROM nd")
+@QUERIES.add(_NET + _NODES + _EDGES + "SELECT CAST(row_number() OVER (PARTITION BY title ORDER BY node) - 1 AS BIGINT) AS id, title, node, size FROM nd")
 def network_export_nodes(spark, sf_dir):
     return graph.numbered(network_nodes(spark, sf_dir), ["node"])
 
 
-@QUERIES.add(_NET + _NODES + _EDGES + "SELECT CAST(row_number() OVER (PARTITION BY title ORDER BY node1, node2) - 1 AS INTEGER) AS id, * FROM ed")
+@QUERIES.add(_NET + _NODES + _EDGES + "SELECT CAST(row_number() OVER (PARTITION BY title ORDER BY node1, node2) - 1 AS BIGINT) AS id, * FROM ed")
 def network_export_edges(spark, sf_dir):
     return graph.numbered(network_edges(spark, sf_dir), ["node1", "node2"])
 
@@ -108,8 +108,32 @@ def html_visible_text(spark, sf_dir):
     return html_comments.extract_text(table(spark, sf_dir, "pages"), "page_id", "html")
 
 
-@QUERIES.add()
+_THREADS = """WITH c AS (SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS i FROM conversations
+  WHERE role <> '' AND trim(regexp_replace(text, '[^!-~]+', ' ', 'g')) <> '')
+SELECT sha256(conv_id || '|' || CAST(i % 2 AS VARCHAR) || '/' || CAST(i // 2 AS VARCHAR)) AS row_key, CAST(conv_id AS VARCHAR) AS page, role AS "user",
+  trim(regexp_replace(text, '[^!-~]+', ' ', 'g')) AS text, CAST(1 AS INTEGER) AS depth, '' AS reply_to FROM c"""
+
+
+def threads(spark, sf_dir) -> DataFrame:
+    """A page for every conversation: its turns, dealt out over two comment sectors, as comments."""
+    plain = F.trim(F.regexp_replace("text", "[^!-~]+", " "))
+    turns = table(spark, sf_dir, "conversations").where("role <> ''").withColumn("text", plain).where("text <> ''")
+    place = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")) - 1
+    escaped = F.replace(F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    item = F.format_string('<li class="c"><cite>%s</cite><p>%s</p></li>', F.col("role"), escaped)
+    pages = turns.withColumn("i", place).groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("i", item.alias("item")))).alias("items"))
+    side = lambda k: F.concat(F.lit('<div class="comments"><ul>'), F.array_join(F.transform(F.filter("items", lambda x: x["i"] % 2 == k), lambda x: x["item"]), ""), F.lit("</ul></div>"))
+    return pages.select("conv_id", F.concat(F.lit("<html><body>"), side(0), side(1), F.lit("</body></html>")).alias("html"))
+
+
+@QUERIES.add(_THREADS)
 def html_comment_rows(spark, sf_dir):
+    return html_comments.extract(threads(spark, sf_dir), "conv_id", "html")
+
+
+@QUERIES.add()
+def html_page_comments(spark, sf_dir):
+    """Comments of the crawled pages themselves."""
     return html_comments.extract(table(spark, sf_dir, "pages"), "page_id", "html")
 
 

@@ -145,8 +145,38 @@ def host_label_pivot(spark, sf_dir):
     return counts.label_pivot(counts.label_counts(labelled(spark, sf_dir), "source", "labels"), _PIVOT)
 
 
-@QUERIES.add("WITH r AS (SELECT lang || ',all' AS labels, CASE WHEN quality > toxic THEN 'positif' WHEN quality < toxic THEN 'negatif' ELSE 'netral' END AS s FROM documents JOIN labels USING (doc_id)), e AS (SELECT unnest(string_split(labels, ',')) AS label, s FROM r) SELECT label, count(*) FILTER (s = 'positif') AS positif, count(*) FILTER (s = 'negatif') AS negatif, count(*) FILTER (s = 'netral') AS netral FROM e GROUP BY label")
+@QUERIES.add("WITH r AS (SELECT source AS host, lang || ',all' AS labels, CASE WHEN quality > toxic THEN 'positif' WHEN quality < toxic THEN 'negatif' ELSE 'netral' END AS s FROM documents JOIN labels USING (doc_id)), e AS (SELECT host, unnest(string_split(labels, ',')) AS label, s FROM r) SELECT host, label, count(*) FILTER (s = 'positif') AS positif, count(*) FILTER (s = 'negatif') AS negatif, count(*) FILTER (s = 'netral') AS netral FROM e GROUP BY host, label")
 def label_sentiment_counts(spark, sf_dir):
     both = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
     mood = F.when(F.col("quality") > F.col("toxic"), "positif").when(F.col("quality") < F.col("toxic"), "negatif").otherwise("netral")
-    return counts.sentiment_counts(both.select(F.concat("lang", F.lit(",all")).alias("labels"), mood.alias("s")), "labels", "s", ["positif", "negatif", "netral"])
+    return counts.sentiment_counts(both.select("source", F.concat("lang", F.lit(",all")).alias("labels"), mood.alias("s")), "source", "labels", "s", ["positif", "negatif", "netral"])
+
+
+#: Search keywords written for this engine.
+KEYWORDS = ("source_1", "e_0", "7")
+_HITS = _sql_language()[5:].replace("text", "message").replace("documents", "posts").replace("doc_id", "post_id")
+_SEARCH = f"""WITH hosts AS (SELECT source AS id, CASE min(doc_id) % 3 WHEN 0 THEN 'group' WHEN 1 THEN 'page' ELSE 'user' END AS type, source AS name, CASE min(doc_id) % 2 WHEN 0 THEN 'OPEN' ELSE 'CLOSED' END AS privacy FROM documents GROUP BY source),
+posts AS (SELECT doc_id AS post_id, source AS host_id, text AS message, row_number() OVER (PARTITION BY source ORDER BY doc_id DESC) AS place FROM documents),
+{_HITS.split(" SELECT post_id, CASE")[0]},
+l AS (SELECT post_id, CASE{_HITS.split(" SELECT post_id, CASE")[1].replace(" FROM h", "")} FROM h),
+m AS (SELECT host_id FROM posts JOIN l USING (post_id) WHERE place <= 10 GROUP BY host_id HAVING avg(CASE WHEN detected = 'en' THEN 1.0 ELSE 0.0 END) >= 0.5),
+k(keyword) AS (VALUES {", ".join(f"('{k}')" for k in KEYWORDS)}),
+f AS (SELECT keyword, hosts.*, row_number() OVER (PARTITION BY keyword, type ORDER BY id) AS place FROM k JOIN hosts ON contains(lower(name), keyword))
+SELECT DISTINCT id, type, name, {NOW_MS} AS crawltime FROM f JOIN m ON host_id = id WHERE place <= 5000 AND (type <> 'group' OR privacy = 'OPEN')"""
+
+
+@QUERIES.add(_SEARCH)
+def host_search(spark, sf_dir):
+    """Keyword search over hosts, open groups only, with most of the last ten posts in the target language."""
+    docs = table(spark, sf_dir, "documents")
+    first = F.min("doc_id")
+    kind = F.when(first % 3 == 0, "group").when(first % 3 == 1, "page").otherwise("user")
+    hosts = docs.groupBy(F.col("source").alias("id")).agg(kind.alias("type"), F.when(first % 2 == 0, "OPEN").otherwise("CLOSED").alias("privacy")).withColumn("name", F.col("id"))
+    posts = docs.select(F.col("source").alias("host_id"), F.col("doc_id").alias("time"), F.col("text").alias("message"), *[F.lit(None).cast("string").alias(c) for c in ("caption", "description", "name", "story")])
+    return filters.search_hosts(hosts, posts, list(KEYWORDS), lambda c: language.is_language(c, "en"), CONFIG.search_limit, NOW_MS)
+
+
+@QUERIES.add("SELECT source AS host, doc_id FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id DESC) AS place FROM documents) WHERE place <= 10")
+def latest_per_host(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select(F.col("source").alias("host"), "doc_id")
+    return filters.latest(rows, ["host"], "doc_id", 10)

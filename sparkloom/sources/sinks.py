@@ -2,45 +2,70 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sparkloom.sources.tables import _versions
+from sparkloom.sources.tables import version_path, versions
+from sparkloom.sources.workspace import remove, written
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Cells of ``new`` over those of ``old`` by key; a null or absent cell keeps the old value."""
-    cells = [c for c in [*old.columns, *[c for c in new.columns if c not in old.columns]] if c not in keys]
-    both = old.alias("o").join(new.alias("n"), keys, "full_outer")
+    """Cells of ``new`` over those of ``old`` by key; a null or absent cell keeps the old value.
 
-    def cell(c: str):
-        sides = [F.col(f"{side}.{c}") for side, df in (("n", new), ("o", old)) if c in df.columns]
-        return F.coalesce(*sides).alias(c)
+    Null keys are equal.  Of rows of ``new`` that repeat a key each cell takes its greatest value.
+    """
+    given = [c for c in new.columns if c not in keys]
+    cells = [c for c in [*old.columns, *[c for c in given if c not in old.columns]] if c not in keys]
+    fresh = new.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(*[F.max(c).alias(f"_{c}") for c in given], F.lit(True).alias("_new"))
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    both = old.withColumn("_old", F.lit(True)).join(fresh, same, "full_outer")
+    key = [F.when(F.col("_old"), F.col(k)).otherwise(F.col(f"_{k}")).alias(k) for k in keys]
 
-    return both.select(*keys, *[cell(c) for c in cells])
+    def cell(c: str) -> Column:
+        return F.coalesce(*[F.col(x) for x, df in ((f"_{c}", new), (c, old)) if c in df.columns]).alias(c)
 
+    return both.select(*key, *[cell(c) for c in cells])
 
-def with_keys(dimension: DataFrame, new: DataFrame, natural: list[str], key: str = "id") -> DataFrame:
-    """``dimension`` with a surrogate key for every new natural key.
 
-    New keys follow the largest one.  They are numbered by counts per range
-    partition, so no global order meets in one task.
+def numbered_rows(df: DataFrame, order: list[str], within: list[str] = (), name: str = "id") -> DataFrame:
+    """``df`` with the place of each row, from 0, among the rows of the same ``within``.
+
+    Rows are dealt out by ranges and written once with their place in their
+    part; a count per part does the rest, so no group meets in one task.
     """
+    by = [*within, *order]
+    ranged = df.repartitionByRange(*by).sortWithinPartitions(*by).withColumns({"_part": F.spark_partition_id(), "_row": F.monotonically_increasing_id()})
+    rows, _ = written(ranged, "numbered")
+    parts = rows.groupBy(*within, "_part").agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))
+    earlier = Window.partitionBy(*within).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first"))
+    keys = {c: f"_{c}" for c in within}
+    parts = parts.select(*[F.col(c).alias(k) for c, k in keys.items()], F.col("_part").alias("_at"), "_start")
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(k)) for c, k in keys.items()], F.col("_part") == F.col("_at"))
+    return rows.join(parts, same).select(*df.columns, (F.col("_start") + F.col("_row")).cast("bigint").alias(name))
+
+
+def with_keys(dimension: DataFrame, new: DataFrame, natural: list[str], key: str = "id") -> DataFrame:
+    """``dimension`` with a surrogate key for every new natural key; new keys follow the largest one."""
     fresh = new.select(*natural).distinct().join(dimension.select(*natural), natural, "left_anti")
-    ordered = fresh.repartitionByRange(*natural).sortWithinPartitions(*natural).withColumn("_part", F.spark_partition_id())
-    ordered = ordered.withColumn("_row", F.monotonically_increasing_id() - F.shiftleft(F.col("_part").cast("bigint"), 33))
-    sizes = ordered.groupBy("_part").count().withColumn("_before", F.coalesce(F.sum("count").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_part", "_before")
-    start = dimension.agg(F.coalesce(F.max(key), F.lit(0)).cast("bigint").alias("_start"))
-    numbered = ordered.join(sizes, "_part").crossJoin(F.broadcast(start))
-    numbered = numbered.select((F.col("_start") + F.col("_before") + F.col("_row") + 1).alias(key), *natural)
+    start = dimension.agg(F.coalesce(F.max(key), F.lit(0)).cast("bigint")).first()[0]
+    numbered = numbered_rows(fresh, natural, name="_id").select((F.col("_id") + F.lit(start) + 1).alias(key), *natural)
     return dimension.select(key, *natural).unionByName(numbered)
 
 
-def save_state(df: DataFrame, path: str) -> str:
-    """Write the next version of a state; readers see it once it is complete."""
-    done = _versions(df.sparkSession, path)
-    target = f"{path}/v={(done[-1] + 1) if done else 1}"
+def save_state(df: DataFrame, path: str, run: str = "", keep: int = 2) -> str:
+    """Write the next version of a state; readers see it once it is complete.
+
+    A ``run`` that is repeated writes its own version again.  Of older versions the last ``keep`` stay.
+    """
+    spark = df.sparkSession
+    done = [v for v in versions(spark, path) if not run or v[1] != run]
+    target = version_path(path, (done[-1][0] + 1) if done else 1, run)
     df.write.mode("overwrite").parquet(target)
+    for n, r in done[: max(0, len(done) + 1 - keep)]:
+        remove(spark, version_path(path, n, r))
     return target
 
 

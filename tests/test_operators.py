@@ -8,7 +8,6 @@ from sparkloom.functions import language, text
 from sparkloom.operators import classify, counts, filters, graph, html_comments, replies, sentiment
 from sparkloom.operators import features as features_ops
 from sparkloom.plans import catalog, jobs
-from sparkloom.plans.features import prior_map
 from sparkloom.schema import Role, table_name
 from sparkloom.sources import sinks, tables
 from sparkloom.streaming import ingest
@@ -71,7 +70,7 @@ def test_hash_buckets_of_every_term(spark, tmp_path):
     assert column(spark, terms, text.java_bucket) == [plain_bucket(t) for t in terms]
     texts = [None, "", "Über l'été ü \U0001f600", "abc Señor señor\n\u4e2d"]
     spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
-    got = {r.term: r.bucket for r in catalog.QUERIES["hash_buckets_all"](spark, str(tmp_path)).collect()}
+    got = {r.term: r.bucket for r in catalog.QUERIES["hash_buckets"](spark, str(tmp_path)).collect()}
     assert got == {w.lower(): plain_bucket(w.lower()) for t in texts for w in (t or "").split()}
 
 
@@ -117,8 +116,36 @@ def test_negation(spark):
     df = spark.createDataFrame([(words,)], "s array<struct<word:string,tag:string,score:double>>")
     got = [x.score for x in df.select(sentiment.negate(F.col("s"))).first()[0]]
     assert got == [1.0, 0.0, -1.0, -1.0, -1.0, -1.0, 1.0, 0.0, -2.0, 0.0, 2.0]
-    both = df.select(sentiment.average(sentiment.negate(F.col("s"))).alias("a"), sentiment.negated_average(F.col("s")).alias("b")).first()
-    assert both.a == both.b
+
+
+def plain_flips(tags, span=4):
+    left, out = 0, []
+    for t in tags:
+        out.append(left > 0 and t not in ("NEG", "CC"))
+        left = (0 if left > 0 else span) if t == "NEG" else 0 if t == "CC" else max(left - 1, 0)
+    return out
+
+
+def test_negation_against_brute_force(spark):
+    r = random.Random(5)
+    rows = [(i, [r.choice(["NEG", "CC", "NN", "NN", "JJ"]) for _ in range(r.randrange(0, 25))]) for i in range(200)]
+    got = {x.i: x.f for x in spark.createDataFrame(rows, "i int, t array<string>").select("i", sentiment.flips(F.col("t")).alias("f")).collect()}
+    assert all(got[i] == plain_flips(t) for i, t in rows)
+
+
+def prior_map():
+    """term#pos -> rank-weighted mean over the senses of the built-in lexicon."""
+    top, low = {}, {}
+    for pos, _, p, n, terms in sentiment.LEXICON:
+        for t in terms.split(" "):
+            term, rank = t.split("#")
+            top[f"{term}#{pos}"] = top.get(f"{term}#{pos}", 0.0) + (p - n) / int(rank)
+            low[f"{term}#{pos}"] = low.get(f"{term}#{pos}", 0.0) + 1 / int(rank)
+    return {k: top[k] / low[k] for k in top}
+
+
+def lexicon(spark):
+    return sentiment.prior(spark.createDataFrame(sentiment.LEXICON, "pos string, id string, pos_score double, neg_score double, terms string"))
 
 
 def test_document_sentiment_against_brute_force(spark):
@@ -133,15 +160,14 @@ def test_document_sentiment_against_brute_force(spark):
             w = re.sub(pattern, to.replace("$", "\\"), w)
         return w
 
-    def brute(t):
+    def brute(t, negated):
         pos = neg = 0.0
         for s in re.split(r"(?<=[.!?])\s+", t):
-            found = []
-            for w in s.lower().split():
-                tag = text.TAGS.get(w, "NN")
+            found, tags = [], [text.TAGS.get(w, "NN") for w in s.lower().split()]
+            for w, tag, flip in zip(s.lower().split(), tags, plain_flips(tags), strict=True):
                 tag = text.POS_CLASSES.get(tag, tag)
                 v = scores.get(f"{w}#{tag}", scores.get(f"{stem(w)}#{tag}", 0.0))
-                found.append(0.0 if abs(v) <= 0.1 else v)
+                found.append(0.0 if abs(v) <= 0.1 else -v if flip and negated else v)
             up, down = [v for v in found if v > 0], [-v for v in found if v < 0]
             pos += sum(up) / len(up) if up else 0
             neg += sum(down) / len(down) if down else 0
@@ -149,8 +175,9 @@ def test_document_sentiment_against_brute_force(spark):
         return "positif" if a > b else "negatif" if a < b else "netral"
 
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(docs)], "row_key int, text string").withColumn("sentiment", F.lit(None).cast("string"))
-    got = {x.row_key: x.sentiment for x in jobs.sentiment_analyzer(rows).collect()}
-    assert [got[i] for i in range(len(docs))] == [brute(t) for t in docs]
+    for negation in (None, "window4"):
+        got = {x.row_key: x.sentiment for x in jobs.sentiment_analyzer(rows, lexicon(spark), negation).collect()}
+        assert [got[i] for i in range(len(docs))] == [brute(t, negation) for t in docs]
 
 
 def test_word_scores_of_every_word(spark, tmp_path):
@@ -166,7 +193,7 @@ def test_word_scores_of_every_word(spark, tmp_path):
         v = scores.get(f"{w}#{tag}", scores.get(f"{s}#{tag}", 0.0))
         key = (tag, 0.0 if abs(v) <= 0.1 else round(v, 6))
         want[key] = want.get(key, 0) + 1
-    got = {(r.pos, r.score): r.n for r in catalog.QUERIES["word_scores_all"](spark, str(tmp_path)).collect()}
+    got = {(r.pos, r.score): r.n for r in catalog.QUERIES["word_scores"](spark, str(tmp_path)).collect()}
     assert got == want and sum(got.values()) == 14 and scores["er#n"] != 0
 
 
@@ -213,9 +240,10 @@ def test_long_reply_chains(spark, tmp_path):
 def test_term_cloud_state(spark):
     docs = spark.createDataFrame([("x", ["a", "a", "b"]), ("x", ["b"]), ("y", ["c"])], "title string, terms array<string>")
     idf = spark.createDataFrame([("a", 1, 1.0), ("b", 1, 2.0)], "term string, df int, idf double")
-    first, state = features_ops.term_cloud(docs, "title", F.col("terms"), idf, 1)
+    frequency = features_ops.term_frequency(features_ops.term_rows(docs, "title", F.col("terms")), "title")
+    first, state = features_ops.term_cloud(frequency, "title", idf, 1)
     assert [(r.title, r.term, r.value) for r in first.collect()] == [("x", "b", 4.0)]
-    _, total = features_ops.term_cloud(docs, "title", F.col("terms"), idf, 1, state)
+    _, total = features_ops.term_cloud(frequency, "title", idf, 1, state)
     assert {(r.title, r.term): r.value for r in total.collect()} == {("x", "a"): 4.0, ("x", "b"): 8.0}
 
 
@@ -233,16 +261,75 @@ PAGE = """<html><body><div class="comments"><ul>
 
 
 def test_html_comments(spark):
-    simple = PAGE.replace('<li class="c"><p>no author</p></li>', "")
-    got = [(u, t, d, r) for _, u, t, d, r in html_comments.comments(simple)]
-    assert ("Ann", "first", 1, "") in got and ("Eve", "second", 1, "") in got and ("Bob", "answer", 2, "Ann") in got
+    got = [(u, t, d, r) for _, u, t, d, r in html_comments.comments(PAGE)]
+    assert got == [("Ann", "first", 1, ""), ("Bob", "answer", 2, "Ann"), ("Eve", "second", 1, "")]
     assert html_comments.comments("<p>nothing</p>") == [] and html_comments.comments(None) == []
     assert html_comments.visible_text("<p>a</p><script>x</script> b&amp;c") == "a b&c"
-    pages = spark.createDataFrame([(1, simple), (2, None)], "id long, html string")
+    pages = spark.createDataFrame([(1, PAGE), (2, None)], "id long, html string")
     rows = html_comments.extract(pages, "id", "html").collect()
     assert len(rows) == 3 and len({r.row_key for r in rows}) == 3
 
 
+def test_html_comments_of_several_threads():
+    item = lambda u, t: f'<div class="comment x"><cite>{u}</cite><p>{t}</p></div>'
+    two = f'<div class="comments"><div>{item("A", "1")}{item("B", "2")}</div><div>{item("C", "3")}{item("D", "4")}<div class="comment x"><p>no author</p></div></div></div>'
+    assert [x[1] for x in html_comments.comments(two)] == ["A", "B", "C", "D"]
+    deeper = f'<ul><li>{item("A", "1")}{item("B", "2")}</li><li>{item("C", "3")}{item("D", "4")}</li></ul>'
+    assert {x[1] for x in html_comments.comments(deeper)} >= {"A", "C"}
+    one = f'<div class="comments">{item("A", "1")}</div>'
+    assert [x[1:] for x in html_comments.comments(one)] == [("A", "1", 1, "")]
+
+
+def test_html_comments_nested_deep():
+    n = 1500
+    page = '<div class="comments">' + "".join(f'<div class="comment reply"><cite>u{i}</cite><p>t{i}</p>' for i in range(n)) + "</div>" * (n + 1)
+    got = html_comments.comments(page)
+    assert len(got) == n and got[-1][1] == f"u{n - 1}" and got[-1][3] == n
+
+
+def test_composite_words(spark):
+    r = random.Random(9)
+    known = ["a b", "b c", "a b c", "c c"]
+    rows = [(i, [r.choice("abcd") for _ in range(r.randrange(0, 14))]) for i in range(150)]
+    got = {x.i: x.w for x in spark.createDataFrame(rows, "i int, t array<string>").select("i", text.compose(F.col("t"), known).alias("w")).collect()}
+    for i, ws in rows:
+        want, k = [], 0
+        while k < len(ws):
+            found = next((" ".join(ws[k : k + n]) for n in (3, 2) if k + n <= len(ws) and " ".join(ws[k : k + n]) in known), ws[k])
+            want.append(found)
+            k += len(found.split(" "))
+        assert got[i] == want, (ws, got[i], want)
+    assert column(spark, ["x  y"], lambda w: F.array_join(text.compose(text.words(w), []), "|")) == ["x|y"]
+
+
+def test_lookup_in_large_lists(spark):
+    many = {f"w{i}": f"e{i}" for i in range(500)}
+    assert column(spark, ["w7", "w499", "x", None], lambda w: text.lookup(many, w)) == ["e7", "e499", None, None]
+
+
+def test_word_files(spark, tmp_path):
+    (tmp_path / "stop.txt").write_text("yang, dan,\n di,,dan")
+    (tmp_path / "acronyms.txt").write_text("d.k.i.:daerah khusus,p.t.:perseroan")
+    (tmp_path / "lexicon.tsv").write_text("# c\na\t1\t0.5\t0.25\tgood#1 fine#2\tgloss\nshort\t2\nn\t3\tx\t0\tt#1\tg\n")
+    assert tables.word_list(spark, str(tmp_path / "stop.txt")) == ["dan", "di", "yang"]
+    assert tables.word_map(spark, str(tmp_path / "acronyms.txt")) == {"d.k.i.": "daerah khusus", "p.t.": "perseroan"}
+    rows = tables.lexicon_file(spark, str(tmp_path / "lexicon.tsv"))
+    assert [(x.pos, x.pos_score) for x in rows.collect()] == [("a", 0.5)]
+    assert {x.term: x.score for x in sentiment.prior(rows).collect()} == {"good": 0.25, "fine": 0.25}
+
+
+def test_upsert_of_repeated_and_null_keys(spark):
+    old = spark.createDataFrame([("a", 1, "x"), (None, 2, "y")], "k string, v int, w string")
+    new = spark.createDataFrame([("a", 5, None), ("a", 4, None), (None, None, "z"), ("b", 7, "n")], "k string, v int, w string")
+    assert sorted(map(tuple, sinks.upsert(old, new, ["k"]).collect()), key=str) == sorted([("a", 5, "x"), (None, 2, "z"), ("b", 7, "n")], key=str)
+
+
+def test_numbered_rows(spark):
+    rows = [(t, i) for t, n in (("all", 500), ("x", 3), (None, 2)) for i in range(n)]
+    df = graph.numbered(spark.createDataFrame(rows, "title string, node int").repartition(7), ["node"])
+    assert sorted(((x.title, x.node) for x in df.collect()), key=str) == sorted(rows, key=str) and all(x.id == x.node for x in df.collect())
+
+
 def test_jobs_with_state(spark, tmp_path):
     crawl = spark.createDataFrame([("1", "a,b", "x,y", None), ("2", "a", None, None), ("3", "b", "x", "1")], "row_key string, cleaned string, classification string, termcloud_status string")
     training = spark.createDataFrame([("l", "u1", "a,b"), ("l", "u2", "a")], "label string, url string, terms string")
@@ -250,20 +337,93 @@ def test_jobs_with_state(spark, tmp_path):
     done = jobs.term_cloud_builder(crawl, training, "classification", f"file://{tmp_path}", config)
     assert [r.row_key for r in done.collect()] == ["1"]
     assert tables.state(spark, f"file://{tmp_path}/state_classification", "title string, term string, value double").count() == 4
-    comments = spark.createDataFrame([("1", "t", "a", "b", None)], "row_key string, title string, user string, reply_to string, network_status string")
-    for _ in range(2):
-        jobs.network_analyzer(comments, f"file://{tmp_path}/net")
-    sizes = tables.state(spark, f"file://{tmp_path}/net/nodes", "title string, node string, size bigint").collect()
-    assert {r.node: r["size"] for r in sizes} == {"a": 2, "b": 2}
-
-
-def test_stream(spark, tmp_path):
-    spark.range(40).withColumn("v", F.col("id") % 7).repartition(4).write.parquet(f"{tmp_path}/in")
-    stream = ingest.source(spark, f"{tmp_path}/in", "id long, v long")
+    schema = "row_key string, title string, user string, reply_to string, network_status string"
+    sizes = lambda: {r.node: r["size"] for r in tables.state(spark, f"file://{tmp_path}/net/nodes", "title string, node string, size bigint").collect()}
+    for _ in range(2):  # a run repeated before its status is written counts once
+        jobs.network_analyzer(spark.createDataFrame([("1", "t", "a", "b", None)], schema), f"file://{tmp_path}/net")
+        assert sizes() == {"a": 1, "b": 1}
+    jobs.network_analyzer(spark.createDataFrame([("1", "t", "a", "b", "1"), ("2", "t", "a", "c", None)], schema), f"file://{tmp_path}/net")
+    assert sizes() == {"a": 2, "b": 1, "c": 1}
+
+
+def test_classifier_flow(spark, tmp_path):
+    """Build, save, load and classify; the command line does the same."""
+    lines = [f"{'Judi' if i % 2 else 'berita'}\thttp://u{i}\t{'kartu,taruhan' if i % 2 else 'politik,ekonomi'},{'x' if i % 3 else 'y'}" for i in range(40)]
+    (tmp_path / "training.tsv").write_text("\n".join(lines) + "\nshort\n")
+    crawl = spark.createDataFrame([("1", "kartu,taruhan", None, None), ("2", "politik,ekonomi", None, None), ("3", "", None, None), ("4", None, None, None), ("5", "kartu", "old", "1")], "row_key string, cleaned string, classification string, classified string")
+    config = jobs.EngineConfig(min_doc_freq=1, svm_iterations=20, margin=0.5)
+    names = jobs.classifier_builder(tables.training_file(spark, str(tmp_path / "training.tsv")), f"{tmp_path}/model", None, config, 1 << 10)
+    assert names == ["berita", "judi"]
+    out = {x.row_key: (x.classification, x.classified) for x in jobs.classifier(crawl, jobs.by_models(f"{tmp_path}/model", names, config), config).collect()}
+    assert out == {"1": ("judi", "1"), "2": ("berita", "1"), "3": ("none", None), "4": (None, None), "5": ("old", "1")}
+    crawl.write.parquet(f"{tmp_path}/crawl")
+    jobs.main(["classifier", f"{tmp_path}/crawl", f"{tmp_path}/model", "berita,judi", f"{tmp_path}/out"])
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 5
+
+
+def test_commands(spark, tmp_path):
+    assert {"cleaner", "trainingdatabuilder", "classifierbuilder", "classifier", "featureindicescreator", "twittercrawler", "facebookcrawler"} <= set(jobs.COMMANDS)
+    d = str(tmp_path)
+    (tmp_path / "up.tsv").write_text("a\tu1\tx,y\nb\tu2\nb\tu3\tz\n")
+    jobs.main(["trainingdatabuilder", "upload", f"{d}/up.tsv", f"{d}/training"])
+    assert sorted((r.label, r.terms) for r in tables.training_file(spark, f"{d}/training").collect()) == [("a", "x,y"), ("b", "z")]
+    pages = spark.createDataFrame([("u1", "yang dan di ini itu rumah", "<p>x</p>"), ("u2", "the of and to in", ""), ("u3", None, None)], "url string, text string, html string")
+    pages.write.parquet(f"{d}/pages")
+    jobs.main(["trainingdatabuilder", "download", f"{d}/up.tsv", f"{d}/built", "--pages", f"{d}/pages"])
+    assert [r.label for r in tables.training_file(spark, f"{d}/built").collect()] == ["a"]
+    (tmp_path / "urls.txt").write_text("u1\nu2\nu1\n\nu9\n")
+    jobs.main(["htmlcontent", f"{d}/urls.txt", f"{d}/pages", f"{d}/html"])
+    assert [r.url for r in spark.read.parquet(f"{d}/html").collect()] == ["u1"]
+    spark.createDataFrame([("1", "yang dan di", 5, "7", "n"), ("2", "the of", 6, "8", "m")], "row_key string, text string, time_ms long, user_id string, user_name string").write.parquet(f"{d}/tweets")
+    jobs.main(["twittercrawler", f"{d}/tweets", f"file://{d}/posts", f"{d}/checkpoint"])
+    assert [r.row_key for r in spark.read.parquet(f"{d}/posts/batches/*").collect()] == ["1"]
+    web = spark.createDataFrame([("p", PAGE, "http://a/x", "a", "judi", "1", None), ("q", PAGE, "http://a/y", "a", "judi", None, None)], "row_key string, html string, url string, host string, classification string, classified string, comment_status string")
+    web.write.parquet(f"{d}/web")
+    jobs.main(["websitecomment", f"{d}/web", f"{d}/comments", f"{d}/status"])
+    assert spark.read.parquet(f"{d}/comments").where("url = 'http://a/x' and classification = 'judi'").count() == 3
+    assert [r.row_key for r in spark.read.parquet(f"{d}/status").collect()] == ["p"]
+
+
+def test_comment_threads(spark):
+    rows = [("1", None, "x", None, "u1", "A"), ("2", "1", None, None, "u2", "B"), ("3", "2", None, None, "u3", "C"), ("4", None, None, None, "u4", "D"), ("5", "4", None, None, "u5", "E"), ("6", None, "x", 999_999_999, "u6", "F"), ("7", "6", None, None, "u7", "G")]
+    posts = spark.createDataFrame(rows, "id string, reply_to string, classified string, comment_ms long, user_id string, user_name string").withColumns({"text": F.col("id"), "time_ms": F.lit(1)})
+    found, status = jobs.comment_threads(posts, 1_000_000_000)
+    got = {x.id: (x.replyto_id, x.base_id, x.depth, x.user_name, x.replyto_user_name, x.base_user_id) for x in found.collect()}
+    assert got == {"2": ("1", "1", 1, "B", "A", "u1"), "3": ("2", "1", 2, "C", "B", "u1")}
+    assert [(x.id, x.comment_ms) for x in status.collect()] == [("1", 1_000_000_000)]
+
+
+def test_host_search(spark):
+    hosts = spark.createDataFrame([("g", "group", "OPEN", "Rumah Kita"), ("h", "group", "CLOSED", "rumah"), ("p", "page", None, "RUMAH"), ("u", "user", None, "other"), ("v", "user", None, "rumah 2")], "id string, type string, privacy string, name string")
+    texts = {"g": ["yang dan"] * 10 + ["the of"] * 30, "p": ["the of", "yang dan"], "v": ["the of"] * 3}
+    posts = spark.createDataFrame([(k, -i, None, None, x, None, None) for k, v in texts.items() for i, x in enumerate(v)], "host_id string, time int, caption string, description string, message string, name string, story string")
+    found = filters.search_hosts(hosts, posts, ["rumah", "x"], lambda c: language.is_language(c, "id"), 100, 5)
+    assert sorted(map(tuple, found.collect())) == [("g", "group", "Rumah Kita", 5), ("p", "page", "RUMAH", 5)]
+
+
+@pytest.mark.parametrize("compact", [1, 3, 100])
+def test_stream(spark, tmp_path, compact):
+    rows = spark.range(40).select((F.col("id") % 16).alias("id"), "id", (F.col("id") % 7).alias("v")).toDF("id", "t", "v")
+    rows = rows.withColumn("w", F.when(F.col("t") < 20, F.col("t")))
+    for k in range(4):  # later files have later times
+        rows.where(f"t div 10 = {k}").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = ingest.source(spark, f"{tmp_path}/in", rows.schema)
     target = f"file://{tmp_path}/out"
     for _ in range(2):
-        ingest.upsert_stream(stream, {"id": F.col("id"), "v": F.col("v")}, "id", target, f"{tmp_path}/cp", F.col("v") > 0).awaitTermination()
-    assert tables.state(spark, target, "id long, v long").count() == spark.range(40).where("id % 7 > 0").count()
+        ingest.upsert_stream(stream, {c: F.col(c) for c in rows.columns}, "id", target, f"{tmp_path}/cp", F.col("v") > 0, order="t", compact_every=compact).awaitTermination()
+    want, last = {}, {}
+    for x in rows.orderBy("t").collect():
+        if x.v > 0:
+            batch = x.t // 10
+            cell = last.setdefault(x.id, {})
+            cell[batch] = (x.t, x.v, x.w)  # the last row of a batch
+    for i, batches in last.items():
+        t = v = w = None
+        for b in sorted(batches):
+            t, v, w = batches[b][0], batches[b][1], batches[b][2] if batches[b][2] is not None else w
+        want[i] = (t, v, w)
+    got = {x.id: (x.t, x.v, x.w) for x in ingest.current(spark, target, rows.schema, "id").collect()}
+    assert got == want
 
 
 def test_schema_helpers(spark):

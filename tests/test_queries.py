@@ -37,4 +37,5 @@ def test_query_equals_sql(spark, duck, name):
 
 @pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLES)))
 def test_query_without_sql_runs(spark, name):
-    assert catalog.QUERIES[name](spark, SF).columns
+    df = catalog.QUERIES[name](spark, SF)
+    assert df.columns and len(df.collect()) > 0 or name == "html_page_comments"
