@@ -1,10 +1,11 @@
-"""Personal data: base patterns, and a semi-Markov conditional random field.
+"""Personal data and secrets: base patterns, and a semi-Markov conditional random field.
 
 The field labels whole segments of white-space tokens - a plain token, or an
 entity of up to ``LONGEST`` tokens - from features of the whole segment (its
-digit shape, check sum, octets, the word before it).  One dynamic program over
-segment ends picks boundaries and types together.  Only stretches around tokens
-with a digit or an at sign can hold an entity; elsewhere every token is plain.
+digit shape, check sum, octets, run of key characters, the word before it, long
+numbers beside it).  One dynamic program over segment ends picks boundaries and
+types together.  Only stretches around tokens with a digit or an at sign can
+hold an entity; elsewhere every token is plain.
 """
 
 from __future__ import annotations
@@ -35,13 +36,24 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 
 LONGEST = 6
-_LABELS = ("O", *KINDS)
+#: Tokens decoded at a time, and those looked at beside them.
+WINDOW, MARGIN = 4096, 4 * LONGEST
+#: What the field finds: the base kinds and credentials.
+ENTITIES = (*KINDS, "secret")
+_LABELS = ("O", *ENTITIES)
 _TOKEN = re.compile(r"\S+")
 _TRIGGER = re.compile(r"[0-9@]")
 _DASHES = ("-", "–", "—")
 _BLANK = re.compile(r"\n[^\S\n]*\n")
 _EDGE = ".,;:!?()[]{}<>\"'"
 _CUES = {"tel": "phone", "phone": "phone", "call": "phone", "mobile": "phone", "fax": "phone", "card": "card", "visa": "card", "credit": "card", "ip": "ip", "host": "ip", "address": "ip", "server": "ip", "email": "email", "mail": "email", "contact": "email", "version": "number", "section": "number", "page": "number", "order": "number", "no": "number", "on": "date", "since": "date", "price": "number", "usd": "number"}
+_CUES |= {x: "secret" for x in ("token", "secret", "password", "passwd", "api_key", "apikey", "api-key", "access_key", "key", "bearer", "auth", "authorization")}
+_CUES |= {x: "hash" for x in ("commit", "sha", "sha1", "sha256", "md5", "digest", "hash", "checksum", "uuid", "id", "build", "revision")}
+_BETWEEN = ("=", ":", ":=", "=>", "is")
+_ASSIGNED = re.compile(r"([A-Za-z_][\w-]*)(:=|=>|=|:)(?!/)(.{6,})", re.S)
+_KEY = re.compile(r"[A-Za-z0-9+/_=.-]*[A-Za-z0-9]")
+# How some providers begin their keys.
+_ISSUED = re.compile(r"(AKIA|ghp_|gho_|sk-|xox[abp]-|glpat-|AIza)[A-Za-z0-9_-]{12,}")
 
 
 def luhn(digits: str) -> bool:
@@ -88,11 +100,25 @@ def _shape(core: str) -> str:
     return re.sub(r"[^\W\d_]+", "a", re.sub(r"[0-9]+", lambda m: f"d{min(len(m[0]), 5)}", core))
 
 
+def _longest(core: str) -> str:
+    """The longest run of characters that keys are made of."""
+    return max(_KEY.findall(core), key=len, default="")
+
+
 @lru_cache(maxsize=20_000)
-def _features(core: str, before: str, n: int) -> tuple[str, ...]:
-    """Features of a whole segment."""
+def _features(core: str, before: str, n: int, crowd: bool = False) -> tuple[str, ...]:
+    """Features of a whole segment; ``crowd``: a long number stands right beside it."""
     digits = "".join(c for c in core if c in "0123456789")
-    out = ["bias", f"n{n}", f"cue:{before}", f"shape:{_shape(core)[:24]}", f"digits:{min(len(digits), 20)}"]
+    run = _longest(core) if n == 1 else ""
+    mixed = len(run) >= 12 and bool(re.search("[A-Za-z]", run)) and bool(_DIGIT.search(run))
+    shape = "key" if mixed else _shape(core)[:24]
+    out = ["bias", f"n{n}", f"cue:{before}", f"shape:{shape}", f"digits:{min(len(digits), 20)}"]
+    if mixed:
+        out += [f"run:{min(len(run) // 8, 6)}", f"key:{before}", "hex" if re.fullmatch("[0-9A-Fa-f-]+", run) else "no-hex"]
+        if _ISSUED.match(run):
+            out.append("issued")
+    if crowd:
+        out += ["crowd", f"crowd{n}"]
     if core.startswith("+"):
         out.append("plus")
     if re.search(r"[A-Za-z]", core):
@@ -109,6 +135,9 @@ def _features(core: str, before: str, n: int) -> tuple[str, ...]:
     return tuple(out)
 
 
+_NUMBER = re.compile(r"[^0-9A-Za-z]*[0-9]{10,}[^0-9A-Za-z]*")
+
+
 @dataclass
 class Field:
     """Weights by (label, feature) and (label, label before)."""
@@ -122,16 +151,32 @@ class Field:
     def lattice(self, tokens: list[str]) -> list[list[tuple[int, str, tuple[str, ...], float]]]:
         """For each end the segments (start, label, features, score) that end there."""
         hot = [bool(_TRIGGER.search(t)) for t in tokens]
+        number = [False, *(bool(_NUMBER.fullmatch(t)) for t in tokens), False]
         cues = ["", *(_CUES.get(t.strip(_EDGE).lower(), "") for t in tokens)]
+        for i in range(2, len(cues)):
+            if tokens[i - 1] in _BETWEEN:
+                cues[i] = cues[i - 1]
         out: list[list] = [[] for _ in range(len(tokens) + 1)]
         for i in range(len(tokens)):
-            f = _features(tokens[i].strip(_EDGE), cues[i], 1) if hot[i] else ("bias", "cold")
+            f = _features(tokens[i].strip(_EDGE), cues[i], 1, number[i] or number[i + 2]) if hot[i] else ("bias", "cold")
             out[i + 1].append((i, "O", f, self.score("O", f)))
             if hot[i]:
                 for j in range(i + 1, min(len(tokens), i + LONGEST) + 1):
                     if hot[j - 1]:
-                        f = _features(trim(" ".join(tokens[i:j]))[0], cues[i], j - i)
-                        out[j] += [(i, k, f, self.score(k, f)) for k in KINDS]
+                        f = _features(trim(" ".join(tokens[i:j]))[0], cues[i], j - i, number[i] or number[j + 1])
+                        out[j] += [(i, k, f, self.score(k, f)) for k in ENTITIES]
+        return out
+
+    def segment(self, tokens: list[str]) -> list[tuple[int, int, str]]:
+        """``decode`` of ``WINDOW`` tokens at a time, each seen with ``MARGIN`` tokens on either side."""
+        if len(tokens) <= WINDOW:
+            return self.decode(tokens)
+        out: list[tuple[int, int, str]] = []
+        for lo in range(0, len(tokens), WINDOW):
+            base = max(0, lo - MARGIN)
+            for i, j, k in self.decode(tokens[base : lo + WINDOW + MARGIN]):
+                if lo <= base + i < lo + WINDOW and (not out or out[-1][1] <= base + i):
+                    out.append((base + i, base + j, k))
         return out
 
     def decode(self, tokens: list[str]) -> list[tuple[int, int, str]]:
@@ -218,7 +263,7 @@ def trim(text: str) -> tuple[str, int]:
     return core[left:], left
 
 
-def examples(n: int = 320, seed: int = 5) -> list[tuple[list[str], list[tuple[int, int, str]]]]:
+def examples(n: int = 800, seed: int = 5) -> list[tuple[list[str], list[tuple[int, int, str]]]]:
     """Made-up sentences with known entities, in the base forms and others, and look-alikes."""
     r = random.Random(seed)
     digits = lambda k: "".join(r.choice("0123456789") for _ in range(k))
@@ -230,23 +275,34 @@ def examples(n: int = 320, seed: int = 5) -> list[tuple[list[str], list[tuple[in
         number = body + (last if valid else str((int(last) + r.randrange(1, 10)) % 10))
         return r.choice((number, " ".join(number[i : i + 4] for i in range(0, 16, 4)), "-".join(number[i : i + 4] for i in range(0, 16, 4))))
 
+    blob = lambda k: "".join(r.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(k - 2)) + digits(1) + r.choice("abcdef")
+    hexes = lambda k: "".join(r.choice("0123456789abcdef") for _ in range(k - 2)) + digits(1) + r.choice("abcdef")
+    key = lambda: r.choice((lambda: hexes(r.choice((32, 40, 40, 64))), lambda: hexes(40).upper(), lambda: blob(r.randrange(16, 48))))()
     octets = lambda: ".".join(str(r.randrange(1, 256)) for _ in range(4))
     made = {
         "email": lambda: f"{word()}{r.choice(('.', '_', ''))}{r.choice((word(), digits(2)))}@{word()}{digits(1)}.{r.choice(('com', 'org', 'example.com'))}",
         "ip": octets,
         "card": lambda: card(True),
+        "secret": lambda: r.choice((key, key, lambda: f"AKIA{''.join(r.choice('ABCDEFGHJKLMNPQRSTUVWXYZ234567') for _ in range(15))}7", lambda: f"ghp_{blob(36)}", lambda: f"sk-{blob(40)}"))(),
         "phone": lambda: r.choice((f"+1 ({digits(3)}) {digits(3)}-{digits(4)}", f"+{digits(2)} {digits(3)} {digits(3)} {digits(4)}", f"({digits(3)}) {digits(3)}-{digits(4)}", f"{digits(3)}-{digits(3)}-{digits(4)}")),
     }
-    plain = (lambda: digits(r.randrange(1, 7)), lambda: f"{r.randrange(1, 4)}.{r.randrange(9)}.{r.randrange(9)}", lambda: f"20{digits(2)}-{r.randrange(10, 13)}-{digits(2)}", lambda: card(False), lambda: f"{word()}={digits(3)}{word()}{digits(4)}", lambda: f"{r.randrange(300, 999)}.{r.randrange(300, 999)}.{digits(2)}.{digits(3)}", lambda: f"@{word()}", lambda: f"{digits(3)}-{digits(2)}", lambda: digits(10), lambda: f"{digits(3)} {digits(3)}", lambda: f"${digits(2)}.{digits(2)}")
+    plain = (lambda: digits(r.randrange(1, 7)), lambda: f"{r.randrange(1, 4)}.{r.randrange(9)}.{r.randrange(9)}", lambda: f"20{digits(2)}-{r.randrange(10, 13)}-{digits(2)}", lambda: card(False), lambda: f"{word()}={digits(3)}{word()}{digits(4)}", lambda: f"{r.randrange(300, 999)}.{r.randrange(300, 999)}.{digits(2)}.{digits(3)}", lambda: f"@{word()}", lambda: f"{digits(3)}-{digits(2)}", lambda: digits(10), lambda: f"{digits(3)} {digits(3)}", lambda: f"${digits(2)}.{digits(2)}", lambda: " ".join(card(True).replace(" ", "").replace("-", "") for _ in range(r.randrange(2, 5))), lambda: hexes(r.choice((32, 40))), lambda: f"{r.choice(('commit', 'md5', 'sha1', 'id', 'checksum'))} {r.choice(('', '= ', ': '))}{hexes(r.choice((12, 32, 40, 64)))}", lambda: f"{hexes(8)}-{hexes(4)}-{hexes(4)}-{hexes(4)}-{hexes(12)}", lambda: f"{word()}{digits(3)}{word()}{digits(4)}{word()}")
     out = []
     for _ in range(n):
         tokens, marks = [word() for _ in range(r.randrange(1, 4))], []
         for _ in range(r.randrange(1, 4)):
             if r.random() < 0.5:
-                kind = r.choice(KINDS)
-                if r.random() < 0.4:
+                kind = r.choice(ENTITIES)
+                made_up = made[kind]()
+                if kind == "secret":
+                    if not _ISSUED.match(made_up) or r.random() < 0.5:
+                        tokens.append(r.choice([c for c, k in _CUES.items() if k == kind]))
+                        if r.random() < 0.7:
+                            tokens.append(r.choice(_BETWEEN))
+                    made_up = r.choice(("{}", '"{}"', "'{}'", '"{}"!!')).format(made_up)
+                elif r.random() < 0.4:
                     tokens.append(r.choice([c for c, k in _CUES.items() if k == kind]))
-                parts = (made[kind]() + r.choice(("", "", ".", ","))).split(" ")
+                parts = (made_up + r.choice(("", "", ".", ","))).split(" ")
                 marks.append((len(tokens), len(tokens) + len(parts), kind))
             else:
                 if r.random() < 0.3:
@@ -257,7 +313,7 @@ def examples(n: int = 320, seed: int = 5) -> list[tuple[list[str], list[tuple[in
     return out
 
 
-def train(n: int = 320) -> Field:
+def train(n: int = 800) -> Field:
     """The field fitted to ``examples``."""
     return Field.train(examples(n))
 
@@ -275,6 +331,15 @@ def undashed(tokens: list[tuple[str, int, int]]) -> list[tuple[str, int, int]] |
     return out if len(out) < len(tokens) else None
 
 
+def unassigned(tokens: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """``name=value`` as three tokens."""
+    out = []
+    for t, s, e in tokens:
+        m = _ASSIGNED.fullmatch(t)
+        out += [(m[k], s + m.start(k), s + m.end(k)) for k in (1, 2, 3)] if m and _TRIGGER.search(m[3]) and m[1].lower() in _CUES else [(t, s, e)]
+    return out
+
+
 def field_spans(text: str, field: Field) -> list[tuple[str, int, int]]:
     """Entities of the field, decoded around every token that can begin or end one.
 
@@ -288,12 +353,15 @@ def field_spans(text: str, field: Field) -> list[tuple[str, int, int]]:
 
     def flush() -> None:
         seen = []
-        for tokens in (plain := [(t[0], *t.span()) for t in region], undashed(plain)):
+        for tokens in (plain := unassigned([(t[0], *t.span()) for t in region]), undashed(plain)):
             if tokens is None:
                 continue
-            for i, j, kind in field.decode([t[0] for t in tokens]):
+            for i, j, kind in field.segment([t[0] for t in tokens]):
                 s, e = tokens[i][1], tokens[j - 1][2]
                 core, left = trim(text[s:e])
+                if kind == "secret":
+                    core = _longest(text[s:e])
+                    left = text[s:e].find(core)
                 span = (kind, s + left, s + left + len(core))
                 if tokens is plain or not any(span[1] < y and x < span[2] for _, x, y in seen):
                     seen.append(span)
@@ -316,10 +384,12 @@ def field_spans(text: str, field: Field) -> list[tuple[str, int, int]]:
             elif cold:
                 region.append(between)
         if not region:
-            before = re.search(r"(\S+)\s+$", text[max(at, token.start() - 40) : token.start()])
+            off = max(at, token.start() - 60)
+            before = re.search(r"(\S+)\s+(?:(\S+)\s+)?$", text[off : token.start()])
             if before:
-                off = max(at, token.start() - 40)
                 region.append(_TOKEN.search(text, off + before.start(1)))
+                if before[2]:
+                    region.append(_TOKEN.search(text, off + before.start(2)))
         region.append(token)
         last = at = token.end()
         hot = _TRIGGER.search(text, token.end())
@@ -334,7 +404,7 @@ def find(text: str, field: Field) -> tuple[list[tuple[str, int, int]], list[tupl
     if not _TRIGGER.search(text):
         return base, base
     more = [x for x in field_spans(text, field) if not any(x[1] < e and s < x[2] for _, s, e in base)]
-    return base, sorted(base + more, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
+    return base, sorted(base + more, key=lambda x: (x[1], ENTITIES.index(x[0]), x[2]))
 
 
 def mask(text: str, spans: list[tuple[str, int, int]]) -> str:
@@ -367,8 +437,9 @@ class _Find:
                 found = [find(t, field) for t in texts]
                 counts = [pa.array([sum(k == kind for k, _, _ in b) for b, _ in found], pa.int64()) for kind in KINDS]
                 digest = pa.array([hashlib.sha256(_join(b).encode()).hexdigest() for b, _ in found])
-                cols = [batch.column(0), *counts, digest, pa.array([_join(s) for _, s in found])]
-                names = ["row", *[f"n_{k}" for k in KINDS], "base_sha256", "spans"]
+                secrets = pa.array([sum(k == "secret" for k, _, _ in s) for _, s in found], pa.int64())
+                cols = [batch.column(0), *counts, digest, pa.array([_join(s) for _, s in found]), secrets, pa.array([bool(s) for _, s in found], pa.bool_())]
+                names = ["row", *[f"n_{k}" for k in KINDS], "base_sha256", "spans", "n_secret", "found"]
                 if self.masked:
                     cols.append(pa.array([mask(t, s) if v else None for t, (_, s), v in zip(texts, found, batch.column(1).is_valid().to_pylist(), strict=True)], pa.string()))
                     names.append("masked")
@@ -376,10 +447,11 @@ class _Find:
 
 
 def detect(docs: DataFrame, field: Field | None = None, text_col: str = "text", carry: list[str] | None = None, masked: bool = False) -> DataFrame:
-    """``carry`` columns and n_email, n_ip, n_card, n_phone, base_sha256, spans, and ``masked`` text if asked.
+    """``carry`` columns and n_email, n_ip, n_card, n_phone, base_sha256, spans, n_secret, found, and ``masked`` text if asked.
 
-    Counts and ``base_sha256`` are of the base patterns; ``spans`` holds these
-    and what the field adds, as kind:start:end in code points, end exclusive,
+    The first counts and ``base_sha256`` are of the base patterns; ``spans``
+    holds these and what the field adds (these kinds and ``secret``, which
+    ``n_secret`` counts; ``found``: whether there is any), as kind:start:end in code points, end exclusive,
     by start, then kind.  A null text is empty and its masked text null.  All
     rows are looked at, also repeated ones and those without an id; columns
     not carried are ignored.
@@ -388,7 +460,7 @@ def detect(docs: DataFrame, field: Field | None = None, text_col: str = "text",
     row = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)]).alias("row")
     src = docs.select(row, F.col(text_col).cast("string").alias("text"))
     kind = src.schema["row"].dataType.simpleString()
-    names = [*[f"n_{k}" for k in KINDS], "base_sha256", "spans", *["masked"] * masked]
-    schema = ", ".join([f"row {kind}", *[f"n_{k} bigint" for k in KINDS], "base_sha256 string", "spans string", *["masked string"] * masked])
+    names = [*[f"n_{k}" for k in KINDS], "base_sha256", "spans", "n_secret", "found", *["masked"] * masked]
+    schema = ", ".join([f"row {kind}", *[f"n_{k} bigint" for k in KINDS], "base_sha256 string", "spans string, n_secret bigint, found boolean", *["masked string"] * masked])
     out = map_arrow(src, _Find(docs.sparkSession.sparkContext.broadcast(field or train()), masked), schema)
     return out.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(keep)], *names)

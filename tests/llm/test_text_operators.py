@@ -389,6 +389,41 @@ def test_pii_spans_across_gaps():
         assert pii.find(text, field)[1] == []
 
 
+def test_pii_secrets():
+    field = pii.train()
+    key = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    for form in ('token = "{}"', "password: {}", "TOKEN = '{}'!!", 'api_key="{}"', "Bearer {}", "x secret={} y"):
+        text = f"set {form.format(key)} here"
+        assert [(k, text[s:e]) for k, s, e in pii.find(text, field)[1]] == [("secret", key)], form
+    for text in (f"see commit {key} of May", f"md5 = {key[:32]}", "id 3f2a9c1e-11aa-4b7e-9e01-aabbccddeeff ok", "7536784127813050 4845168114407329 4550997810720808", "order 4845168114407321 came", "on 2024-11-03 at 10 and 12"):
+        assert not [x for x in pii.find(text, field)[1] if x[0] in ("secret", "card")] or pii.base_spans(text), text
+
+
+def test_pii_decoding_against_brute_force():
+    """The best of all segmentations of short token lists, and windows of a long list as one."""
+    field = pii.train(60)
+    for tokens, _ in [x for x in pii.examples(60, seed=3) if len(x[0]) <= 7]:
+        lattice = field.lattice(tokens)
+
+        def paths(at, before, score):
+            if at == len(tokens):
+                yield score
+            for j in range(at + 1, len(tokens) + 1):
+                for i, k, _, s in lattice[j]:
+                    if i == at:
+                        yield from paths(j, k, score + s + field.weights.get((k, "after:" + before), 0.0))
+
+        found = {i: (j, k) for i, j, k in field.decode(tokens)}
+        at, before, score = 0, "O", 0.0
+        while at < len(tokens):
+            j, k = found.get(at, (at + 1, "O"))
+            score += next(s for i, x, _, s in lattice[j] if i == at and x == k) + field.weights.get((k, "after:" + before), 0.0)
+            at, before = j, k
+        assert abs(score - max(paths(0, "O", 0.0))) < 1e-9
+    many = [t for tokens, _ in pii.examples(900, seed=8) for t in tokens]
+    assert len(many) > pii.WINDOW and field.segment(many) == field.decode(many)
+
+
 @pytest.fixture(scope="module")
 def vocabulary():
     P = pytest.importorskip("public_tokenizers")
