@@ -129,9 +129,9 @@ def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iter
     return df.mapInArrow(_Pass(function), schema)
 
 
-def bounded(keys: DataFrame) -> DataFrame:
-    """``keys``, a few narrow columns, to be broadcast where a count shows at most ``BROADCAST_ROWS``; else joined by shuffle."""
-    return F.broadcast(keys) if keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else keys
+def bounded(keys: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame | None:
+    """``keys``, a few narrow columns, to be broadcast where a count shows ``rows`` at most; else None."""
+    return F.broadcast(keys) if keys.limit(rows + 1).count() <= rows else None
 
 
 def hot_keys(counts: DataFrame, keys: list[str], count: str = "count") -> DataFrame:

@@ -199,7 +199,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     crowded = materialize(member.join(buckets, "key"), "buckets")
     n_crowded = crowded.count()
     release(spark)
-    reps = bounded(crowded.select("rep").distinct())
+    reps = crowded.select("rep").distinct()
+    reps = bounded(reps) or reps
     facts = named.join(reps, "rep", "left_semi").select("rep", F.col("n").cast("int").alias("n"), "sig", "k1", "k2")
     source = docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text")).join(reps, "rep", "left_semi")
     sets = describe(source, "rep", "text", k, sets=True)

@@ -430,7 +430,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     release(spark)
     sizes = unique.groupBy("core").agg(F.sum(F.octet_length("sym") + 1).alias("size"))
     total = sizes.agg(F.sum("size")).first()[0] or 0
-    hot = bounded(sizes.where(F.col("size") > HOT_BYTES).select("core"))
+    hot = sizes.where(F.col("size") > HOT_BYTES).select("core")
+    hot = bounded(hot) or hot
     dealt = unique.join(hot, "core", "left_anti").select(F.col("core").alias("deal"), F.col("core2").alias("deal2"), "width", "left", "sym", "several", "core", "core2", "c", F.lit(0).alias("shift"))
     fine = map_arrow(unique.join(hot, "core", "left_semi"), _Recut(window), "deal bigint, deal2 bigint, width int, left int, sym binary, several boolean, core bigint, core2 bigint, c bigint, shift int")
     dealt = dealt.unionByName(fine).repartition(max(1, int(total // TASK_BYTES) + 1), "deal").sortWithinPartitions("deal", "deal2")

@@ -22,11 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import file_system, fresh_path, map_arrow, materialize, remove
+from sparkloom.llm.common import bounded, file_system, fresh_path, hot_keys, map_arrow, materialize, remove
 
 CHUNK = 1 << 20
 #: Bytes of records after which a writer starts another archive.
 ARCHIVE_BYTES = 1 << 30
+#: Repeated digests up to which they are broadcast.
+MOST_DIGESTS = 1 << 17
 _ID = "urn:x-page:"
 
 
@@ -206,14 +208,26 @@ def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
 
     Of rows with equal payloads of ``least`` bytes or more those with the
     largest id are responses and the others revisit it; smaller payloads are
-    all responses.  Only repeated digests take part in the join back.
+    all responses.  Only repeated digests take part in the join back: broadcast
+    up to ``MOST_DIGESTS`` of them, beyond that joined by shuffle but for hot ones.
     """
     payload = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
     rows = pages.select(F.col(id_col).alias("page"), F.col(url_col).cast("string").alias("url"), payload.cast("binary").alias("html"))
     rows = rows.withColumns({"digest": F.sha1("html"), "size": F.octet_length("html").cast("bigint")})
-    most = rows.where(F.col("size") >= least).groupBy("digest").agg(F.max("page").alias("top"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
+    most = rows.where(F.col("size") >= least).groupBy("digest").agg(F.max("page").alias("top"), F.count("*").alias("copies")).where("copies > 1")
+    most = materialize(most, "digests")
+    few = bounded(most.select("digest", "top"), MOST_DIGESTS)
+    if few is not None:  # rows stay where they are
+        out = rows.join(few, "digest", "left")
+    else:
+        # Rows of hot digests stay where they are; a payload that can't be repeated is dealt out by its row.
+        hot = hot_keys(most, ["digest"], "copies")
+        key = F.when(F.col("size") >= least, F.col("digest")).otherwise(F.concat(F.lit("-"), F.xxhash64("page", "digest").cast("string")))
+        cold = rows.join(hot, "digest", "left_anti").withColumn("key", key)
+        cold = cold.join(most.select(F.col("digest").alias("key"), "top"), "key", "left").drop("key")
+        warm = rows.join(F.broadcast(most.join(hot, "digest", "left_semi").select("digest", "top")), "digest")
+        out = cold.unionByName(warm)
     revisit = F.coalesce(F.col("page") != F.col("top"), F.col("top").isNotNull()) & (F.col("size") >= least)
-    out = rows.join(most, "digest", "left")
     return out.select("page", "url", "html", "digest", "size", F.when(revisit, "revisit").otherwise("response").alias("kind"), F.when(revisit, F.col("top")).cast("string").alias("refers"))
 
 

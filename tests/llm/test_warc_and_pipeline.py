@@ -2,27 +2,36 @@ import gzip
 import hashlib
 import io
 import json
+import zlib
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from sparkloom.llm import pii, warc
+from sparkloom.llm import common, packing, pii, warc
 from tests.llm import helpers
 
 SF = "/root/testdata/sf0.001"
 
 
-def test_warc_round_trip(spark):
+@pytest.mark.parametrize("digests, shares", [(1 << 17, 1000), (-1, 1000), (-1, 1)])
+def test_warc_round_trip(spark, monkeypatch, digests, shares):
+    """Repeated digests broadcast, all of them hot, or all dealt out."""
+    monkeypatch.setattr(warc, "MOST_DIGESTS", digests)
+    monkeypatch.setattr(common, "HOT_SHARES", shares)
     long = "é" * 600
     rows = [(1, "http://a", long), (2, "http://b\n", long), (9, None, long), (3, "u", "short"), (4, "u", "short"), (5, "u", None), (6, "u", ""), (9, "again", long), (None, "n", long)]
-    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    rows += [(20, "big", "x" * 3_000_000), (21, "big", "x" * 3_000_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({c: F.lit(c) for c in ("digest", "page", "top", "size", "kind", "key", "refers")})
     got = sorted(map(tuple, warc.round_trip(spark, pages).collect()), key=str)
     want = []
     for i, _, h in rows:
         b = (h or "").encode()
-        revisit = len(b) >= 1000 and i != 9
-        want.append((i, len(b), hashlib.sha1(b).hexdigest(), "revisit" if revisit else "response", 9 if revisit else None))
+        top = 21 if len(b) > 2_000_000 else 9
+        revisit = len(b) >= 1000 and i != top
+        want.append((i, len(b), hashlib.sha1(b).hexdigest(), "revisit" if revisit else "response", top if revisit else None))
     assert got == sorted(want, key=str)
     assert warc.round_trip(spark, pages.limit(0)).count() == 0
 
@@ -65,6 +74,66 @@ def test_stages(spark):
         assert base or masked[i].text == t or "[" in masked[i].text
 
 
+def test_run_against_brute_force(spark, tmp_path):
+    """All stages over a small corpus: what stays, what is masked, and the ids of every packed piece."""
+    tokenizers = pytest.importorskip("tokenizers")
+    base = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = {r.doc_id: r for r in base.collect()}
+    run = corpus_pipeline.run(spark, SF).collect()
+    kept = {i: r.text for i, r in docs.items() if any(c.isalpha() for c in r.text or "")}
+    langs = {r.doc_id for r in corpus_pipeline.identify_language(spark, base, SF).collect()}
+    assert langs <= set(kept) and len(langs) >= 0.99 * len(kept)
+    kept = {i: t for i, t in kept.items() if i in langs}
+    kept = {i: kept[i] for i, (_, c) in helpers.clusters(kept).items() if c == i}
+    items = [(str(r.item_id), r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    kept = {i: kept[i] for i, (n, h, _) in helpers.contamination(kept, items).items() if not (h and 20 * h >= n)}
+    field = pii.train()
+    tok = tokenizers.Tokenizer.from_file(corpus_pipeline.tokenizer_path())
+    want = {}
+    for i, t in kept.items():
+        ids = tok.encode(pii.mask(t, pii.find(t, field)[1]), add_special_tokens=False).ids + [1]
+        for s in range(0, len(ids), 2048):
+            piece = ids[s : s + 2048]
+            want[i, s] = (len(piece), zlib.crc32(b"".join(x.to_bytes(4, "little") for x in piece)), len(ids))
+    assert {(r.doc_id, r.start): (r.length, r.ids_crc32, r.doc_tokens) for r in run} == want
+    ends = {}
+    for r in sorted(run, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == ends.get(r.sequence_id, 0)
+        ends[r.sequence_id] = r.offset + r.length
+    assert max(ends.values()) <= 2048 and sorted(ends) == list(range(len(ends)))
+
+
+def test_near_duplicate_stage_with_odd_ids(spark):
+    """Repeated and null ids: no different text is lost, no copy stays."""
+    long = lambda w: " ".join(f"{w}{i}" for i in range(40))
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    row = lambda i, t, s="s": (i, t, "en", s, len(t or ""))
+    rows = [row(1, long("a")), row(1, long("b")), row(1, long("a")), row(2, long("a") + " x"), row(None, long("b")), row(None, long("c")), row(None, long("c")), row(3, long("d"), "p"), row(3, long("d"), "q"), row(4, None), row(4, ""), row(5, None)]
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, schema), SF).collect()]
+    assert sorted(got, key=str) == sorted([(1, long("a")), (1, long("b")), (None, long("c")), (3, long("d")), (4, None), (4, ""), (5, None)], key=str)
+
+
+def test_stages_of_an_empty_table(spark):
+    none = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, none, SF)
+        assert out.count() == 0 and (name == "packing" or out.columns == none.columns), name
+
+
+def test_packing_with_another_tokenizer():
+    """A tokenizer that does not cut words as known encodes texts whole."""
+    tokenizer = packing.WordTokenizer(corpus_pipeline.tokenizer_path())
+    assert tokenizer.by_parts
+    texts = ["It's done, isn't it? 12-3", "", "Ünd ça", "x" * 500]
+    raw = "".join(texts).encode()
+    offsets = np.concatenate(([0], np.cumsum([len(t.encode()) for t in texts]))).astype(np.int64)
+    ids, at = tokenizer.encode(np.frombuffer(raw, np.uint8), offsets)
+    tokenizer.by_parts = False
+    whole, ends = tokenizer.encode(np.frombuffer(raw, np.uint8), offsets)
+    assert ids.tolist() == whole.tolist() and at.tolist() == ends.tolist()
+    assert not packing.WordTokenizer._cuts_words({"pre_tokenizer": {"type": "ByteLevel"}, "added_tokens": []})
+
+
 def test_registered():
     names = entry.queries()
     assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in names)] == []
