@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.llm import decontaminate, langid, minhash, packing, pii
-from sparkloom.llm.common import discard, materialize, release
+from sparkloom.llm.common import bounded, discard, materialize, release
 from sparkloom.llm.queries import tokenizer_path
 
 #: A language is accepted from this probability on.
@@ -18,36 +18,63 @@ LEAST_SCORE = 0.5
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop texts without a letter and those whose language stays undecided."""
+    """Drop texts without a letter, null ones too, and those whose language stays undecided.
+
+    The model learns from rows with an id, a text and a language; rows that
+    repeat an id are each judged by their own text.  Without any such row no
+    language is known and nothing stays; no rows give none.
+    """
     model = langid.train(docs.where(~langid.held_out("doc_id") & F.col("doc_id").isNotNull()))
     seen = langid.identify(docs, model, lang_name="_lang_pred", score_name="_lang_score")
     return seen.where((F.col("_lang_pred") != langid.UNKNOWN) & (F.col("_lang_score") >= LEAST_SCORE)).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of every group; rows without an id stay."""
-    kept = materialize(minhash.near_duplicates(docs).where("kept").select("doc_id").distinct(), "kept")
-    release(spark)
-    single = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return single.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    """Keep one document of every group: that with the smallest id.
+
+    Texts without words are in no group and stay.  Where ids are repeated or
+    null, rows are told apart by their content: different texts are different
+    documents whatever their ids, null ids come after all others, and of equal
+    rows one stays.
+    """
+    columns = docs.columns
+    odd = docs.groupBy("doc_id").count().where("count > 1 or doc_id is null")
+    if odd.isEmpty():
+        gone = minhash.near_duplicates(docs).where(~F.col("kept")).select("doc_id")
+        gone = materialize(gone, "dropped")
+        return docs.join(bounded(gone) or gone, "doc_id", "left_anti").select(*columns)
+    others = [c for c in columns if c not in ("doc_id", "text")]
+    known = docs.withColumns({"_text": F.xxhash64("text", F.col("text").isNull()), "_row": F.xxhash64(*others)})
+    key = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", F.col("_text").alias("text"), F.col("_row").alias("row"))
+    flags = materialize(minhash.near_duplicates(known.withColumn("_id", key), "_id").select("_id", "kept"), "kept")
+    parts = lambda df: df.select(F.col("_id.doc_id").alias("_doc"), F.col("_id.text").alias("_t"), F.col("_id.row").alias("_r"))
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_text") == F.col("_t")) & (F.col("_row") == F.col("_r"))
+    kept = known.join(parts(flags.where(~F.col("kept"))).distinct(), same, "left_anti")
+    equal = parts(flags.where("kept").groupBy("_id").count().where("count > 1"))
+    once = kept.join(equal, same, "left_semi").dropDuplicates(["doc_id", "_text", "_row"])
+    return kept.join(equal, same, "left_anti").unionByName(once).select(*columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents of which benchmark windows cover 5 % of the words or more."""
+    """Drop documents of which benchmark windows cover 5 % of the words or more.
+
+    Null and empty texts have no words and stay; every row is judged by its own
+    text, so equal rows share their fate; an empty benchmark drops nothing.
+    """
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     carry = [c for c in docs.columns if c != "doc_id"]
     return decontaminate.decontaminate(docs, benchmark, carry=carry).where(~F.col("contaminated")).select(*docs.columns)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replace every span of personal data by its kind."""
+    """Replace every span of personal data, and credentials, by its kind; null texts stay null, no row goes."""
     carry = [c for c in docs.columns if c not in ("text", "n_chars")]
     out = pii.detect(docs, carry=carry, masked=True).withColumnRenamed("masked", "text")
     return out.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack what is left into training sequences."""
+    """Pack what is left into training sequences: a row per piece; a null or empty text is its end mark alone, no rows give none."""
     return packing.pack(docs, tokenizer_path())
 
 
