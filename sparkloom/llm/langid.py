@@ -209,10 +209,10 @@ class _Predict:
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(score)], names=["row", "lang_pred", "score"])
 
 
-def bounded_sample(rows: DataFrame, key: str, id_col: str, bound: int) -> DataFrame:
-    """About ``bound`` rows of each value of ``key``, by hash of the id."""
+def bounded_sample(rows: DataFrame, key: str, id_col: str, bound: int, name: str = "sample") -> DataFrame:
+    """About ``bound`` rows of each value of ``key``, by hash of the id and the sample's ``name``."""
     share = rows.groupBy(key).count().select(key, F.least(F.lit(1.0), bound / F.col("count")).alias("share"))
-    place = F.pmod(F.xxhash64(F.col(id_col), F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
+    place = F.pmod(F.xxhash64(F.col(id_col), F.lit(name)), F.lit(1 << 30)) / float(1 << 30)
     return rows.join(share, key).where(place < F.col("share")).drop("share")
 
 

@@ -266,7 +266,7 @@ def test_toxicity_learns_pairs():
         a, b = r.random() < 0.5, r.random() < 0.5
         rows.append(np.array(sorted(([10] if a else []) + ([20] if b else []) + [1000 + int(r.integers(50))]), np.int32))
         label.append(int(a and b))
-    m = toxicity.Machine.fit(rows, np.array(label))
+    m = toxicity.Machine.fit(rows, np.array(label), np.array([20, 10, 1000, 1001]))
     x = np.zeros((4, m.chosen.size))
     for i, on in enumerate(((), (10,), (20,), (10, 20))):
         x[i, np.isin(m.chosen, on)] = 1
@@ -274,6 +274,41 @@ def test_toxicity_learns_pairs():
     assert p[3] > 0.9 and p[:3].max() < 0.2
 
 
+def test_toxicity_finds_pairs_whose_parts_say_nothing(spark):
+    """Exactly one of two words is toxic; each alone is as often in clean texts."""
+    r = random.Random(6)
+    rows = []
+    for i in range(1600):
+        a, b = r.random() < 0.5, r.random() < 0.5
+        other = [f"w{r.randrange(30)}" for _ in range(12)]
+        at = r.randrange(12)
+        rows.append((i, " ".join(other[:at] + ["group"] * a + ["insult"] * b + other[at:]), int(a != b)))
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    machine = toxicity.train(docs, labels)
+    word = lambda w: int(toxicity.buckets(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w)]))[0][0, 0])
+    assert {word("group"), word("insult")} <= set(machine.chosen.tolist())
+    seen = toxicity.score(docs, machine).join(labels, "doc_id")
+    assert seen.where("predicted = toxic").count() >= 0.97 * len(rows)
+
+
+def test_toxicity_score_against_brute_force(spark):
+    r = np.random.default_rng(4)
+    texts = ["", None, "Idiot idiots und idiotic", "a b c", "é" * 9 + " x", "long " * 30_000 + "idiot"]
+    raw = [(t or "").encode() for t in texts]
+    offsets = np.concatenate(([0], np.cumsum([len(x) for x in raw]))).astype(np.int64)
+    term, at = toxicity.buckets(np.frombuffer(b"".join(raw), np.uint8), offsets)
+    every = np.unique(term)
+    chosen = every[:: max(1, every.size // 9)]
+    m = toxicity.Machine(chosen, -0.3, r.normal(size=chosen.size), r.normal(size=(chosen.size, 3)))
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("predicted", F.lit("x"))
+    got = {x.doc_id: x for x in toxicity.score(rows, m).collect()}
+    for i in range(len(texts)):
+        on = [k for k, c in enumerate(chosen) if c in term[:, at[i] : at[i + 1]]]
+        z = m.bias + sum(m.weight[k] for k in on) + sum(m.factor[a] @ m.factor[b] for x, a in enumerate(on) for b in on[x + 1 :])
+        assert abs(got[i].score - 1 / (1 + np.exp(-z))) < 1e-9 and got[i].predicted == int(got[i].score >= 0.5)
+
+
 def test_toxicity_edges(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     machine = toxicity.train(docs, spark.read.parquet(f"{SF}/labels.parquet"))
