@@ -24,27 +24,27 @@ from sparkloom.llm.quality import let
 #: Bounds of the fit: hashed features, expected rows of the corpus as examples of ``none``.
 FEATURES = 1 << 11
 SAMPLE_ROWS = 400
-CUE = r"(?i)licen[sc]|copyright|copyleft|permission|warrant|redistribut|public domain|creative commons|rights reserved|spdx|unlicen"
+CUE = r"(?i)licen[sc]|copyright|copyleft|permission|warrant|redistribut|public domain|creative commons|rights reserved|spdx|unlicen|\b[al]?gpl|apache|mozilla|cc0|\bcc[ -]by|(?-i:\bGNU\b|\bBSD\b|\bMPL\b)"
 
 #: Notices as licensors commonly write them, by family.
 TEMPLATES = {
     "MIT": ["Released under the MIT License.", "Licensed under the MIT license.", "SPDX-License-Identifier: MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction"],
-    "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", "SPDX-License-Identifier: Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License", "Distributed under the terms of the Apache License 2.0"],
-    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.", "SPDX-License-Identifier: GPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License"],
-    "GPL-2.0": ["Licensed under the GNU General Public License, version 2.", "SPDX-License-Identifier: GPL-2.0-only", "you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation"],
-    "LGPL": ["Licensed under the GNU Lesser General Public License.", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation", "SPDX-License-Identifier: LGPL-2.1-or-later"],
-    "AGPL-3.0": ["Licensed under the GNU Affero General Public License, version 3.", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License", "SPDX-License-Identifier: AGPL-3.0-only"],
-    "BSD": ["Licensed under the BSD 3-Clause License.", "SPDX-License-Identifier: BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"],
-    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "SPDX-License-Identifier: MPL-2.0"],
-    "CC-BY": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
-    "CC-BY-SA": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
-    "CC-BY-NC": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
-    "CC0": ["To the extent possible under law, the author has waived all copyright and related rights to this work under CC0 1.0.", "SPDX-License-Identifier: CC0-1.0"],
+    "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", "SPDX-License-Identifier: Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License", "Distributed under the terms of the Apache License 2.0", "Apache 2.0", "Apache-2.0"],
+    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.", "SPDX-License-Identifier: GPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License", "GPLv3", "under GPLv3", "GPLv3 only", "GPLv3 or later", "GPL-3.0", "GPL version 3", "GNU GPL v3"],
+    "GPL-2.0": ["Licensed under the GNU General Public License, version 2.", "SPDX-License-Identifier: GPL-2.0-only", "you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation", "GPLv2", "under GPLv2", "GPLv2 only", "GPLv2 or later", "GPL-2.0", "GPL version 2", "GNU GPL v2"],
+    "LGPL": ["Licensed under the GNU Lesser General Public License.", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation", "SPDX-License-Identifier: LGPL-2.1-or-later", "LGPL", "under the LGPL", "LGPLv2.1", "LGPLv3", "under LGPLv3", "GNU LGPL"],
+    "AGPL-3.0": ["Licensed under the GNU Affero General Public License, version 3.", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License", "SPDX-License-Identifier: AGPL-3.0-only", "AGPLv3", "under AGPLv3", "AGPLv3 only", "AGPL-3.0", "GNU AGPL"],
+    "BSD": ["Licensed under the BSD 3-Clause License.", "SPDX-License-Identifier: BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met", "BSD licence", "3-clause BSD", "2-clause BSD", "BSD-3-Clause"],
+    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "SPDX-License-Identifier: MPL-2.0", "MPL 2.0", "Mozilla Public License 2.0"],
+    "CC-BY": ["Licensed under CC BY 4.0.", "CC BY 4.0", "CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
+    "CC-BY-SA": ["Licensed under CC BY-SA 4.0.", "CC BY-SA 4.0", "CC-BY-SA", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
+    "CC-BY-NC": ["Licensed under CC BY-NC 4.0.", "CC BY-NC 4.0", "CC-BY-NC", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
+    "CC0": ["To the extent possible under law, the author has waived all copyright and related rights to this work under CC0 1.0.", "SPDX-License-Identifier: CC0-1.0", "CC0", "CC0 1.0"],
     "Unlicense": ["This is free and unencumbered software released into the public domain.", "SPDX-License-Identifier: Unlicense"],
     "proprietary": ["Copyright. All rights reserved.", "No part of this publication may be reproduced without the prior written permission of the publisher."],
 }
 #: Lines with a cue that grant nothing.
-PLAIN = ["He renewed his driving licence last week.", "Permission to speak was granted by the chair.", "The warranty covers parts for two years.", "She holds a licence to sell fish at the market.", "They asked for permission before they left.", "The copyright office opens at nine.", "A search warrant was issued on Monday.", "Wealth was redistributed after the war.", "The pilot lost her license.", "He spoke of the public domain of ideas."]
+PLAIN = ["He renewed his driving licence last week.", "Permission to speak was granted by the chair.", "The warranty covers parts for two years.", "She holds a licence to sell fish at the market.", "They asked for permission before they left.", "The copyright office opens at nine.", "A search warrant was issued on Monday.", "Wealth was redistributed after the war.", "The pilot lost her license.", "He spoke of the public domain of ideas.", "The Apache helicopter landed at noon.", "A gnu is an antelope, not a GNU tool.", "The web server is Apache and it answers slowly."]
 
 
 def grams(text: Column) -> Column:
@@ -132,7 +132,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", false_
     lines = docs.where(F.pmod(F.xxhash64(id_col, F.lit("plain")), F.lit(1 << 20)) < share).select(F.explode(F.filter(F.split(F.col(text_col).cast("string"), "\n"), lambda x: (x != "") & ~x.rlike(CUE))).alias("paragraph"))
     known = [(f, t) for f, ts in TEMPLATES.items() for t in ts]
     noisy = F.explode(F.array(F.lit(""), F.lit("the of and "), F.lit("in on ")))
-    labelled = _rows(spark, known + [("none", t) for t in PLAIN]).select("family", "paragraph", noisy.alias("noise")).select("family", F.concat("noise", "paragraph").alias("paragraph"))
+    names_only = [(f, t) for f, t in known if len(re.findall(r"\w+", t)) <= 3] * 6  # few words must do
+    labelled = _rows(spark, known + names_only + [("none", t) for t in PLAIN]).select("family", "paragraph", noisy.alias("noise")).select("family", F.concat("noise", "paragraph").alias("paragraph"))
     examples = materialize(labelled.unionByName(lines.select(F.lit("none").alias("family"), "paragraph")), "examples")
     names = sorted([*TEMPLATES, "none"])
     index = F.array_position(F.array(*[F.lit(x) for x in names]), F.col("family")) - 1

@@ -383,6 +383,75 @@ def test_licence_level_is_from_lines_with_a_cue(spark):
     assert name([*plain, *strong, (99, weak)], 1.0) == "CC-BY"
 
 
+def test_licence_short_names_and_edges(spark):
+    short = {"GPLv3": "GPL-3.0", "Apache 2.0 terms": "Apache-2.0", "CC BY 4.0": "CC-BY", "code is under GPLv2 only": "GPL-2.0", "AGPLv3": "AGPL-3.0", "3-clause BSD terms": "BSD", "The Apache helicopter landed at noon.": None}
+    prose = "sun tree walks slowly green\n" * 5
+    rows = [(i, prose) for i in range(60)] + [(100 + i, f"{prose}\n{t}\n\n{prose}") for i, t in enumerate(short)]
+    rows += [(None, "Released under the MIT License."), (None, prose), (7, "Released under the MIT License."), (500, "x " * 200_000 + "\nReleased under the MIT License.\n")]
+    got = [(x.doc_id, x.license) for x in license.scan(frame(spark, rows).withColumn("templates", F.lit(1)).withColumn("family", F.lit("x"))).collect()]
+    assert len(got) == len(rows)
+    assert {i: x for i, x in got if i is not None and 100 <= i < 500} == {100 + i: f for i, f in enumerate(short.values())}
+    assert [x for i, x in got if i is None] == ["MIT", "MIT"] and [x for i, x in got if i == 7] == ["MIT", "MIT"] and dict(got)[500] == "MIT"
+    none = license.scan(empty(spark))
+    assert none.count() == 0 and "license" in none.columns
+
+
+def test_quality_certification_against_brute_force(spark):
+    """Certified cutoffs recomputed with exact fractions, and what they keep."""
+    from fractions import Fraction
+    from math import comb
+
+    r = random.Random(12)
+    docs, marks = [], []
+    for i in range(3600):
+        good = int(r.random() < 0.6)
+        noisy = r.random() < (0.0005 if good else 0.7)
+        words = [r.choice(("sun", "tree", "walks", "Slowly", "green", "river")) + str(r.randrange(40)) + ("###" if noisy and r.random() < 0.5 else "") for _ in range(60)]
+        docs.append((i, " ".join(words), "en" if i % 4 else None))
+        marks.append((i, good))
+    docs += [(None, docs[0][1], "en"), (3, docs[5][1], "en"), (9000, None, "en")]
+    marks += [(3, 1), (None, 1), (7, None)]
+    spark_docs = spark.createDataFrame(docs, "doc_id long, text string, lang string").withColumns({c: F.lit(c) for c in ("id", "stratum", "good", "rule")})
+    labels = spark.createDataFrame(marks, "doc_id long, quality int").withColumn("stratum", F.lit("s"))
+    counts = quality.features(spark_docs)
+    held = counts.withColumn("held", F.pmod(F.xxhash64("id", F.lit("holdout")), F.lit(2)) == 1)
+    rows = held.select("id", "stratum", "held", "n_words", "n_repeat_words", *[v.alias(k) for k, v in quality.rates(held).items()]).collect()
+    good = {}
+    for i, y in marks:
+        if i is not None and y is not None:
+            good[i] = max(y, good.get(i, 0))
+    alpha = delta = 0.05
+    strata = {x.stratum for x in rows if x.id in good}
+    want = {}
+    for s in strata:
+        for rule, grid in quality.GRID.items():
+            mine = [(x[rule], x.held, good[x.id]) for x in rows if x.id in good and x.stratum == s]
+            passed, best = True, None
+            for c in grid:
+                n = sum(h and y == 1 for _, h, y in mine)
+                k = sum(h and y == 1 and v > c for v, h, y in mine)
+                p = Fraction(alpha / len(quality.GRID))
+                tail = sum(comb(n, j) * p**j * (1 - p) ** (n - j) for j in range(k + 1)) if k < p * n else 1
+                passed = passed and tail <= delta / len(quality.GRID) / len(strata)
+                use = sum(not h and y == 0 and v > c for v, h, y in mine) - 10 * sum(not h and y == 1 and v > c for v, h, y in mine)
+                if passed and use > 0 and (best is None or (use, c) > best):
+                    best = use, c
+            if best:
+                want[s, rule] = best[1]
+    got = {(x.stratum, x.rule): x.cutoff for x in quality.certify(counts, labels.select(F.col("doc_id").alias("id"), "quality")).collect()}
+    assert got == want and ("en", "symbol_rate") in want
+    out = quality.judge(spark_docs, labels).collect()
+    assert len(out) == len(docs)
+    by = {(x.id, x.n_words, x.symbol_rate): x for x in rows}
+    for x in out:
+        if x.doc_id != 3:  # an id with two texts
+            row = next(v for v in by.values() if v.id == x.doc_id)
+            fails = any(row[rule] > want.get((row.stratum, rule), 10**9) for rule in quality.GRID)
+            assert x.kept == (not x.base_failed and not fails)
+    none = quality.judge(empty(spark), labels)
+    assert none.count() == 0
+
+
 def _plain_base(t):
     import re
 
