@@ -21,16 +21,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.llm import bytetext
-from sparkloom.llm.common import map_arrow, materialize, slices, string_buffers
+from sparkloom.llm.common import bounded, discard, map_arrow, materialize, slices, string_buffers
 
 #: Bound of the fit: expected rows learned from for each language.
 SAMPLE_ROWS = 3000
+#: Weight in all languages that an n-gram of two characters or more needs.
+LEAST_WEIGHT = 2.0
 LONGEST = 5
 UNKNOWN = "und"
 #: Bytes of the scores of unseen words that a worker remembers.
 _CACHE_BYTES = 16 << 20
 #: Scores (texts times languages) held at a time.
 _CELLS = 1 << 22
+#: Values of a sample's key that are broadcast; more are joined.
+_MOST_KEYS = 1 << 14
 
 _LETTERS = np.zeros(256, bool)
 _LETTERS[0x41:0x5B] = _LETTERS[0x61:0x7B] = True
@@ -88,6 +92,40 @@ def _grams(words: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     return out, owner, left
 
 
+def learned(words: list[str], lang: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(kind, key, language, weight): words as kind 0 by their occurrences, n-grams by size with the logarithm of their words'."""
+    data, offsets = string_buffers(pa.array(words, pa.string()))
+    lang, count = lang.astype(np.int32), count.astype(np.float64)
+    parts = [(0, bytetext.words(data, offsets, np.ones(256, bool))[0], lang, count)]
+    if words:
+        hashes, owner, left = _grams(words)
+        for size, h in enumerate(hashes, 1):
+            inside = np.flatnonzero(left >= size)
+            of = owner[inside]
+            parts.append((size, h[inside], lang[of], np.log1p(count[of])))
+    out = []
+    for kind, h, k, w in parts:  # added up by key and language
+        order = np.lexsort((k, h))
+        h, k, w = h[order], k[order], w[order]
+        first = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (k[1:] != k[:-1])))) if h.size else np.zeros(0, np.int64)
+        out.append((np.full(first.size, kind, np.int8), h[first], k[first], np.add.reduceat(w, first) if h.size else w))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+class _Learn:
+    """mapInArrow on (lang, w, count): rows of ``learned``."""
+
+    def __init__(self, place):
+        self.place = place
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = self.place.value
+        for batch in batches:
+            lang = np.fromiter((place[x] for x in batch.column(0).to_pylist()), np.int32, batch.num_rows)
+            kind, key, lang, weight = learned(batch.column(1).to_pylist(), lang, np.asarray(batch.column(2)))
+            yield pa.RecordBatch.from_arrays([pa.array(kind.astype(np.int32)), pa.array(key.view(np.int64)), pa.array(lang), pa.array(weight)], names=["kind", "key", "lang", "weight"])
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -98,27 +136,26 @@ class Model:
     cached: tuple[np.ndarray, np.ndarray] | None = None  # hashes of unseen words, sorted, and their rows
 
     @staticmethod
-    def fit(words: list[str], lang: np.ndarray, count: np.ndarray, languages: list[str]) -> "Model":
-        """From rows of (word, language by place, occurrences)."""
+    def build(kind: np.ndarray, key: np.ndarray, lang: np.ndarray, weight: np.ndarray, languages: list[str]) -> "Model":
+        """From what ``learned`` gives for all words and languages, rare n-grams left out."""
         n = len(languages)
-        count = count.astype(np.float64)
-        data, offsets = string_buffers(pa.array(words, pa.string()))
-        key = bytetext.words(data, offsets, np.ones(256, bool))[0]
-        table = Table.build(key, lang, count)
-        totals = np.bincount(lang, count, n) if n else np.zeros(0)
+        known = kind == 0
+        table = Table.build(key[known], lang[known], weight[known])
+        totals = np.bincount(lang[known], weight[known], n) if n else np.zeros(0)
         word_base = np.log(0.1 / (totals + 0.1 * max(1, table.keys.size)))
-        parts, by_size = [], np.ones((LONGEST + 1, n))
-        if words:
-            hashes, owner, left = _grams(words)
-            for size, h in enumerate(hashes, 1):
-                inside = np.flatnonzero(left >= size)
-                h, k, w = h[inside], lang[owner[inside]], np.log1p(count[owner[inside]])
-                _, inverse = np.unique(h, return_inverse=True)
-                enough = np.bincount(inverse, w)[inverse] >= (2 if size > 1 else 0)
-                by_size[size] += np.bincount(k[enough], w[enough], n)
-                parts.append((h[enough], k[enough], w[enough]))
-        grams = Table.build(*(np.concatenate(x) for x in zip(*parts, strict=True))) if parts else Table.build(np.zeros(0, _U), np.zeros(0, np.int32), np.zeros(0))
-        return Model(languages, table, word_base, grams, np.log(0.1 / by_size))
+        by_size = np.ones((LONGEST + 1, n))
+        for size in range(1, LONGEST + 1) if n else ():
+            by_size[size] += np.bincount(lang[kind == size], weight[kind == size], n)
+        return Model(languages, table, word_base, Table.build(key[~known], lang[~known], weight[~known]), np.log(0.1 / by_size))
+
+    @staticmethod
+    def fit(words: list[str], lang: np.ndarray, count: np.ndarray, languages: list[str]) -> "Model":
+        """From rows of (word, language by place, occurrences)."""
+        kind, key, lang, weight = learned(words, lang, count)
+        _, inverse = np.unique(np.stack((kind.astype(np.int64), key.view(np.int64)), axis=1), axis=0, return_inverse=True)
+        total = np.bincount(inverse.ravel(), weight)[inverse.ravel()]
+        kept = (kind < 2) | (total >= LEAST_WEIGHT)
+        return Model.build(kind[kept], key[kept], lang[kept], weight[kept], languages)
 
     def backoff(self, words: list[str]) -> np.ndarray:
         """A row of scores for each word, from its longest known n-grams."""
@@ -212,6 +249,7 @@ class _Predict:
 def bounded_sample(rows: DataFrame, key: str, id_col: str, bound: int, name: str = "sample") -> DataFrame:
     """About ``bound`` rows of each value of ``key``, by hash of the id and the sample's ``name``."""
     share = rows.groupBy(key).count().select(key, F.least(F.lit(1.0), bound / F.col("count")).alias("share"))
+    share = bounded(share, _MOST_KEYS) or share
     place = F.pmod(F.xxhash64(F.col(id_col), F.lit(name)), F.lit(1 << 30)) / float(1 << 30)
     return rows.join(share, key).where(place < F.col("share")).drop("share")
 
@@ -220,15 +258,20 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """Fit on a bounded sample of labelled rows: about ``sample_rows`` of every language, all words of these.
 
     Rows without text or language teach nothing; repeated rows count each.
+    Words and n-grams are counted by the workers; the driver gets the tables.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("text is not null and lang is not null")
     words = F.explode(F.split(F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")).alias("w")
     counts = bounded_sample(rows, "lang", "id", sample_rows).select("lang", words).where("w <> ''").groupBy("lang", "w").count()
-    table = materialize(counts, "words").orderBy("lang", "w").toArrow()
-    lang = table.column("lang").to_pylist()
-    languages = sorted(set(lang))
-    place = {x: i for i, x in enumerate(languages)}
-    return Model.fit(table.column("w").to_pylist(), np.fromiter((place[x] for x in lang), np.int32, len(lang)), np.asarray(table.column("count")), languages)
+    counts = materialize(counts, "words")
+    languages = sorted(x.lang for x in counts.select("lang").distinct().collect())
+    place = docs.sparkSession.sparkContext.broadcast({x: i for i, x in enumerate(languages)})
+    parts = map_arrow(counts, _Learn(place), "kind int, key bigint, lang int, weight double")
+    keys = parts.groupBy("kind", "key").agg(F.sum("weight").alias("total"), F.collect_list(F.struct("lang", "weight")).alias("of")).where((F.col("kind") < 2) | (F.col("total") >= LEAST_WEIGHT))
+    table = keys.select("kind", "key", F.explode("of").alias("x")).select("kind", "key", "x.lang", F.col("x.weight").cast("float").alias("weight")).toArrow()
+    kind, key, lang, weight = (np.asarray(table.column(c)) for c in ("kind", "key", "lang", "weight"))
+    discard(counts)
+    return Model.build(kind, key.astype(np.int64).view(_U), lang, weight.astype(np.float64), languages)
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text", lang_name: str = "lang_pred", score_name: str = "score", carry: list[str] | None = None) -> DataFrame:
