@@ -188,11 +188,11 @@ class Model:
         if at.size:
             words = [bytetext.LOWER[data[s:e]].tobytes().decode() for s, e in zip(begin[at].tolist(), end[at].tolist(), strict=True)]
             rows[at] = self.backoff(words)
-            new, fresh = key[at], rows[at]
+            new, fresh = key[at], rows[at]  # sorted by key
             if self.cached is not None and (self.cached[0].size + new.size) * (8 + fresh.itemsize * fresh.shape[1]) <= _CACHE_BYTES:
-                new, fresh = np.concatenate((self.cached[0], new)), np.concatenate((self.cached[1], fresh))
-            order = np.argsort(new)
-            self.cached = new[order], fresh[order]
+                place = np.searchsorted(self.cached[0], new)
+                new, fresh = np.insert(self.cached[0], place, new), np.insert(self.cached[1], place, fresh, axis=0)
+            self.cached = new, fresh
         return rows
 
     def predict(self, data: np.ndarray, offsets: np.ndarray) -> tuple[list[str], np.ndarray]:

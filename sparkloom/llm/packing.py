@@ -37,7 +37,7 @@ GRAIN = 4
 #: Pieces of a chunk in which ranks are counted.
 CHUNK_ROWS = 50_000
 #: Words whose ids a worker process remembers; beyond, it starts anew.
-_CACHED_WORDS = 1 << 18
+_CACHED_WORDS = 1 << 20
 
 _SPECIAL = (b"<|startoftext|>", b"<|endoftext|>")
 _CLASS = np.zeros(256, np.uint8)  # 1 letter, 2 other ASCII, 3 apostrophe, 0 white space and the rest
@@ -91,12 +91,12 @@ class WordTokenizer:
         return (np.concatenate(parts), np.concatenate(sizes)) if parts else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
 
     def _learn(self, key: np.ndarray, words: list[str]) -> None:
+        """Keep the ids of new words, which come sorted by key."""
         ids, length = self._ids(words)
         start = self.ids.size + np.cumsum(length) - length
         self.ids = np.concatenate((self.ids, ids))
-        key = np.concatenate((self.key, key))
-        order = np.argsort(key)
-        self.key, self.start, self.length = key[order], np.concatenate((self.start, start))[order], np.concatenate((self.length, length))[order]
+        at = np.searchsorted(self.key, key)
+        self.key, self.start, self.length = np.insert(self.key, at, key), np.insert(self.start, at, start), np.insert(self.length, at, length)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and where each text's begin (and the end)."""
@@ -143,7 +143,7 @@ class _Pieces:
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(self.path)
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", 4 << 20):
                 ids, at = tokenizer.encode(*string_buffers(batch.column(1)))
                 row, start, size, crc, total = [], [], [], [], []
                 bounds = at.tolist()
