@@ -24,10 +24,6 @@ BROADCAST_ROWS = 1 << 20
 #: Narrow rows of a written file.
 ROWS_PER_FILE = 200_000
 
-#: Bytes of an Arrow batch, and the setting and its default.
-BATCH_BYTES = "8388608b"
-_BATCH, _SPARKS_OWN = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
-
 _OWN_DIRS: dict[str, str] = {}
 
 
@@ -129,14 +125,7 @@ def trim() -> None:
 
 
 def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``df.mapInArrow`` by workers that keep no memory beyond their task.
-
-    Where the session has Spark's own bound of a batch's bytes, it gets a lower
-    one: the passes cut batches further, and large ones cost memory on both sides.
-    """
-    conf = df.sparkSession.conf
-    if conf.get(_BATCH, None) == _SPARKS_OWN:
-        conf.set(_BATCH, BATCH_BYTES)
+    """``df.mapInArrow`` by workers that keep no memory beyond their task."""
     return df.mapInArrow(_Pass(function), schema)
 
 
@@ -187,13 +176,13 @@ def list_array(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
 
 
-def slices(batch: pa.RecordBatch, column: str, target: int = 2 << 20):
-    """Cut a record batch into runs of rows with about ``target`` text bytes."""
+def slices(batch: pa.RecordBatch, column: str, target: int = 1 << 20, rows: int = 2048):
+    """Cut a record batch into runs of at most ``rows`` rows with about ``target`` text bytes."""
     at = batch.schema.get_field_index(column)
     _, offsets = string_buffers(batch.column(at))
     n, lo = batch.num_rows, 0
     while lo < n:
         hi = int(np.searchsorted(offsets, offsets[lo] + target, side="right")) - 1
-        hi = min(n, max(lo + 1, hi))
+        hi = min(n, lo + rows, max(lo + 1, hi))
         yield batch.slice(lo, hi - lo)
         lo = hi

@@ -25,7 +25,7 @@ from sparkloom.llm.fmindex import FMIndex
 #: Text bytes of the benchmark that are searched, and broadcast, at a time.
 BLOCK_BYTES = 16 << 20
 #: Text bytes of a shard.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 
 
 @dataclass
@@ -119,7 +119,7 @@ _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 def _search(batches: Iterator[pa.RecordBatch], phrases: Phrases, last: bool) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for batch in slices(whole, "text", SHARD_BYTES):
+        for batch in slices(whole, "text", SHARD_BYTES, 8192):
             data, offsets = string_buffers(batch.column(1))
             n_words, spans, items, begin, end = _shard(data, offsets, phrases)
             first = np.concatenate(([0], np.cumsum(n_words)))

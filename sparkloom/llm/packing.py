@@ -37,7 +37,7 @@ GRAIN = 4
 #: Pieces of a chunk in which ranks are counted.
 CHUNK_ROWS = 50_000
 #: Words whose ids a worker process remembers; beyond, it starts anew.
-_CACHED_WORDS = 1 << 20
+_CACHED_WORDS = 1 << 19
 
 _SPECIAL = (b"<|startoftext|>", b"<|endoftext|>")
 _CLASS = np.zeros(256, np.uint8)  # 1 letter, 2 other ASCII, 3 apostrophe, 0 white space and the rest
@@ -84,8 +84,8 @@ class WordTokenizer:
     def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts in a row and how many each has."""
         parts, sizes = [], []
-        for lo in range(0, len(texts), 4096):
-            ids = [e.ids for e in self.tokenizer.encode_batch(texts[lo : lo + 4096], add_special_tokens=False)]
+        for lo in range(0, len(texts), 512):
+            ids = [e.ids for e in self.tokenizer.encode_batch(texts[lo : lo + 512], add_special_tokens=False)]
             sizes.append(np.fromiter(map(len, ids), np.int64, len(ids)))
             parts.append(np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes[-1].sum())))
         return (np.concatenate(parts), np.concatenate(sizes)) if parts else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
@@ -143,7 +143,7 @@ class _Pieces:
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(self.path)
         for whole in batches:
-            for batch in slices(whole, "text", 4 << 20):
+            for batch in slices(whole, "text"):
                 ids, at = tokenizer.encode(*string_buffers(batch.column(1)))
                 row, start, size, crc, total = [], [], [], [], []
                 bounds = at.tolist()
