@@ -24,6 +24,10 @@ BROADCAST_ROWS = 1 << 20
 #: Narrow rows of a written file.
 ROWS_PER_FILE = 200_000
 
+#: Bytes of an Arrow batch, and the setting and its default.
+BATCH_BYTES = "8388608b"
+_BATCH, _SPARKS_OWN = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
 _OWN_DIRS: dict[str, str] = {}
 
 
@@ -125,7 +129,15 @@ def trim() -> None:
 
 
 def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``df.mapInArrow`` by workers that keep no memory beyond their task."""
+    """``df.mapInArrow`` by workers that keep no memory beyond their task.
+
+    Where the session has Spark's own bound of a batch's bytes, it gets a lower
+    one from then on: passes cut batches further, and a large one is held
+    several times in an executor's memory outside the heap.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH, None) == _SPARKS_OWN:
+        conf.set(_BATCH, BATCH_BYTES)
     return df.mapInArrow(_Pass(function), schema)
 
 
