@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.llm import bytetext
-from sparkloom.llm.common import bounded, discard, map_arrow, materialize, slices, string_buffers
+from sparkloom.llm.common import bounded, discard, in_parts, map_arrow, materialize, slices, string_buffers
 
 #: Bound of the fit: expected rows learned from for each language.
 SAMPLE_ROWS = 3000
@@ -123,7 +123,7 @@ class _Learn:
         for batch in batches:
             lang = np.fromiter((place[x] for x in batch.column(0).to_pylist()), np.int32, batch.num_rows)
             kind, key, lang, weight = learned(batch.column(1).to_pylist(), lang, np.asarray(batch.column(2)))
-            yield pa.RecordBatch.from_arrays([pa.array(kind.astype(np.int32)), pa.array(key.view(np.int64)), pa.array(lang), pa.array(weight)], names=["kind", "key", "lang", "weight"])
+            yield from in_parts(pa.RecordBatch.from_arrays([pa.array(kind.astype(np.int32)), pa.array(key.view(np.int64)), pa.array(lang), pa.array(weight)], names=["kind", "key", "lang", "weight"]))
 
 
 @dataclass
