@@ -24,8 +24,8 @@ BROADCAST_ROWS = 1 << 20
 #: Narrow rows of a written file.
 ROWS_PER_FILE = 200_000
 
-#: Bytes of an Arrow batch, and the setting and its default.
-BATCH_BYTES = "8388608b"
+#: Bytes of an Arrow batch (two slices of a pass: more would only wait in memory outside the heap), and the setting and its default.
+BATCH_BYTES = "2097152b"
 _BATCH, _SPARKS_OWN = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 _OWN_DIRS: dict[str, str] = {}
