@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import permutations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm import decontaminate, langid, license, minhash, packing, pii, quality, suffixdedup, toxicity, warc
+from sparkloom.llm import decontaminate, filteraudit, langid, license, minhash, packing, pii, quality, suffixdedup, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +70,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, _table(spark, sf_dir, "pages"))
 
 
+def op13_filteraudit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filteraudit.audit(filteraudit.mask_counts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_langid": op2_langid,
@@ -80,10 +85,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash": op8_minhash,
     "op9_decontaminate": op9_decontaminate,
     "op10_warc": op10_warc,
+    "op13_filteraudit": op13_filteraudit,
 }
 
 _LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM = r"regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_WORDS_AS_THEY_ARE = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 _WORDS = r"regexp_extract_all(" + _LOWER + r", '[^\x20\x09-\x0D]+')"
 
 ORACLES: dict[str, str] = {
@@ -118,4 +125,18 @@ t AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS top FROM d)
 SELECT page_id, n AS payload_bytes, h AS payload_digest,
        CASE WHEN n >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN n >= 1000 AND page_id <> top THEN top END AS refers_to FROM t""",
+    "op13_filteraudit": f"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, {_WORDS_AS_THEY_ARE.format("t")} AS ws FROM d),
+g AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT part, CAST(len(ws) < 100 AS INT) + 2 * CAST(100 * len(list_distinct(ws)) < 80 * len(ws) AS INT) + 4 * CAST(100 * len(regexp_extract_all(t, '[A-Z]')) > 10 * length(t) AS INT)
+      + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INT) + 16 * CAST(coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS INT) AS mask, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+      FROM w LEFT JOIN g USING (doc_id)),
+c AS (SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM m GROUP BY part, mask),
+s AS (SELECT o AS filter_order, unnest(range(1, 6)) AS step FROM (SELECT unnest({["".join(p) for p in permutations("ABCDE")]}) AS o)),
+b AS (SELECT *, 1 << (ascii(filter_order[step]) - 65) AS bit, coalesce(list_sum(list_transform(range(1, step), lambda i: 1 << (ascii(filter_order[i]) - 65))), 0) AS gone FROM s),
+x AS (SELECT part, filter_order, step, bit, sum(n) FILTER (mask & (gone | bit) = 0) AS kept, sum(n) FILTER (mask & gone = 0 AND mask & bit <> 0) AS removed, sum(n) FILTER (mask & gone <> 0 AND mask & bit <> 0) AS redundant,
+      sum(n) FILTER (mask = bit) AS unique_fails, sum(good) FILTER (mask & gone = 0 AND mask & bit <> 0) AS good_lost, sum(toxic) FILTER (mask & gone = 0 AND mask & bit <> 0) AS toxic_lost FROM c CROSS JOIN b GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, {", ".join(f"CAST(coalesce({c}, 0) AS BIGINT) AS {c}" for c in ("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost"))},
+       CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley FROM x""",
 }
