@@ -8,7 +8,7 @@ from itertools import permutations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm import decontaminate, filteraudit, langid, license, minhash, packing, pii, quality, suffixdedup, toxicity, warc
+from sparkloom.llm import centroids, decontaminate, filteraudit, langid, license, minhash, packing, pii, quality, suffixdedup, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +70,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, _table(spark, sf_dir, "pages"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(_table(spark, sf_dir, "embeddings"))
+
+
 def op13_filteraudit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filteraudit.audit(filteraudit.mask_counts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")))
 
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash": op8_minhash,
     "op9_decontaminate": op9_decontaminate,
     "op10_warc": op10_warc,
+    "op11_centroids": op11_centroids,
     "op13_filteraudit": op13_filteraudit,
 }
 
@@ -93,7 +98,27 @@ _ALNUM = r"regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'
 _WORDS_AS_THEY_ARE = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 _WORDS = r"regexp_extract_all(" + _LOWER + r", '[^\x20\x09-\x0D]+')"
 
+
+
+def _sql_centroids(rounds: int = 3, dims: int = 64, k: int = 16) -> str:
+    """One common table per assignment and per set of centroids."""
+    usable = f"len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dims}"
+    parts = [
+        f"q AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor({dims} * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings WHERE {usable})",
+        f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS k, v FROM q WHERE vec_id IS NOT NULL ORDER BY k LIMIT {k})",
+    ]
+    for r in range(rounds + 1):
+        far = "CAST(list_sum(list_transform(range(1, 65), lambda i: (q.v[i] - c.v[i]) * (q.v[i] - c.v[i]))) AS BIGINT)"
+        parts.append(f"a{r} AS MATERIALIZED (SELECT vec_id, any_value(v) AS v, arg_min(k, (d, k)) AS k, min(d) AS d FROM (SELECT q.vec_id, q.v, c.k, {far} AS d FROM q CROSS JOIN c{r} c) GROUP BY vec_id)")
+        if r < rounds:
+            mean = f"SELECT k, list(m ORDER BY i) AS v FROM (SELECT k, i, CAST(floor(sum(x)::HUGEINT / count(*)) AS BIGINT) AS m FROM (SELECT k, unnest(range(1, {dims + 1})) AS i, unnest(v) AS x FROM a{r}) GROUP BY k, i) GROUP BY k"
+            parts.append(f"m{r} AS MATERIALIZED ({mean}), c{r + 1} AS MATERIALIZED (SELECT c{r}.k, coalesce(m{r}.v, c{r}.v) AS v FROM c{r} LEFT JOIN m{r} ON c{r}.k = m{r}.k)")
+    last = f"SELECT vec_id, CAST(a.k AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY a.k) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256 FROM a{rounds} a JOIN c{rounds} c ON a.k = c.k"
+    return f"WITH {', '.join(parts)} {last}"
+
+
 ORACLES: dict[str, str] = {
+    "op11_centroids": _sql_centroids(),
     "op8_minhash": f"""
 WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format("text")} AS ws FROM documents),
 s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
