@@ -8,7 +8,8 @@ from itertools import permutations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm import centroids, decontaminate, filteraudit, langid, license, minhash, packing, pii, quality, suffixdedup, toxicity, warc
+from sparkloom.llm import centroids, decontaminate, doubling, filteraudit, langid, license, minhash, packing, pii, quality, suffixdedup, toxicity, warc
+from sparkloom.llm.common import discard, materialize
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +75,13 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(_table(spark, sf_dir, "embeddings"))
 
 
+def op12_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = doubling.remove_repeats(_table(spark, sf_dir, "documents"))
+    out = materialize(cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")), "kept")
+    discard(*cut._reads)
+    return out
+
+
 def op13_filteraudit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filteraudit.audit(filteraudit.mask_counts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")))
 
@@ -90,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontaminate": op9_decontaminate,
     "op10_warc": op10_warc,
     "op11_centroids": op11_centroids,
+    "op12_doubling": op12_doubling,
     "op13_filteraudit": op13_filteraudit,
 }
 
@@ -150,6 +159,14 @@ t AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS top FROM d)
 SELECT page_id, n AS payload_bytes, h AS payload_digest,
        CASE WHEN n >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN n >= 1000 AND page_id <> top THEN top END AS refers_to FROM t""",
+    "op12_doubling": f"""
+WITH w AS (SELECT doc_id, {_WORDS_AS_THEY_ARE.format("coalesce(text, '')")} AS ws FROM documents),
+p AS (SELECT doc_id, s, array_to_string(ws[s:s + 19], ' ') AS x FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS s FROM w)),
+d AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY x ORDER BY doc_id, s) AS place FROM p) WHERE place > 1),
+g AS (SELECT doc_id, list(DISTINCT i) AS gone FROM (SELECT doc_id, unnest(range(s, s + 20)) AS i FROM d) GROUP BY doc_id),
+u AS (SELECT doc_id, i, ws[i] AS word FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM w)),
+k AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS kept FROM u ANTI JOIN (SELECT doc_id, unnest(gone) AS i FROM g) USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN k USING (doc_id)""",
     "op13_filteraudit": f"""
 WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
 w AS (SELECT *, {_WORDS_AS_THEY_ARE.format("t")} AS ws FROM d),
