@@ -223,7 +223,7 @@ class Level:
                 piece = self.piece(_fields(batch, i))
                 bucket, entry, _, _ = self.groups(piece)
                 numbers, at = np.unique(bucket, return_index=True)
-                ends = np.append(at[1:], bucket.size)
+                ends = np.append(at, bucket.size)[1:]
                 blobs = [entry[lo:hi].tobytes() for lo, hi in zip(at, ends, strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(numbers.astype(np.int64)), pa.array(np.full(numbers.size, piece.sid)), pa.array(blobs, pa.binary())], ["bucket", "sid", "entries"])
 
