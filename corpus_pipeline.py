@@ -6,7 +6,7 @@ but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.llm import decontaminate, langid, minhash, packing, pii
@@ -17,6 +17,17 @@ from sparkloom.llm.queries import tokenizer_path
 LEAST_SCORE = 0.5
 
 
+def boxed(docs: DataFrame, *read: str, without: tuple[str, ...] = ()) -> DataFrame:
+    """The columns that an operator reads and the row in one struct of numbered fields, so that no column of the caller's meets a name of the operator's."""
+    fields = [F.col(f"`{c}`").alias(f"f{i}") for i, c in enumerate(docs.columns) if c not in without]
+    return docs.select(*read, F.struct(*fields).alias("whole"))
+
+
+def unboxed(rows: DataFrame, docs: DataFrame, **own: Column) -> DataFrame:
+    """``rows`` of boxed ``docs`` with the columns of these, ``own`` ones in their place."""
+    return rows.select(*[own.get(c, F.col(f"whole.f{i}")).alias(c) for i, c in enumerate(docs.columns)])
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop texts without a letter, null ones too, and those whose language stays undecided.
 
@@ -25,8 +36,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     language is known and nothing stays; no rows give none.
     """
     model = langid.train(docs.where(~langid.held_out("doc_id") & F.col("doc_id").isNotNull()))
-    seen = langid.identify(docs, model, lang_name="_lang_pred", score_name="_lang_score")
-    return seen.where((F.col("_lang_pred") != langid.UNKNOWN) & (F.col("_lang_score") >= LEAST_SCORE)).select(*docs.columns)
+    seen = langid.identify(boxed(docs, "text"), model, carry=["whole"])
+    return unboxed(seen.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,22 +48,21 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     documents whatever their ids, null ids come after all others, and of equal
     rows one stays.
     """
-    columns = docs.columns
     odd = docs.groupBy("doc_id").count().where("count > 1 or doc_id is null")
     if odd.isEmpty():
         gone = minhash.near_duplicates(docs).where(~F.col("kept")).select("doc_id")
         gone = materialize(gone, "dropped")
-        return docs.join(bounded(gone) or gone, "doc_id", "left_anti").select(*columns)
-    others = [c for c in columns if c not in ("doc_id", "text")]
-    known = docs.withColumns({"_text": F.xxhash64("text", F.col("text").isNull()), "_row": F.xxhash64(*others)})
-    key = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", F.col("_text").alias("text"), F.col("_row").alias("row"))
-    flags = materialize(minhash.near_duplicates(known.withColumn("_id", key), "_id").select("_id", "kept"), "kept")
-    parts = lambda df: df.select(F.col("_id.doc_id").alias("_doc"), F.col("_id.text").alias("_t"), F.col("_id.row").alias("_r"))
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_text") == F.col("_t")) & (F.col("_row") == F.col("_r"))
+        return docs.join(bounded(gone) or gone, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    others = [F.col(f"whole.f{i}") for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")]
+    known = boxed(docs, "doc_id", "text").withColumns({"t": F.xxhash64("text", F.col("text").isNull()), "r": F.xxhash64(F.lit(0), *others)})
+    key = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", F.col("t").alias("text"), F.col("r").alias("row"))
+    flags = materialize(minhash.near_duplicates(known.select(key.alias("key"), "text"), "key").select("key", "kept"), "kept")
+    parts = lambda df: df.select(F.col("key.doc_id").alias("_doc"), F.col("key.text").alias("_t"), F.col("key.row").alias("_r"))
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("t") == F.col("_t")) & (F.col("r") == F.col("_r"))
     kept = known.join(parts(flags.where(~F.col("kept"))).distinct(), same, "left_anti")
-    equal = parts(flags.where("kept").groupBy("_id").count().where("count > 1"))
-    once = kept.join(equal, same, "left_semi").dropDuplicates(["doc_id", "_text", "_row"])
-    return kept.join(equal, same, "left_anti").unionByName(once).select(*columns)
+    equal = parts(flags.where("kept").groupBy("key").count().where("count > 1"))
+    once = kept.join(equal, same, "left_semi").dropDuplicates(["doc_id", "t", "r"])
+    return unboxed(kept.join(equal, same, "left_anti").unionByName(once), docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,15 +72,14 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     text, so equal rows share their fate; an empty benchmark drops nothing.
     """
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    carry = [c for c in docs.columns if c != "doc_id"]
-    return decontaminate.decontaminate(docs, benchmark, carry=carry).where(~F.col("contaminated")).select(*docs.columns)
+    found = decontaminate.decontaminate(boxed(docs, "doc_id", "text"), benchmark, carry=["whole"])
+    return unboxed(found.where(~F.col("contaminated")), docs)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace every span of personal data, and credentials, by its kind; null texts stay null, no row goes."""
-    carry = [c for c in docs.columns if c not in ("text", "n_chars")]
-    out = pii.detect(docs, carry=carry, masked=True).withColumnRenamed("masked", "text")
-    return out.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+    out = pii.detect(boxed(docs, "text", without=("text", "n_chars")), carry=["whole"], masked=True)
+    return unboxed(out, docs, text=F.col("masked"), n_chars=F.length("masked").cast("bigint"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
