@@ -113,6 +113,26 @@ def test_near_duplicate_stage_with_odd_ids(spark):
     assert sorted(got, key=str) == sorted([(1, long("a")), (1, long("b")), (None, long("c")), (3, long("d")), (4, None), (4, ""), (5, None)], key=str)
 
 
+CLASHING = ["spans", "masked", "items", "item", "_text", "_row", "_id", "_lang_pred", "lang_pred", "score", "row", "whole", "key", "t", "r", "n_words", "kept", "contaminated", "hashes", "a.b"]
+
+
+def test_stages_keep_every_column(spark):
+    """Whatever a column is called, all stages but the last give it back as it was, with repeated ids too."""
+    long = lambda w: " ".join(f"{w}{i} Wort" for i in range(40))
+    rows = [(i, long("abcdef"[i]), "de", "s", None) for i in range(6)] + [(6, long("a") + " x", "de", "s", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.select("*", *[F.concat(F.lit(c), F.col("doc_id").cast("string")).alias(c) for c in CLASHING])
+    for repeated in (False, True):
+        state = docs.unionByName(docs.where("doc_id = 2").withColumn("text", F.lit(long("z")))) if repeated else docs
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            state = stage(spark, state, SF)
+            assert state.columns == docs.columns, name
+        state = state.cache()
+        assert state.count() == 6 + repeated
+        assert all(r[c] == f"{c}{r.doc_id}" for r in state.collect() for c in CLASHING)
+        assert corpus_pipeline.pack_sequences(spark, state, SF).count() > 0
+
+
 def test_stages_of_an_empty_table(spark):
     none = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:
@@ -136,5 +156,5 @@ def test_packing_with_another_tokenizer():
 
 def test_registered():
     names = entry.queries()
-    assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in names)] == []
+    assert [n for n in range(1, 14) if not any(q.startswith(f"op{n}_") for q in names)] == []
     assert "pipeline" in names and "pipeline" not in entry.oracle_sql()
