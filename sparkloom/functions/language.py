@@ -1,36 +1,75 @@
-"""Language detection by the share of a language's frequent words."""
+"""Language detection by rank profiles of character trigrams.
+
+A profile is a table (lang, gram, rank) of each language's most frequent
+trigrams, learned from labelled texts.  A text's own trigrams are ranked the
+same way; a language is as far from it as these ranks are out of place (Cavnar
+and Trenkle), and the nearest one wins.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkloom.functions.text import simple_terms
+from sparkloom.sources.workspace import written
+
+#: Ranks of a profile and of a text.
+RANKS = 300
+
+#: A text is of no known language if it is nearer to the worst distance than this share of it.
+LEAST = 0.12
+
+#: Rows of a profile table up to which it is broadcast.
+BROADCAST_ROWS = 1 << 18
+
+SCHEMA = "lang string, gram string, rank int"
+
+
+def trigrams(text: Column) -> Column:
+    """Overlapping trigrams around every letter of the lower-case words; ``_`` stands for what is between words."""
+    marked = F.concat(F.lit("_"), F.regexp_replace(F.lower(text), r"[^\p{L}]+", "_"), F.lit("_"))
+    return F.regexp_extract_all(marked, F.lit("(?=(.[^_].))"), F.lit(1))
+
+
+def ranked(counts: DataFrame, keys: list[str], ranks: int) -> DataFrame:
+    """The ``ranks`` most frequent trigrams of each key with their rank from 1, ties by trigram."""
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("count"), "gram"))
+    return counts.withColumn("rank", place).where(F.col("rank") <= ranks)
+
+
+def profiles(labelled: DataFrame, lang: str = "lang", text: str = "text", ranks: int = RANKS) -> DataFrame:
+    """(lang, gram, rank) of every language of ``labelled``; rows without a language or text teach nothing."""
+    rows = labelled.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.explode(trigrams(F.col(text))).alias("gram"))
+    return ranked(rows.groupBy("lang", "gram").count(), ["lang"], ranks).select("lang", "gram", "rank")
 
-#: Frequent words, written for this engine.
-PROFILES = {
-    "en": ("the", "of", "and", "to", "in", "is", "that", "for", "with", "are"),
-    "fr": ("le", "la", "de", "et", "les", "des", "un", "une", "en", "que"),
-    "de": ("der", "die", "und", "das", "ist", "nicht", "von", "mit", "ein", "des"),
-    "es": ("el", "la", "de", "que", "y", "los", "las", "en", "se", "del"),
-    "id": ("yang", "dan", "di", "ini", "itu", "dengan", "untuk", "tidak", "dari", "ke"),
-}
 
+def train(labelled: DataFrame, lang: str = "lang", text: str = "text", ranks: int = RANKS) -> DataFrame:
+    """The profiles, written once."""
+    return written(profiles(labelled, lang, text, ranks), "profiles")[0]
 
-def detect(text: Column) -> Column:
-    """Language with most hits, first of the profiles where equal; null without hits."""
-    every = sorted({w for words in PROFILES.values() for w in words})
 
-    def best(ws: Column) -> Column:
-        of = lambda words: F.size(F.filter(ws, lambda w: w.isin(*words)))
-        scores = [F.struct(of(words).alias("n"), F.lit(-i).alias("order"), F.lit(lang).alias("lang")) for i, (lang, words) in enumerate(PROFILES.items())]
-        return F.array_max(F.array(*scores))
+def detect(rows: DataFrame, keys: list[str], text: str, known: DataFrame, ranks: int = RANKS, least: float = LEAST) -> DataFrame:
+    """(keys, detected) of every key: the nearest language of the ``known`` profiles, by name where equal.
 
-    # The words are found once, and only those of some profile are counted.
-    known = F.filter(simple_terms(text), lambda w: w.isin(*every))
-    top = F.transform(F.array(known), best)
-    return F.element_at(F.transform(top, lambda x: F.when(x["n"] > 0, x["lang"])), 1)
+    Null where a text has no letter (null, digits, marks) or is far from all
+    profiles.  Rows that share a key are one text.  A text's trigrams are
+    counted before they are shuffled; the profiles are broadcast where a count
+    shows that they are few, else joined.
+    """
+    few = known.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    named = known.select("lang", "gram", F.col("rank").alias("known_rank"))
+    counts = rows.select(*keys, F.explode_outer(trigrams(F.col(text))).alias("gram")).groupBy(*keys, "gram").count()
+    near = ranked(counts, keys, ranks).join(F.broadcast(named) if few else named, "gram", "left")
+    agreed = F.sum(ranks - F.abs(F.col("rank") - F.col("known_rank")))
+    each = near.groupBy(*keys, "lang").agg(agreed.alias("agreed"), F.max("rank").alias("n"))
+    # The least (-agreed, name) is the nearest language, the first by name.
+    best = F.min(F.when(F.col("agreed").isNotNull(), F.struct((-F.col("agreed")).alias("against"), "lang")))
+    top = each.groupBy(*keys).agg(best.alias("best"), F.max("n").alias("n"))
+    sure = -F.col("best.against") >= least * ranks * F.col("n")
+    return top.select(*keys, F.when(sure, F.col("best.lang")).alias("detected"))
 
 
-def is_language(text: Column, language: str) -> Column:
-    return F.coalesce(detect(text) == language, F.lit(False))
+def of_language(rows: DataFrame, keys: list[str], text: str, known: DataFrame, target: str) -> DataFrame:
+    """The rows whose text is in the ``target`` language; ``keys`` name a text and are not null."""
+    found = detect(rows, keys, text, known).where(F.col("detected") == target)
+    return rows.join(found.select(*keys), keys, "left_semi")

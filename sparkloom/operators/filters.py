@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkloom.functions import language
+
 
 def due(df: DataFrame, time_ms: str, now_ms: int, interval_ms: int) -> DataFrame:
     """Rows last visited ``interval_ms`` ago or earlier."""
@@ -22,14 +22,6 @@ def majority(df: DataFrame, key: str, is_target: Column, share: float = 0.5) ->
     return df.groupBy(key).agg(F.avg(is_target.cast("double")).alias("share"), F.count("*").alias("n_posts")).where(F.col("share") >= share)
 
 
-def any_target(fields: list[str], predicate) -> Column:
-    """Whether any of several text fields meets a predicate; null fields do not."""
-    out = F.lit(False)
-    for f in fields:
-        out = out | F.coalesce(predicate(F.col(f)), F.lit(False))
-    return out
-
-
 def join_text(fields: list[Column]) -> Column:
     """Non-empty fields joined by a full stop."""
     return F.concat_ws(". ", *[F.nullif(f.cast("string"), F.lit("")) for f in fields])
@@ -54,12 +46,12 @@ def latest(df: DataFrame, keys: list[str], time: str, n: int) -> DataFrame:
     return df.withColumn("_place", place).where(F.col("_place") <= n).drop("_place")
 
 
-def search_hosts(hosts: DataFrame, posts: DataFrame, keywords: list[str], is_target: Callable[[Column], Column], limit: int, now_ms: int, n_posts: int = 10, share: float = 0.5) -> DataFrame:
+def search_hosts(hosts: DataFrame, posts: DataFrame, keywords: list[str], known: DataFrame, target: str, limit: int, now_ms: int, n_posts: int = 10, share: float = 0.5) -> DataFrame:
     """(id, type, name, crawltime) of hosts found by a keyword, whatever its case, up to ``limit`` of each type for each.
 
     Groups must be open.  Of the host's last ``n_posts`` posts at least
-    ``share`` must be of the target in one of their texts; a host without posts
-    is left out.
+    ``share`` must have a text in the ``target`` language by the ``known``
+    profiles; a host without posts is left out.
     """
     name = F.lower("name")
     found = hosts.withColumn("keyword", F.explode(F.array_compact(F.array(*[F.when(F.contains(name, F.lit(k.lower())), F.lit(k)) for k in keywords]))))
@@ -67,6 +59,10 @@ def search_hosts(hosts: DataFrame, posts: DataFrame, keywords: list[str], is_tar
     found = found.withColumn("_place", place).where(F.col("_place") <= limit)
     found = found.where((F.col("type") != "group") | (F.col("privacy") == "OPEN")).select("id", "type", "name").distinct()
     fields = ["caption", "description", "message", "name", "story"]
-    mine = latest(posts.join(found.select(F.col("id").alias("host_id")), "host_id", "left_semi"), ["host_id"], "time", n_posts)
-    kept = majority(mine, "host_id", any_target(fields, is_target), share).select(F.col("host_id").alias("id"))
+    mine = posts.join(found.select(F.col("id").alias("host_id")), "host_id", "left_semi")
+    mine = mine.withColumn("post", F.row_number().over(Window.partitionBy("host_id").orderBy(F.desc("time")))).where(F.col("post") <= n_posts)
+    texts = mine.select("host_id", "post", F.posexplode(F.array(*fields)).alias("field", "text"))
+    each = language.detect(texts, ["host_id", "post", "field"], "text", known)
+    judged = each.groupBy("host_id", "post").agg(F.bool_or(F.col("detected") == target).alias("is_target"))
+    kept = majority(judged, "host_id", F.coalesce("is_target", F.lit(False)), share).select(F.col("host_id").alias("id"))
     return found.join(kept, "id", "left_semi").select("id", "type", "name", F.lit(now_ms).cast("bigint").alias("crawltime"))

@@ -145,9 +145,10 @@ def host_crawl(hosts: DataFrame, posts: DataFrame, now_ms: int, config: EngineCo
     return posts.join(todo.select(F.col("id").alias("host_id")), "host_id").select("row_key", "host_id", body.alias("text"), F.coalesce("created_ms", "updated_ms").alias("time_ms"))
 
 
-def training_data(lines: DataFrame, pages: DataFrame, target: str) -> DataFrame:
-    """label, url, terms of training urls whose page is in the target language."""
-    both = lines.join(pages, "url").where(F.length("text") > 0).where(language.is_language(F.col("text"), target))
+def training_data(lines: DataFrame, pages: DataFrame, known: DataFrame, target: str) -> DataFrame:
+    """label, url, terms of training urls whose page is in the target language by the ``known`` profiles; a url has one page."""
+    wanted = pages.where(F.length("text") > 0).join(lines.select("url").distinct(), "url", "left_semi")
+    both = lines.join(language.of_language(wanted, ["url"], "text", known, target), "url")
     return both.select("label", "url", text.clean_terms(F.col("text")).alias("terms"))
 
 
@@ -156,12 +157,13 @@ def upload(spark: SparkSession, resource: str) -> DataFrame:
     return tables.split_lines(tables.text_lines(spark, resource), "value", "\t", ["label", "url", "terms"]).select("label", "url", "terms")
 
 
-def tweets(spark: SparkSession, source: str, target: str, checkpoint: str, language_: str = "id", interval: str | None = None) -> StreamingQuery:
-    """Posts of a folder in the target language, upserted by id as they arrive."""
+def tweets(spark: SparkSession, source: str, target: str, checkpoint: str, known: DataFrame, language_: str = "id", interval: str | None = None) -> StreamingQuery:
+    """Posts of a folder in the target language by the ``known`` profiles, upserted by id as they arrive."""
     schema = "row_key string, text string, time_ms long, user_id string, user_name string"
     stream = ingest.source(spark, source, schema)
     names = ("row_key", "text", "time_ms", "user_id", "user_name")
-    return ingest.upsert_stream(stream, {n: F.col(n) for n in names}, "row_key", target, checkpoint, language.is_language(F.col("text"), language_), interval, "time_ms")
+    keep = lambda batch: language.of_language(batch.where("row_key IS NOT NULL"), ["row_key", "time_ms"], "text", known, language_)
+    return ingest.upsert_stream(stream, {n: F.col(n) for n in names}, "row_key", target, checkpoint, F.length("text") > 0, interval, "time_ms", keep=keep)
 
 
 def _now() -> int:
@@ -183,7 +185,7 @@ def _upsert_file(spark: SparkSession, result: tuple[DataFrame, DataFrame], outpu
 
 def _facebook(spark, a) -> None:
     if a.keywords:
-        found = filters.search_hosts(_read(spark, a.hosts), _read(spark, a.posts), tables.word_list(spark, a.keywords), lambda c: language.is_language(c, a.language), CONFIG.search_limit, _now())
+        found = filters.search_hosts(_read(spark, a.hosts), _read(spark, a.posts), tables.word_list(spark, a.keywords), _read(spark, a.profiles), a.language, CONFIG.search_limit, _now())
         _write(found, a.output)
     else:
         _write(host_crawl(_read(spark, a.hosts), _read(spark, a.posts), _now()), a.output)
@@ -194,7 +196,7 @@ def _training(spark, a) -> None:
         sinks.single_file(upload(spark, a.source), a.output)
     else:
         lines = tables.split_lines(tables.text_lines(spark, a.source), "value", "\t", ["label", "url"]).select("label", "url")
-        sinks.single_file(training_data(lines, _read(spark, a.pages), a.language), a.output)
+        sinks.single_file(training_data(lines, _read(spark, a.pages), _read(spark, a.profiles), a.language), a.output)
 
 
 def _lexicon(spark, a) -> DataFrame:
@@ -203,13 +205,14 @@ def _lexicon(spark, a) -> DataFrame:
 
 #: Command -> (arguments, options with defaults, what it does).
 COMMANDS: dict[str, tuple[tuple[str, ...], dict[str, str | None], Callable]] = {
+    "languageprofiles": (("input", "output"), {}, lambda s, a: _write(language.profiles(_read(s, a.input)), a.output)),
     "cleaner": (("input", "output"), {}, lambda s, a: _write(cleaner(_read(s, a.input)), a.output)),
-    "trainingdatabuilder": (("mode", "source", "output"), {"pages": None, "language": "id"}, _training),
+    "trainingdatabuilder": (("mode", "source", "output"), {"pages": None, "profiles": None, "language": "id"}, _training),
     "classifierbuilder": (("training", "model"), {"labels": None}, lambda s, a: print(",".join(classifier_builder(tables.training_file(s, a.training), a.model, a.labels and a.labels.split(","))))),
     "classifier": (("input", "model", "labels", "output"), {}, lambda s, a: _write(classifier(_read(s, a.input), by_models(a.model, a.labels.split(","))), a.output)),
     "featureindicescreator": (("training", "output"), {}, lambda s, a: _write(feature_indices(tables.training_file(s, a.training)), a.output)),
-    "twittercrawler": (("source", "target", "checkpoint"), {"language": "id", "interval": None}, lambda s, a: tweets(s, a.source, a.target, a.checkpoint, a.language, a.interval).awaitTermination()),
-    "facebookcrawler": (("hosts", "posts", "output"), {"keywords": None, "language": "id"}, _facebook),
+    "twittercrawler": (("source", "target", "checkpoint", "profiles"), {"language": "id", "interval": None}, lambda s, a: tweets(s, a.source, a.target, a.checkpoint, _read(s, a.profiles), a.language, a.interval).awaitTermination()),
+    "facebookcrawler": (("hosts", "posts", "output"), {"keywords": None, "profiles": None, "language": "id"}, _facebook),
     "sentimentanalyzer": (("input", "lexicon", "output"), {"negation": None}, lambda s, a: _write(sentiment_analyzer(_read(s, a.input), _lexicon(s, a), a.negation), a.output)),
     "setdomain": (("input", "output"), {}, lambda s, a: _write(set_domain(_read(s, a.input)), a.output)),
     "htmlcontent": (("addresses", "pages", "output"), {}, lambda s, a: _write(html_content(tables.text_lines(s, a.addresses).withColumnRenamed("value", "url"), _read(s, a.pages)), a.output)),

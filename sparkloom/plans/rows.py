@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.functions import language, text
 from sparkloom.operators import counts, filters
-from sparkloom.plans.common import Registry, sql_list, sql_terms, table
+from sparkloom.plans.common import Registry, table
 from sparkloom.session import EngineConfig
 from sparkloom.sources import sinks, tables
 
@@ -94,22 +94,36 @@ def non_empty_text(spark, sf_dir):
     return filters.non_empty(table(spark, sf_dir, "documents"), "text").select("doc_id", F.length("text").cast("bigint").alias("n"))
 
 
-def _sql_language() -> str:
-    hits = {lang: f"len(list_filter(ws, lambda w: w IN {sql_list(words)}))" for lang, words in language.PROFILES.items()}
-    cols = ", ".join(f"{q} AS h_{k}" for k, q in hits.items())
-    best = "greatest(" + ", ".join(f"h_{k}" for k in hits) + ")"
-    cases = " ".join(f"WHEN h_{k} = {best} THEN '{k}'" for k in hits)
-    return f"WITH w AS (SELECT doc_id, {sql_terms()} AS ws FROM documents), h AS (SELECT doc_id, {cols} FROM w) SELECT doc_id, CASE WHEN {best} = 0 THEN NULL {cases} END AS detected FROM h"
+_GRAMS = r"regexp_extract_all('_' || regexp_replace(lower(text), '[^\p{L}]+', '_', 'g') || '_', '(?s).')"
+#: Profiles of all languages, ranks of every text, and the nearest language.
+_DETECT = f"""lc AS (SELECT doc_id, lang, {_GRAMS} AS c FROM documents WHERE text IS NOT NULL),
+lg AS (SELECT doc_id, lang, unnest(list_transform(list_filter(range(1, len(c) - 1), lambda i: c[i + 1] <> '_'), lambda i: c[i] || c[i + 1] || c[i + 2])) AS gram FROM lc),
+lk AS (SELECT lang, gram, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, gram) AS known_rank FROM lg WHERE lang IS NOT NULL GROUP BY lang, gram QUALIFY known_rank <= {language.RANKS}),
+lr AS (SELECT doc_id, gram, row_number() OVER (PARTITION BY doc_id ORDER BY count(*) DESC, gram) AS place FROM lg GROUP BY doc_id, gram QUALIFY place <= {language.RANKS}),
+ls AS (SELECT doc_id, lk.lang, sum({language.RANKS} - abs(place - known_rank)) AS agreed FROM lr JOIN lk USING (gram) GROUP BY doc_id, lk.lang),
+ln AS (SELECT doc_id, max(place) AS n FROM lr GROUP BY doc_id),
+lb AS (SELECT doc_id, lang, agreed FROM ls QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY agreed DESC, lang) = 1),
+ld AS (SELECT d.doc_id, CASE WHEN agreed >= {language.LEAST * language.RANKS!r} * n THEN lb.lang END AS detected FROM documents d LEFT JOIN lb ON d.doc_id = lb.doc_id LEFT JOIN ln ON d.doc_id = ln.doc_id)"""
 
 
-@QUERIES.add(_sql_language())
+def known_languages(spark, sf_dir) -> DataFrame:
+    """Profiles of the languages of ``documents``."""
+    return language.train(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+@QUERIES.add(f"WITH {_DETECT} SELECT doc_id, detected FROM ld")
 def detect_language(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", language.detect(F.col("text")).alias("detected"))
+    return language.detect(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"], "text", known_languages(spark, sf_dir))
+
+
+@QUERIES.add(f"WITH lc AS (SELECT lang, {_GRAMS} AS c FROM documents WHERE text IS NOT NULL AND lang IS NOT NULL), lg AS (SELECT lang, unnest(list_transform(list_filter(range(1, len(c) - 1), lambda i: c[i + 1] <> '_'), lambda i: c[i] || c[i + 1] || c[i + 2])) AS gram FROM lc) SELECT lang, gram, CAST(row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, gram) AS INTEGER) AS rank FROM lg GROUP BY lang, gram QUALIFY rank <= {language.RANKS}")
+def language_profiles(spark, sf_dir):
+    return language.profiles(table(spark, sf_dir, "documents"))
 
 
-@QUERIES.add(_sql_language().replace("SELECT doc_id, CASE WHEN", "SELECT doc_id FROM (SELECT doc_id, CASE WHEN") + ") WHERE detected = 'en'")
+@QUERIES.add(f"WITH {_DETECT} SELECT doc_id FROM ld WHERE detected = 'en'")
 def language_filter(spark, sf_dir):
-    return table(spark, sf_dir, "documents").where(language.is_language(F.col("text"), "en")).select("doc_id")
+    return language.of_language(table(spark, sf_dir, "documents"), ["doc_id"], "text", known_languages(spark, sf_dir), "en").select("doc_id")
 
 
 @QUERIES.add("SELECT c_mktsegment AS privacy, count(*) AS n FROM customer WHERE c_mktsegment = 'BUILDING' GROUP BY 1")
@@ -154,12 +168,10 @@ def label_sentiment_counts(spark, sf_dir):
 
 #: Search keywords written for this engine.
 KEYWORDS = ("source_1", "e_0", "7")
-_HITS = _sql_language()[5:].replace("text", "message").replace("documents", "posts").replace("doc_id", "post_id")
 _SEARCH = f"""WITH hosts AS (SELECT source AS id, CASE min(doc_id) % 3 WHEN 0 THEN 'group' WHEN 1 THEN 'page' ELSE 'user' END AS type, source AS name, CASE min(doc_id) % 2 WHEN 0 THEN 'OPEN' ELSE 'CLOSED' END AS privacy FROM documents GROUP BY source),
-posts AS (SELECT doc_id AS post_id, source AS host_id, text AS message, row_number() OVER (PARTITION BY source ORDER BY doc_id DESC) AS place FROM documents),
-{_HITS.split(" SELECT post_id, CASE")[0]},
-l AS (SELECT post_id, CASE{_HITS.split(" SELECT post_id, CASE")[1].replace(" FROM h", "")} FROM h),
-m AS (SELECT host_id FROM posts JOIN l USING (post_id) WHERE place <= 10 GROUP BY host_id HAVING avg(CASE WHEN detected = 'en' THEN 1.0 ELSE 0.0 END) >= 0.5),
+posts AS (SELECT doc_id, source AS host_id, row_number() OVER (PARTITION BY source ORDER BY doc_id DESC) AS place FROM documents),
+{_DETECT},
+m AS (SELECT host_id FROM posts JOIN ld USING (doc_id) WHERE place <= 10 GROUP BY host_id HAVING avg(CASE WHEN detected = 'en' THEN 1.0 ELSE 0.0 END) >= 0.5),
 k(keyword) AS (VALUES {", ".join(f"('{k}')" for k in KEYWORDS)}),
 f AS (SELECT keyword, hosts.*, row_number() OVER (PARTITION BY keyword, type ORDER BY id) AS place FROM k JOIN hosts ON contains(lower(name), keyword))
 SELECT DISTINCT id, type, name, {NOW_MS} AS crawltime FROM f JOIN m ON host_id = id WHERE place <= 5000 AND (type <> 'group' OR privacy = 'OPEN')"""
@@ -173,7 +185,7 @@ def host_search(spark, sf_dir):
     kind = F.when(first % 3 == 0, "group").when(first % 3 == 1, "page").otherwise("user")
     hosts = docs.groupBy(F.col("source").alias("id")).agg(kind.alias("type"), F.when(first % 2 == 0, "OPEN").otherwise("CLOSED").alias("privacy")).withColumn("name", F.col("id"))
     posts = docs.select(F.col("source").alias("host_id"), F.col("doc_id").alias("time"), F.col("text").alias("message"), *[F.lit(None).cast("string").alias(c) for c in ("caption", "description", "name", "story")])
-    return filters.search_hosts(hosts, posts, list(KEYWORDS), lambda c: language.is_language(c, "en"), CONFIG.search_limit, NOW_MS)
+    return filters.search_hosts(hosts, posts, list(KEYWORDS), known_languages(spark, sf_dir), "en", CONFIG.search_limit, NOW_MS)
 
 
 @QUERIES.add("SELECT source AS host, doc_id FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id DESC) AS place FROM documents) WHERE place <= 10")

@@ -14,6 +14,7 @@ from sparkloom.plans.common import Registry, table
 from sparkloom.plans.features import ORACLES as ORACLES_OF_SENTIMENT
 from sparkloom.plans.relations import network
 from sparkloom.plans.rows import ORACLES as ORACLES_OF_ROWS
+from sparkloom.plans.rows import known_languages
 from sparkloom.sources import sinks, tables
 from sparkloom.sources.workspace import folder, written
 from sparkloom.streaming import ingest
@@ -126,7 +127,7 @@ def job_training_data(spark, sf_dir):
     lines = table(spark, sf_dir, "labels").select(F.when(F.col("quality") == 1, "good").otherwise("junk").alias("label"), F.col("doc_id").cast("string").alias("url"))
     pages = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("url"), "text")
     path = folder(spark, "training")
-    sinks.single_file(jobs.training_data(lines, pages, "en"), path)
+    sinks.single_file(jobs.training_data(lines, pages, known_languages(spark, sf_dir), "en"), path)
     return tables.training_file(spark, path)
 
 

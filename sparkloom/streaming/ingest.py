@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,14 +37,15 @@ def current(spark: SparkSession, target: str, schema: T.StructType, key: str, be
     return both.groupBy(key).agg(*[last(c) for c in cells], F.max("_batch").alias("_batch")).select(*[f.name for f in schema.fields], "_batch")
 
 
-def upsert_stream(stream: DataFrame, columns: dict[str, Column], key: str, target: str, checkpoint: str, where: Column | None = None, interval: str | None = None, order: str | None = None, compact_every: int = 100) -> StreamingQuery:
+def upsert_stream(stream: DataFrame, columns: dict[str, Column], key: str, target: str, checkpoint: str, where: Column | None = None, interval: str | None = None, order: str | None = None, compact_every: int = 100, keep: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
     """Start a query that keeps ``target`` up to date by ``key``; read it with ``current``.
 
     A batch is written by itself, under its number, so it costs what it holds
     and a replay after a failure writes the same again.  Every ``compact_every``
     batches become a new base version.  Of rows of a batch that repeat a key
     the last by ``order`` stays, else the one with the greatest cells.  Without
-    ``interval`` all that is there is taken and the query ends.
+    ``interval`` all that is there is taken and the query ends.  ``keep`` picks
+    rows of a batch where a condition on one row can't.
     """
     rows = (stream if where is None else stream.where(where)).select(*[c.alias(n) for n, c in columns.items()])
     schema = rows.schema
@@ -51,6 +53,7 @@ def upsert_stream(stream: DataFrame, columns: dict[str, Column], key: str, targe
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
+        batch = keep(batch) if keep else batch
         place = F.struct(*[F.col(c) for c in ([order] if order else []) + cells])
         last = batch.groupBy(key).agg(F.max_by(F.struct(*cells), place).alias("_row")).select(key, "_row.*")
         last.select(*[f.name for f in schema.fields], F.lit(number + 1).cast("bigint").alias("_batch")).write.mode("overwrite").parquet(version_path(f"{target}/batches", number + 1))

@@ -1,5 +1,7 @@
+import os
 import random
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -74,9 +76,59 @@ def test_hash_buckets_of_every_term(spark, tmp_path):
     assert got == {w.lower(): plain_bucket(w.lower()) for t in texts for w in (t or "").split()}
 
 
+SPOKEN = {"id": "yang dan di ini itu rumah dengan untuk tidak dari kepada orang", "en": "the of and to in house with for not from people", "fr": "le la et les des une maison avec pour pas"}
+
+
+def spoken(spark):
+    return language.train(spark.createDataFrame([*SPOKEN.items(), (None, "x"), ("en", None)], "lang string, text string"))
+
+
 def test_language(spark):
-    got = column(spark, ["the house of the king", "le chat et la souris", "und der Hund ist", "", "xyz"], language.detect)
-    assert got == ["en", "fr", "de", None, None]
+    texts = ["the house of the people", "le chat et la maison", "Rumah ini untuk orang", "", None, "12 34 %%", "\u4e2d\u6587 \u4e2d", "qxz wvkj", "yang\n\t-dan-"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(3, "the house")], "k int, text string")
+    known = spoken(spark)
+    got = {r.k: r.detected for r in language.detect(rows, ["k"], "text", known).collect()}
+    assert got == {0: "en", 1: "fr", 2: "id", 3: "en", 4: None, 5: None, 6: None, 7: None, 8: "id"}
+    assert sorted(r.k for r in language.of_language(rows, ["k"], "text", known, "id").collect()) == [2, 8]
+    assert language.detect(rows.limit(0), ["k"], "text", known).count() == 0
+    assert {r.detected for r in language.detect(rows, ["k"], "text", known.limit(0)).collect()} == {None}
+
+
+def test_language_against_plain(spark):
+    """Ranks, distances and ties as a plain version has them."""
+    r = random.Random(8)
+    word = lambda letters: "".join(r.choice(letters) for _ in range(r.randrange(1, 6)))
+    text_of = lambda letters, n: " ".join(word(letters) for _ in range(n))
+    labelled = [(lang, text_of(letters, 60)) for lang, letters in (("a", "abcd"), ("b", "bcde"), ("c", "Çéx"))]
+    texts = [text_of(r.choice(["abcd", "bcde", "çéx", "abcde"]), r.randrange(1, 30)) for _ in range(60)]
+
+    def ranks(ts: list, n: int) -> dict:
+        grams = Counter()
+        for t in ts:
+            m = "_" + re.sub(r"[\W\d_]+", "_", t.lower()) + "_"
+            grams.update(m[i : i + 3] for i in range(len(m) - 2) if m[i + 1] != "_")
+        return {g: i for i, (g, _) in enumerate(sorted(grams.items(), key=lambda x: (-x[1], x[0].encode()))[:n], 1)}
+
+    profiles = {lang: ranks([t for x, t in labelled if x == lang], 20) for lang in "abc"}
+    want = []
+    for t in texts:
+        mine = ranks([t], 20)
+        agreed = {lang: sum(20 - abs(i - p[g]) for g, i in mine.items() if g in p) for lang, p in profiles.items() if set(mine) & set(p)}
+        best = min(agreed, key=lambda x: (-agreed[x], x), default=None)
+        want.append(best if best and agreed[best] >= 0.3 * 20 * len(mine) else None)
+    known = language.train(spark.createDataFrame(labelled, "lang string, text string"), ranks=20)
+    rows = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    got = {x.k: x.detected for x in language.detect(rows, ["k"], "text", known, ranks=20, least=0.3).collect()}
+    assert [got[i] for i in range(len(texts))] == want and len(set(want)) > 2
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_language_of_held_out_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang", "text")
+    held = docs.where("doc_id % 5 = 0 AND text RLIKE '[\\\\p{L}]'")
+    known = language.train(docs.where("doc_id % 5 <> 0"))
+    both = language.detect(held, ["doc_id"], "text", known).join(held.select("doc_id", "lang"), "doc_id").collect()
+    assert len(both) > 150 and sum(x.detected == x.lang for x in both) >= 0.97 * len(both)
 
 
 def test_scan_and_upsert(spark):
@@ -369,13 +421,15 @@ def test_commands(spark, tmp_path):
     assert sorted((r.label, r.terms) for r in tables.training_file(spark, f"{d}/training").collect()) == [("a", "x,y"), ("b", "z")]
     pages = spark.createDataFrame([("u1", "yang dan di ini itu rumah", "<p>x</p>"), ("u2", "the of and to in", ""), ("u3", None, None)], "url string, text string, html string")
     pages.write.parquet(f"{d}/pages")
-    jobs.main(["trainingdatabuilder", "download", f"{d}/up.tsv", f"{d}/built", "--pages", f"{d}/pages"])
+    spark.createDataFrame(list(SPOKEN.items()), "lang string, text string").write.parquet(f"{d}/spoken")
+    jobs.main(["languageprofiles", f"{d}/spoken", f"{d}/profiles"])
+    jobs.main(["trainingdatabuilder", "download", f"{d}/up.tsv", f"{d}/built", "--pages", f"{d}/pages", "--profiles", f"{d}/profiles"])
     assert [r.label for r in tables.training_file(spark, f"{d}/built").collect()] == ["a"]
     (tmp_path / "urls.txt").write_text("u1\nu2\nu1\n\nu9\n")
     jobs.main(["htmlcontent", f"{d}/urls.txt", f"{d}/pages", f"{d}/html"])
     assert [r.url for r in spark.read.parquet(f"{d}/html").collect()] == ["u1"]
     spark.createDataFrame([("1", "yang dan di", 5, "7", "n"), ("2", "the of", 6, "8", "m")], "row_key string, text string, time_ms long, user_id string, user_name string").write.parquet(f"{d}/tweets")
-    jobs.main(["twittercrawler", f"{d}/tweets", f"file://{d}/posts", f"{d}/checkpoint"])
+    jobs.main(["twittercrawler", f"{d}/tweets", f"file://{d}/posts", f"{d}/checkpoint", f"{d}/profiles"])
     assert [r.row_key for r in spark.read.parquet(f"{d}/posts/batches/*").collect()] == ["1"]
     web = spark.createDataFrame([("p", PAGE, "http://a/x", "a", "judi", "1", None), ("q", PAGE, "http://a/y", "a", "judi", None, None)], "row_key string, html string, url string, host string, classification string, classified string, comment_status string")
     web.write.parquet(f"{d}/web")
@@ -397,7 +451,7 @@ def test_host_search(spark):
     hosts = spark.createDataFrame([("g", "group", "OPEN", "Rumah Kita"), ("h", "group", "CLOSED", "rumah"), ("p", "page", None, "RUMAH"), ("u", "user", None, "other"), ("v", "user", None, "rumah 2")], "id string, type string, privacy string, name string")
     texts = {"g": ["yang dan"] * 10 + ["the of"] * 30, "p": ["the of", "yang dan"], "v": ["the of"] * 3}
     posts = spark.createDataFrame([(k, -i, None, None, x, None, None) for k, v in texts.items() for i, x in enumerate(v)], "host_id string, time int, caption string, description string, message string, name string, story string")
-    found = filters.search_hosts(hosts, posts, ["rumah", "x"], lambda c: language.is_language(c, "id"), 100, 5)
+    found = filters.search_hosts(hosts, posts, ["rumah", "x"], spoken(spark), "id", 100, 5)
     assert sorted(map(tuple, found.collect())) == [("g", "group", "Rumah Kita", 5), ("p", "page", "RUMAH", 5)]
 
 
