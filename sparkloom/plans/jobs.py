@@ -14,26 +14,37 @@ from sparkloom.functions import language, text
 from sparkloom.operators import classify, counts, features, filters, graph, html_comments, replies, sentiment
 from sparkloom.session import EngineConfig, session
 from sparkloom.sources import sinks, tables
+from sparkloom.sources.keyed import KeyedTable
 from sparkloom.streaming import ingest
 
 CONFIG = EngineConfig()
 EXAMPLE_WEIGHTS = (("function", "the", 0.4), ("function", "of", 0.4), ("function", "and", 0.4), ("romance", "de", 0.6), ("romance", "que", 0.6), ("german", "und", 1.1))
 
 
+def cleaner_cells(crawl: DataFrame) -> DataFrame:
+    """(row_key, cleaned) of rows that have a text and no terms yet."""
+    todo = filters.non_empty(tables.unprocessed(crawl, "row_key", "text", "cleaned"), "text")
+    return todo.select("row_key", text.clean_terms(F.col("text")).alias("cleaned"))
+
+
 def cleaner(crawl: DataFrame) -> DataFrame:
     """Cleaned terms for rows that have a text and none yet."""
-    todo = filters.non_empty(tables.unprocessed(crawl, "row_key", "text", "cleaned"), "text")
-    return sinks.upsert(crawl, todo.select("row_key", text.clean_terms(F.col("text")).alias("cleaned")), ["row_key"])
+    return sinks.upsert(crawl, cleaner_cells(crawl), ["row_key"])
 
 
-def classifier(crawl: DataFrame, classify_rows: Callable[[DataFrame], DataFrame], config: EngineConfig = CONFIG) -> DataFrame:
-    """Labels for cleaned rows without one; ``none`` gets no flag.
+def classifier_cells(crawl: DataFrame, classify_rows: Callable[[DataFrame], DataFrame], config: EngineConfig = CONFIG) -> DataFrame:
+    """(row_key, classification, classified) of cleaned rows without a label; ``none`` gets no flag.
 
     ``classify_rows`` gives (row_key, classification) for rows with ``cleaned``:
     by term weights (``classify.by_weights``) or stored models (``by_models``).
     """
     todo = tables.unprocessed(crawl, "row_key", "cleaned", "classification")
-    return sinks.upsert(crawl, filters.flag_classified(classify_rows(todo).select("row_key", "classification"), none=config.none_label), ["row_key"])
+    return filters.flag_classified(classify_rows(todo).select("row_key", "classification"), none=config.none_label)
+
+
+def classifier(crawl: DataFrame, classify_rows: Callable[[DataFrame], DataFrame], config: EngineConfig = CONFIG) -> DataFrame:
+    """Labels for cleaned rows without one."""
+    return sinks.upsert(crawl, classifier_cells(crawl, classify_rows, config), ["row_key"])
 
 
 def by_models(path: str, labels: list[str], config: EngineConfig = CONFIG) -> Callable[[DataFrame], DataFrame]:
@@ -55,18 +66,26 @@ def feature_indices(training: DataFrame, config: EngineConfig = CONFIG) -> DataF
     return features.document_frequency(training, F.split("terms", ","), config.min_doc_freq).select(text.java_bucket(F.col("term")).alias("bucket"), "term")
 
 
-def sentiment_analyzer(rows: DataFrame, lexicon: DataFrame, negation: str | None = None) -> DataFrame:
-    """Sentiment of rows that have a text and none yet, by a lexicon of (term, pos, score)."""
+def sentiment_cells(rows: DataFrame, lexicon: DataFrame, negation: str | None = None) -> DataFrame:
+    """(row_key, sentiment) of rows that have a text and none yet, by a lexicon of (term, pos, score)."""
     todo = tables.unprocessed(rows, "row_key", "text", "sentiment")
     each = F.transform(text.sentences(F.col("text")), lambda s: text.tag_words(text.words(F.lower(s))))
-    done = sentiment.detect(todo, "row_key", each, lexicon, negation)
-    return sinks.upsert(rows, done.select("row_key", "sentiment"), ["row_key"])
+    return sentiment.detect(todo, "row_key", each, lexicon, negation).select("row_key", "sentiment")
 
 
-def set_domain(rows: DataFrame) -> DataFrame:
+def sentiment_analyzer(rows: DataFrame, lexicon: DataFrame, negation: str | None = None) -> DataFrame:
+    """Sentiment of rows that have a text and none yet."""
+    return sinks.upsert(rows, sentiment_cells(rows, lexicon, negation), ["row_key"])
+
+
+def domain_cells(rows: DataFrame) -> DataFrame:
+    """(row_key, host) of rows with a URL and no host yet."""
     todo = tables.unprocessed(rows, "row_key", "url", "host")
-    done = todo.select("row_key", text.domain(F.col("url")).alias("host")).where("host is not null")
-    return sinks.upsert(rows, done, ["row_key"])
+    return todo.select("row_key", text.domain(F.col("url")).alias("host")).where("host is not null")
+
+
+def set_domain(rows: DataFrame) -> DataFrame:
+    return sinks.upsert(rows, domain_cells(rows), ["row_key"])
 
 
 def term_cloud_builder(crawl: DataFrame, training: DataFrame, title: str, folder: str, config: EngineConfig = CONFIG) -> DataFrame:
@@ -171,13 +190,22 @@ def _now() -> int:
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return KeyedTable.open(spark, path).read() if KeyedTable.exists(spark, path) else spark.read.parquet(path)
 
 
 def _write(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def _cells(spark: SparkSession, a, derive: Callable[[DataFrame], DataFrame]) -> None:
+    """Derived cells into the keyed table that is the output, else the whole table with them to another folder."""
+    rows = _read(spark, a.input)
+    if KeyedTable.exists(spark, a.output):
+        KeyedTable.open(spark, a.output).upsert(derive(rows), _now())
+    else:
+        _write(sinks.upsert(rows, derive(rows), ["row_key"]), a.output)
+
+
 def _upsert_file(spark: SparkSession, result: tuple[DataFrame, DataFrame], output: str, status: str) -> None:
     _write(result[0], output)
     _write(result[1], status)
@@ -206,15 +234,15 @@ def _lexicon(spark, a) -> DataFrame:
 #: Command -> (arguments, options with defaults, what it does).
 COMMANDS: dict[str, tuple[tuple[str, ...], dict[str, str | None], Callable]] = {
     "languageprofiles": (("input", "output"), {}, lambda s, a: _write(language.profiles(_read(s, a.input)), a.output)),
-    "cleaner": (("input", "output"), {}, lambda s, a: _write(cleaner(_read(s, a.input)), a.output)),
+    "cleaner": (("input", "output"), {}, lambda s, a: _cells(s, a, cleaner_cells)),
     "trainingdatabuilder": (("mode", "source", "output"), {"pages": None, "profiles": None, "language": "id"}, _training),
     "classifierbuilder": (("training", "model"), {"labels": None}, lambda s, a: print(",".join(classifier_builder(tables.training_file(s, a.training), a.model, a.labels and a.labels.split(","))))),
-    "classifier": (("input", "model", "labels", "output"), {}, lambda s, a: _write(classifier(_read(s, a.input), by_models(a.model, a.labels.split(","))), a.output)),
+    "classifier": (("input", "model", "labels", "output"), {}, lambda s, a: _cells(s, a, lambda rows: classifier_cells(rows, by_models(a.model, a.labels.split(","))))),
     "featureindicescreator": (("training", "output"), {}, lambda s, a: _write(feature_indices(tables.training_file(s, a.training)), a.output)),
     "twittercrawler": (("source", "target", "checkpoint", "profiles"), {"language": "id", "interval": None}, lambda s, a: tweets(s, a.source, a.target, a.checkpoint, _read(s, a.profiles), a.language, a.interval).awaitTermination()),
     "facebookcrawler": (("hosts", "posts", "output"), {"keywords": None, "profiles": None, "language": "id"}, _facebook),
-    "sentimentanalyzer": (("input", "lexicon", "output"), {"negation": None}, lambda s, a: _write(sentiment_analyzer(_read(s, a.input), _lexicon(s, a), a.negation), a.output)),
-    "setdomain": (("input", "output"), {}, lambda s, a: _write(set_domain(_read(s, a.input)), a.output)),
+    "sentimentanalyzer": (("input", "lexicon", "output"), {"negation": None}, lambda s, a: _cells(s, a, lambda rows: sentiment_cells(rows, _lexicon(s, a), a.negation))),
+    "setdomain": (("input", "output"), {}, lambda s, a: _cells(s, a, domain_cells)),
     "htmlcontent": (("addresses", "pages", "output"), {}, lambda s, a: _write(html_content(tables.text_lines(s, a.addresses).withColumnRenamed("value", "url"), _read(s, a.pages)), a.output)),
     "termcloud": (("input", "training", "folder", "status"), {"title": "classification"}, lambda s, a: _write(term_cloud_builder(_read(s, a.input), tables.training_file(s, a.training), a.title, a.folder), a.status)),
     "networkanalyzer": (("input", "folder", "status"), {}, lambda s, a: _write(network_analyzer(_read(s, a.input), a.folder), a.status)),

@@ -16,6 +16,7 @@ from sparkloom.plans.relations import network
 from sparkloom.plans.rows import ORACLES as ORACLES_OF_ROWS
 from sparkloom.plans.rows import known_languages
 from sparkloom.sources import sinks, tables
+from sparkloom.sources.keyed import KeyedTable
 from sparkloom.sources.workspace import folder, written
 from sparkloom.streaming import ingest
 
@@ -32,6 +33,21 @@ def upsert_rows(spark, sf_dir):
     return sinks.upsert(old, some.unionByName(fresh), ["c_custkey"])
 
 
+@QUERIES.add("""WITH e AS (SELECT user_id, event_type, value, epoch_us(ts) // 1000 AS t FROM events)
+SELECT user_id, max(event_type) FILTER (t = lt) AS last_type, max(value) FILTER (event_type = 'purchase' AND t = lp) AS last_purchase, max(event_type) FILTER (t = lt) IS NOT NULL AS seen, lt AS last_type_at FROM
+(SELECT *, max(t) OVER (PARTITION BY user_id) AS lt, max(CASE WHEN event_type = 'purchase' AND value IS NOT NULL THEN t END) OVER (PARTITION BY user_id) AS lp FROM e) GROUP BY user_id, lt""")
+def table_upserts(spark, sf_dir):
+    """What each user did last, kept as a keyed table by three upserts whose order is not that of the events, one of them repeated."""
+    path = folder(spark, "keyed")
+    users = KeyedTable.create(spark, path, "user_id bigint, last_type string, last_purchase double, seen boolean", "user_id", 16)
+    events = table(spark, sf_dir, "events").withColumn("t", text.epoch_ms(F.col("ts")))
+    rows = events.select("user_id", "t", F.col("event_type").alias("last_type"), F.when(F.col("event_type") == "purchase", F.col("value")).alias("last_purchase"), F.lit(True).alias("seen"))
+    for k in (2, 0, 1, 0):
+        users.upsert(rows.where(F.pmod(F.col("t"), F.lit(3)) == k), F.col("t"), f"part{k}")
+    users.vacuum()
+    return users.read(times=True).select("user_id", "last_type", "last_purchase", "seen", "last_type_at")
+
+
 @QUERIES.add("SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS name FROM nation UNION ALL SELECT (SELECT max(n_nationkey) FROM nation) + row_number() OVER (ORDER BY r_name), r_name FROM region")
 def dimension_surrogate_keys(spark, sf_dir):
     dim = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("bigint").alias("id"), F.col("n_name").alias("name"))

@@ -11,7 +11,7 @@ from sparkloom.operators import classify, counts, filters, graph, html_comments,
 from sparkloom.operators import features as features_ops
 from sparkloom.plans import catalog, jobs
 from sparkloom.schema import Role, table_name
-from sparkloom.sources import sinks, tables
+from sparkloom.sources import keyed, sinks, tables
 from sparkloom.streaming import ingest
 
 
@@ -370,18 +370,88 @@ def test_word_files(spark, tmp_path):
     assert {x.term: x.score for x in sentiment.prior(rows).collect()} == {"good": 0.25, "fine": 0.25}
 
 
-def test_upsert_of_repeated_and_null_keys(spark):
-    old = spark.createDataFrame([("a", 1, "x"), (None, 2, "y")], "k string, v int, w string")
-    new = spark.createDataFrame([("a", 5, None), ("a", 4, None), (None, None, "z"), ("b", 7, "n")], "k string, v int, w string")
-    assert sorted(map(tuple, sinks.upsert(old, new, ["k"]).collect()), key=str) == sorted([("a", 5, "x"), (None, 2, "z"), ("b", 7, "n")], key=str)
-
-
 def test_numbered_rows(spark):
     rows = [(t, i) for t, n in (("all", 500), ("x", 3), (None, 2)) for i in range(n)]
     df = graph.numbered(spark.createDataFrame(rows, "title string, node int").repartition(7), ["node"])
     assert sorted(((x.title, x.node) for x in df.collect()), key=str) == sorted(rows, key=str) and all(x.id == x.node for x in df.collect())
 
 
+def test_upsert_of_repeated_keys(spark):
+    old = spark.createDataFrame([(1, "a", "b"), (None, "n", None)], "k int, x string, y string")
+    new = spark.createDataFrame([(1, 2, "late", None), (1, 1, "early", "1"), (None, 1, None, "z"), (3, 1, None, None)], "k int, t int, x string, y string")
+    got = {r.k: (r.x, r.y) for r in sinks.upsert(old, new, ["k"], "t").collect()}
+    assert got == {1: ("late", "1"), None: ("n", "z"), 3: (None, None)}
+    with pytest.raises(Exception, match="rows of one key differ"):
+        sinks.upsert(old, new.drop("t"), ["k"]).collect()
+    with pytest.raises(Exception, match="rows of one key differ"):
+        sinks.upsert(old, new.withColumn("t", F.lit(1)), ["k"], "t").collect()
+    equal = sinks.upsert(old, spark.createDataFrame([(1, "e", None)] * 3, old.schema), ["k"])
+    assert {r.k: (r.x, r.y) for r in equal.collect()} == {1: ("e", "b"), None: ("n", None)}
+
+
+def _bucket_files(path) -> dict:
+    return {p.parent.name: p.name for p in sorted(path.glob("data/*/bucket=*/part-*.parquet"))}
+
+
+def test_keyed_table(spark, tmp_path):
+    """Random upserts against a dictionary; only touched buckets get new files, a repeated run changes nothing."""
+    path, r = f"file://{tmp_path}/t", random.Random(3)
+    schema = "k bigint, a string, b int"
+    table = keyed.KeyedTable.create(spark, path, schema, "k", 8)
+    assert table.read().count() == 0 and table.upsert(table.read().withColumn("t", F.lit(1)), F.col("t")) == []
+    want, before = {}, {}
+    for run in range(6):
+        rows = [(r.choice([*range(12), None]) if run < 3 else 5, r.randrange(20), r.choice(["x", "y", "z", None]), r.choice([1, 2, None])) for _ in range(12)]
+        df = spark.createDataFrame(rows, "k bigint, t int, a string, b int")
+        touched = table.upsert(df.drop("b") if run == 2 else df, F.col("t"), f"run{run}")
+        for k, t, a, b in rows:
+            cells = want.setdefault(k, {})
+            for c, v in (("a", a), *[("b", b)] * (run != 2)):
+                if v is not None:
+                    cells[c] = max(cells.get(c, (t, v)), (t, v))
+        table.vacuum()
+        files = _bucket_files(tmp_path / "t")
+        assert {b for b in files if files[b] != before.get(b)} == {f"bucket={b}" for b in touched}
+        assert run < 3 or len(touched) == 1
+        assert table.upsert(df, F.col("t"), f"run{run}") == [] and _bucket_files(tmp_path / "t") == files
+        before = files
+        got = {x.k: (x.a, x.b, x.a_at, x.b_at) for x in keyed.KeyedTable.open(spark, path).read(times=True).collect()}
+        cell = lambda c, n, i: c.get(n, (None, None))[i]
+        assert got == {k: (cell(c, "a", 1), cell(c, "b", 1), cell(c, "a", 0), cell(c, "b", 0)) for k, c in want.items()}
+
+
+def test_keyed_table_versions(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    table = keyed.KeyedTable.create(spark, path, "k string, v string", "k", 4)
+    row = lambda k, v: spark.createDataFrame([(k, v)], "k string, v string")
+    table.upsert(row("a", "1"), 1)
+    old = table.read()
+    table.upsert(row("a", "2"), 2)
+    assert [x.v for x in old.collect()] == ["1"] and [x.v for x in table.read().collect()] == ["2"]
+    # A writer whose version is taken meanwhile fails and leaves no files.
+    files = _bucket_files(tmp_path / "t")
+    (tmp_path / "t/manifest/3.json").write_text((tmp_path / "t/manifest/2.json").read_text())
+    real = keyed._manifest
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(keyed, "_manifest", lambda spark, path: (2, real(spark, path)[1]))
+        with pytest.raises(keyed.Conflict):
+            table.upsert(row("a", "3"), 3)
+    assert _bucket_files(tmp_path / "t") == files
+    assert keyed.KeyedTable.create(spark, path, "k string, v string", "k", 99).buckets == 4
+    assert not keyed.KeyedTable.exists(spark, f"file://{tmp_path}/none")
+
+
+def test_jobs_on_a_keyed_table(spark, tmp_path):
+    """Cells that jobs derive go into the crawl table itself."""
+    path = f"file://{tmp_path}/crawl"
+    crawl = keyed.KeyedTable.create(spark, path, "row_key string, text string, cleaned string, url string, host string", "row_key", 4)
+    crawl.upsert(spark.createDataFrame([("1", "Rumah kota.", None, "http://www.a.com/x"), ("2", None, None, "nonsense"), ("3", "x", "done", None)], "row_key string, text string, cleaned string, url string"), 1)
+    jobs.main(["cleaner", path, path])
+    jobs.main(["setdomain", path, path])
+    got = {r.row_key: (r.cleaned, r.host) for r in crawl.read().collect()}
+    assert got["1"] == ("rumah,kota", "a.com") and got["2"] == (None, None) and got["3"] == ("done", None)
+
+
 def test_jobs_with_state(spark, tmp_path):
     crawl = spark.createDataFrame([("1", "a,b", "x,y", None), ("2", "a", None, None), ("3", "b", "x", "1")], "row_key string, cleaned string, classification string, termcloud_status string")
     training = spark.createDataFrame([("l", "u1", "a,b"), ("l", "u2", "a")], "label string, url string, terms string")
