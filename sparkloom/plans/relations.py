@@ -11,15 +11,19 @@ from sparkloom.plans.common import Registry, table
 QUERIES = Registry()
 ORACLES = QUERIES.sql
 
-_NET = "WITH n AS (SELECT event_id, event_type AS title, CAST(user_id AS VARCHAR) AS u, CAST(lag(user_id) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS VARCHAR) AS r FROM events), "
+_POSTS = "SELECT e.event_id, e.event_type AS title, CAST(e.user_id AS VARCHAR) AS u, CAST(a.user_id AS VARCHAR) AS r FROM events e LEFT JOIN events a ON a.event_id = e.event_id - CAST(e.props->>'$.k' AS BIGINT) AND a.event_id <> e.event_id"
+_NET = f"WITH n AS ({_POSTS}), "
 _NODES = "nd AS (SELECT title, node, count(*) AS size FROM (SELECT title, unnest([u, r]) AS node FROM n) WHERE node IS NOT NULL GROUP BY 1, 2), "
 _EDGES = "ed AS (SELECT DISTINCT title, u AS node1, r AS node2 FROM n WHERE u IS NOT NULL AND r IS NOT NULL) "
 
 
 def network(spark, sf_dir) -> DataFrame:
-    """events as posts: each answers the one before of its type."""
-    before = F.lag("user_id").over(Window.partitionBy("event_type").orderBy("ts", "event_id"))
-    return table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("title"), F.col("user_id").cast("string").alias("u"), before.cast("string").alias("r"))
+    """events as posts: each answers the event that is ``k`` (in its props) before it, itself not."""
+    events = table(spark, sf_dir, "events")
+    answered = events.select(F.col("event_id").alias("answers"), F.col("user_id").cast("string").alias("r"))
+    back = F.get_json_object("props", "$.k").cast("bigint")
+    posts = events.select("event_id", F.col("event_type").alias("title"), F.col("user_id").cast("string").alias("u"), F.when(back != 0, F.col("event_id") - back).alias("answers"))
+    return posts.join(answered, "answers", "left").drop("answers")
 
 
 @QUERIES.add(_NET + _NODES + _EDGES + "SELECT title, node, size FROM nd")

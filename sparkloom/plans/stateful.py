@@ -12,6 +12,7 @@ from sparkloom.plans import jobs
 from sparkloom.plans.cleaning import ORACLES as ORACLES_OF_CLEANING
 from sparkloom.plans.common import Registry, table
 from sparkloom.plans.features import ORACLES as ORACLES_OF_SENTIMENT
+from sparkloom.plans.relations import _POSTS as POSTS_OF_EVENTS
 from sparkloom.plans.relations import network
 from sparkloom.plans.rows import ORACLES as ORACLES_OF_ROWS
 from sparkloom.plans.rows import known_languages
@@ -63,7 +64,7 @@ def update_or_insert(spark, sf_dir):
     return sinks.upsert(zeros, both.groupBy(F.col("n_name").alias("domain")).agg(F.count("*").alias("n")), ["domain"])
 
 
-@QUERIES.add("WITH n AS (SELECT event_type AS title, CAST(user_id AS VARCHAR) AS u, CAST(lag(user_id) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS VARCHAR) AS r FROM events) SELECT title, node, count(*) AS size FROM (SELECT title, unnest([u, r]) AS node FROM n) WHERE node IS NOT NULL GROUP BY 1, 2")
+@QUERIES.add(f"WITH n AS ({POSTS_OF_EVENTS}) SELECT title, node, count(*) AS size FROM (SELECT title, unnest([u, r]) AS node FROM n) WHERE node IS NOT NULL GROUP BY 1, 2")
 def incremental_equals_full(spark, sf_dir):
     """Node sizes by two runs over saved state: each reads the last version and writes the next."""
     path = f"{folder(spark, "tables")}/nodes"
