@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.functions.text import standard_pos, stem
+from sparkloom.sources.workspace import bounded, written
 
 #: A small lexicon written for this engine: pos, id, positive, negative, term#rank list.
 LEXICON = (
@@ -69,15 +70,20 @@ def word_scores(words: DataFrame, lexicon: DataFrame) -> DataFrame:
     ``lexicon`` has term, pos and score and is joined, so it may have any size.
     """
     once = words.select("word", "pos").distinct()
-    named = lambda by, score: lexicon.select(F.col("term").alias(by), "pos", F.col("score").alias(score))
+    named = lambda by, score: bounded(lexicon.select(F.col("term").alias(by), "pos", F.col("score").alias(score)))
     both = once.withColumn("stem", stem(F.col("word"))).join(named("word", "own"), ["word", "pos"], "left").join(named("stem", "stemmed"), ["stem", "pos"], "left")
     return both.select("word", "pos", F.coalesce("own", "stemmed").alias("score")).where(F.abs("score") > 0.1)
 
 
 def sentence_scores(words: DataFrame, lexicon: DataFrame, key: str) -> DataFrame:
-    """(key, sentence, pos, neg) of sentences that have a score: mean of the positive scores, and of the negative ones' size."""
+    """(key, sentence, pos, neg) of sentences that have a score: mean of the positive scores, and of the negative ones' size.
+
+    Distinct words are scored once and written; where those with a score are
+    few, as a count shows, they are broadcast and no word of a text is shuffled.
+    """
+    scored = bounded(written(word_scores(words, lexicon), "scores")[0])
     score = F.when(F.col("flip"), -F.col("score")).otherwise(F.col("score"))
-    hits = words.join(word_scores(words, lexicon), ["word", "pos"]).select(key, "sentence", score.alias("score"))
+    hits = words.join(scored, ["word", "pos"]).select(key, "sentence", score.alias("score"))
     mean = lambda c: F.coalesce(F.avg(F.when(c > 0, c)), F.lit(0.0))
     return hits.groupBy(key, "sentence").agg(mean(F.col("score")).alias("pos"), mean(-F.col("score")).alias("neg"))
 

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sparkloom.functions import stemming as S
 from sparkloom.functions import text as T
-from sparkloom.plans.common import Registry, sql_case, sql_list, sql_words, table
+from sparkloom.operators import dictionary, features
+from sparkloom.plans.common import Registry, sql_case, sql_list, sql_terms, sql_words, table
+from sparkloom.sources.workspace import written
 
 QUERIES = Registry()
 ORACLES = QUERIES.sql
@@ -91,7 +94,8 @@ def _sql_clean() -> str:
 
 @QUERIES.add(f"SELECT doc_id, {_sql_clean()} AS terms FROM documents")
 def clean_text(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", T.clean_terms(F.col("text")).alias("terms"))
+    """Every distinct word cleaned once."""
+    return dictionary.clean_terms(table(spark, sf_dir, "documents"), ["doc_id"], "text")
 
 
 @QUERIES.add(r"SELECT doc_id, array_to_string(string_split_regex(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), '|') AS sentences FROM documents")
@@ -108,16 +112,45 @@ def _sql_tagged() -> str:
     return f"WITH x AS (SELECT unnest(string_split(array_to_string({words}, ' '), ' ')) AS w FROM documents), t AS (SELECT {tag} AS tag FROM x WHERE w <> ''), p AS (SELECT {sql_case(T.POS_CLASSES, 'tag', 'tag')} AS pos FROM t) "
 
 
+def _tagged(spark, sf_dir):
+    """Distinct words as the tagger gets them, counted and tagged."""
+    each = table(spark, sf_dir, "documents").select(F.explode(T.words(F.col("text"))).alias("word"))
+    words = each.groupBy("word").agg(F.count("*").alias("n"))
+    return dictionary.tagged_words(words, dictionary.Lists.own(spark), dictionary.tag_table(spark))
+
+
 @QUERIES.add(_sql_tagged() + "SELECT tag, count(*) AS n FROM t GROUP BY tag")
 def pos_tags(spark, sf_dir):
     """Tags of the words that are cleaned for the tagger."""
-    tagged = F.flatten(T.clean_tagged(F.col("text")))
-    return table(spark, sf_dir, "documents").select(F.explode(tagged).alias("x")).groupBy("x.tag").agg(F.count("*").alias("n"))
+    return _tagged(spark, sf_dir).groupBy("tag").agg(F.sum("n").alias("n"))
 
 
 @QUERIES.add(_sql_tagged() + "SELECT pos, count(*) AS n FROM p GROUP BY pos")
 def standard_pos(spark, sf_dir):
-    return pos_tags(spark, sf_dir).groupBy(T.standard_pos(F.col("tag")).alias("pos")).agg(F.sum("n").alias("n"))
+    return _tagged(spark, sf_dir).groupBy(T.standard_pos(F.col("tag")).alias("pos")).agg(F.sum("n").alias("n"))
+
+
+def _sql_stems() -> str:
+    """Ways to roots: a common table per group of endings and per prefix."""
+    ending = lambda es, new: f"SELECT word, left(form, length(form) - length(e)) AS form, steps + 1 AS steps, {new} AS ending, prefix FROM @ JOIN (SELECT unnest({list(es)}) AS e) ON form LIKE '%' || e AND length(form) >= length(e) + 3"
+    rules = "(VALUES " + ", ".join(f"('{n}', '{p}', '{t.replace('$', chr(92))}')" for n, p, t in S.PREFIXES) + ") AS r(name, pattern, repl)"
+    never = " OR ".join(f"(name = '{p}' AND ending = '{e}')" for p, e in sorted(S.NEVER))
+    prefix = f"SELECT word, regexp_replace(form, pattern, repl) AS form, steps + 1 AS steps, ending, CASE prefix WHEN '' THEN name ELSE prefix || ' ' || name END AS prefix FROM @ JOIN {rules} ON form LIKE name || '%' AND regexp_matches(form, pattern) AND NOT list_contains(string_split(prefix, ' '), name) AND (prefix <> '' OR NOT ({never}))"
+    steps = [ending(S.PARTICLES, "ending"), ending(S.POSSESSIVES, "ending"), ending(S.DERIVATIONS, "e"), *[prefix] * S.MOST_PREFIXES]
+    parts = [f"y{i + 1} AS (SELECT * FROM y{i} UNION {step.replace('@', f'y{i}')})" for i, step in enumerate(steps)]
+    return f"""WITH x AS (SELECT doc_id, unnest({sql_terms()}) AS word FROM documents), v AS (SELECT DISTINCT word FROM x),
+r AS (SELECT word AS form FROM x GROUP BY word HAVING count(DISTINCT doc_id) >= 20), y0 AS (SELECT word, word AS form, 0 AS steps, '' AS ending, '' AS prefix FROM v), {", ".join(parts)},
+b AS (SELECT word, min((steps, -length(form), form)) AS best FROM y{len(steps)} SEMI JOIN r USING (form) GROUP BY word)
+SELECT word, coalesce(best[3], word) AS stem FROM v LEFT JOIN b USING (word)"""
+
+
+@QUERIES.add(_sql_stems())
+def stem_words(spark, sf_dir):
+    """Stems of all words of the documents, their roots being the words that 20 documents have."""
+    docs = table(spark, sf_dir, "documents")
+    roots = features.document_frequency(docs, T.simple_terms(F.col("text")), 20).select(F.col("term").alias("word"))
+    words = docs.select(F.explode(T.simple_terms(F.col("text"))).alias("word"))
+    return S.stems(words, written(roots, "roots")[0])
 
 
 _UNITS = "list_transform(regexp_extract_all(term, '(?s).'), lambda c: CASE WHEN unicode(c) < 65536 THEN [unicode(c)] ELSE [55296 + ((unicode(c) - 65536) >> 10), 56320 + ((unicode(c) - 65536) & 1023)] END)"

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sparkloom.functions import language, text
-from sparkloom.operators import classify, counts, features, filters, graph, html_comments, replies, sentiment
+from sparkloom.operators import classify, counts, dictionary, features, filters, graph, html_comments, replies, sentiment
 from sparkloom.session import EngineConfig, session
 from sparkloom.sources import sinks, tables
 from sparkloom.sources.keyed import KeyedTable
@@ -21,15 +21,15 @@ CONFIG = EngineConfig()
 EXAMPLE_WEIGHTS = (("function", "the", 0.4), ("function", "of", 0.4), ("function", "and", 0.4), ("romance", "de", 0.6), ("romance", "que", 0.6), ("german", "und", 1.1))
 
 
-def cleaner_cells(crawl: DataFrame) -> DataFrame:
-    """(row_key, cleaned) of rows that have a text and no terms yet."""
+def cleaner_cells(crawl: DataFrame, lists: dictionary.Lists | None = None) -> DataFrame:
+    """(row_key, cleaned) of rows that have a text and no terms yet, by the engine's word lists or the given ones."""
     todo = filters.non_empty(tables.unprocessed(crawl, "row_key", "text", "cleaned"), "text")
-    return todo.select("row_key", text.clean_terms(F.col("text")).alias("cleaned"))
+    return dictionary.clean_terms(todo, ["row_key"], "text", lists).withColumnRenamed("terms", "cleaned")
 
 
-def cleaner(crawl: DataFrame) -> DataFrame:
+def cleaner(crawl: DataFrame, lists: dictionary.Lists | None = None) -> DataFrame:
     """Cleaned terms for rows that have a text and none yet."""
-    return sinks.upsert(crawl, cleaner_cells(crawl), ["row_key"])
+    return sinks.upsert(crawl, cleaner_cells(crawl, lists), ["row_key"])
 
 
 def classifier_cells(crawl: DataFrame, classify_rows: Callable[[DataFrame], DataFrame], config: EngineConfig = CONFIG) -> DataFrame:
@@ -164,11 +164,11 @@ def host_crawl(hosts: DataFrame, posts: DataFrame, now_ms: int, config: EngineCo
     return posts.join(todo.select(F.col("id").alias("host_id")), "host_id").select("row_key", "host_id", body.alias("text"), F.coalesce("created_ms", "updated_ms").alias("time_ms"))
 
 
-def training_data(lines: DataFrame, pages: DataFrame, known: DataFrame, target: str) -> DataFrame:
+def training_data(lines: DataFrame, pages: DataFrame, known: DataFrame, target: str, lists: dictionary.Lists | None = None) -> DataFrame:
     """label, url, terms of training urls whose page is in the target language by the ``known`` profiles; a url has one page."""
     wanted = pages.where(F.length("text") > 0).join(lines.select("url").distinct(), "url", "left_semi")
-    both = lines.join(language.of_language(wanted, ["url"], "text", known, target), "url")
-    return both.select("label", "url", text.clean_terms(F.col("text")).alias("terms"))
+    terms = dictionary.clean_terms(language.of_language(wanted, ["url"], "text", known, target), ["url"], "text", lists)
+    return lines.join(terms, "url").select("label", "url", "terms")
 
 
 def upload(spark: SparkSession, resource: str) -> DataFrame:
@@ -211,6 +211,15 @@ def _upsert_file(spark: SparkSession, result: tuple[DataFrame, DataFrame], outpu
     _write(result[1], status)
 
 
+#: Options of the commands that clean words: files of word lists, of any size.
+LISTS: dict[str, str | None] = {"acronyms": None, "slang": None, "stop": None, "keep": None, "roots": None}
+
+
+def _lists(spark: SparkSession, a) -> dictionary.Lists:
+    read = {"acronyms": tables.map_table, "slang": tables.map_table, "stop": tables.word_table, "keep": tables.word_table, "roots": tables.word_table}
+    return dictionary.Lists.own(spark, **{k: f(spark, getattr(a, k)) for k, f in read.items() if getattr(a, k)})
+
+
 def _facebook(spark, a) -> None:
     if a.keywords:
         found = filters.search_hosts(_read(spark, a.hosts), _read(spark, a.posts), tables.word_list(spark, a.keywords), _read(spark, a.profiles), a.language, CONFIG.search_limit, _now())
@@ -224,7 +233,7 @@ def _training(spark, a) -> None:
         sinks.single_file(upload(spark, a.source), a.output)
     else:
         lines = tables.split_lines(tables.text_lines(spark, a.source), "value", "\t", ["label", "url"]).select("label", "url")
-        sinks.single_file(training_data(lines, _read(spark, a.pages), _read(spark, a.profiles), a.language), a.output)
+        sinks.single_file(training_data(lines, _read(spark, a.pages), _read(spark, a.profiles), a.language, _lists(spark, a)), a.output)
 
 
 def _lexicon(spark, a) -> DataFrame:
@@ -234,8 +243,8 @@ def _lexicon(spark, a) -> DataFrame:
 #: Command -> (arguments, options with defaults, what it does).
 COMMANDS: dict[str, tuple[tuple[str, ...], dict[str, str | None], Callable]] = {
     "languageprofiles": (("input", "output"), {}, lambda s, a: _write(language.profiles(_read(s, a.input)), a.output)),
-    "cleaner": (("input", "output"), {}, lambda s, a: _cells(s, a, cleaner_cells)),
-    "trainingdatabuilder": (("mode", "source", "output"), {"pages": None, "profiles": None, "language": "id"}, _training),
+    "cleaner": (("input", "output"), LISTS, lambda s, a: _cells(s, a, lambda rows: cleaner_cells(rows, _lists(s, a)))),
+    "trainingdatabuilder": (("mode", "source", "output"), {"pages": None, "profiles": None, "language": "id"} | LISTS, _training),
     "classifierbuilder": (("training", "model"), {"labels": None}, lambda s, a: print(",".join(classifier_builder(tables.training_file(s, a.training), a.model, a.labels and a.labels.split(","))))),
     "classifier": (("input", "model", "labels", "output"), {}, lambda s, a: _cells(s, a, lambda rows: classifier_cells(rows, by_models(a.model, a.labels.split(","))))),
     "featureindicescreator": (("training", "output"), {}, lambda s, a: _write(feature_indices(tables.training_file(s, a.training)), a.output)),

@@ -54,6 +54,18 @@ def word_list(spark: SparkSession, path: str) -> list[str]:
     return [r.w for r in rows]
 
 
+def word_table(spark: SparkSession, path: str) -> DataFrame:
+    """(word) of a file of any size, separated by commas or lines."""
+    words = F.explode(F.split("value", "[,\n]")).alias("word")
+    return spark.read.text(path).select(words).select(F.trim("word").alias("word")).where("word <> ''")
+
+
+def map_table(spark: SparkSession, path: str) -> DataFrame:
+    """(word, to) of the ``KEY:expansion`` entries of a file of any size."""
+    at = F.instr("word", ":")
+    return word_table(spark, path).where(at > 1).select(F.substring("word", F.lit(1), at - 1).alias("word"), F.substring("word", at + 1, F.length("word")).alias("to"))
+
+
 def word_map(spark: SparkSession, path: str) -> dict[str, str]:
     """``KEY:expansion`` entries of a small file, separated by commas or lines; the first of a repeated key."""
     return {k: v for k, v in (x.split(":", 1) for x in reversed(word_list(spark, path)) if ":" in x)}

@@ -6,6 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Rows of a few narrow columns up to which a table is broadcast.
+BROADCAST_ROWS = 1 << 19
 
 
 def folder(spark: SparkSession, tag: str) -> str:
@@ -28,3 +32,8 @@ def written(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
 def remove(spark: SparkSession, path: str) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def bounded(rows: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``rows``, a few narrow columns, to be broadcast where a count shows ``most`` at most; else as they are."""
+    return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows

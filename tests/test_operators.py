@@ -6,8 +6,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from sparkloom.functions import language, text
-from sparkloom.operators import classify, counts, filters, graph, html_comments, replies, sentiment
+from sparkloom.functions import language, stemming, text
+from sparkloom.operators import classify, counts, dictionary, filters, graph, html_comments, replies, sentiment
 from sparkloom.operators import features as features_ops
 from sparkloom.plans import catalog, jobs
 from sparkloom.schema import Role, table_name
@@ -76,6 +76,61 @@ def test_hash_buckets_of_every_term(spark, tmp_path):
     assert got == {w.lower(): plain_bucket(w.lower()) for t in texts for w in (t or "").split()}
 
 
+def test_dictionary_cleaning(spark, monkeypatch):
+    """As the rules on the texts themselves have it, for repeated rows, nulls, composites and dictionaries that are not broadcast."""
+    r = random.Random(4)
+    words = ["yg", "makan", "bukunya", "HTMLPage", "a.s.", "p.t.x", "http://a.b/c", "wanita", "a,b", "x!?y", "12", "?", "the", "é", "menulis", "aBc", "--", "(kota)"]
+    texts = [" ".join(r.choice(words) + r.choice(["", ".", "! ", "\n"]) for _ in range(r.randrange(0, 25))) for _ in range(40)] + [None, "", " \t", "the " * 500]
+    rows = [(i % 30, t) for i, t in enumerate(texts)] + [(None, "kota"), (3, texts[3])]
+    docs = spark.createDataFrame(rows, "k int, t string").withColumn("word", F.lit("x")).repartition(3)
+    plain = lambda **o: sorted(((x.k, x.terms) for x in docs.select("k", F.coalesce(text.clean_terms(F.col("t"), **o), F.lit("")).alias("terms")).collect()), key=str)
+    got = lambda **o: sorted(((x.k, x.terms) for x in dictionary.clean_terms(docs, ["k"], "t", **o).collect()), key=str)
+    assert got() == plain() and got(composites=["the the", "yg makan"]) == plain(composites=["the the", "yg makan"])
+    monkeypatch.setattr(dictionary, "BROADCAST_ROWS", 2)
+    monkeypatch.setattr(dictionary, "HOT_SHARES", 12)
+    assert got(compat=False) == plain(compat=False)
+    assert dictionary.clean_terms(docs.limit(0), ["k"], "t").count() == 0
+
+
+def test_word_lists_of_a_million(spark, tmp_path):
+    """Lists come from files, whatever their size; a job takes them."""
+    spark.range(1_000_000).select(F.concat(F.lit("stop"), "id")).write.text(f"{tmp_path}/stop")
+    (tmp_path / "acronyms").write_text("a.b.:anton berta,x.y.:x\n:none\nq:")
+    (tmp_path / "roots").write_text("ajar,makan\nbesar")
+    (tmp_path / "slang").write_text("gw:saya")
+    crawl = spark.createDataFrame([("1", "Stop7 stop999999 stopx a.b. gw pembelajaran besar dimakan makanan bes", None)], "row_key string, text string, cleaned string")
+    crawl.write.parquet(f"{tmp_path}/crawl")
+    jobs.main(["cleaner", f"{tmp_path}/crawl", f"{tmp_path}/out", *[x for k in ("stop", "acronyms", "roots", "slang") for x in (f"--{k}", f"{tmp_path}/{k}")]])
+    assert spark.read.parquet(f"{tmp_path}/out").first().cleaned == "stopx,anton berta,saya,ajar,besar,makan,makan,bes"
+
+
+def test_stems_against_plain(spark):
+    """Every way to a root by a plain version, over made-up and real derivations."""
+    roots = {"ajar", "baca", "tulis", "sapu", "pukul", "kirim", "makan", "besar", "main", "nyanyi", "racun", "rajut", "buku", "lihat", "adil", "an", "ku"}
+    r = random.Random(6)
+    derived = ["membacakan", "pembelajaran", "menulis", "penulisan", "menyapu", "memukul", "mengirimkan", "dimakan", "makanan", "terbesar", "bukunya", "bukumulah", "keadilan", "bernyanyi", "beracun", "merajut", "mengelihat", "besar", "unknownkan", "", "i", "ajarilah", "permainan", "diajari"]
+    derived += [r.choice(["", "me", "mem", "men", "meng", "di", "ke", "ber", "pe", "per", "ter", "se"]) + r.choice(["", "ber", "per"]) + r.choice(sorted(roots)) + r.choice(["", "kan", "an", "i"]) + r.choice(["", "ku", "nya"]) + r.choice(["", "lah", "kah"]) for _ in range(150)]
+
+    def plain(word):
+        found = {(0, word, "", ())}
+        strip = lambda w, e: w[: -len(e)] if w.endswith(e) and len(w) >= len(e) + 3 else None
+        for group in (stemming.PARTICLES, stemming.POSSESSIVES, stemming.DERIVATIONS):
+            found |= {(n + 1, f, e if group is stemming.DERIVATIONS else old, p) for n, w, old, p in found for e in group if (f := strip(w, e))}
+        for _ in range(stemming.MOST_PREFIXES):
+            for n, w, e, p in list(found):
+                for name, pattern, to in stemming.PREFIXES:
+                    if name not in p and (p or (name, e) not in stemming.NEVER) and (m := re.fullmatch(pattern, w)):
+                        found.add((n + 1, to.replace("$1", m[1]), e, (*p, name)))
+        hits = [(n, -len(w), w) for n, w, _, _ in found if w in roots]
+        return min(hits)[2] if hits else word
+
+    words = spark.createDataFrame([(w,) for w in [*derived, *derived[:5]]], "word string")
+    known = spark.createDataFrame([(w,) for w in [*roots, None, "ajar"]], "word string")
+    got = {x.word: x.stem for x in stemming.stems(words, known).collect()}
+    assert got == {w: plain(w) for w in derived}
+    assert got["pembelajaran"] == "ajar" and got["besar"] == "besar" and got["menyapu"] == "sapu" and got["unknownkan"] == "unknownkan" and got["penulisan"] == "tulis" and got["beracun"] == "racun"
+
+
 SPOKEN = {"id": "yang dan di ini itu rumah dengan untuk tidak dari kepada orang", "en": "the of and to in house with for not from people", "fr": "le la et les des une maison avec pour pas"}
 
 
