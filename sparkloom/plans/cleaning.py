@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.functions import stemming as S
 from sparkloom.functions import text as T
-from sparkloom.operators import dictionary, features
+from sparkloom.operators import dictionary, features, tagger
 from sparkloom.plans.common import Registry, sql_case, sql_list, sql_terms, sql_words, table
 from sparkloom.sources.workspace import written
 
@@ -130,6 +130,18 @@ def standard_pos(spark, sf_dir):
     return _tagged(spark, sf_dir).groupBy(T.standard_pos(F.col("tag")).alias("pos")).agg(F.sum("n").alias("n"))
 
 
+@QUERIES.add()
+def hmm_tags(spark, sf_dir):
+    """Tags of every sentence by a model that learns from the good documents, tagged by dictionary; tests hold the decoding against all taggings."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    good = docs.join(table(spark, sf_dir, "labels").where("quality = 1").select("doc_id").distinct(), "doc_id", "left_semi")
+    coded = dictionary.encode(good.select(F.lower("text").alias("text")), [], "text")
+    entries = dictionary.tag_table(spark)
+    tagged = coded.tokens.join(F.broadcast(entries), "word", "left").select("row", "sentence", "place", "word", F.coalesce("tag", F.lit("NN")).alias("tag"))
+    tags = tagger.tag(docs, ["doc_id"], "text", tagger.train(tagged, ["row", "sentence"]))
+    return tags.select("doc_id", "sentence", F.array_join(F.transform("tagged", lambda x: x["tag"]), " ").alias("tags"))
+
+
 def _sql_stems() -> str:
     """Ways to roots: a common table per group of endings and per prefix."""
     ending = lambda es, new: f"SELECT word, left(form, length(form) - length(e)) AS form, steps + 1 AS steps, {new} AS ending, prefix FROM @ JOIN (SELECT unnest({list(es)}) AS e) ON form LIKE '%' || e AND length(form) >= length(e) + 3"

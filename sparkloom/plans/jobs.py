@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sparkloom.functions import language, text
-from sparkloom.operators import classify, counts, dictionary, features, filters, graph, html_comments, replies, sentiment
+from sparkloom.operators import classify, counts, dictionary, features, filters, graph, html_comments, replies, sentiment, tagger
 from sparkloom.session import EngineConfig, session
 from sparkloom.sources import sinks, tables
 from sparkloom.sources.keyed import KeyedTable
@@ -66,16 +66,19 @@ def feature_indices(training: DataFrame, config: EngineConfig = CONFIG) -> DataF
     return features.document_frequency(training, F.split("terms", ","), config.min_doc_freq).select(text.java_bucket(F.col("term")).alias("bucket"), "term")
 
 
-def sentiment_cells(rows: DataFrame, lexicon: DataFrame, negation: str | None = None) -> DataFrame:
-    """(row_key, sentiment) of rows that have a text and none yet, by a lexicon of (term, pos, score)."""
+def sentiment_cells(rows: DataFrame, lexicon: DataFrame, negation: str | None = None, model: tagger.Tagger | None = None) -> DataFrame:
+    """(row_key, sentiment) of rows that have a text and none yet, by a lexicon of (term, pos, score); tags are the model's, else the dictionary's."""
     todo = tables.unprocessed(rows, "row_key", "text", "sentiment")
-    each = F.transform(text.sentences(F.col("text")), lambda s: text.tag_words(text.words(F.lower(s))))
+    if model is None:
+        each = F.transform(text.sentences(F.col("text")), lambda s: text.tag_words(text.words(F.lower(s))))
+    else:
+        todo, each = todo.join(tagger.tag_texts(todo, "row_key", "text", model), "row_key", "left"), F.col("tagged")
     return sentiment.detect(todo, "row_key", each, lexicon, negation).select("row_key", "sentiment")
 
 
-def sentiment_analyzer(rows: DataFrame, lexicon: DataFrame, negation: str | None = None) -> DataFrame:
+def sentiment_analyzer(rows: DataFrame, lexicon: DataFrame, negation: str | None = None, model: tagger.Tagger | None = None) -> DataFrame:
     """Sentiment of rows that have a text and none yet."""
-    return sinks.upsert(rows, sentiment_cells(rows, lexicon, negation), ["row_key"])
+    return sinks.upsert(rows, sentiment_cells(rows, lexicon, negation, model), ["row_key"])
 
 
 def domain_cells(rows: DataFrame) -> DataFrame:
@@ -250,7 +253,8 @@ COMMANDS: dict[str, tuple[tuple[str, ...], dict[str, str | None], Callable]] = {
     "featureindicescreator": (("training", "output"), {}, lambda s, a: _write(feature_indices(tables.training_file(s, a.training)), a.output)),
     "twittercrawler": (("source", "target", "checkpoint", "profiles"), {"language": "id", "interval": None}, lambda s, a: tweets(s, a.source, a.target, a.checkpoint, _read(s, a.profiles), a.language, a.interval).awaitTermination()),
     "facebookcrawler": (("hosts", "posts", "output"), {"keywords": None, "profiles": None, "language": "id"}, _facebook),
-    "sentimentanalyzer": (("input", "lexicon", "output"), {"negation": None}, lambda s, a: _cells(s, a, lambda rows: sentiment_cells(rows, _lexicon(s, a), a.negation))),
+    "taggerbuilder": (("tagged", "model"), {}, lambda s, a: tagger.train(_read(s, a.tagged), ["sentence"]).save(a.model)),
+    "sentimentanalyzer": (("input", "lexicon", "output"), {"negation": None, "tagger": None}, lambda s, a: _cells(s, a, lambda rows: sentiment_cells(rows, _lexicon(s, a), a.negation, tagger.Tagger.load(s, a.tagger) if a.tagger else None))),
     "setdomain": (("input", "output"), {}, lambda s, a: _cells(s, a, domain_cells)),
     "htmlcontent": (("addresses", "pages", "output"), {}, lambda s, a: _write(html_content(tables.text_lines(s, a.addresses).withColumnRenamed("value", "url"), _read(s, a.pages)), a.output)),
     "termcloud": (("input", "training", "folder", "status"), {"title": "classification"}, lambda s, a: _write(term_cloud_builder(_read(s, a.input), tables.training_file(s, a.training), a.title, a.folder), a.status)),

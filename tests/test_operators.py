@@ -1,3 +1,5 @@
+import itertools
+import math
 import os
 import random
 import re
@@ -7,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkloom.functions import language, stemming, text
-from sparkloom.operators import classify, counts, dictionary, filters, graph, html_comments, replies, sentiment
+from sparkloom.operators import classify, counts, dictionary, filters, graph, html_comments, replies, sentiment, tagger
 from sparkloom.operators import features as features_ops
 from sparkloom.plans import catalog, jobs
 from sparkloom.schema import Role, table_name
@@ -131,6 +133,78 @@ def test_stems_against_plain(spark):
     assert got["pembelajaran"] == "ajar" and got["besar"] == "besar" and got["menyapu"] == "sapu" and got["unknownkan"] == "unknownkan" and got["penulisan"] == "tulis" and got["beracun"] == "racun"
 
 
+def tagged_corpus(seed: int, n: int = 40) -> list:
+    """(sentence, place, word, tag) of sentences whose words and moves depend on the tag."""
+    r = random.Random(seed)
+    words = {"N": ["kota", "rumah", "main", "xan"], "V": ["lari", "main", "bacakan", "tulis"], "A": ["besar", "kecil", "tulis"]}
+    rows = []
+    for s in range(n):
+        t = r.choice("NV")
+        for i in range(r.randrange(1, 7)):
+            rows.append((s, i, r.choice(words[t]), t))
+            t = r.choice({"N": "VVA", "V": "NNA", "A": "NNN"}[t])
+    return [*rows, (n, 0, None, "N"), (n, 1, "kota", None)]
+
+
+def test_tagger_against_all_taggings(spark, tmp_path):
+    """The decoded tags score as high as any, by a model counted plainly; longer sentences take what a plain recursion takes."""
+    rows = tagged_corpus(2)
+    model = tagger.train(spark.createDataFrame(rows, "sentence int, place int, word string, tag string"), ["sentence"])
+    seen = [x for x in rows if x[2] and x[3]]
+    tags = sorted({x[3] for x in seen})
+    assert model.tags == tags
+    moves = Counter((seen[i - 1][3] if i and seen[i - 1][0] == x[0] else None, x[3]) for i, x in enumerate(seen))
+    log = lambda b, t: math.log((moves[b, t] + 0.1) / sum(moves[b, u] + 0.1 for u in tags))
+    pairs, total = Counter((w, t) for *_, w, t in seen), Counter(t for *_, t in seen)
+    size = len({w for w, _ in pairs})
+    count = Counter(w for w, _ in pairs.elements())
+    ends = Counter()
+    for (w, t), n in pairs.items():
+        if count[w] <= tagger.RARE:
+            ends.update({(e, t): n for e in {w[-k:] for k in (1, 2, 3) if len(w) > k} | {""}})
+    kinds = {e for e, _ in ends}
+
+    def emission(w):
+        if w in count:
+            return [math.log((pairs[w, t] + 0.1) / (total[t] + 0.1 * size)) for t in tags]
+        e = next((w[len(w) - k :] for k in (3, 2, 1, 0) if (k == 0 or len(w) > k) and w[len(w) - k :] in kinds), None)
+        return [0.0] * len(tags) if e is None else [math.log((ends[e, t] + 0.1) / (ends["", t] + 0.1 * max(1, len(kinds)))) for t in tags]
+
+    def score(ws, path):
+        es = [emission(w) for w in ws]
+        return sum(log(b, t) + e[tags.index(t)] for b, t, e in zip([None, *path], path, es))  # noqa: B905
+
+    r = random.Random(9)
+    vocabulary = ["kota", "main", "lari", "tulis", "besar", "zzan", "bacakan", "ulis", "q", "Rumah"]
+    docs = [(i, " ".join(r.choice(vocabulary) for _ in range(r.randrange(1, 7))) + r.choice(["", ". kota main"])) for i in range(40)] + [(90, None), (91, " ")]
+    long = (99, " ".join(r.choice(vocabulary) for _ in range(400)))
+    model.save(f"{tmp_path}/model")
+    model = tagger.Tagger.load(spark, f"{tmp_path}/model")
+    got = tagger.tag(spark.createDataFrame([*docs, long], "k int, text string"), ["k"], "text", model).collect()
+    assert {x.k for x in got} == {*range(40), 99}
+    for x in got:
+        ws, path = [t.word for t in x.tagged], [t.tag for t in x.tagged]
+        if x.k == 99:
+            best = [log(None, t) + e for t, e in zip(tags, emission(ws[0]), strict=True)]
+            for w in ws[1:]:
+                best = [max(b + log(u, t) for b, u in zip(best, tags, strict=True)) + e for t, e in zip(tags, emission(w), strict=True)]
+            assert len(ws) == 400 and abs(score(ws, path) - max(best)) < 1e-6
+        else:
+            assert abs(score(ws, path) - max(score(ws, p) for p in itertools.product(tags, repeat=len(ws)))) < 1e-9
+    whole = {x.k: x.tagged for x in tagger.tag_texts(spark.createDataFrame(docs, "k int, text string"), "k", "text", model).collect()}
+    assert all([t.word for s in whole[i] for t in s] == t.lower().replace(".", " .").replace(" .", ".").split() for i, t in docs if i < 40)
+
+
+def test_tagger_in_the_sentiment_job(spark, tmp_path):
+    """A word that the model tags as an adjective meets the lexicon's adjective."""
+    spark.createDataFrame(tagged_corpus(3), "sentence int, place int, word string, tag string").withColumn("tag", F.when(F.col("tag") == "A", "JJ").when(F.col("tag") == "N", "NN").otherwise("VBI")).write.parquet(f"{tmp_path}/tagged")
+    jobs.main(["taggerbuilder", f"{tmp_path}/tagged", f"{tmp_path}/model"])
+    (tmp_path / "lexicon").write_text("a\t1\t0.9\t0\tbesar#1\tgloss\n")
+    spark.createDataFrame([("1", "rumah besar", None), ("2", "kota", None), ("3", None, None)], "row_key string, text string, sentiment string").write.parquet(f"{tmp_path}/rows")
+    jobs.main(["sentimentanalyzer", f"{tmp_path}/rows", f"{tmp_path}/lexicon", f"{tmp_path}/out", "--tagger", f"{tmp_path}/model"])
+    assert {x.row_key: x.sentiment for x in spark.read.parquet(f"{tmp_path}/out").collect()} == {"1": "positif", "2": "netral", "3": None}
+
+
 SPOKEN = {"id": "yang dan di ini itu rumah dengan untuk tidak dari kepada orang", "en": "the of and to in house with for not from people", "fr": "le la et les des une maison avec pour pas"}
 
 
