@@ -1,11 +1,14 @@
 """Licence scan: a trained paragraph classifier, in DataFrame operations only.
 
 Lines with a licence cue, alone and with the passage around them, are described
-by hashed word uni- and bigrams; a multinomial logistic regression names the licence family or
-``none``.  The probability a family needs is calibrated on all lines with a cue that match
+by hashed word uni- and bigrams; a multinomial logistic regression names the licence family,
+``none``, or ``other``: a notice of a licence that is none of the families.  The
+probability a family needs is calibrated on all lines with a cue that match
 no template, so that at most ``false_rate`` of these are above it; what is not
-above is ``unknown``.  A prediction also has to be confirmed by comparison with
-the family's templates, else it is ``unknown`` too.
+above is ``unknown``, as is ``other``.  A prediction also has to be confirmed by
+comparison with the family's templates: half of the words and pairs of one, and
+half of those words of it that the fewest families use.  So the words that all
+notices share confirm nothing.  Else it is ``unknown`` too.
 """
 
 from __future__ import annotations
@@ -46,6 +49,10 @@ TEMPLATES = {
 #: Lines with a cue that grant nothing.
 PLAIN = ["He renewed his driving licence last week.", "Permission to speak was granted by the chair.", "The warranty covers parts for two years.", "She holds a licence to sell fish at the market.", "They asked for permission before they left.", "The copyright office opens at nine.", "A search warrant was issued on Monday.", "Wealth was redistributed after the war.", "The pilot lost her license.", "He spoke of the public domain of ideas.", "The Apache helicopter landed at noon.", "A gnu is an antelope, not a GNU tool.", "The web server is Apache and it answers slowly."]
 
+#: Notices of licences outside the families: phrases around made-up names, so that what they teach is the phrase.
+PHRASES = ["Licensed under the {} license.", "Licensed under the {} License 2.0.", "Released under the {} License.", "Distributed under the {} Software License, Version 1.0.", "This program is made available under the terms of the {} Public License v 1.0", "SPDX-License-Identifier: {}-1.0", "This work is licensed under the {} License, version 1.2.", "You may use this file under the terms of the {} license", "Published under the {} licence.", "Licensed under the {}.", "Released under the terms of the {}.", "under {} terms", "{} License", "{} License", "{} License 2.0"]
+NAMES = ["Acme", "Foobar", "Quux", "Norland", "Zed", "Open Widget", "Sample", "Vega", "Third Moon", "KLM"]
+
 
 def grams(text: Column) -> Column:
     """Lower-case words and pairs of neighbours."""
@@ -88,6 +95,16 @@ def passages(docs: DataFrame, id_col: str, text_col: str, span: int) -> DataFram
     return near.select("id", "line", F.concat_ws("\n", F.reverse(side(before)), F.array("line"), side(after)).alias("passage"))
 
 
+def rarest(known: list[tuple[str, str]]) -> list[list[str]]:
+    """Of each template the words that the fewest families have in theirs."""
+    words = [sorted(set(re.findall(r"[^\W_]+", t.lower()))) for _, t in known]
+    users: dict[str, set[str]] = {}
+    for (family, _), ws in zip(known, words, strict=True):
+        for w in ws:
+            users.setdefault(w, set()).add(family)
+    return [[w for w in ws if len(users[w]) == min(len(users[x]) for x in ws)] for ws in words]
+
+
 def _steps(score: str) -> Column:
     """A score in millionths, rounded up: few distinct values, whatever the input."""
     return F.ceil(F.col(score) * 1000000)
@@ -100,7 +117,7 @@ def calibrate(judged: DataFrame, false_rate: float) -> int:
     """
     if false_rate >= 1:
         return 0
-    of = lambda family, score: F.when(F.col(family) != "none", _steps(score)).otherwise(0)
+    of = lambda family, score: F.when(~F.col(family).isin("none", "other"), _steps(score)).otherwise(0)
     plain = judged.where(~F.col("matched")).select(F.greatest(of("family", "score"), of("w_family", "w_score")).alias("s"))
     level = plain.agg(F.expr(f"percentile_disc({1.0 - false_rate!r}D) WITHIN GROUP (ORDER BY s)").alias("level")).first()["level"]
     return int(level or 0)
@@ -133,19 +150,21 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", false_
     known = [(f, t) for f, ts in TEMPLATES.items() for t in ts]
     noisy = F.explode(F.array(F.lit(""), F.lit("the of and "), F.lit("in on ")))
     names_only = [(f, t) for f, t in known if len(re.findall(r"\w+", t)) <= 3] * 6  # few words must do
-    labelled = _rows(spark, known + names_only + [("none", t) for t in PLAIN]).select("family", "paragraph", noisy.alias("noise")).select("family", F.concat("noise", "paragraph").alias("paragraph"))
+    others = [("other", p.format(x)) for p in PHRASES for x in NAMES]
+    labelled = _rows(spark, known + names_only + others + [("none", t) for t in PLAIN]).select("family", "paragraph", noisy.alias("noise")).select("family", F.concat("noise", "paragraph").alias("paragraph"))
     examples = materialize(labelled.unionByName(lines.select(F.lit("none").alias("family"), "paragraph")), "examples")
-    names = sorted([*TEMPLATES, "none"])
+    names = sorted([*TEMPLATES, "none", "other"])
     index = F.array_position(F.array(*[F.lit(x) for x in names]), F.col("family")) - 1
     hashed = HashingTF(inputCol="grams", outputCol="features", numFeatures=FEATURES, binary=True)
     prepared = hashed.transform(examples.withColumns({"grams": grams(F.col("paragraph")), "label": index.cast("double")}))
     model = LogisticRegression(regParam=0.003, maxIter=30, family="multinomial").fit(prepared.coalesce(1))
     reach = F.array_max(F.slice(vector_to_array("probability"), 1, len(names)))
     picked = lambda df: df.withColumn("p", vector_to_array("probability")).withColumn("family", F.element_at(F.array(*[F.lit(x) for x in names]), F.col("prediction").cast("int") + 1)).withColumn("score", reach)
-    templates = _rows(spark, known).withColumn("grams", grams(F.col("paragraph"))).agg(F.collect_list(F.struct("family", "grams")).alias("templates"), F.array_distinct(F.flatten(F.collect_list("grams"))).alias("vocabulary"))
+    telling = F.array(*[F.struct(F.lit(f).alias("family"), F.lit(t).alias("paragraph"), F.array(*[F.lit(w) for w in ws]).alias("telling")) for (f, t), ws in zip(known, rarest(known), strict=True)])
+    templates = spark.range(1).select(F.explode(telling).alias("t")).select("t.*").withColumn("grams", grams(F.col("paragraph"))).agg(F.collect_list(F.struct("family", "grams", "telling")).alias("templates"), F.array_distinct(F.flatten(F.collect_list("grams"))).alias("vocabulary"))
     span = max(len(re.findall(r"\w+", t)) for _, t in known)
     found = passages(docs, id_col, text_col, span).crossJoin(F.broadcast(templates)).withColumn("line_grams", grams(F.col("line")))
-    hits = F.transform("templates", lambda t: F.struct(t["family"].alias("family"), F.size(F.array_intersect("grams", t["grams"])).alias("n"), (F.size(F.array_intersect("grams", t["grams"])) >= overlap * F.size(t["grams"])).alias("near")))
+    hits = F.transform("templates", lambda t: F.struct(t["family"].alias("family"), F.size(F.array_intersect("grams", t["grams"])).alias("n"), ((F.size(F.array_intersect("grams", t["grams"])) >= overlap * F.size(t["grams"])) & (2 * F.size(F.array_intersect("grams", t["telling"])) >= F.size(t["telling"]))).alias("near")))
     near = F.exists("hits", lambda h: h["near"] & (h["family"] == F.col("family")))
     most = lambda family: F.coalesce(F.array_max(F.transform(F.filter("hits", lambda h: h["family"] == F.col(family)), lambda h: h["n"])), F.lit(0))
     judge = lambda df: picked(model.transform(hashed.transform(df))).withColumn("hits", hits).withColumn("near", near & (F.col("family") != "none"))

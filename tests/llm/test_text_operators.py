@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 import zlib
 
@@ -396,6 +397,24 @@ def test_licence_short_names_and_edges(spark):
     assert none.count() == 0 and "license" in none.columns
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_licences_outside_the_families_are_unknown(spark):
+    """Notices of licences that no template is of, beside the corpus; every template is still its family's."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    other = ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0", "Licensed under the EUPL.", "Licensed under the European Union Public Licence, version 1.2", "Licensed under the Artistic License 2.0.", "Licensed under the ISC license.", "Licensed under the Zlib license.", "Distributed under the Boost Software License, Version 1.0.", "SPDX-License-Identifier: EPL-2.0"]
+    known = [(f, t) for f, ts in license.TEMPLATES.items() for t in ts]
+    rows = [(10**7 + i, t) for i, t in enumerate(other)] + [(2 * 10**7 + i, t) for i, (_, t) in enumerate(known)] + [(3 * 10**7 + i, t) for i, t in enumerate(license.PLAIN)]
+    got = {x.doc_id: x.license for x in license.scan(docs.unionByName(spark.createDataFrame(rows, docs.schema))).collect()}
+    assert {t: got[10**7 + i] for i, t in enumerate(other)} == dict.fromkeys(other, "unknown")
+    assert [(t, got[2 * 10**7 + i]) for i, (f, t) in enumerate(known) if got[2 * 10**7 + i] != f] == []
+    assert [t for i, t in enumerate(license.PLAIN) if got[3 * 10**7 + i] is not None] == []
+
+
+def test_rarest_words_of_templates():
+    known = [("a", "the x license"), ("b", "the y license"), ("b", "the license"), ("c", "The license: z z")]
+    assert license.rarest(known) == [["x"], ["y"], ["license", "the"], ["z"]]
+
+
 def test_quality_certification_against_brute_force(spark):
     """Certified cutoffs recomputed with exact fractions, and what they keep."""
     from fractions import Fraction
