@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LinearSVC, LinearSVCModel
-from pyspark.ml.feature import IDF, HashingTF, IDFModel
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.operators.features import term_frequency, term_rows, tfidf
+from sparkloom.operators.features import inverse_frequency, term_frequency, term_rows, tfidf
+from sparkloom.sources.workspace import bounded, remove, written
 
 
 def margins(values: DataFrame, weights: DataFrame, key: str) -> DataFrame:
@@ -30,54 +29,68 @@ def labelled(label: Column, target: str) -> Column:
     return F.when(F.lower(label) == target, 1.0).otherwise(0.0)
 
 
-FEATURES = 1 << 20
-
-
 def by_weights(rows: DataFrame, key: str, terms: Column, weights: DataFrame, idf: DataFrame, labels: list[str], least: float = 1.0, none: str = "none") -> DataFrame:
     """(key, classification) of every row by TF-IDF margins over (label, term, weight) rows; a row without terms is ``none``."""
     counted = term_frequency(term_rows(rows, key, terms), key)
     return label_lists(margins(tfidf(counted, idf, key), weights, key), rows, key, labels, least, none)
 
 
-@dataclass
-class Models:
-    """An IDF and a linear SVM for each label, over hashed terms."""
+def train(values: DataFrame, labels: DataFrame, targets: list[str], iterations: int = 100, step: float = 1.0, penalty: float = 0.01) -> DataFrame:
+    """(label, term, weight) of a linear classifier for each of ``targets``, all trained in the same steps.
+
+    ``values`` has (key, term, value), ``labels`` (key, label), a row a key.
+    Descent on the hinge loss with an L2 ``penalty``: step t moves against the
+    mean gradient over all rows by ``step`` / sqrt(t), from weights of 0.  A
+    row without terms counts in the mean.  Rows lie by key for all steps, so a
+    step shuffles partial gradients only; the weights, written each step, are
+    broadcast where a count shows that they are few.
+    """
+    spark, m = values.sparkSession, labels.count()
+    empty = spark.createDataFrame([], "label string, term string, weight double")
+    if not m:
+        return empty
+    rows = values.select("key", "term", "value").repartition("key").persist()
+    sides = F.explode(F.array(*[F.struct(F.lit(t).alias("target"), F.when(F.lower("label") == t, 1.0).otherwise(-1.0).alias("y")) for t in targets])).alias("s")
+    wanted = labels.select("key", sides).select("key", "s.target", "s.y").repartition("key").persist()
+    weights, path = empty, None
+    try:
+        for t in range(1, iterations + 1):
+            rate = step / math.sqrt(t)
+            now = margins(rows, bounded(weights), "key").select("key", F.col("label").alias("target"), "margin")
+            missed = wanted.join(now, ["key", "target"], "left").where(F.col("y") * F.coalesce("margin", F.lit(0.0)) < 1.0)
+            moves = rows.join(missed.select("key", "target", "y"), "key").groupBy(F.col("target").alias("label"), "term").agg((F.sum(F.col("y") * F.col("value")) * (rate / m)).alias("weight"))
+            kept = weights.withColumn("weight", F.col("weight") * (1.0 - rate * penalty))
+            old = path
+            weights, path = written(kept.unionByName(moves).groupBy("label", "term").agg(F.sum("weight").alias("weight")), "weights")
+            if old:
+                remove(spark, old)
+        return weights
+    finally:
+        rows.unpersist()
+        wanted.unpersist()
 
-    idf: IDFModel
-    svm: dict[str, LinearSVCModel]
 
-    def vectors(self, docs: DataFrame, terms: str) -> DataFrame:
-        counted = HashingTF(inputCol=terms, outputCol="tf", numFeatures=self.idf.idf.size).transform(docs)
-        return self.idf.transform(counted)
+@dataclass
+class Model:
+    """Weights (label, term, weight) and the idf (term, df, idf) of their terms."""
+
+    weights: DataFrame
+    idf: DataFrame
 
     def save(self, path: str) -> None:
-        """The IDF and each label's model in a folder of its own, over earlier ones."""
-        self.idf.write().overwrite().save(f"{path}/idf")
-        for label, model in self.svm.items():
-            model.write().overwrite().save(f"{path}/label={label}")
+        """Both tables, the weights in a folder for each label, over earlier ones."""
+        self.weights.write.mode("overwrite").partitionBy("label").parquet(f"{path}/weights")
+        self.idf.write.mode("overwrite").parquet(f"{path}/idf")
 
     @staticmethod
-    def load(path: str, labels: list[str]) -> "Models":
-        return Models(IDFModel.load(f"{path}/idf"), {x: LinearSVCModel.load(f"{path}/label={x}") for x in labels})
-
-
-def train(docs: DataFrame, terms: str, label: str, targets: list[str], least: int = 1, iterations: int = 100, features: int = FEATURES) -> Models:
-    """A linear SVM for each label of ``docs``; vectors are computed once for all of them."""
-    counted = HashingTF(inputCol=terms, outputCol="tf", numFeatures=features).transform(docs)
-    idf = IDF(inputCol="tf", outputCol="features", minDocFreq=least).fit(counted)
-    rows = idf.transform(counted).select(label, "features").persist()
-    try:
-        of = lambda x: LinearSVC(featuresCol="features", labelCol="y", maxIter=iterations, regParam=0.01, predictionCol=f"p_{x}", rawPredictionCol=f"m_{x}")
-        return Models(idf, {x: of(x).fit(rows.withColumn("y", labelled(F.col(label), x))) for x in targets})
-    finally:
-        rows.unpersist()
+    def load(spark: SparkSession, path: str, labels: list[str] | None = None) -> "Model":
+        """The model of all labels or of some, of which only the folders are read."""
+        weights = spark.read.schema("term string, weight double, label string").parquet(f"{path}/weights")
+        return Model(weights if labels is None else weights.where(F.col("label").isin(labels)), spark.read.schema("term string, df bigint, idf double").parquet(f"{path}/idf"))
 
 
-def predict(docs: DataFrame, terms: str, models: Models, least: float = 1.0, none: str = "none") -> DataFrame:
-    """``docs`` with the labels whose raw margin is ``least`` or more; rows without terms get ``none``."""
-    out = models.vectors(docs, terms)
-    for model in models.svm.values():
-        out = model.transform(out)
-    some = F.size(F.filter(F.col(terms), lambda w: w != "")) > 0
-    hits = F.array_compact(F.array(*[F.when(vector_to_array(f"m_{x}")[1] >= least, F.lit(x)) for x in models.svm]))
-    return out.select(*docs.columns, F.when(some & (F.size(hits) > 0), F.array_join(hits, ",")).otherwise(none).alias("classification"))
+def build(docs: DataFrame, key: str, terms: Column, label: str, targets: list[str], least: int = 1, iterations: int = 100) -> Model:
+    """A model from rows with a key, a label and terms: TF-IDF of the terms in ``least`` rows or more, all labels trained at once."""
+    idf, _ = written(inverse_frequency(docs, terms, least), "idf")
+    values = tfidf(term_frequency(term_rows(docs, key, terms), key), idf, key).withColumnRenamed(key, "key")
+    return Model(train(values, docs.select(F.col(key).alias("key"), F.col(label).alias("label")), targets, iterations), idf)

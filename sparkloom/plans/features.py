@@ -104,15 +104,50 @@ def classify_labels(spark, sf_dir):
     return classify.label_lists(_margins(spark, sf_dir), table(spark, sf_dir, "documents"), "doc_id", LABELS, CONFIG.margin, CONFIG.none_label)
 
 
-@QUERIES.add()
-def svm_train_predict(spark, sf_dir):
-    """Train one linear SVM per label, save and load them, and classify the same rows."""
+STEPS, LEAST_ROWS = 4, 5
+
+
+def _sql_train() -> str:
+    """One common table for the weights after each step."""
+    parts = [
+        f"x AS (SELECT doc_id, CASE WHEN quality = 1 THEN 'good' ELSE 'junk' END AS label, unnest({sql_terms()}) AS term FROM documents JOIN labels USING (doc_id))",
+        "f AS (SELECT doc_id, term, count(*) AS tf FROM x GROUP BY 1, 2)",
+        f"idf AS (SELECT term, ln(((SELECT count(DISTINCT doc_id) FROM f) + 1.0) / (count(*) + 1.0)) AS idf FROM f GROUP BY term HAVING count(*) >= {LEAST_ROWS})",
+        "v AS MATERIALIZED (SELECT doc_id, term, tf * idf AS value FROM f JOIN idf USING (term))",
+        "y AS (SELECT doc_id, CASE WHEN quality = 1 THEN 'good' ELSE 'junk' END AS own, target, CASE WHEN own = target THEN 1.0 ELSE -1.0 END::DOUBLE AS y FROM documents JOIN labels USING (doc_id), (VALUES ('good'), ('junk')) t(target))",
+        "w0 AS (SELECT '' AS label, '' AS term, 0.0::DOUBLE AS weight WHERE false)",
+    ]
+    for t in range(1, STEPS + 1):
+        rate = t**-0.5
+        parts += [
+            f"m{t} AS MATERIALIZED (SELECT doc_id, label, sum(value * weight) AS margin FROM v JOIN w{t - 1} USING (term) GROUP BY 1, 2)",
+            f"g{t} AS (SELECT target AS label, term, sum(y * value) * ({rate!r}::DOUBLE / (SELECT count(*) FROM documents JOIN labels USING (doc_id))) AS weight FROM y LEFT JOIN m{t} ON m{t}.doc_id = y.doc_id AND label = target JOIN v ON v.doc_id = y.doc_id WHERE y * coalesce(margin, 0) < 1 GROUP BY 1, 2)",
+            f"w{t} AS MATERIALIZED (SELECT label, term, sum(weight) AS weight FROM (SELECT label, term, weight * {1.0 - rate * 0.01!r}::DOUBLE AS weight FROM w{t - 1} UNION ALL SELECT * FROM g{t}) GROUP BY 1, 2)",
+        ]
+    return "WITH " + ", ".join(parts)
+
+
+def _model(spark, sf_dir) -> tuple[DataFrame, classify.Model]:
+    """Labelled documents, and a model of them that was stored and read back."""
     docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
     rows = docs.select("doc_id", F.when(F.col("quality") == 1, "good").otherwise("junk").alias("label"), T.simple_terms(F.col("text")).alias("terms"))
     path = folder(spark, "models")
-    classify.train(rows, "terms", "label", ["good", "junk"], 5, 20, 1 << 16).save(path)
-    models = classify.Models.load(path, ["good", "junk"])
-    return classify.predict(rows, "terms", models, least=0.0).select("doc_id", "label", "classification")
+    classify.build(rows, "doc_id", F.col("terms"), "label", ["good", "junk"], LEAST_ROWS, STEPS).save(path)
+    return rows, classify.Model.load(spark, path)
+
+
+@QUERIES.add(_sql_train() + f" SELECT label, term, round(weight, 6) AS weight FROM w{STEPS}")
+def svm_weights(spark, sf_dir):
+    """Weights of the labels after some steps over all labelled documents."""
+    return _model(spark, sf_dir)[1].weights.select("label", "term", F.round("weight", 6).alias("weight"))
+
+
+@QUERIES.add(_sql_train() + f", s AS (SELECT doc_id, label, sum(value * weight) AS margin FROM v JOIN w{STEPS} USING (term) GROUP BY 1, 2), h AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS l FROM s WHERE margin >= 0 GROUP BY 1) SELECT doc_id, CASE WHEN quality = 1 THEN 'good' ELSE 'junk' END AS label, coalesce(l, 'none') AS classification FROM documents JOIN labels USING (doc_id) LEFT JOIN h USING (doc_id)")
+def svm_train_predict(spark, sf_dir):
+    """Train all labels at once, store and read the model, and classify the same rows."""
+    rows, model = _model(spark, sf_dir)
+    found = classify.by_weights(rows, "doc_id", F.col("terms"), model.weights, model.idf, ["good", "junk"], 0.0)
+    return rows.select("doc_id", "label").join(found, "doc_id")
 
 
 @QUERIES.add("SELECT doc_id, CASE WHEN quality = 1 THEN 'Good' ELSE 'Junk' END AS label, CASE WHEN quality = 1 THEN 1.0 ELSE 0.0 END::DOUBLE AS y FROM labels")

@@ -15,6 +15,7 @@ from sparkloom.operators import classify, counts, dictionary, features, filters,
 from sparkloom.session import EngineConfig, session
 from sparkloom.sources import sinks, tables
 from sparkloom.sources.keyed import KeyedTable
+from sparkloom.sources.workspace import written
 from sparkloom.streaming import ingest
 
 CONFIG = EngineConfig()
@@ -47,17 +48,22 @@ def classifier(crawl: DataFrame, classify_rows: Callable[[DataFrame], DataFrame]
     return sinks.upsert(crawl, classifier_cells(crawl, classify_rows, config), ["row_key"])
 
 
-def by_models(path: str, labels: list[str], config: EngineConfig = CONFIG) -> Callable[[DataFrame], DataFrame]:
-    """Classify by the models that ``classifier_builder`` saved."""
-    models = classify.Models.load(path, labels)
-    return lambda rows: classify.predict(rows.select("row_key", F.split("cleaned", ",").alias("terms")), "terms", models, config.margin, config.none_label)
+def by_models(spark: SparkSession, path: str, labels: list[str], config: EngineConfig = CONFIG) -> Callable[[DataFrame], DataFrame]:
+    """Classify by the model that ``classifier_builder`` saved."""
+    model = classify.Model.load(spark, path, labels)
+    terms = F.filter(F.split("cleaned", ","), lambda w: w != "")
+    return lambda rows: classify.by_weights(rows, "row_key", terms, model.weights, model.idf, labels, config.margin, config.none_label)
 
 
-def classifier_builder(training: DataFrame, path: str, labels: list[str] | None = None, config: EngineConfig = CONFIG, features_: int = classify.FEATURES) -> list[str]:
-    """Train and save a model for each label of (label, url, terms) rows; the labels."""
-    rows = training.where("terms is not null").select(F.lower("label").alias("label"), F.filter(F.split("terms", ","), lambda w: w != "").alias("terms"))
+def classifier_builder(training: DataFrame, path: str, labels: list[str] | None = None, config: EngineConfig = CONFIG) -> list[str]:
+    """Train all labels of (label, url, terms) rows at once and save the model; the labels.
+
+    Rows are written once with a number each, as their urls may repeat.
+    """
+    named = training.where("terms is not null AND label is not null").select(F.monotonically_increasing_id().alias("key"), F.lower("label").alias("label"), F.filter(F.split("terms", ","), lambda w: w != "").alias("terms"))
+    rows, _ = written(named, "training")
     names = labels or [r.label for r in rows.select("label").distinct().orderBy("label").collect()]
-    classify.train(rows, "terms", "label", names, config.min_doc_freq, config.svm_iterations, features_).save(path)
+    classify.build(rows, "key", F.col("terms"), "label", names, config.min_doc_freq, config.svm_iterations).save(path)
     return names
 
 
@@ -249,7 +255,7 @@ COMMANDS: dict[str, tuple[tuple[str, ...], dict[str, str | None], Callable]] = {
     "cleaner": (("input", "output"), LISTS, lambda s, a: _cells(s, a, lambda rows: cleaner_cells(rows, _lists(s, a)))),
     "trainingdatabuilder": (("mode", "source", "output"), {"pages": None, "profiles": None, "language": "id"} | LISTS, _training),
     "classifierbuilder": (("training", "model"), {"labels": None}, lambda s, a: print(",".join(classifier_builder(tables.training_file(s, a.training), a.model, a.labels and a.labels.split(","))))),
-    "classifier": (("input", "model", "labels", "output"), {}, lambda s, a: _cells(s, a, lambda rows: classifier_cells(rows, by_models(a.model, a.labels.split(","))))),
+    "classifier": (("input", "model", "labels", "output"), {}, lambda s, a: _cells(s, a, lambda rows: classifier_cells(rows, by_models(s, a.model, a.labels.split(","))))),
     "featureindicescreator": (("training", "output"), {}, lambda s, a: _write(feature_indices(tables.training_file(s, a.training)), a.output)),
     "twittercrawler": (("source", "target", "checkpoint", "profiles"), {"language": "id", "interval": None}, lambda s, a: tweets(s, a.source, a.target, a.checkpoint, _read(s, a.profiles), a.language, a.interval).awaitTermination()),
     "facebookcrawler": (("hosts", "posts", "output"), {"keywords": None, "profiles": None, "language": "id"}, _facebook),

@@ -98,7 +98,7 @@ _GRAMS = r"regexp_extract_all('_' || regexp_replace(lower(text), '[^\p{L}]+', '_
 #: Profiles of all languages, ranks of every text, and the nearest language.
 _DETECT = f"""lc AS (SELECT doc_id, lang, {_GRAMS} AS c FROM documents WHERE text IS NOT NULL),
 lg AS (SELECT doc_id, lang, unnest(list_transform(list_filter(range(1, len(c) - 1), lambda i: c[i + 1] <> '_'), lambda i: c[i] || c[i + 1] || c[i + 2])) AS gram FROM lc),
-lk AS (SELECT lang, gram, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, gram) AS known_rank FROM lg WHERE lang IS NOT NULL GROUP BY lang, gram QUALIFY known_rank <= {language.RANKS}),
+lk AS (SELECT lang, gram, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, gram) AS known_rank FROM lg WHERE lang IS NOT NULL AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) GROUP BY lang, gram QUALIFY known_rank <= {language.RANKS}),
 lr AS (SELECT doc_id, gram, row_number() OVER (PARTITION BY doc_id ORDER BY count(*) DESC, gram) AS place FROM lg GROUP BY doc_id, gram QUALIFY place <= {language.RANKS}),
 ls AS (SELECT doc_id, lk.lang, sum({language.RANKS} - abs(place - known_rank)) AS agreed FROM lr JOIN lk USING (gram) GROUP BY doc_id, lk.lang),
 ln AS (SELECT doc_id, max(place) AS n FROM lr GROUP BY doc_id),
@@ -107,8 +107,9 @@ ld AS (SELECT d.doc_id, CASE WHEN agreed >= {language.LEAST * language.RANKS!r}
 
 
 def known_languages(spark, sf_dir) -> DataFrame:
-    """Profiles of the languages of ``documents``."""
-    return language.train(table(spark, sf_dir, "documents").select("lang", "text"))
+    """Profiles of the languages of the documents that are labelled as good."""
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id").distinct()
+    return language.train(table(spark, sf_dir, "documents").join(good, "doc_id", "left_semi").select("lang", "text"))
 
 
 @QUERIES.add(f"WITH {_DETECT} SELECT doc_id, detected FROM ld")

@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -603,15 +604,33 @@ def test_classifier_flow(spark, tmp_path):
     (tmp_path / "training.tsv").write_text("\n".join(lines) + "\nshort\n")
     crawl = spark.createDataFrame([("1", "kartu,taruhan", None, None), ("2", "politik,ekonomi", None, None), ("3", "", None, None), ("4", None, None, None), ("5", "kartu", "old", "1")], "row_key string, cleaned string, classification string, classified string")
     config = jobs.EngineConfig(min_doc_freq=1, svm_iterations=20, margin=0.5)
-    names = jobs.classifier_builder(tables.training_file(spark, str(tmp_path / "training.tsv")), f"{tmp_path}/model", None, config, 1 << 10)
+    names = jobs.classifier_builder(tables.training_file(spark, str(tmp_path / "training.tsv")), f"{tmp_path}/model", None, config)
     assert names == ["berita", "judi"]
-    out = {x.row_key: (x.classification, x.classified) for x in jobs.classifier(crawl, jobs.by_models(f"{tmp_path}/model", names, config), config).collect()}
+    out = {x.row_key: (x.classification, x.classified) for x in jobs.classifier(crawl, jobs.by_models(spark, f"{tmp_path}/model", names, config), config).collect()}
     assert out == {"1": ("judi", "1"), "2": ("berita", "1"), "3": ("none", None), "4": (None, None), "5": ("old", "1")}
     crawl.write.parquet(f"{tmp_path}/crawl")
     jobs.main(["classifier", f"{tmp_path}/crawl", f"{tmp_path}/model", "berita,judi", f"{tmp_path}/out"])
     assert spark.read.parquet(f"{tmp_path}/out").count() == 5
 
 
+def test_all_labels_in_one_descent(spark):
+    """Weights after some steps equal a NumPy version's; rows without terms count in the mean."""
+    r = np.random.default_rng(2)
+    x = np.where(r.random((60, 9)) < 0.4, r.random((60, 9)) * 3, 0.0)
+    x[7] = 0
+    names = np.array(["a", "b", "c"])[r.integers(0, 3, 60)]
+    w = np.zeros((3, 9))
+    y = np.where(names[None, :] == np.array([["a"], ["b"], ["c"]]), 1.0, -1.0)
+    for t in range(1, 7):
+        missed = y * (w @ x.T) < 1
+        w = w * (1 - 0.05 * 0.7 / t**0.5) + 0.7 / t**0.5 / 60 * ((missed * y) @ x)
+    values = spark.createDataFrame([(i, f"t{j}", float(x[i, j])) for i in range(60) for j in range(9) if x[i, j]], "key int, term string, value double")
+    labels = spark.createDataFrame([(i, names[i].upper()) for i in range(60)], "key int, label string")
+    got = {(k.label, k.term): k.weight for k in classify.train(values, labels, ["a", "b", "c"], 6, 0.7, 0.05).collect()}
+    assert all(abs(got.get((k, f"t{j}"), 0.0) - w[i, j]) < 1e-9 for i, k in enumerate("abc") for j in range(9)) and len(got) <= 27
+    assert classify.train(values, labels.limit(0), ["a"], 3).count() == 0
+
+
 def test_commands(spark, tmp_path):
     assert {"cleaner", "trainingdatabuilder", "classifierbuilder", "classifier", "featureindicescreator", "twittercrawler", "facebookcrawler"} <= set(jobs.COMMANDS)
     d = str(tmp_path)
