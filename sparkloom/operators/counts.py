@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def monitoring(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Rows that have each column, in one pass."""
-    return df.agg(*[F.count(c).alias(name) for name, c in columns.items()])
+def monitoring(df: DataFrame, columns: dict[str, str], *by: Column) -> DataFrame:
+    """Rows that have each column, of all or ``by`` some columns, in one pass."""
+    return df.groupBy(*by).agg(*[F.count(c).alias(name) for name, c in columns.items()])
 
 
 def label_counts(df: DataFrame, host: str, labels: str, sep: str = ",") -> DataFrame:

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkloom.plans import cleaning, features, relations, rows, stateful
+from sparkloom.plans import cleaning, features, jobruns, relations, rows, stateful
 
-MODULES = (rows, cleaning, features, relations, stateful)
+MODULES = (rows, cleaning, features, relations, stateful, jobruns)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: f for m in MODULES for k, f in m.QUERIES.items()}
 ORACLES: dict[str, str] = {k: q for m in MODULES for k, q in m.ORACLES.items()}

@@ -168,7 +168,12 @@ def stem_words(spark, sf_dir):
 _UNITS = "list_transform(regexp_extract_all(term, '(?s).'), lambda c: CASE WHEN unicode(c) < 65536 THEN [unicode(c)] ELSE [55296 + ((unicode(c) - 65536) >> 10), 56320 + ((unicode(c) - 65536) & 1023)] END)"
 
 
-@QUERIES.add(f"WITH x AS (SELECT unnest({sql_words()}) AS w FROM documents), a AS (SELECT DISTINCT lower(w) AS term FROM x) SELECT term, list_reduce(list_prepend(CAST(0 AS BIGINT), list_transform(flatten({_UNITS}), lambda u: CAST(u AS BIGINT))), lambda a, c: (a * 31 + c) & 4294967295) & 1048575 AS bucket FROM a")
+def sql_bucket(term: str) -> str:
+    units = _UNITS.replace("term", term)
+    return f"list_reduce(list_prepend(CAST(0 AS BIGINT), list_transform(flatten({units}), lambda u: CAST(u AS BIGINT))), lambda a, c: (a * 31 + c) & 4294967295) & 1048575"
+
+
+@QUERIES.add(f"WITH x AS (SELECT unnest({sql_words()}) AS w FROM documents), a AS (SELECT DISTINCT lower(w) AS term FROM x) SELECT term, {sql_bucket('term')} AS bucket FROM a")
 def hash_buckets(spark, sf_dir):
     """Bucket of every term of the documents."""
     words = table(spark, sf_dir, "documents").select(F.explode(T.words(F.col("text"))).alias("w"))
