@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkloom.functions import text as T
@@ -11,12 +11,16 @@ from sparkloom.operators import features as O
 from sparkloom.plans.cleaning import sql_stem
 from sparkloom.plans.common import Registry, sql_terms, sql_words, table
 from sparkloom.session import EngineConfig
+from sparkloom.sources.tables import lexicon_file
 from sparkloom.sources.workspace import folder
 
 QUERIES = Registry()
 ORACLES = QUERIES.sql
 CONFIG = EngineConfig()
 
+#: Steps of the classifier's descent, and rows that a term must occur in, in the queries.
+STEPS, LEAST_ROWS = 4, 5
+
 _TF = f"""WITH x AS (SELECT doc_id, lang, source, unnest({sql_terms()}) AS term FROM documents),
 f AS (SELECT doc_id, term, count(*) AS tf FROM x GROUP BY 1, 2),
 idf AS (SELECT term, count(*) AS df, ln(((SELECT count(DISTINCT doc_id) FROM f) + 1.0) / (count(*) + 1.0)) AS idf FROM f GROUP BY term HAVING count(*) >= {CONFIG.min_doc_freq})"""
@@ -104,9 +108,6 @@ def classify_labels(spark, sf_dir):
     return classify.label_lists(_margins(spark, sf_dir), table(spark, sf_dir, "documents"), "doc_id", LABELS, CONFIG.margin, CONFIG.none_label)
 
 
-STEPS, LEAST_ROWS = 4, 5
-
-
 def _sql_train() -> str:
     """One common table for the weights after each step."""
     parts = [
@@ -163,9 +164,22 @@ def _lexicon(spark) -> DataFrame:
 _LEX = "lx(pos, id, p, n, terms) AS (VALUES " + ", ".join(f"('{a}', '{b}', CAST({c} AS DOUBLE), CAST({d} AS DOUBLE), '{e}')" for a, b, c, d, e in sentiment.LEXICON) + "), le AS (SELECT pos, p - n AS s, unnest(string_split(terms, ' ')) AS t FROM lx), lp AS (SELECT split_part(t, '#', 1) AS term, pos, sum(s / CAST(split_part(t, '#', 2) AS DOUBLE)) / sum(1 / CAST(split_part(t, '#', 2) AS DOUBLE)) AS score FROM le GROUP BY 1, 2)"
 
 
-@QUERIES.add(f"WITH {_LEX} SELECT term, pos, round(score, 6) AS score FROM lp")
+_SENSES = f"""WITH x AS (SELECT DISTINCT doc_id, lang, term FROM (SELECT doc_id, lang, unnest({sql_terms()}) AS term FROM documents)),
+s AS (SELECT term, lang, count(*) AS n, round(avg(quality), 3) AS p, round(avg(toxic), 3) AS q FROM x JOIN labels USING (doc_id) WHERE lang IS NOT NULL GROUP BY 1, 2 HAVING count(*) >= {LEAST_ROWS}),
+r AS (SELECT *, row_number() OVER (PARTITION BY term ORDER BY n DESC, lang) AS rank FROM s)"""
+
+
+@QUERIES.add(_SENSES + " SELECT term, 'n' AS pos, round(sum((p - q) / rank) / sum(1.0 / rank), 6) AS score FROM r GROUP BY term")
 def lexicon_prior(spark, sf_dir):
-    return _lexicon(spark).withColumn("score", F.round("score", 6))
+    """Prior of every word of a lexicon file that is made of the labelled documents: a sense per language, its scores the shares of good and toxic ones."""
+    docs = table(spark, sf_dir, "documents").where("lang IS NOT NULL").join(table(spark, sf_dir, "labels"), "doc_id")
+    each = docs.select("lang", "quality", "toxic", F.explode(F.array_distinct(T.simple_terms(F.col("text")))).alias("term"))
+    senses = each.groupBy("term", "lang").agg(F.count("*").alias("n"), F.round(F.avg("quality"), 3).alias("p"), F.round(F.avg("toxic"), 3).alias("q")).where(F.col("n") >= LEAST_ROWS)
+    rank = F.row_number().over(Window.partitionBy("term").orderBy(F.desc("n"), "lang"))
+    lines = senses.withColumn("rank", rank).select(F.concat_ws("\t", F.lit("n"), "lang", F.col("p").cast("string"), F.col("q").cast("string"), F.concat("term", F.lit("#"), F.col("rank").cast("string")), F.lit("made of documents")).alias("value"))
+    path = folder(spark, "lexicon")
+    lines.write.text(path)
+    return sentiment.prior(lexicon_file(spark, path)).select("term", "pos", F.round("score", 6).alias("score"))
 
 
 _TAGGED = {k: T.POS_CLASSES.get(v, v) for k, v in T.TAGS.items()}
@@ -173,11 +187,11 @@ _SCORES = f"""WITH {_LEX},
 tags(w, pos) AS (VALUES {", ".join(f"('{k}', '{v}')" for k, v in _TAGGED.items())}),
 d AS (SELECT doc_id, string_split_regex(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)) AS ss FROM documents),
 s AS (SELECT doc_id, i, lower(ss[i]) AS sentence FROM (SELECT doc_id, ss, unnest(range(1, len(ss) + 1)) AS i FROM d)),
-w AS (SELECT doc_id, i, unnest({sql_words("sentence")}) AS w FROM s),
-g AS (SELECT doc_id, i, w.w, coalesce(pos, 'n') AS pos FROM w LEFT JOIN tags ON w.w = tags.w),
+w AS (SELECT doc_id, i, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS j FROM (SELECT doc_id, i, {sql_words("sentence")} AS ws FROM s)),
+g AS (SELECT doc_id, i, j, w.w, coalesce(pos, 'n') AS pos FROM w LEFT JOIN tags ON w.w = tags.w),
 v AS (SELECT w, pos, {sql_stem("w")} AS stem FROM (SELECT DISTINCT w, pos FROM g)),
 x AS (SELECT v.w, v.pos, coalesce(a.score, b.score, 0) AS s FROM v LEFT JOIN lp a ON v.w = a.term AND v.pos = a.pos LEFT JOIN lp b ON v.stem = b.term AND v.pos = b.pos),
-z AS (SELECT doc_id, i, g.w, g.pos, CASE WHEN abs(s) <= 0.1 THEN 0.0 ELSE s END AS score FROM g JOIN x ON g.w = x.w AND g.pos = x.pos),
+z AS (SELECT doc_id, i, j, g.w, g.pos, CASE WHEN abs(s) <= 0.1 THEN 0.0 ELSE s END AS score FROM g JOIN x ON g.w = x.w AND g.pos = x.pos),
 e AS (SELECT doc_id, i, coalesce(avg(score) FILTER (score > 0), 0) AS pos, coalesce(avg(-score) FILTER (score < 0), 0) AS neg FROM z WHERE score <> 0 GROUP BY 1, 2)"""
 
 
@@ -207,9 +221,24 @@ def doc_sentiment(spark, sf_dir):
     return _rounded(sentiment.detect(_tagged(spark, sf_dir), "doc_id", F.col("tagged"), _lexicon(spark)))
 
 
-@QUERIES.add()
+def _sql_negated() -> str:
+    """Signs turn in the four words after a negation, up to the next negation or conjunction; a negation in such words begins nothing."""
+    spans = """mk AS (SELECT doc_id, i, j, pos, row_number() OVER (PARTITION BY doc_id, i ORDER BY j) AS k FROM g WHERE pos IN ('NEG', 'CC')),
+st AS (SELECT doc_id, i, k, CASE WHEN pos = 'NEG' THEN j END AS neg FROM mk WHERE k = 1 UNION ALL
+  SELECT m.doc_id, m.i, m.k, CASE WHEN m.pos = 'NEG' AND NOT coalesce(m.j <= st.neg + 4, false) THEN m.j END FROM st JOIN mk m ON m.doc_id = st.doc_id AND m.i = st.i AND m.k = st.k + 1),
+sp AS (SELECT st.doc_id, st.i, neg + 1 AS lo, least(neg + 4, coalesce(m.j - 1, neg + 4)) AS hi FROM st LEFT JOIN mk m ON m.doc_id = st.doc_id AND m.i = st.i AND m.k = st.k + 1 WHERE neg IS NOT NULL),
+fl AS (SELECT DISTINCT doc_id, i, unnest(range(lo, hi + 1)) AS j FROM sp),
+y AS (SELECT z.doc_id, z.i, CASE WHEN fl.j IS NOT NULL AND z.pos NOT IN ('NEG', 'CC') THEN -score ELSE score END AS score FROM z LEFT JOIN fl ON fl.doc_id = z.doc_id AND fl.i = z.i AND fl.j = z.j),
+e AS ("""
+    return _SCORES.replace("WITH ", "WITH RECURSIVE ", 1).replace("e AS (SELECT doc_id, i, coalesce(avg", spans + "SELECT doc_id, i, coalesce(avg").replace("FROM z WHERE score <> 0", "FROM y WHERE score <> 0")
+
+
+_DOCUMENT = ", t AS (SELECT doc_id, sum(pos) AS pos, sum(neg) AS neg FROM e GROUP BY 1), d2 AS (SELECT doc_id, coalesce(pos, 0) AS pos, coalesce(neg, 0) AS neg FROM documents LEFT JOIN t USING (doc_id)) SELECT doc_id, round(pos, 6) AS pos, round(neg, 6) AS neg, CASE WHEN round(pos, 9) > round(neg, 9) THEN 'positif' WHEN round(pos, 9) < round(neg, 9) THEN 'negatif' ELSE 'netral' END AS sentiment FROM d2"
+
+
+@QUERIES.add(_sql_negated() + _DOCUMENT)
 def negation_window(spark, sf_dir):
-    """Sentiment with signs turned after a negation; tests hold it against brute force."""
+    """Sentiment with signs turned after a negation."""
     return _rounded(sentiment.detect(_tagged(spark, sf_dir), "doc_id", F.col("tagged"), _lexicon(spark), "window4"))
 
 
