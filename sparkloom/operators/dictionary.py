@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.functions import stemming
+from sparkloom.functions import spelling, stemming
 from sparkloom.functions import text as T
 from sparkloom.sources.workspace import BROADCAST_ROWS, bounded, remove, written
 
@@ -27,7 +27,9 @@ class Lists:
 
     A repeated word counts by its least entry, null words not at all.  With
     ``roots`` words are stemmed to these (``functions.stemming``), without them
-    by the affix rules of ``functions.text``.
+    by the affix rules of ``functions.text``.  With ``formal`` (word, n) a word
+    that is neither formal nor in ``slang`` becomes the formal one that is one
+    edit away (``functions.spelling``).
     """
 
     acronyms: DataFrame
@@ -35,14 +37,15 @@ class Lists:
     stop: DataFrame
     keep: DataFrame
     roots: DataFrame | None = None
+    formal: DataFrame | None = None
 
     @staticmethod
-    def own(spark: SparkSession, acronyms: DataFrame | None = None, slang: DataFrame | None = None, stop: DataFrame | None = None, keep: DataFrame | None = None, roots: DataFrame | None = None) -> "Lists":
+    def own(spark: SparkSession, acronyms: DataFrame | None = None, slang: DataFrame | None = None, stop: DataFrame | None = None, keep: DataFrame | None = None, roots: DataFrame | None = None, formal: DataFrame | None = None) -> "Lists":
         """The engine's small lists where none is given."""
         pairs = lambda d: spark.createDataFrame(list(d.items()), "word string, to string")
         words = lambda ws: spark.createDataFrame([(w,) for w in ws], "word string")
         pick = lambda given, make, value: make(value) if given is None else given
-        return Lists(pick(acronyms, pairs, T.ACRONYMS), pick(slang, pairs, T.SLANG), pick(stop, words, T.STOPWORDS), pick(keep, words, T.KEEP_UNSTEMMED), roots)
+        return Lists(pick(acronyms, pairs, T.ACRONYMS), pick(slang, pairs, T.SLANG), pick(stop, words, T.STOPWORDS), pick(keep, words, T.KEEP_UNSTEMMED), roots, formal)
 
 
 def _mapped(words: DataFrame, by: str, entries: DataFrame, name: str) -> DataFrame:
@@ -64,7 +67,11 @@ def clean_words(words: DataFrame, lists: Lists, remove: bool = True, compat: boo
     rows = words.withColumn("_w", T.remove_url(F.lower(T.split_attached(w("word"))), compat))
     rows = _mapped(rows, "_w", lists.acronyms, "_to")
     rows = rows.withColumn("_w", F.when(w("_w").rlike(T.DOTTED), F.coalesce(w("_to"), F.replace("_w", F.lit("."), F.lit("")))).otherwise(w("_w"))).drop("_to")
-    rows = _mapped(rows, "_w", lists.slang, "_to").withColumn("_w", T.pad_marks(T.remove_symbols(F.coalesce("_to", "_w")))).drop("_to")
+    rows = _mapped(rows, "_w", lists.slang, "_to")
+    if lists.formal is not None:
+        near = spelling.formal_words(rows.where("_to IS NULL AND _w RLIKE '^[a-z]+$'").select(F.col("_w").alias("word")), lists.formal)
+        rows = _mapped(rows, "_w", near.withColumnRenamed("formal", "to"), "_near").withColumn("_to", F.coalesce("_to", "_near")).drop("_near")
+    rows = rows.withColumn("_w", T.pad_marks(T.remove_symbols(F.coalesce("_to", "_w")))).drop("_to")
     if remove:
         rows = rows.withColumn("_w", T.remove_punctuation(w("_w")))
         rows = _listed(_listed(rows, "_w", lists.stop, "_stop"), "_w", lists.keep, "_keep")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sparkloom.functions import spelling
 from sparkloom.functions import stemming as S
 from sparkloom.functions import text as T
 from sparkloom.operators import dictionary, features, tagger
@@ -130,6 +131,17 @@ def standard_pos(spark, sf_dir):
     return _tagged(spark, sf_dir).groupBy(T.standard_pos(F.col("tag")).alias("pos")).agg(F.sum("n").alias("n"))
 
 
+@QUERIES.add(f"""WITH x AS (SELECT doc_id, unnest({sql_terms()}) AS word FROM documents), v AS (SELECT DISTINCT word FROM x),
+f AS (SELECT word AS formal, count(DISTINCT doc_id) AS n FROM x GROUP BY word HAVING count(DISTINCT doc_id) >= 20),
+p AS (SELECT word, formal, n FROM v JOIN f ON length(word) >= 4 AND length(formal) >= 4 AND abs(length(word) - length(formal)) <= 1 AND word NOT IN (SELECT formal FROM f) WHERE levenshtein(word, formal) <= 1)
+SELECT word, formal FROM p QUALIFY row_number() OVER (PARTITION BY word ORDER BY n DESC, formal) = 1""")
+def slang_words(spark, sf_dir):
+    """Words that few documents have, with the frequent word one edit away."""
+    docs = table(spark, sf_dir, "documents")
+    frequent = features.document_frequency(docs, T.simple_terms(F.col("text")), 20).select(F.col("term").alias("word"), F.col("df").alias("n"))
+    return spelling.formal_words(docs.select(F.explode(T.simple_terms(F.col("text"))).alias("word")), written(frequent, "formal")[0])
+
+
 @QUERIES.add()
 def hmm_tags(spark, sf_dir):
     """Tags of every sentence by a model that learns from the good documents, tagged by dictionary; tests hold the decoding against all taggings."""

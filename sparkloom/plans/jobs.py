@@ -221,11 +221,11 @@ def _upsert_file(spark: SparkSession, result: tuple[DataFrame, DataFrame], outpu
 
 
 #: Options of the commands that clean words: files of word lists, of any size.
-LISTS: dict[str, str | None] = {"acronyms": None, "slang": None, "stop": None, "keep": None, "roots": None}
+LISTS: dict[str, str | None] = {"acronyms": None, "slang": None, "stop": None, "keep": None, "roots": None, "formal": None}
 
 
 def _lists(spark: SparkSession, a) -> dictionary.Lists:
-    read = {"acronyms": tables.map_table, "slang": tables.map_table, "stop": tables.word_table, "keep": tables.word_table, "roots": tables.word_table}
+    read = {"acronyms": tables.map_table, "slang": tables.map_table, "stop": tables.word_table, "keep": tables.word_table, "roots": tables.word_table, "formal": lambda s, path: tables.map_table(s, path).select("word", F.col("to").try_cast("bigint").alias("n")).where("n IS NOT NULL")}
     return dictionary.Lists.own(spark, **{k: f(spark, getattr(a, k)) for k, f in read.items() if getattr(a, k)})
 
 

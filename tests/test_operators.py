@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sparkloom.functions import language, stemming, text
+from sparkloom.functions import language, spelling, stemming, text
 from sparkloom.operators import classify, counts, dictionary, filters, graph, html_comments, replies, sentiment, tagger
 from sparkloom.operators import features as features_ops
 from sparkloom.plans import catalog, jobs
@@ -107,6 +107,35 @@ def test_word_lists_of_a_million(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/out").first().cleaned == "stopx,anton berta,saya,ajar,besar,makan,makan,bes"
 
 
+def test_formal_words_against_all_pairs(spark, tmp_path):
+    r = random.Random(12)
+    word = lambda: "".join(r.choice("abcé") for _ in range(r.randrange(0, 8)))
+    formal = {word(): r.randrange(1, 5) for _ in range(60)}
+    words = [word() for _ in range(300)] + [*list(formal)[:20], "x" * 5000, ""]
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, old = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(old[j] + 1, row[-1] + 1, old[j - 1] + (x != y)))
+        return row[-1]
+
+    want = {}
+    for w in set(words) - set(formal):
+        near = [(-n, f.encode(), f) for f, n in formal.items() if min(len(w), len(f)) >= 4 and abs(len(w) - len(f)) < 2 and edits(w, f) <= 1]
+        if near:
+            want[w] = min(near)[2]
+    known = spark.createDataFrame([*formal.items(), (next(iter(formal)), 0)], "word string, n int")
+    df = spark.createDataFrame([(w,) for w in words], "word string")
+    assert {x.word: x.formal for x in spelling.formal_words(df, known).collect()} == want and len(want) > 20
+    assert spelling.formal_words(df, known.limit(0)).count() == 0
+    (tmp_path / "formal").write_text("tidak:90\nrumah:7,junk")
+    spark.createDataFrame([("1", "tidk rumahh tdk ruma! kota", None)], "row_key string, text string, cleaned string").write.parquet(f"{tmp_path}/crawl")
+    jobs.main(["cleaner", f"{tmp_path}/crawl", f"{tmp_path}/out", "--formal", f"{tmp_path}/formal"])
+    assert spark.read.parquet(f"{tmp_path}/out").first().cleaned == "tidak,rumah,tidak,ruma,kota"
+
+
 def test_stems_against_plain(spark):
     """Every way to a root by a plain version, over made-up and real derivations."""
     roots = {"ajar", "baca", "tulis", "sapu", "pukul", "kirim", "makan", "besar", "main", "nyanyi", "racun", "rajut", "buku", "lihat", "adil", "an", "ku"}
