@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.functions.text import standard_pos, stem
+from sparkloom.functions.text import sentences, standard_pos, stem
+from sparkloom.functions.text import words as split_words
 from sparkloom.sources.workspace import bounded, written
 
 #: A small lexicon written for this engine: pos, id, positive, negative, term#rank list.
@@ -32,9 +33,11 @@ def prior(lines: DataFrame) -> DataFrame:
     return parts.groupBy("term", "pos").agg((F.sum(F.col("s") / F.col("rank")) / F.sum(1 / F.col("rank"))).alias("score"))
 
 
-def flips(tags: Column, span: int = 4) -> Column:
-    """Whether the sign of each word flips: up to ``span`` words after a negation; another one or a conjunction ends it."""
-    marks = F.filter(F.transform(tags, lambda t, i: F.struct(i.alias("i"), t.alias("t"))), lambda x: x["t"].isin("NEG", "CC"))
+def turned(marks: Column, span: int = 4) -> Column:
+    """Intervals (lo, hi) of places whose sign flips, for the (i, t) places of negations and conjunctions in order.
+
+    Up to ``span`` words after a negation; another one or a conjunction ends it.
+    """
     none = F.array().cast("array<struct<lo:int,hi:int>>")
     start = F.struct(F.lit(None).cast("int").alias("neg"), none.alias("out"))
     closed = lambda acc, end: F.when(acc["neg"].isNotNull(), F.concat(acc["out"], F.array(F.struct((acc["neg"] + 1).alias("lo"), F.least(acc["neg"] + span, end).alias("hi"))))).otherwise(acc["out"])
@@ -43,11 +46,17 @@ def flips(tags: Column, span: int = 4) -> Column:
         active = F.coalesce(x["i"] <= acc["neg"] + span, F.lit(False))
         return F.struct(F.when((x["t"] == "NEG") & ~active, x["i"]).alias("neg"), closed(acc, x["i"] - 1).alias("out"))
 
+    return F.aggregate(marks, start, step, lambda acc: closed(acc, F.lit(2**31 - 1)))
+
+
+def flips(tags: Column, span: int = 4) -> Column:
+    """Whether the sign of each word flips, for the tags of all words of a sentence."""
+    marks = F.filter(F.transform(tags, lambda t, i: F.struct(i.alias("i"), t.alias("t"))), lambda x: x["t"].isin("NEG", "CC"))
+
     def of(spans: Column) -> Column:
         return F.transform(tags, lambda t, i: ~t.isin("NEG", "CC") & F.exists(spans, lambda s: (s["lo"] <= i) & (i <= s["hi"])))
 
-    ends = F.aggregate(marks, start, step, lambda acc: closed(acc, F.lit(2**31 - 1)))
-    return F.element_at(F.transform(F.array(ends), of), 1)
+    return F.element_at(F.transform(F.array(turned(marks, span)), of), 1)
 
 
 def negate(scored: Column, span: int = 4) -> Column:
@@ -75,26 +84,70 @@ def word_scores(words: DataFrame, lexicon: DataFrame) -> DataFrame:
     return both.select("word", "pos", F.coalesce("own", "stemmed").alias("score")).where(F.abs("score") > 0.1)
 
 
+def _means(hits: DataFrame, key: str) -> DataFrame:
+    """(key, sentence, pos, neg) of (key, sentence, score) rows: mean of the positive scores, and of the negative ones' size."""
+    mean = lambda c: F.coalesce(F.avg(F.when(c > 0, c)), F.lit(0.0))
+    return hits.groupBy(key, "sentence").agg(mean(F.col("score")).alias("pos"), mean(-F.col("score")).alias("neg"))
+
+
 def sentence_scores(words: DataFrame, lexicon: DataFrame, key: str) -> DataFrame:
-    """(key, sentence, pos, neg) of sentences that have a score: mean of the positive scores, and of the negative ones' size.
+    """(key, sentence, pos, neg) of sentences that have a score, from tagged words.
 
     Distinct words are scored once and written; where those with a score are
     few, as a count shows, they are broadcast and no word of a text is shuffled.
     """
     scored = bounded(written(word_scores(words, lexicon), "scores")[0])
     score = F.when(F.col("flip"), -F.col("score")).otherwise(F.col("score"))
-    hits = words.join(scored, ["word", "pos"]).select(key, "sentence", score.alias("score"))
-    mean = lambda c: F.coalesce(F.avg(F.when(c > 0, c)), F.lit(0.0))
-    return hits.groupBy(key, "sentence").agg(mean(F.col("score")).alias("pos"), mean(-F.col("score")).alias("neg"))
+    return _means(words.join(scored, ["word", "pos"]).select(key, "sentence", score.alias("score")), key)
 
 
-def detect(docs: DataFrame, key: str, tagged_sentences: Column, lexicon: DataFrame, negation: str | None = None) -> DataFrame:
+def vocabulary(docs: DataFrame, text: str, tags: DataFrame, default: str = "NN") -> DataFrame:
+    """(word, n, tag, pos) of the distinct lower-case words, their tags from a table (word, tag) of any size."""
+    each = docs.select(F.explode(split_words(F.lower(text))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    one = bounded(tags.where("word IS NOT NULL").groupBy("word").agg(F.min("tag").alias("tag")))
+    tagged = each.join(one, "word", "left").withColumn("tag", F.coalesce("tag", F.lit(default)))
+    return tagged.withColumn("pos", standard_pos(F.col("tag")))
+
+
+def text_scores(docs: DataFrame, key: str, text: str, tags: DataFrame, lexicon: DataFrame, negation: str | None = None) -> DataFrame:
+    """(key, sentence, pos, neg) of sentences that have a score, where a word's tag does not depend on its neighbours.
+
+    So a distinct word is tagged and scored once, and of the texts' words only
+    those go on that have a score, or end or begin a negation.  Rows that share
+    a key are one text.
+    """
+    known = written(vocabulary(docs, text, tags), "vocabulary")[0]
+    marks = F.col("tag").isin("NEG", "CC") if negation == "window4" else F.lit(False)
+    facts = known.join(word_scores(known, lexicon), ["word", "pos"], "left").where(F.col("score").isNotNull() | marks)
+    facts = bounded(written(facts.select("word", F.when(marks, F.col("tag")).alias("mark"), "score"), "scores")[0])
+    each = docs.select(key, F.posexplode(sentences(F.lower(text))).alias("sentence", "s"))
+    rows = each.select(key, "sentence", F.posexplode(split_words(F.col("s"))).alias("i", "word")).join(facts, "word")
+    if negation != "window4":
+        return _means(rows, key)
+    found = rows.groupBy(key, "sentence").agg(F.sort_array(F.collect_list(F.struct("i", F.col("mark").alias("t"), "score"))).alias("ws"))
+    spans = turned(F.filter("ws", lambda x: x["t"].isNotNull()))
+    hits = found.withColumn("spans", spans).select(key, "sentence", "spans", F.explode(F.filter("ws", lambda x: x["score"].isNotNull())).alias("x"))
+    flip = F.col("x.t").isNull() & F.exists("spans", lambda s: (s["lo"] <= F.col("x.i")) & (F.col("x.i") <= s["hi"]))
+    return _means(hits.select(key, "sentence", F.when(flip, -F.col("x.score")).otherwise(F.col("x.score")).alias("score")), key)
+
+
+def judge(docs: DataFrame, key: str, scores: DataFrame) -> DataFrame:
     """(key, pos, neg, sentiment) of every row: sentence averages added up."""
-    total = sentence_scores(sentence_words(docs, key, tagged_sentences, negation), lexicon, key).groupBy(key).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    total = scores.groupBy(key).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     out = docs.select(key).join(total, key, "left").na.fill(0.0, ["pos", "neg"])
     return out.select(key, "pos", "neg", label(F.round("pos", 9), F.round("neg", 9)).alias("sentiment"))
 
 
+def detect(docs: DataFrame, key: str, tagged_sentences: Column, lexicon: DataFrame, negation: str | None = None) -> DataFrame:
+    """(key, pos, neg, sentiment) of every row by its tagged sentences."""
+    return judge(docs, key, sentence_scores(sentence_words(docs, key, tagged_sentences, negation), lexicon, key))
+
+
+def detect_text(docs: DataFrame, key: str, text: str, tags: DataFrame, lexicon: DataFrame, negation: str | None = None) -> DataFrame:
+    """(key, pos, neg, sentiment) of every row, words tagged by a table."""
+    return judge(docs, key, text_scores(docs, key, text, tags, lexicon, negation))
+
+
 def average(scored: Column) -> Column:
     """(pos, neg): mean of the positive scores, and of the negative ones' size; 0 without any."""
     mean = lambda xs: F.when(F.size(xs) > 0, F.aggregate(xs, F.lit(0.0), lambda a, v: a + v) / F.size(xs)).otherwise(F.lit(0.0))

@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkloom.functions import text as T
-from sparkloom.operators import classify, sentiment
+from sparkloom.operators import classify, dictionary, sentiment
 from sparkloom.operators import features as O
 from sparkloom.plans.cleaning import sql_stem
 from sparkloom.plans.common import Registry, sql_terms, sql_words, table
 from sparkloom.session import EngineConfig
 from sparkloom.sources.tables import lexicon_file
-from sparkloom.sources.workspace import folder
+from sparkloom.sources.workspace import folder, written
 
 QUERIES = Registry()
 ORACLES = QUERIES.sql
@@ -195,19 +195,15 @@ z AS (SELECT doc_id, i, j, g.w, g.pos, CASE WHEN abs(s) <= 0.1 THEN 0.0 ELSE s E
 e AS (SELECT doc_id, i, coalesce(avg(score) FILTER (score > 0), 0) AS pos, coalesce(avg(-score) FILTER (score < 0), 0) AS neg FROM z WHERE score <> 0 GROUP BY 1, 2)"""
 
 
-def _tagged(spark, sf_dir) -> DataFrame:
-    each = F.transform(T.sentences(F.col("text")), lambda s: T.tag_words(T.words(F.lower(s))))
-    return table(spark, sf_dir, "documents").select("doc_id", each.alias("tagged"))
-
-
-def _words(spark, sf_dir, negation: str | None = None) -> DataFrame:
-    return sentiment.sentence_words(_tagged(spark, sf_dir), "doc_id", F.col("tagged"), negation)
+def _text(spark, sf_dir, negation: str | None = None) -> tuple:
+    """What the sentiment functions take after the documents."""
+    return "text", dictionary.tag_table(spark), _lexicon(spark), *[negation] * bool(negation)
 
 
 @QUERIES.add(_SCORES + " SELECT pos, round(score, 6) AS score, count(*) AS n FROM z GROUP BY 1, 2")
 def word_scores(spark, sf_dir):
     """All words, scored by themselves, by their stem, or 0."""
-    words = _words(spark, sf_dir).groupBy("word", "pos").agg(F.count("*").alias("n"))
+    words = written(sentiment.vocabulary(table(spark, sf_dir, "documents"), "text", dictionary.tag_table(spark)), "vocabulary")[0]
     scored = words.join(sentiment.word_scores(words, _lexicon(spark)), ["word", "pos"], "left")
     return scored.groupBy("pos", F.round(F.coalesce("score", F.lit(0.0)), 6).alias("score")).agg(F.sum("n").alias("n"))
 
@@ -218,7 +214,7 @@ def _rounded(rows: DataFrame) -> DataFrame:
 
 @QUERIES.add(_SCORES + ", t AS (SELECT doc_id, sum(pos) AS pos, sum(neg) AS neg FROM e GROUP BY 1), d2 AS (SELECT doc_id, coalesce(pos, 0) AS pos, coalesce(neg, 0) AS neg FROM documents LEFT JOIN t USING (doc_id)) SELECT doc_id, round(pos, 6) AS pos, round(neg, 6) AS neg, CASE WHEN round(pos, 9) > round(neg, 9) THEN 'positif' WHEN round(pos, 9) < round(neg, 9) THEN 'negatif' ELSE 'netral' END AS sentiment FROM d2")
 def doc_sentiment(spark, sf_dir):
-    return _rounded(sentiment.detect(_tagged(spark, sf_dir), "doc_id", F.col("tagged"), _lexicon(spark)))
+    return _rounded(sentiment.detect_text(table(spark, sf_dir, "documents"), "doc_id", *_text(spark, sf_dir)))
 
 
 def _sql_negated() -> str:
@@ -239,10 +235,10 @@ _DOCUMENT = ", t AS (SELECT doc_id, sum(pos) AS pos, sum(neg) AS neg FROM e GROU
 @QUERIES.add(_sql_negated() + _DOCUMENT)
 def negation_window(spark, sf_dir):
     """Sentiment with signs turned after a negation."""
-    return _rounded(sentiment.detect(_tagged(spark, sf_dir), "doc_id", F.col("tagged"), _lexicon(spark), "window4"))
+    return _rounded(sentiment.detect_text(table(spark, sf_dir, "documents"), "doc_id", *_text(spark, sf_dir, "window4")))
 
 
 @QUERIES.add(_SCORES + " SELECT doc_id, CAST(i - 1 AS INTEGER) AS sentence, round(pos, 6) AS pos, round(neg, 6) AS neg FROM e")
 def sentence_scores(spark, sf_dir):
     """Averages of every sentence that has a scored word."""
-    return _rounded(sentiment.sentence_scores(_words(spark, sf_dir), _lexicon(spark), "doc_id"))
+    return _rounded(sentiment.text_scores(table(spark, sf_dir, "documents"), "doc_id", *_text(spark, sf_dir)))

@@ -76,10 +76,11 @@ def sentiment_cells(rows: DataFrame, lexicon: DataFrame, negation: str | None =
     """(row_key, sentiment) of rows that have a text and none yet, by a lexicon of (term, pos, score); tags are the model's, else the dictionary's."""
     todo = tables.unprocessed(rows, "row_key", "text", "sentiment")
     if model is None:
-        each = F.transform(text.sentences(F.col("text")), lambda s: text.tag_words(text.words(F.lower(s))))
+        done = sentiment.detect_text(todo, "row_key", "text", dictionary.tag_table(rows.sparkSession), lexicon, negation)
     else:
-        todo, each = todo.join(tagger.tag_texts(todo, "row_key", "text", model), "row_key", "left"), F.col("tagged")
-    return sentiment.detect(todo, "row_key", each, lexicon, negation).select("row_key", "sentiment")
+        tagged = todo.join(tagger.tag_texts(todo, "row_key", "text", model), "row_key", "left")
+        done = sentiment.detect(tagged, "row_key", F.col("tagged"), lexicon, negation)
+    return done.select("row_key", "sentiment")
 
 
 def sentiment_analyzer(rows: DataFrame, lexicon: DataFrame, negation: str | None = None, model: tagger.Tagger | None = None) -> DataFrame:

@@ -107,6 +107,21 @@ def test_word_lists_of_a_million(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/out").first().cleaned == "stopx,anton berta,saya,ajar,besar,makan,makan,bes"
 
 
+@pytest.mark.parametrize("negation", [None, "window4"])
+def test_sentiment_of_texts_equals_that_of_tagged_sentences(spark, negation):
+    """Words scored once give what all tagged words give."""
+    r = random.Random(15)
+    vocabulary = [*text.TAGS, "on", "er", "kata", "bukunya", "Good", "con"]
+    docs = [(i, " ".join(r.choice(vocabulary) + r.choice(["", "", "", ". ", "!"]) for _ in range(r.randrange(0, 40)))) for i in range(40)] + [(90, None), (91, ""), (92, "not " * 30 + "good")]
+    df = spark.createDataFrame(docs, "k int, text string").withColumns({"word": F.lit("x"), "tag": F.lit("y"), "sentence": F.lit(1)})
+    lexicon = sentiment.prior(spark.createDataFrame(sentiment.LEXICON, "pos string, id string, pos_score double, neg_score double, terms string"))
+    tagged = F.transform(text.sentences(F.col("text")), lambda s: text.tag_words(text.words(F.lower(s))))
+    rounded = lambda rows: sorted((x.k, round(x.pos, 9), round(x.neg, 9), x.sentiment) for x in rows.collect())
+    want = rounded(sentiment.detect(df, "k", tagged, lexicon, negation))
+    assert rounded(sentiment.detect_text(df, "k", "text", dictionary.tag_table(spark), lexicon, negation)) == want
+    assert len({x[3] for x in want}) == 3
+
+
 def test_formal_words_against_all_pairs(spark, tmp_path):
     r = random.Random(12)
     word = lambda: "".join(r.choice("abcé") for _ in range(r.randrange(0, 8)))
