@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sparkloom.functions import text as T
-from sparkloom.operators import counts, replies
+from sparkloom.operators import counts, graph, replies
 from sparkloom.plans import jobs
 from sparkloom.plans.cleaning import sql_bucket
 from sparkloom.plans.common import Registry, sql_terms, table
@@ -19,7 +19,7 @@ from sparkloom.session import EngineConfig
 from sparkloom.sources import sinks, tables
 from sparkloom.sources.keyed import KeyedTable
 from sparkloom.sources.workspace import folder
-from sparkloom.streaming import ingest
+from sparkloom.streaming import ingest, stateful
 
 QUERIES = Registry()
 ORACLES = QUERIES.sql
@@ -162,3 +162,32 @@ def role_columns(spark, sf_dir):
     """Physical columns of a source type under a job's logical names."""
     pages = table(spark, sf_dir, "pages").withColumn("size:n", F.length("html").cast("bigint"))
     return Role("website", {"row_key": "page_id", "address": "url", "size": "size:n"}).rename(pages)
+
+
+@QUERIES.add(f"WITH n AS ({_POSTS}) SELECT title, node, count(*) AS size FROM (SELECT title, unnest([u, r]) AS node FROM n) WHERE node IS NOT NULL GROUP BY 1, 2")
+def stream_node_sizes(spark, sf_dir):
+    """Node sizes that a stream of posts keeps itself, stopped and started again on its checkpoint."""
+    path = folder(spark, "nodes")
+    posts = network(spark, sf_dir)
+    table_of = KeyedTable.create(spark, f"{path}/table", "id struct<title:string,node:string>, size bigint", "id", 8)
+    late = F.pmod(F.col("event_id"), F.lit(3)) == 0
+    for part in (posts.where(~late).repartition(2, "event_id"), posts.where(late).coalesce(1)):
+        part.write.mode("append").parquet(f"{path}/in")
+        sizes = graph.nodes(ingest.source(spark, f"{path}/in", posts.schema), "title", "u", "r").select(F.struct("title", "node").alias("id"), "size")
+        stateful.keep_aggregate(sizes, table_of, f"{path}/checkpoint").awaitTermination()
+    table_of.vacuum()
+    return table_of.read().select("id.title", "id.node", "size")
+
+
+@QUERIES.add(f"WITH t AS (SELECT CAST(user_id AS VARCHAR) AS key, max(epoch_us(ts) // 1000) AS last_ms FROM events GROUP BY user_id) SELECT key, last_ms, last_ms + {CONFIG.host_interval_ms} AS due_ms FROM t WHERE last_ms + {CONFIG.host_interval_ms} <= (SELECT max(last_ms) FROM t)")
+def stream_due_users(spark, sf_dir):
+    """Users that a stream of events finds due for a visit: those who rest since their last event when it ends."""
+    path = folder(spark, "due")
+    events = table(spark, sf_dir, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    low, high = events.agg(F.min(F.unix_millis("ts")), F.max(F.unix_millis("ts"))).first()
+    third = F.floor((F.unix_millis("ts") - low) * 3 / (high - low + 1))
+    for k in range(3):  # in the order of their time, as a feed brings them
+        events.where(third == k).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    stateful.start_due(ingest.source(spark, f"{path}/in", events.schema), "user_id", "ts", CONFIG.host_interval_ms, f"{path}/out", f"{path}/checkpoint").awaitTermination()
+    last = events.groupBy(F.col("user_id").cast("string").alias("key")).agg(F.max(F.unix_millis("ts")).alias("last_ms"))
+    return spark.read.schema(stateful.DUE).parquet(f"{path}/out").join(last, ["key", "last_ms"], "left_semi")
