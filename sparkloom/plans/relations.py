@@ -113,14 +113,14 @@ def html_visible_text(spark, sf_dir):
 
 
 _THREADS = """WITH c AS (SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS i FROM conversations
-  WHERE role <> '' AND trim(regexp_replace(text, '[^!-~]+', ' ', 'g')) <> '')
+  WHERE role <> '' AND trim(regexp_replace(text, '\\s+', ' ', 'g')) <> '')
 SELECT sha256(conv_id || '|' || CAST(i % 2 AS VARCHAR) || '/' || CAST(i // 2 AS VARCHAR)) AS row_key, CAST(conv_id AS VARCHAR) AS page, role AS "user",
-  trim(regexp_replace(text, '[^!-~]+', ' ', 'g')) AS text, CAST(1 AS INTEGER) AS depth, '' AS reply_to FROM c"""
+  trim(regexp_replace(text, '\\s+', ' ', 'g')) AS text, CAST(1 AS INTEGER) AS depth, '' AS reply_to FROM c"""
 
 
 def threads(spark, sf_dir) -> DataFrame:
     """A page for every conversation: its turns, dealt out over two comment sectors, as comments."""
-    plain = F.trim(F.regexp_replace("text", "[^!-~]+", " "))
+    plain = F.trim(F.regexp_replace("text", r"\s+", " "))
     turns = table(spark, sf_dir, "conversations").where("role <> ''").withColumn("text", plain).where("text <> ''")
     place = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")) - 1
     escaped = F.replace(F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
