@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sparkloom.functions import spelling
 from sparkloom.functions import stemming as S
 from sparkloom.functions import text as T
-from sparkloom.operators import dictionary, features, tagger
+from sparkloom.operators import boundaries, dictionary, features, tagger
 from sparkloom.plans.common import Registry, sql_case, sql_list, sql_terms, sql_words, table
 from sparkloom.sources.workspace import written
 
@@ -142,6 +142,33 @@ def slang_words(spark, sf_dir):
     return spelling.formal_words(docs.select(F.explode(T.simple_terms(F.col("text"))).alias("word")), written(frequent, "formal")[0])
 
 
+_SPLIT = rf"""WITH d AS (SELECT doc_id, {sql_words()} AS ws FROM documents),
+t AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS place FROM d),
+v AS (SELECT word, regexp_replace(lower(word), '[.]$', '') AS kind, count(*) AS n FROM t GROUP BY word),
+q AS (SELECT sum(n) FILTER (word LIKE '%.') / sum(n) AS p FROM v),
+k AS (SELECT kind, coalesce(sum(n) FILTER (word LIKE '%.'), 0) AS dot, sum(n) AS n, length(kind) - length(replace(kind, '.', '')) AS inside FROM v GROUP BY kind),
+a AS (SELECT kind FROM (SELECT *, n - dot AS rest, length(kind) - inside AS size FROM k, q WHERE dot > 0 AND regexp_matches(kind, '^[\p{{L}}.]*\p{{L}}[\p{{L}}.]*$'))
+  WHERE 2 * (dot * ln({boundaries.WITH_STOP} / p) + CASE WHEN p < 1 THEN rest * ln((1.0 - {boundaries.WITH_STOP}) / (1.0 - p)) ELSE 0 END) * exp(greatest(-size - rest * ln(size), -700)) * (inside + 1) >= {boundaries.LEAST_SCORE}),
+m AS (SELECT DISTINCT kind FROM v WHERE regexp_matches(word, '^\p{{Ll}}'))"""
+
+
+@QUERIES.add(_SPLIT + " SELECT kind FROM a")
+def abbreviations(spark, sf_dir):
+    """Abbreviations of the corpus."""
+    words = table(spark, sf_dir, "documents").select(F.explode(T.words(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    return boundaries.abbreviations(written(words, "words")[0]).select("kind")
+
+
+@QUERIES.add(_SPLIT + rf""", f AS (SELECT doc_id, place, word, lead(word) OVER w AS nx, v.kind IN (SELECT kind FROM a) AS short FROM t JOIN v USING (word) WINDOW w AS (PARTITION BY doc_id ORDER BY place)),
+e AS (SELECT *, nx IS NULL OR regexp_matches(word, '[!?]$') OR (word LIKE '%.' AND CASE WHEN regexp_matches(word, '^[0-9]+[.]$') THEN NOT regexp_matches(nx, '^[\p{{Ll}}0-9]')
+  WHEN short THEN regexp_matches(nx, '^\p{{Lu}}') AND regexp_replace(lower(nx), '[.]$', '') IN (SELECT kind FROM m) ELSE true END) AS ends FROM f),
+g AS (SELECT doc_id, place, word, coalesce(sum(CAST(ends AS INT)) OVER (PARTITION BY doc_id ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS part FROM e)
+SELECT doc_id, CAST(part AS INTEGER) AS sentence, string_agg(word, ' ' ORDER BY place) AS text FROM g GROUP BY doc_id, part""")
+def trained_sentences(spark, sf_dir):
+    """Sentences by the abbreviations of the corpus."""
+    return boundaries.split(table(spark, sf_dir, "documents"), ["doc_id"], "text")
+
+
 @QUERIES.add()
 def hmm_tags(spark, sf_dir):
     """Tags of every sentence by a model that learns from the good documents, tagged by dictionary; tests hold the decoding against all taggings."""

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkloom.functions import language, spelling, stemming, text
-from sparkloom.operators import classify, counts, dictionary, filters, graph, html_comments, replies, sentiment, tagger
+from sparkloom.operators import boundaries, classify, counts, dictionary, filters, graph, html_comments, replies, sentiment, tagger
 from sparkloom.operators import features as features_ops
 from sparkloom.plans import catalog, jobs
 from sparkloom.schema import Role, table_name
@@ -123,6 +123,24 @@ def test_sentiment_of_texts_equals_that_of_tagged_sentences(spark, negation):
     assert len({x[3] for x in want}) == 3
 
 
+def test_sentence_boundaries(spark):
+    """Abbreviations, ordinals and decimals are no ends; nulls, repeated rows and texts without words."""
+    r = random.Random(1)
+    plain = [" ".join(r.choice(["the", "old", "house", "stands", "here", "Smith", "on", "hill"]) for _ in range(7)) + "." for _ in range(150)]
+    talk = [f"Yesterday Dr. Smith paid approx. {i}.5 coins on the 3. of May. The house stands. We left!" for i in range(40)]
+    docs = [(0, " ".join(plain)), *[(i + 1, t) for i, t in enumerate(talk)], (1, talk[0]), (90, None), (91, " "), (92, "no stop at all"), (93, "He met Dr.")]
+    got = {}
+    for x in boundaries.split(spark.createDataFrame(docs, "k int, t string").withColumn("word", F.lit(1)).repartition(3), ["k"], "t").collect():
+        got.setdefault(x.k, []).append((x.sentence, x.text))
+    assert [t for _, t in sorted(got[0])] == plain
+    for i, t in enumerate(talk[1:], 2):
+        first, rest = t.split(" The house")
+        assert [x for _, x in sorted(got[i])] == [first, "The house stands.", "We left!"]
+    assert len(got[1]) == 6 and 90 not in got and 91 not in got and got[92] == [(0, "no stop at all")] and got[93] == [(0, "He met Dr.")]
+    words = spark.createDataFrame([("x.", 0)], "word string, n int").limit(0)
+    assert boundaries.abbreviations(words).count() == 0
+
+
 def test_formal_words_against_all_pairs(spark, tmp_path):
     r = random.Random(12)
     word = lambda: "".join(r.choice("abcé") for _ in range(r.randrange(0, 8)))
