@@ -16,7 +16,7 @@ from sparkloom.plans.relations import _POSTS, _TREE, network
 from sparkloom.plans.rows import _DETECT, known_languages
 from sparkloom.schema import Role
 from sparkloom.session import EngineConfig
-from sparkloom.sources import sinks, tables
+from sparkloom.sources import feed, sinks, tables
 from sparkloom.sources.keyed import KeyedTable
 from sparkloom.sources.workspace import folder
 from sparkloom.streaming import ingest, stateful
@@ -191,3 +191,30 @@ def stream_due_users(spark, sf_dir):
     stateful.start_due(ingest.source(spark, f"{path}/in", events.schema), "user_id", "ts", CONFIG.host_interval_ms, f"{path}/out", f"{path}/checkpoint").awaitTermination()
     last = events.groupBy(F.col("user_id").cast("string").alias("key")).agg(F.max(F.unix_millis("ts")).alias("last_ms"))
     return spark.read.schema(stateful.DUE).parquet(f"{path}/out").join(last, ["key", "last_ms"], "left_semi")
+
+
+@QUERIES.add("SELECT event_id, user_id, event_type, value FROM events")
+def feed_ingest(spark, sf_dir):
+    """events as a paged feed that is followed in two runs, into a keyed table."""
+    path = folder(spark, "feed")
+    feed.register(spark)
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    target = KeyedTable.create(spark, f"{path}/table", events.schema, "event_id", 8)
+    late = F.pmod(F.xxhash64("event_id"), F.lit(4)) == 0
+    for k, part in enumerate((events.where(~late), events.where(late))):
+        sinks.named_files(part, f"{path}/in", f"run{k}")
+        rows = spark.readStream.format(feed.NAME).schema(events.schema).option("path", f"{path}/in").option("page", "500").load()
+        stateful.keep_rows(rows, target, f"{path}/checkpoint").awaitTermination()
+    target.vacuum()
+    return target.read()
+
+
+@QUERIES.add("SELECT CAST(least(count(*), (5000 + 499) // 500 * 500) AS BIGINT) AS n FROM events")
+def feed_search(spark, sf_dir):
+    """Rows of a paged search: whole pages of 500 until 5000 are there."""
+    path = folder(spark, "search")
+    feed.register(spark)
+    events = table(spark, sf_dir, "events").select("event_id", "user_id")
+    sinks.named_files(events.coalesce(1), path, "all")
+    found = spark.read.format(feed.NAME).schema(events.schema).option("path", path).option("page", "500").option("limit", "5000").load()
+    return found.agg(F.count("*").alias("n"))

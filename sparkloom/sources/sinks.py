@@ -110,6 +110,20 @@ def single_file(df: DataFrame, path: str, sep: str = "\t") -> None:
     fs.delete(root, True)
 
 
+def named_files(df: DataFrame, path: str, run: str) -> None:
+    """Parquet files in ``path`` whose names begin with ``run`` and the number of their part; the folder may have others."""
+    spark = df.sparkSession
+    aside = f"{path}.{run}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(aside)
+    path_of, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    fs = path_of(path).getFileSystem(conf)
+    fs.mkdirs(path_of(path))
+    parts = sorted(s.getPath().getName() for s in fs.listStatus(path_of(aside)) if s.getPath().getName().startswith("part-"))
+    for i, name in enumerate(parts):
+        fs.rename(path_of(f"{aside}/{name}"), path_of(f"{path}/{run}-{i:05d}.parquet"))
+    remove(spark, aside)
+
+
 def files_by(df: DataFrame, title: str, path: str) -> None:
     """A folder of tab-separated files with header for every title."""
     df.write.mode("overwrite").partitionBy(title).option("sep", "\t").option("header", True).csv(path)

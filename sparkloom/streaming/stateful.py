@@ -40,6 +40,16 @@ def keep_aggregate(aggregated: DataFrame, table: KeyedTable, checkpoint: str, in
     return writer.start()
 
 
+def keep_rows(rows: DataFrame, table: KeyedTable, checkpoint: str, interval: str | None = None) -> StreamingQuery:
+    """Upsert every batch of a stream of rows into ``table``, under the batch's number, once."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        table.upsert(batch, number + 1, f"batch-{number}")
+
+    writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+    return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
+
+
 class _Due(StatefulProcessor):
     """The last visit of a key; a timer at its end of rest, moved by each later visit."""
 

@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from sparkloom.functions import language, spelling, stemming, text
@@ -15,7 +16,7 @@ from sparkloom.operators import boundaries, classify, counts, dictionary, filter
 from sparkloom.operators import features as features_ops
 from sparkloom.plans import catalog, jobs
 from sparkloom.schema import Role, table_name
-from sparkloom.sources import keyed, sinks, tables
+from sparkloom.sources import feed, keyed, sinks, tables
 from sparkloom.streaming import ingest, stateful
 
 
@@ -793,6 +794,40 @@ def test_stream_of_due_keys(spark, tmp_path):
     assert set(got[3]) >= {("a", 8), ("b", 5), ("d", 30), ("c", 31), ("b", 32)} and ("e", 60) not in got[3]
 
 
+def test_paged_feed(spark, tmp_path):
+    """A followed feed loses and repeats nothing, over new files, a failed batch and restarts; a search ends by whole pages."""
+    feed.register(spark)
+    schema, path = "k bigint, s string", f"file://{tmp_path}/in"
+    rows = lambda lo, hi: spark.range(lo, hi).select(F.col("id").alias("k"), F.concat(F.lit("é"), "id").alias("s"), F.lit(1).alias("unused"))
+    seen, fail = [], [False]
+
+    def take(batch, number):
+        seen.append((number, sorted(r.k for r in batch.collect())))
+        if fail[0]:
+            raise RuntimeError("after the batch was read")
+
+    def run():
+        stream = spark.readStream.format(feed.NAME).schema(schema).option("path", path).option("page", "7").load()
+        stream.writeStream.option("checkpointLocation", f"{tmp_path}/cp").foreachBatch(take).trigger(availableNow=True).start().awaitTermination()
+
+    sinks.named_files(rows(0, 130).repartition(2), path, "a")
+    run()
+    sinks.named_files(rows(130, 150).coalesce(1), path, "b")
+    fail[0] = True
+    with pytest.raises(StreamingQueryException):
+        run()
+    sinks.named_files(rows(150, 151).coalesce(1), path, "c")
+    fail[0] = False
+    run()
+    run()
+    batches = dict(seen)
+    assert sorted(k for b in batches.values() for k in b) == list(range(151))
+    assert len(seen) == len(batches) + 1 and seen[1] == seen[2]  # the failed batch came again as it was
+    search = lambda **o: spark.read.format(feed.NAME).schema(schema).options(path=path, page="7", **o).load()
+    assert sorted(r.s for r in search().collect()) == sorted(f"é{i}" for i in range(151))
+    assert search(limit="20").count() == 21 and search(limit="1").count() == 7 and search(limit="0").count() == 0
+
+
 def test_schema_helpers(spark):
     assert table_name("u", "t-1", "crawl") == "u_t_1_crawl"
     df = spark.createDataFrame([(1, "x")], "`p:cr` int, b string")
