@@ -16,6 +16,7 @@ from sparkloom.operators import boundaries, classify, counts, dictionary, filter
 from sparkloom.operators import features as features_ops
 from sparkloom.plans import catalog, jobs
 from sparkloom.schema import Role, table_name
+from sparkloom.session import EngineConfig
 from sparkloom.sources import feed, keyed, sinks, tables
 from sparkloom.streaming import ingest, stateful
 
@@ -835,3 +836,59 @@ def test_schema_helpers(spark):
     sinks.create_table(spark, "role_table", "a int")
     assert sinks.table_has(spark, "role_table", ["a"]) and not sinks.table_has(spark, "role_table", ["b"])
     spark.sql("DROP TABLE role_table")
+
+
+def counted(spark, df, column):
+    """``df`` and an accumulator of how many values of ``column`` were computed."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def one(x):
+        seen.add(1)
+        return x
+
+    return df.withColumn(column, F.udf(one, df.schema[column].dataType)(column)), seen
+
+
+def test_idf_reads_its_rows_once(spark):
+    rows, seen = counted(spark, spark.createDataFrame([(["a", "b", "a"],), (["a", ""],), ([""],), ([],), (None,)], "t array<string>"), "t")
+    idf = features_ops.inverse_frequency(rows, F.col("t"), 1)
+    got = {r.term: (r.df, r.idf) for r in idf.collect()}
+    assert got == {"a": (2, math.log(3 / 3)), "b": (1, math.log(3 / 2))}
+    idf.collect()
+    assert seen.value == 5
+
+
+def test_few_idfs_go_to_the_frequencies(spark):
+    rows = spark.createDataFrame([(1, "a", 2), (1, "b", 1), (2, "a", 1)], "k int, term string, tf int")
+    idf = spark.createDataFrame([("a", 2, 0.5)], "term string, df long, idf double")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        values = features_ops.tfidf(rows, idf, "k")
+        assert sorted(values.collect()) == [(1, "a", 1.0), (2, "a", 0.5)]
+        assert "SortMergeJoin" not in values._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_term_cloud_reads_its_rows_once(spark, tmp_path):
+    crawl, seen = counted(spark, spark.createDataFrame([("1", "a,b,a", "x", None), ("2", "b,c", "y", None)], "row_key string, cleaned string, classification string, termcloud_status string"), "classification")
+    training = spark.createDataFrame([("x", "u", "a,b"), ("y", "v", "b,c")], "label string, url string, terms string")
+    jobs.term_cloud_builder(crawl, training, "classification", str(tmp_path), EngineConfig(min_doc_freq=1))
+    assert seen.value <= 4  # the filter and the rows
+
+
+def test_only_words_with_a_weight_are_counted(spark):
+    rows = spark.createDataFrame([(1, ["a", "b"]), (2, ["c"]), (3, None)], "k int, t array<string>")
+    weights = spark.createDataFrame([("x", "a", 2.0), ("y", "a", 0.5)], "label string, term string, weight double")
+    idf = spark.createDataFrame([("a", 1, 1.0), ("b", 1, 1.0)], "term string, df long, idf double")
+    kept = classify.known_terms(features_ops.term_rows(rows, "k", F.col("t")), weights)
+    assert kept.select("k", "term").collect() == [(1, "a")]
+    assert sorted(classify.by_weights(rows, "k", F.col("t"), weights, idf, ["x", "y"]).collect()) == [(1, "x"), (2, "none"), (3, "none")]
+
+
+def test_simple_terms_of_odd_texts(spark):
+    texts = ["Don't  STOP it", "İx K9", "", " \t ", "--", "a\x0bb\x1cc", None, "...end"]
+    rows = spark.createDataFrame([(x,) for x in texts], "t string")
+    before = F.filter(F.split(F.regexp_replace(F.lower("t"), r"[^a-z0-9\s]", ""), r"\s+"), lambda w: w != "")
+    got = rows.select(text.simple_terms(F.col("t")).alias("x"), before.alias("y")).collect()
+    assert [r.x for r in got] == [r.y for r in got] and got[0].x == ["dont", "stop", "it"]
