@@ -892,3 +892,15 @@ def test_simple_terms_of_odd_texts(spark):
     before = F.filter(F.split(F.regexp_replace(F.lower("t"), r"[^a-z0-9\s]", ""), r"\s+"), lambda w: w != "")
     got = rows.select(text.simple_terms(F.col("t")).alias("x"), before.alias("y")).collect()
     assert [r.x for r in got] == [r.y for r in got] and got[0].x == ["dont", "stop", "it"]
+
+
+def test_language_where_the_text_is(spark):
+    labelled = spark.createDataFrame([("en", "the cat and the dog"), ("de", "der hund und die katze")], "lang string, text string")
+    known = language.train(labelled)
+    rows = spark.createDataFrame([(1, "the dog"), (2, "und der"), (3, "12 ?"), (4, None)], "k int, text string")
+    found = language.detect(rows, ["k"], "text", known)
+    assert dict(found.collect()) == {1: "en", 2: "de", 3: None, 4: None}
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    # Rows of a key are one text, a part without letters changes nothing; one key twice, one null.
+    twice = spark.createDataFrame([(1, "the"), (1, None), (1, " dog"), (None, "und der"), (None, "7"), (5, "the")], "k int, text string")
+    assert dict(language.detect(twice, ["k"], "text", known).collect()) == {1: "en", None: "de", 5: "en"}
