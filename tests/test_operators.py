@@ -904,3 +904,13 @@ def test_language_where_the_text_is(spark):
     # Rows of a key are one text, a part without letters changes nothing; one key twice, one null.
     twice = spark.createDataFrame([(1, "the"), (1, None), (1, " dog"), (None, "und der"), (None, "7"), (5, "the")], "k int, text string")
     assert dict(language.detect(twice, ["k"], "text", known).collect()) == {1: "en", None: "de", 5: "en"}
+
+
+def test_tweets_take_several_files_at_once(spark, tmp_path):
+    known = language.train(spark.createDataFrame([("en", "the cat and the dog"), ("de", "der hund und die katze")], "lang string, text string"))
+    posts = spark.createDataFrame([(str(i), "the dog" if i % 2 else "der hund", i, "u", "n") for i in range(8)], "row_key string, text string, time_ms long, user_id string, user_name string")
+    posts.repartition(4).write.parquet(f"{tmp_path}/in")
+    jobs.tweets(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/checkpoint", known, "en", files_per_batch=4).awaitTermination()
+    rows = ingest.current(spark, f"{tmp_path}/out", posts.schema, "row_key")
+    assert sorted(r.row_key for r in rows.collect()) == ["1", "3", "5", "7"]
+    assert {r["_batch"] for r in rows.select("_batch").collect()} == {1}
