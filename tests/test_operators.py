@@ -906,6 +906,15 @@ def test_language_where_the_text_is(spark):
     assert dict(language.detect(twice, ["k"], "text", known).collect()) == {1: "en", None: "de", 5: "en"}
 
 
+@pytest.mark.parametrize("name", ["stream_node_sizes", "stream_due_users"])
+def test_stream_inputs_are_not_made_by_one_task(spark, monkeypatch, name):
+    def fail(self, n):
+        raise AssertionError(f"coalesce({n})")
+
+    monkeypatch.setattr(type(spark.range(1)), "coalesce", fail)
+    assert catalog.QUERIES[name](spark, "/root/testdata/sf0.001").columns
+
+
 def test_tweets_take_several_files_at_once(spark, tmp_path):
     known = language.train(spark.createDataFrame([("en", "the cat and the dog"), ("de", "der hund und die katze")], "lang string, text string"))
     posts = spark.createDataFrame([(str(i), "the dog" if i % 2 else "der hund", i, "u", "n") for i in range(8)], "row_key string, text string, time_ms long, user_id string, user_name string")
