@@ -9,10 +9,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.operators.dictionary import encode
+from sparkloom.operators.dictionary import Chunk, encode, groups
 from sparkloom.sources.workspace import bounded, written
 
 #: Share of an abbreviation's occurrences that have the stop, and the least score of one.
@@ -56,15 +59,20 @@ def split(docs: DataFrame, keys: list[str], text: str, least: float = LEAST_SCOR
     known = bounded(abbreviations(words, least).select("kind", F.lit(True).alias("short")))
     small = words.where(F.col("word").rlike(r"^\p{Ll}")).select(kind(F.col("word")).alias("kind"), F.lit(True).alias("small")).distinct()
     facts = words.withColumn("kind", kind(F.col("word"))).join(known, "kind", "left").join(bounded(small), "kind", "left")
-    facts, _ = written(facts.select("word", "n", F.coalesce("short", F.lit(False)).alias("short"), F.coalesce("small", F.lit(False)).alias("small")), "kinds")
-    order = Window.partitionBy("row").orderBy("place")
-    each = coded.meet(facts, ["short", "small"]).where("word IS NOT NULL")
-    each = each.withColumns({"next": F.lead("word").over(order), "next_small": F.lead("small").over(order)})
-    word, after = F.col("word"), F.col("next")
-    capital = after.rlike(r"^\p{Lu}")
-    stop = F.when(word.rlike("^[0-9]+[.]$"), ~after.rlike(r"^[\p{Ll}0-9]")).when(F.col("short"), capital & F.col("next_small")).otherwise(True)
-    ends = after.isNull() | word.rlike("[!?]$") | (word.endswith(".") & stop)
-    sentence = F.coalesce(F.sum(ends.cast("int")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("int")
-    named = [F.first(f"k{i}").alias(k) for i, k in enumerate(keys)]
-    whole = each.withColumn("part", sentence).groupBy("row", "part").agg(*named, F.sort_array(F.collect_list(F.struct("place", "word"))).alias("ws"))
-    return whole.select(*keys, F.col("part").alias("sentence"), F.array_join(F.transform("ws", lambda w: w["word"]), " ").alias("text"))
+    word, known_as = F.col("word"), lambda c: F.coalesce(c, F.lit(False))
+    marks = {"short": known_as("short"), "mark": word.rlike("[!?]$"), "dot": word.endswith("."), "number": word.rlike("^[0-9]+[.]$"), "low": word.rlike(r"^[\p{Ll}0-9]"), "opens": word.rlike(r"^\p{Lu}") & known_as("small")}
+    facts, _ = written(facts.select("word", "n", *[c.alias(k) for k, c in marks.items()]), "kinds")
+    return coded.rebuild(facts, list(marks), _sentences, "sentence int, text string")
+
+
+def _sentences(chunk: Chunk) -> tuple[np.ndarray, dict]:
+    """The sentences of a chunk's texts, by what is known of each word and the one after it."""
+    of = {k: np.asarray(chunk[k]) for k in ("short", "mark", "dot", "number", "low", "opens")}
+    after = {k: np.append(of[k], False)[1:] for k in ("low", "opens")}
+    last = np.zeros(len(chunk.words), bool)
+    last[np.cumsum(chunk.totals)[chunk.totals > 0] - 1] = True
+    stop = np.where(of["number"], ~after["low"], ~of["short"] | after["opens"])
+    ends = np.flatnonzero(last | of["mark"] | (of["dot"] & stop))
+    rows = np.repeat(np.arange(len(chunk.totals)), chunk.totals)[ends]
+    number = np.arange(len(rows)) - np.searchsorted(rows, rows)
+    return rows, {"sentence": pa.array(number, pa.int32()), "text": pc.binary_join(groups(np.diff(ends, prepend=-1), chunk.words), " ")}

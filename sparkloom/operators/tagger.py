@@ -2,8 +2,9 @@
 
 Transitions between tags and emissions of words are counted over tagged
 sentences.  A word that was not seen is emitted by its longest known suffix,
-learned from rare words.  Every distinct word gets its emissions once; a
-sentence is decoded as a whole by Viterbi's recursion.
+learned from rare words.  Every distinct word gets its emissions once; the
+sentences of a chunk of texts are decoded where they lie, by Viterbi's
+recursion over many of them at a time.
 """
 
 from __future__ import annotations
@@ -11,10 +12,12 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sparkloom.operators.dictionary import encode
+from sparkloom.operators.dictionary import Chunk, encode, groups, sums
 from sparkloom.sources.workspace import bounded, written
 
 #: Added to every count.
@@ -26,6 +29,9 @@ RARE, LONGEST_SUFFIX = 10, 3
 #: Tags of a model: transitions are part of a plan.
 MOST_TAGS = 100
 
+#: Numbers of a step of the decoding: sentences times tags times tags.
+STEP = 1 << 18
+
 
 @dataclass
 class Tagger:
@@ -62,14 +68,27 @@ def train(tagged: DataFrame, sentence: list[str], place: str = "place", word: st
     Rows without word or tag are left out; at most ``MOST_TAGS`` tags.
     """
     rows = tagged.where(F.col(word).isNotNull() & F.col(tag).isNotNull()).select(*sentence, F.col(place).alias("place"), F.col(word).alias("word"), F.col(tag).alias("tag"))
-    before = F.lag("tag").over(Window.partitionBy(*sentence).orderBy("place"))
-    moves = {(r.before, r.tag): r.n for r in rows.withColumn("before", before).groupBy("before", "tag").agg(F.count("*").alias("n")).limit((MOST_TAGS + 1) ** 2 + 1).collect()}
+    return _model(rows.withColumn("before", F.lag("tag").over(Window.partitionBy(*sentence).orderBy("place"))))
+
+
+def train_sentences(tagged: DataFrame, sentence: str = "tagged") -> Tagger:
+    """As ``train``, of a row a sentence, an array of (word, tag): only counts are shuffled."""
+    full = tagged.select(F.filter(sentence, lambda x: x["word"].isNotNull() & x["tag"].isNotNull()).alias("ws"))
+    before = F.concat(F.array(F.lit(None).cast("string")), F.transform("ws", lambda x: x["tag"]))
+    pairs = F.zip_with("ws", before, lambda x, b: F.struct(x["word"].alias("word"), x["tag"].alias("tag"), b.alias("before")))
+    return _model(full.select(F.inline(pairs)).where("word IS NOT NULL"))
+
+
+def _model(rows: DataFrame) -> Tagger:
+    """A model of (word, tag, before) rows, which are counted in one pass."""
+    seen, _ = written(rows.groupBy("word", "tag", "before").agg(F.count("*").alias("n")), "moves")
+    moves = {(r.before, r.tag): r.n for r in seen.groupBy("before", "tag").agg(F.sum("n").alias("n")).limit((MOST_TAGS + 1) ** 2 + 1).collect()}
     tags = sorted({t for _, t in moves})
     if len(tags) > MOST_TAGS:
         raise ValueError(f"more than {MOST_TAGS} tags")
     row = lambda b: [moves.get((b, t), 0) + SMOOTH for t in tags]
     logs = lambda xs: [math.log(x / sum(xs)) for x in xs]
-    counts, _ = written(rows.groupBy("word", "tag").agg(F.count("*").alias("n")), "tagged")
+    counts, _ = written(seen.groupBy("word", "tag").agg(F.sum("n").alias("n")), "tagged")
     total = {r.tag: r.n for r in counts.groupBy("tag").agg(F.sum("n").alias("n")).collect()}
     words, _ = written(_emissions(counts, "word", tags, total, counts.select("word").distinct().count()), "emissions")
     rare = counts.join(counts.groupBy("word").agg(F.sum("n").alias("all")).where(F.col("all") <= RARE), "word")
@@ -86,52 +105,62 @@ def suffixes(word: Column) -> list[Column]:
 
 def emit(words: DataFrame, model: Tagger) -> DataFrame:
     """``words`` (word, n) with ``e``: the word's own emissions, else those of its longest known suffix, else all tags alike."""
-    own = words.join(bounded(model.words), "word", "left")
-    ends = own.where("e IS NULL").select("word", F.posexplode(F.array(*suffixes(F.col("word")))).alias("rank", "suffix")).where("suffix IS NOT NULL")
-    known = ends.join(bounded(model.suffixes), "suffix").groupBy("word").agg(F.min_by("e", "rank").alias("by_suffix"))
-    flat = F.array(*[F.lit(0.0)] * len(model.tags))
-    return own.join(known, "word", "left").select("word", "n", F.coalesce("e", "by_suffix", flat).alias("e"))
-
+    out = words.join(bounded(model.words), "word", "left")
+    known = bounded(written(model.suffixes.select("suffix", F.col("e").alias("by_suffix")), "suffixes")[0])
+    for suffix in suffixes(F.col("word")):
+        near = out.withColumn("suffix", F.when(F.col("e").isNull(), suffix)).join(known, "suffix", "left")
+        out = near.select("word", "n", F.coalesce("e", "by_suffix").alias("e"))
+    flat = F.array(*[F.lit(0.0)] * len(model.tags)).cast("array<double>")
+    return out.select("word", "n", F.coalesce("e", flat).alias("e"))
 
-def decode(emissions: Column, model: Tagger) -> Column:
-    """The numbers of the likeliest tags for an array of emissions; of equal ones the smaller number, from the end."""
-    cell, none = "array<struct<s:double,f:int>>", F.lit(None).cast("int")
-    into = F.array(*[F.array(*[F.lit(float(row[j])) for row in model.moves]) for j in range(len(model.tags))])
-    start = F.array(*[F.lit(float(x)) for x in model.start])
 
-    def step(acc: Column, e: Column) -> Column:
-        first = F.zip_with(start, e, lambda s, x: F.struct((s + x).alias("s"), none.alias("f")))
-        best = lambda moves: F.array_max(F.transform(acc["cells"], lambda c, i: F.struct((c["s"] + F.get(moves, i)).alias("s"), (-i).alias("f"))))
-        later = F.zip_with(F.transform(into, best), e, lambda b, x: F.struct((b["s"] + x).alias("s"), (-b["f"]).alias("f")))
-        back = F.when(F.size(acc["cells"]) > 0, F.concat(acc["back"], F.array(F.transform(acc["cells"], lambda c: c["f"])))).otherwise(acc["back"])
-        return F.struct(F.when(F.size(acc["cells"]) > 0, later).otherwise(first).alias("cells"), back.alias("back"))
+def decode(emissions: np.ndarray, at: np.ndarray, sizes: np.ndarray, start: np.ndarray, moves: np.ndarray) -> np.ndarray:
+    """The numbers of the likeliest tags of all words; of equal ones the smaller number, from the end.
 
-    def walk(acc: Column) -> Column:
-        """From the best last tag back along where each came from; the first word's entry leads nowhere."""
-        last = -F.array_max(F.transform(acc["cells"], lambda c, i: F.struct(c["s"].alias("s"), (-i).alias("i"))))["i"]
-        froms = F.reverse(F.concat(acc["back"], F.array(F.transform(acc["cells"], lambda c: c["f"]))))
-        path = F.aggregate(froms, F.struct(last.alias("at"), F.array().cast("array<int>").alias("path")), lambda p, f: F.struct(F.get(f, p["at"]).alias("at"), F.concat(p["path"], F.array(p["at"])).alias("path")))
-        return F.when(F.size(acc["cells"]) > 0, F.reverse(path["path"])).otherwise(F.array().cast("array<int>"))
-
-    nothing = F.struct(F.array().cast(cell).alias("cells"), F.array().cast("array<array<int>>").alias("back"))
-    return F.aggregate(emissions, nothing, step, walk)
+    ``emissions`` has a row a distinct word and ``at`` names the one of each
+    word, ``sizes`` the words of each sentence.  Sentences of like length go
+    together, a step takes the next word of each.
+    """
+    k, begin, out = len(start), sums(sizes)[:-1], np.empty(len(at), np.int64)
+    order = np.argsort(-sizes, kind="stable")
+    order = order[sizes[order] > 0]
+    many = max(1, STEP // (k * k))
+    for block in (order[i : i + many] for i in range(0, len(order), many)):
+        first, size, back = begin[block], sizes[block], []
+        alive = [int(np.searchsorted(-size, -t, "left")) for t in range(int(size[0]))]
+        cells = start + emissions[at[first]]
+        for t in range(1, len(alive)):
+            ways = cells[: alive[t], :, None] + moves
+            back.append(ways.argmax(axis=1).astype(np.int8))
+            cells[: alive[t]] = np.take_along_axis(ways, back[-1][:, None, :].astype(np.intp), 1)[:, 0] + emissions[at[first[: alive[t]] + t]]
+        tag = cells.argmax(axis=1)
+        for t in range(len(alive) - 1, 0, -1):
+            n = alive[t]
+            out[first[:n] + t] = tag[:n]
+            tag[:n] = back[t - 1][np.arange(n), tag[:n]]
+        out[first] = tag
+    return out
 
 
 def tag(docs: DataFrame, keys: list[str], text: str, model: Tagger) -> DataFrame:
     """(keys, sentence, tagged): (word, tag) of the lower-case words of every sentence of every row; a text without words gives no row.
 
-    A sentence is decoded in one task; its cost grows with its words, but for
-    the copies of its list of steps.
+    A sentence is decoded in one task, in time and memory that grow with its words.
     """
     coded = encode(docs.select(*keys, F.lower(text).alias("text")), keys, "text")
     facts, _ = written(emit(coded.words(), model), "emitted")
-    each = coded.meet(facts, ["e"]).where("word IS NOT NULL")
-    named = [F.first(f"k{i}").alias(k) for i, k in enumerate(keys)]
-    whole = each.groupBy("row", "sentence").agg(*named, F.sort_array(F.collect_list(F.struct("place", "word", "e"))).alias("ws"))
-    numbers = decode(F.transform("ws", lambda w: w["e"]), model)
-    names = F.array(*[F.lit(t) for t in model.tags])
-    pairs = F.zip_with("ws", "numbers", lambda w, i: F.struct(w["word"].alias("word"), F.get(names, i).alias("tag")))
-    return whole.withColumn("numbers", numbers).select(*keys, "sentence", pairs.alias("tagged"))
+    start, moves, names = np.array(model.start), np.array(model.moves), pa.array(model.tags, pa.string())
+
+    def tagged(chunk: Chunk) -> tuple[np.ndarray, dict]:
+        emissions = chunk.column("e").flatten().to_numpy().reshape(-1, max(1, len(names)))
+        tags = names.take(pa.array(decode(emissions, chunk.at, chunk.sizes, start, moves))) if len(names) else pa.nulls(len(chunk.words), pa.string())
+        full = chunk.sizes > 0
+        rows = np.repeat(np.arange(len(chunk.lines)), chunk.lines)
+        number = np.arange(len(rows)) - sums(chunk.lines)[rows]
+        pairs = pa.StructArray.from_arrays([chunk.words, tags], names=["word", "tag"])
+        return rows[full], {"sentence": pa.array(number[full], pa.int32()), "tagged": groups(chunk.sizes[full], pairs)}
+
+    return coded.rebuild(facts, ["e"], tagged, "sentence int, tagged array<struct<word: string, tag: string>>")
 
 
 def tag_texts(docs: DataFrame, key: str, text: str, model: Tagger) -> DataFrame:

@@ -9,7 +9,7 @@ from sparkloom.functions import stemming as S
 from sparkloom.functions import text as T
 from sparkloom.operators import boundaries, dictionary, features, tagger
 from sparkloom.plans.common import Registry, sql_case, sql_list, sql_terms, sql_words, table
-from sparkloom.sources.workspace import written
+from sparkloom.sources.workspace import bounded, written
 
 QUERIES = Registry()
 ORACLES = QUERIES.sql
@@ -173,11 +173,10 @@ def trained_sentences(spark, sf_dir):
 def hmm_tags(spark, sf_dir):
     """Tags of every sentence by a model that learns from the good documents, tagged by dictionary; tests hold the decoding against all taggings."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    good = docs.join(table(spark, sf_dir, "labels").where("quality = 1").select("doc_id").distinct(), "doc_id", "left_semi")
-    coded = dictionary.encode(good.select(F.lower("text").alias("text")), [], "text")
-    entries = dictionary.tag_table(spark)
-    tagged = coded.tokens.join(F.broadcast(entries), "word", "left").select("row", "sentence", "place", "word", F.coalesce("tag", F.lit("NN")).alias("tag"))
-    tags = tagger.tag(docs, ["doc_id"], "text", tagger.train(tagged, ["row", "sentence"]))
+    labels = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id").distinct()
+    good = docs.join(bounded(labels), "doc_id", "left_semi").select(F.explode(T.sentences(F.lower("text"))).alias("s"))
+    model = tagger.train_sentences(good.select(T.tag_words(T.words(F.col("s"))).alias("tagged")))
+    tags = tagger.tag(docs, ["doc_id"], "text", model)
     return tags.select("doc_id", "sentence", F.array_join(F.transform("tagged", lambda x: x["tag"]), " ").alias("tags"))
 
 
