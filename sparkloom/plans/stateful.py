@@ -114,13 +114,13 @@ m AS (SELECT doc_id, label, sum(tf * idf * weight) AS margin FROM f JOIN idf USI
 h AS (SELECT doc_id, string_agg(label, ',' ORDER BY list_position({_LABELS}, label)) AS l FROM m WHERE margin >= {jobs.CONFIG.margin} GROUP BY 1)
 SELECT doc_id AS row_key, coalesce(l, 'none') AS classification, CASE WHEN l IS NOT NULL THEN '1' END AS classified, terms AS cleaned FROM documents JOIN c USING (doc_id) LEFT JOIN h USING (doc_id) WHERE text <> ''""")
 def job_clean_and_classify(spark, sf_dir):
-    """The cleaner and then the classifier job over one crawl table, which is written in between."""
+    """The cleaner and then the classifier job over one crawl table, which is written in between without the texts, as nothing reads them again."""
     docs = table(spark, sf_dir, "documents").where("text <> ''")
     crawl = docs.select(F.col("doc_id").alias("row_key"), "text", F.lit(None).cast("string").alias("cleaned"), F.lit(None).cast("string").alias("classification"))
-    clean, _ = written(jobs.cleaner(crawl), "crawl")
+    clean, _ = written(jobs.cleaner(crawl).drop("text"), "crawl")
     weights = spark.createDataFrame(jobs.EXAMPLE_WEIGHTS, "label string, term string, weight double")
     idf = features.inverse_frequency(clean.where("cleaned is not null"), F.split("cleaned", ","), jobs.CONFIG.min_doc_freq)
-    return jobs.classifier(clean, lambda rows: classify.by_weights(rows, "row_key", F.split("cleaned", ","), weights, idf, _LABELS, jobs.CONFIG.margin)).drop("text")
+    return jobs.classifier(clean, lambda rows: classify.by_weights(rows, "row_key", F.split("cleaned", ","), weights, idf, _LABELS, jobs.CONFIG.margin))
 
 
 @QUERIES.add(ORACLES_OF_SENTIMENT["doc_sentiment"].replace("SELECT doc_id, round(pos, 6) AS pos, round(neg, 6) AS neg, CASE", "SELECT doc_id AS row_key, CASE"))

@@ -17,20 +17,21 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str], order: str | None =
 
     Null keys are equal.  Rows of ``new`` that repeat a key are written one
     after another by ``order``, which is no cell then; without it, or where it
-    is equal too, rows with different values in a cell are an error.
+    is equal too, rows with different values in a cell are an error.  Keys are
+    compared as one struct, so the rows lie for the join as they were grouped.
     ``KeyedTable`` keeps a table on disk and writes only what changes.
     """
     given = [c for c in new.columns if c not in keys and c != order]
     cells = [c for c in [*old.columns, *[c for c in given if c not in old.columns]] if c not in keys]
     clash = lambda c: F.raise_error(F.lit(f"rows of one key differ in {c} and no order says which is the last"))
     one = lambda c: F.when(F.min(c).eqNullSafe(F.max(c)), F.max(c)).otherwise(clash(c)).alias(f"_{c}")
-    fresh = new.groupBy(*[F.col(k).alias(f"_{k}") for k in keys], *[F.col(o).alias("_place") for o in [order] * bool(order)]).agg(*[one(c) for c in given], F.lit(True).alias("_new"))
+    at = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
+    fresh = new.groupBy(at.alias("__new_key"), *[F.col(o).alias("_place") for o in [order] * bool(order)]).agg(*[one(c) for c in given], F.lit(True).alias("_new"))
     if order:
         last = lambda c: F.max(F.when(F.col(c).isNotNull(), F.struct("_place", c)))[c].alias(c)
-        fresh = fresh.groupBy(*[f"_{k}" for k in keys]).agg(*[last(f"_{c}") for c in given], F.lit(True).alias("_new"))
-    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    both = old.withColumn("_old", F.lit(True)).join(fresh, same, "full_outer")
-    key = [F.when(F.col("_old"), F.col(k)).otherwise(F.col(f"_{k}")).alias(k) for k in keys]
+        fresh = fresh.groupBy("__new_key").agg(*[last(f"_{c}") for c in given], F.lit(True).alias("_new"))
+    both = old.withColumns({"_old": F.lit(True), "__old_key": at}).join(fresh, F.col("__old_key") == F.col("__new_key"), "full_outer")
+    key = [F.when(F.col("_old"), F.col(k)).otherwise(F.col("__new_key")[f"k{i}"]).alias(k) for i, k in enumerate(keys)]
 
     def cell(c: str) -> Column:
         return F.coalesce(*[F.col(x) for x, df in ((f"_{c}", new), (c, old)) if c in df.columns]).alias(c)
