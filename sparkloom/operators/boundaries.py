@@ -56,9 +56,10 @@ def split(docs: DataFrame, keys: list[str], text: str, least: float = LEAST_SCOR
     """
     coded = encode(docs, keys, text, by_sentence=False)
     words, _ = written(coded.words(), "words")
-    known = bounded(abbreviations(words, least).select("kind", F.lit(True).alias("short")))
+    known = bounded(written(abbreviations(words, least).select("kind", F.lit(True).alias("short")), "short")[0])
     small = words.where(F.col("word").rlike(r"^\p{Ll}")).select(kind(F.col("word")).alias("kind"), F.lit(True).alias("small")).distinct()
-    facts = words.withColumn("kind", kind(F.col("word"))).join(known, "kind", "left").join(bounded(small), "kind", "left")
+    small = bounded(written(small, "small")[0])
+    facts = words.withColumn("kind", kind(F.col("word"))).join(known, "kind", "left").join(small, "kind", "left")
     word, known_as = F.col("word"), lambda c: F.coalesce(c, F.lit(False))
     marks = {"short": known_as("short"), "mark": word.rlike("[!?]$"), "dot": word.endswith("."), "number": word.rlike("^[0-9]+[.]$"), "low": word.rlike(r"^[\p{Ll}0-9]"), "opens": word.rlike(r"^\p{Lu}") & known_as("small")}
     facts, _ = written(facts.select("word", "n", *[c.alias(k) for k, c in marks.items()]), "kinds")
