@@ -12,7 +12,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from sparkloom.functions import language, spelling, stemming, text
-from sparkloom.operators import boundaries, classify, counts, dictionary, filters, graph, html_comments, replies, sentiment, tagger
+from sparkloom.operators import boundaries, classify, counts, descent, dictionary, filters, graph, html_comments, replies, sentiment, tagger
 from sparkloom.operators import features as features_ops
 from sparkloom.plans import catalog, jobs
 from sparkloom.schema import Role, table_name
@@ -696,6 +696,45 @@ def test_all_labels_in_one_descent(spark):
     assert classify.train(values, labels.limit(0), ["a"], 3).count() == 0
 
 
+def test_descent_over_whole_rows(spark, monkeypatch):
+    """The weights where terms are few are those of the joins: repeated and null keys, null labels, rows without terms, several chunks."""
+    r = np.random.default_rng(4)
+    rows = [(i - i % 2 if i < 10 else None if i == 11 else i, "ABC"[r.integers(3)] if i % 13 else None, None if i == 5 else [None if j == 7 else "" if j == 8 else f"t{j}" for j in r.integers(0, 30, 0 if i % 17 == 3 else r.integers(1, 40))]) for i in range(90)]
+    rows.append((90, "A", ["alone"] * 3))
+    docs = spark.createDataFrame(rows, "id int, label string, terms array<string>").repartition(3)
+    monkeypatch.setattr(descent, "CHUNK_WORDS", 100)
+    few = classify.build(docs, "id", F.col("terms"), "label", ["a", "b", "c"], 1, 7)
+    labelled = lambda m: sorted(classify.by_weights(docs, "id", F.col("terms"), m.weights, m.idf, ["c", "a", "b"], -0.1).collect(), key=repr)
+    whole = labelled(few)
+    monkeypatch.setattr(descent, "FEW_WEIGHTS", 3)
+    many = classify.build(docs, "id", F.col("terms"), "label", ["a", "b", "c"], 1, 7)
+    got, want = ({(k.label, k.term): k.weight for k in m.weights.collect()} for m in (few, many))
+    assert whole == labelled(few) and len(whole) == 91 and len({x.classification for x in whole}) > 2
+    assert got.keys() == want.keys() and len(got) == 3 * 29 and few.weights.count() == len(got)
+    assert all(abs(got[k] - want[k]) < 1e-12 for k in got)
+    monkeypatch.undo()
+    assert few.weights.schema == many.weights.schema
+    assert classify.build(docs.limit(0), "id", F.col("terms"), "label", ["a"], 1, 3).weights.count() == 0
+    assert classify.build(docs, "id", F.col("terms"), "label", ["a"], 1000, 3).weights.count() == 0
+
+
+def test_training_takes_all_steps(spark, tmp_path):
+    """The query classifies by a descent of all configured steps, whose labels those of few steps are not."""
+    r, n = np.random.default_rng(6), 60
+    good = r.random(n) < 0.8
+    tf = r.poisson(np.where(good[:, None], 1.0, np.r_[[1.0] * 8, [1.6] * 4]), (n, 12))
+    tf[5] = 0
+    x = tf * np.log(n / ((tf > 0).sum(0) + 1))
+    y, w, after = np.where(good, 1.0, -1.0), np.zeros(12), {}
+    for t in range(1, EngineConfig().svm_iterations + 1):
+        w = w * (1 - 0.01 / t**0.5) + ((y * (x @ w) < 1) * y) @ x / t**0.5 / n
+        after[t] = [("good" if i else "junk", "none" if k == 5 else "good" if at >= 0 else "junk") for k, (i, at) in enumerate(zip(good, x @ w, strict=True))]
+    spark.createDataFrame([(i, " ".join(f"t{j}" for j in range(12) for _ in range(tf[i, j]))) for i in range(n)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, int(good[i])) for i in range(n)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = [(k.label, k.classification) for k in catalog.QUERIES["svm_train_predict"](spark, str(tmp_path)).orderBy("doc_id").collect()]
+    assert got == after[100] and got != after[4]
+
+
 def test_commands(spark, tmp_path):
     assert {"cleaner", "trainingdatabuilder", "classifierbuilder", "classifier", "featureindicescreator", "twittercrawler", "facebookcrawler"} <= set(jobs.COMMANDS)
     d = str(tmp_path)
